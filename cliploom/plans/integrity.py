@@ -56,7 +56,7 @@ def _closure(t: Tables):
     return ops.subset_closure(manifest(t), toxic.select(path), toxic.filter("quality = 0").select(path))
 
 
-@query("subset_files", CLOSURE + " SELECT archive, count(*) AS files, sum(bytes) AS bytes FROM selected GROUP BY archive")
+@query("subset_files", CLOSURE + " SELECT archive, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM selected GROUP BY archive")
 def subset_files(t: Tables) -> DataFrame:
     return _closure(t)[0].groupBy("archive").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
 
