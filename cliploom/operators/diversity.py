@@ -30,16 +30,14 @@ def _tie(subject: str, job: object, preset: str) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:16]
 
 
-def _blocks(df: DataFrame, key: str, block: int, least: int = 1) -> int:
-    rows = df.count()
-    return max(1, math.ceil(rows / block), min(least, rows))
+def _pair_up(left: DataFrame, left_key: str, left_rows: int, right: DataFrame, right_key: str, right_rows: int, block: int):
+    """Both sides repeated per block of the other, ready to be cogrouped.
 
-
-def _pair_up(left: DataFrame, left_key: str, right: DataFrame, right_key: str, block: int):
-    """Both sides repeated per block of the other, ready to be cogrouped."""
+    A small left side is cut finer than the block size, to give every core a group.
+    """
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = _blocks(left.select(left_key), left_key, block, width)
-    rights = _blocks(right.select(right_key), right_key, block)
+    lefts = max(1, math.ceil(left_rows / block), min(width, left_rows))
+    rights = max(1, math.ceil(right_rows / block))
     number = lambda key, n: F.pmod(F.xxhash64(F.col(key)), F.lit(n))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     a = left.withColumn("_lb", number(left_key, lefts)).withColumn("_rb", all_of(rights))
@@ -118,7 +116,9 @@ def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: in
     subject:job:candidate.
     """
     side = jobs.select("id", "subject_id").join(_history_parts(history, history_part), "subject_id")
-    left, right = _pair_up(side.withColumn("_job", F.col("id")), "_job", catalog.select("preset_id", "vector"), "preset_id", block)
+    left, right = _pair_up(
+        side.withColumn("_job", F.col("id")), "_job", jobs.count(), catalog.select("preset_id", "vector"), "preset_id", catalog.count(), block
+    )
     found = left.cogroup(right).applyInPandas(_best_of_block(top), _PICK)
     whole = found.filter("parts = 1")
     split = (
@@ -162,7 +162,7 @@ def _ranked_by_hash(subjects: DataFrame, catalog: DataFrame, n: int, rank: int,
     middle, space = (rank + 0.5) / n, 2**64
     low = int(max(0.0, middle - spread) * space)
     high = int(min(1.0, middle + spread) * space) if middle + spread < 1.0 else space
-    left, right = _pair_up(subjects, "subject_id", catalog.select("preset_id"), "preset_id", block)
+    left, right = _pair_up(subjects, "subject_id", subjects.count(), catalog.select("preset_id"), "preset_id", n, block)
     found = left.cogroup(right).applyInPandas(_hashes_in_window(low, high), "subject_id string, below long, preset_id string, tie string")
     merged = found.groupBy("subject_id").agg(
         F.sum("below").alias("_below"),

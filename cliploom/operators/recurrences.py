@@ -203,13 +203,17 @@ def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, v
         df, clip, frame,
         lambda w: {"_begin": (F.col(contact) & ~F.coalesce(F.lag(contact).over(w), F.lit(False))).cast("double")},
     )
-    rows = K.series_running_sum(begun, clip, frame, "_begin", "_run").withColumn("_run", F.col("_run").cast("long"))
+    # Frames and runs are each read several times below, so both are written once.
+    rows = pin(K.series_running_sum(begun, clip, frame, "_begin", "_run").withColumn("_run", F.col("_run").cast("long")))
     sums = [F.sum(F.col(vector)[i]).alias(f"_s{i}") for i in range(dims)]
     runs = rows.filter(contact).groupBy(*clip, "_run").agg(
         F.min(frame).cast("long").alias("_from"), F.max(frame).cast("long").alias("_to"), F.count(F.lit(1)).alias("_n"), *sums
     )
     opening = rows.filter("_begin = 1").select(*clip, "_run", F.col(vector).alias("_first"))
-    runs = runs.join(opening, [*clip, "_run"]).withColumn("_sum", F.array(*[f"_s{i}" for i in range(dims)])).withColumn("_order", F.col("_run") - 1)
+    runs = pin(
+        runs.join(opening, [*clip, "_run"]).withColumn("_sum", F.array(*[f"_s{i}" for i in range(dims)]))
+        .withColumn("_order", F.col("_run") - 1).drop(*[f"_s{i}" for i in range(dims)])
+    )
 
     def step(pdf: pd.DataFrame, start):
         end, anchor = (None, None) if start is None else (start[0], start[1:])
@@ -226,7 +230,7 @@ def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, v
         return step(pdf[["_from", "_to", "_n", "_sum", "_first"]], start)
 
     anchored = chunked_scan(runs, clip, "_order", ["_from", "_to", "_n", "_sum", "_first"], ordered, "_anchor array<double>", size)
-    spans = runs.select(*clip, "_run", "_order", "_from", "_to").join(anchored, [*clip, "_order"]).drop("_order")
+    spans = pin(runs.select(*clip, "_run", "_order", "_from", "_to").join(anchored, [*clip, "_order"]).drop("_order"))
     following = spans.select(*clip, (F.col("_run") - 1).alias("_run"), F.col("_from").alias("_next"), F.col("_anchor").alias("_next_anchor"))
     nothing = F.lit(None)
     lead_in = spans.filter("_run = 1 AND _from > 0").select(
@@ -234,7 +238,7 @@ def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, v
         nothing.cast("long").alias("_to"), nothing.cast("array<double>").alias("_anchor"),
     )
     spans = spans.unionByName(lead_in).join(following, [*clip, "_run"], "left").join(
-        clip_length(df, clip, frame).select(*clip, "last"), clip
+        clip_length(rows, clip, frame).select(*clip, "last"), clip
     )
     upto = F.coalesce(F.col("_next") - 1, F.col("last"))
     spans = spans.withColumn(K.CHUNK_COL, F.explode(F.sequence(K.chunk_of("_from", size), K.chunk_of(upto, size)))).drop("_from", "last")
