@@ -66,12 +66,12 @@ def text_frames(t: Tables) -> DataFrame:
 
 
 CAMERA_SQL = """WITH cut AS (SELECT doc_id AS clip, f AS frame, substr(text, f * 2304 + 1, 2304) AS s FROM documents, generate_series(0, length(text) // 2304 - 1) AS g(f)),
-ch AS (SELECT clip, frame, string_split(s, '') AS c FROM cut),
-px AS (SELECT clip, frame, unnest(generate_series(0, 2303)) AS p, ord(unnest(c)) % 256 AS g FROM ch),
+px AS MATERIALIZED (SELECT clip, frame, unnest(generate_series(0, 2303)) AS p, unnest(list_transform(string_split(s, ''), lambda c: ord(c) % 256)) AS g FROM cut),
 off AS (SELECT dy, dx, (dy + 4) * 9 + dx + 4 AS o FROM generate_series(-4, 4) AS a(dy), generate_series(-4, 4) AS b(dx)),
-lat AS (SELECT y, x FROM generate_series(6, 29, 2) AS a(y), generate_series(8, 55, 2) AS b(x)),
-sc AS (SELECT a.clip, a.frame, o.dx, o.dy, o.o, avg(abs(a.g - b.g)) AS score FROM px a JOIN lat ON a.p = lat.y * 64 + lat.x CROSS JOIN off o
-  JOIN px b ON b.clip = a.clip AND b.frame = a.frame + 1 AND b.p = (lat.y + o.dy) * 64 + lat.x + o.dx GROUP BY ALL),
+lat AS (SELECT y * 64 + x AS p FROM generate_series(6, 29, 2) AS a(y), generate_series(8, 55, 2) AS b(x)),
+l AS MATERIALIZED (SELECT a.clip, a.frame, a.p, a.g FROM px a JOIN lat ON lat.p = a.p),
+lo AS MATERIALIZED (SELECT clip, frame, frame + 1 AS nf, p + dy * 64 + dx AS q, g, dx, dy, o FROM l CROSS JOIN off),
+sc AS (SELECT lo.clip, lo.frame, dx, dy, o, avg(abs(lo.g - b.g)) AS score FROM lo JOIN px b ON b.clip = lo.clip AND b.frame = lo.nf AND b.p = lo.q GROUP BY ALL),
 best AS (SELECT *, row_number() OVER (PARTITION BY clip, frame ORDER BY score, o) AS rn FROM sc)"""
 
 
