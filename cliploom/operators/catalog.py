@@ -60,7 +60,7 @@ def valid_observations(observations: DataFrame, features: DataFrame) -> DataFram
     return observations.filter(F.col("status") == "done").join(supported, "segment_id")
 
 
-def robust_stats(df: DataFrame, vector: str, group_rows: int = K.GROUP_ROWS) -> DataFrame:
+def robust_stats(df: DataFrame, vector: str, group_rows: int | None = None) -> DataFrame:
     """Centre and scale per axis: upper median and quartile gap at fixed ranks."""
     long = df.select(F.posexplode(vector).alias("axis", "value"))
     picked = K.order_stats(
@@ -85,7 +85,7 @@ def unused(candidates: DataFrame, designs: DataFrame, key: str, path: str, paylo
 
 def distribution(
     df: DataFrame, by: Sequence[str], value: str, names: DataFrame | None = None, empty: float = 0.0,
-    group_rows: int = K.GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Count, mean, p95 and maximum per group; groups only listed in ``names`` get ``empty``."""
     by = list(by)

@@ -41,7 +41,7 @@ def running_total(
     order: Sequence[str | Column],
     amount: str | Column,
     out: str,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of ``amount`` per key; ``order`` must be a total order.
 
@@ -51,6 +51,7 @@ def running_total(
     at most one key from the slice before it, so the table of carried totals has fewer
     rows than there are slices and is safe to broadcast.
     """
+    group_rows = group_rows or GROUP_ROWS
     amount = F.col(amount) if isinstance(amount, str) else amount
     keys = list(keys)
     upto = (Window.unboundedPreceding, Window.currentRow)
@@ -86,7 +87,7 @@ def number_rows(
     order: Sequence[str | Column],
     out: str,
     start: int = 1,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Dense row numbers per key in a total order, starting at ``start``."""
     numbered = running_total(df, keys, order, F.lit(1).cast("long"), out, group_rows)
@@ -98,7 +99,7 @@ def order_stats(
     by: Sequence[str],
     value: str,
     picks: Mapping[str, Callable[[Column], Column]],
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Exact order statistics under caller-chosen index rules.
 
@@ -108,6 +109,7 @@ def order_stats(
     whose cumulative count exceeds i.
     """
     by = list(by)
+    group_rows = group_rows or GROUP_ROWS
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, value)
@@ -150,17 +152,18 @@ def fraction_rank(q: float) -> Callable[[Column], Column]:
     return lambda n: F.least(n - 1, F.floor(F.lit(q) * (n - 1)))
 
 
-def chunk_of(frame: str | Column, size: int = CHUNK) -> Column:
+def chunk_of(frame: str | Column, size: int | None = None) -> Column:
     frame = F.col(frame) if isinstance(frame, str) else frame
-    return F.floor(frame / F.lit(size)).cast("long")
+    return F.floor(frame / F.lit(size or CHUNK)).cast("long")
 
 
-def spread(df: DataFrame, frame: str, before: int, after: int, size: int = CHUNK) -> DataFrame:
+def spread(df: DataFrame, frame: str, before: int, after: int, size: int | None = None) -> DataFrame:
     """Copy rows near a chunk edge into the neighbouring chunk as halo.
 
     Frames must be dense integers from 0. Rows carry ``_own`` = false in chunks they
     only serve as halo; filter on it after the windows ran.
     """
+    size = size or CHUNK
     if max(before, after) > size:
         raise ValueError("halo longer than a chunk")
     own = chunk_of(frame, size)
@@ -190,7 +193,7 @@ def in_chunks(
     columns: Callable[[Window], Mapping[str, Column]],
     before: int = 1,
     after: int = 0,
-    size: int = CHUNK,
+    size: int | None = None,
 ) -> DataFrame:
     """Add window columns computed inside haloed chunks."""
     spreaded = spread(df, frame, before, after, size)
@@ -198,7 +201,7 @@ def in_chunks(
 
 
 def series_running_sum(
-    df: DataFrame, clip: Sequence[str], frame: str, value: str | Column, out: str, size: int = CHUNK
+    df: DataFrame, clip: Sequence[str], frame: str, value: str | Column, out: str, size: int | None = None
 ) -> DataFrame:
     """Inclusive running sum over frames of a clip.
 
@@ -220,7 +223,7 @@ def series_running_sum(
 
 
 def attach_per_clip(
-    df: DataFrame, per_clip: DataFrame, clip: Sequence[str], frame: str, last: str, size: int = CHUNK
+    df: DataFrame, per_clip: DataFrame, clip: Sequence[str], frame: str, last: str, size: int | None = None
 ) -> DataFrame:
     """Join one row per clip to all frames of the clip without gathering the clip.
 

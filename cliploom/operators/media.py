@@ -19,13 +19,13 @@ BAND = (0.2, 0.65)
 TINT_FLOOR = 0.65
 
 
-def image_stats(pixels: DataFrame, by: Sequence[str], group_rows: int = K.GROUP_ROWS) -> DataFrame:
+def image_stats(pixels: DataFrame, by: Sequence[str], group_rows: int | None = None) -> DataFrame:
     """Luminance ranks, contrast and tint per image from (r, g, b) in 0–255.
 
     Pixels are ordered by (luminance, r, g, b). Equal pixels are counted first, so a flat
     image is a few rows; each colour then knows the rank interval it fills.
     """
-    by = list(by)
+    by, group_rows = list(by), group_rows or K.GROUP_ROWS
     r, g, b = (F.col(c) / 255.0 for c in ("r", "g", "b"))
     colours = pixels.groupBy(*by, "r", "g", "b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_lum", luminance(r, g, b))
     ranked = K.running_total(colours, by, ["_lum", "r", "g", "b"], "_n", "_upto", group_rows)

@@ -29,14 +29,14 @@ def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
 
 
 def chunked_scan(
-    df: DataFrame, clip: Sequence[str], frame: str, columns: Sequence[str], step: Step, outputs: str, size: int = K.CHUNK
+    df: DataFrame, clip: Sequence[str], frame: str, columns: Sequence[str], step: Step, outputs: str, size: int | None = None
 ) -> DataFrame:
     """Run ``step(rows, start)`` over the chunks of each clip in order.
 
     ``step`` gets one chunk sorted by frame and the state before it (None at the start of
     a clip or as the first guess); it returns the output columns and the end state.
     """
-    clip = list(clip)
+    clip, size = list(clip), size or K.CHUNK
     names = [part.split()[0] for part in outputs.split(", ")]
     rows = df.select(*clip, frame, *columns).withColumn(K.CHUNK_COL, K.chunk_of(frame, size))
     keys = [*clip, K.CHUNK_COL]
@@ -112,7 +112,7 @@ def clamp_series(points: np.ndarray, limit: float, previous: np.ndarray | None)
     return out, hit
 
 
-def clamp_steps(df: DataFrame, clip: Sequence[str], frame: str, vector: str, limit: str, size: int = K.CHUNK) -> DataFrame:
+def clamp_steps(df: DataFrame, clip: Sequence[str], frame: str, vector: str, limit: str, size: int | None = None) -> DataFrame:
     """Clamped positions and a flag per repaired frame; ``limit`` is a column constant per clip."""
     def step(pdf: pd.DataFrame, start):
         points = np.array(pdf[vector].tolist(), dtype=float)
@@ -145,7 +145,7 @@ def spring_series(source: np.ndarray, stiffness: float, damping: float, state: n
 
 def spring_follow(
     df: DataFrame, clip: Sequence[str], frame: str, source: str, stiffness: str, damping: str, limit: str,
-    gain: str, out: str = "deflection", size: int = K.CHUNK,
+    gain: str, out: str = "deflection", size: int | None = None,
 ) -> DataFrame:
     """Bend of a strand that follows ``source`` through a damped spring.
 
@@ -189,7 +189,7 @@ def _gain(offset: Column) -> Column:
     return smooth01((F.lit(BLEND + 1) - offset) / F.lit(float(BLEND + 1)))
 
 
-def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, vector: str, dims: int = 3, size: int = K.CHUNK) -> DataFrame:
+def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, vector: str, dims: int = 3, size: int | None = None) -> DataFrame:
     """Hold each maximal contact run at its mean position and blend two frames either side.
 
     Runs are taken in order: a run one frame after another sees its first position already

@@ -119,7 +119,7 @@ IMAGES_SQL = """im AS (SELECT l_orderkey AS clip, l_linenumber AS f, l_returnfla
   CASE l_linestatus WHEN 'O' THEN 6 ELSE 0 END AS kind FROM lineitem)"""
 
 
-@query("png_header", f"WITH {IMAGES_SQL} SELECT clip, f AS frame, valid, CASE WHEN valid THEN 1920 END AS width, CASE WHEN valid THEN CAST(h AS BIGINT) END AS height, CASE WHEN valid THEN 16 END AS depth, CASE WHEN valid THEN kind END AS color_type FROM im")
+@query("png_header", f"WITH {IMAGES_SQL} SELECT clip, f AS frame, valid, CASE WHEN valid THEN CAST(1920 AS BIGINT) END AS width, CASE WHEN valid THEN CAST(h AS BIGINT) END AS height, CASE WHEN valid THEN CAST(16 AS BIGINT) END AS depth, CASE WHEN valid THEN CAST(kind AS BIGINT) END AS color_type FROM im")
 def png_header(t: Tables) -> DataFrame:
     return M.png_header(image_files(t)).select("clip", F.col("stem").cast("int").alias("frame"), "valid", "width", "height", "depth", "color_type")
 

@@ -82,7 +82,8 @@ def _gaps(timeout_ms: int):
         state.update((int(times[-1]),))
         wake = times[-1] // 1000 + timeout_ms
         state.setTimeoutTimestamp(max(int(wake), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"job_id": [job] * len(silent), "silent_since": pd.to_datetime(silent, unit="us")})
+        if silent:
+            yield pd.DataFrame({"job_id": [job] * len(silent), "silent_since": pd.to_datetime(silent, unit="us")})
 
     return watch
 
