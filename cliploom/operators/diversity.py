@@ -36,7 +36,7 @@ def _pair_up(left: DataFrame, left_key: str, left_rows: int, right: DataFrame, r
     A small left side is cut finer than the block size, to give every core a group.
     """
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = max(1, math.ceil(left_rows / block), min(width, left_rows))
+    lefts = max(1, math.ceil(left_rows / block), min(4 * width, left_rows))
     rights = max(1, math.ceil(right_rows / block))
     number = lambda key, n: F.pmod(F.xxhash64(F.col(key)), F.lit(n))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -140,18 +140,23 @@ def pick_diverse(jobs: DataFrame, catalog: DataFrame, history: DataFrame, block:
 
 
 def _hashes_in_window(low: int, high: int):
+    """Per subject: how many candidates hash below the window, and those inside it."""
     def count(_, subjects: pd.DataFrame, catalog: pd.DataFrame) -> pd.DataFrame:
         rows = []
         names = catalog["preset_id"].tolist()
+        raw = [name.encode("utf-8") for name in names]
+        first = low.to_bytes(8, "big")
+        end = high.to_bytes(9, "big")
         for subject in subjects["subject_id"]:
-            below = 0
-            for name in names:
-                digest = _tie(subject, None, name)
-                value = int(digest, 16)
-                if value < low:
+            start, below = hashlib.sha1(f"{subject}:".encode("utf-8")), 0
+            for name, text in zip(names, raw):
+                state = start.copy()
+                state.update(text)
+                digest = state.digest()[:8]
+                if digest < first:
                     below += 1
-                elif value < high:
-                    rows.append((subject, 0, name, digest))
+                elif b"\0" + digest < end:
+                    rows.append((subject, 0, name, digest.hex()))
             rows.append((subject, below, None, None))
         return pd.DataFrame(rows, columns=["subject_id", "below", "preset_id", "tie"])
 
@@ -188,10 +193,12 @@ def cold_preferences(subjects: DataFrame, catalog: DataFrame, top: int = 1, bloc
         raise ValueError("no free candidates left")
     rank, subjects = n // 3, subjects.select("subject_id").distinct()
     spread = 8.0 * math.sqrt(2.0 / 9.0 / n) + 2.0 * (top + 1) / n
-    first = _ranked_by_hash(subjects, catalog, n, rank, spread, block, top)
     if spread >= 0.5:
         return _ranked_by_hash(subjects, catalog, n, rank, 1.0, block, top)
-    rest = subjects.join(first.select("subject_id").distinct(), "subject_id", "left_anti")
+    first = pin(_ranked_by_hash(subjects, catalog, n, rank, spread, block, top))
+    rest = pin(subjects.join(first.select("subject_id").distinct(), "subject_id", "left_anti"))
+    if not rest.limit(1).count():
+        return first
     return first.unionByName(_ranked_by_hash(rest, catalog, n, rank, 1.0, block, top))
 
 
