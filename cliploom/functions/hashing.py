@@ -22,9 +22,13 @@ def stable_hex(text: Column) -> Column:
 
 
 def stable_mod(text: Column, n: int) -> Column:
-    """The unsigned 64-bit number behind ``stable_hex``, modulo ``n``."""
-    number = F.conv(stable_hex(text), 16, 10).cast("decimal(20,0)")
-    return (number % F.lit(n)).cast("int")
+    """The unsigned 64-bit number behind ``stable_hex``, modulo ``n``.
+
+    The two 32-bit halves are reduced in long arithmetic; decimals would cost far more.
+    """
+    digest = F.sha1(text)
+    half = lambda start: F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
+    return ((half(1) % F.lit(n) * F.lit(2**32 % n) + half(9) % F.lit(n)) % F.lit(n)).cast("int")
 
 
 def fixed_text(value: Column, digits: int) -> Column:

@@ -95,28 +95,36 @@ DEFAULT_HIP_RATIO = 0.14
 DEFAULT_ARM_RATIO = 0.30
 
 
-def one_of(column: str, *groups: Sequence[str]) -> Callable[[], Column]:
+@dataclass(frozen=True)
+class Test:
+    """A condition on one column."""
+
+    column: str
+    build: Callable[[Column], Column]
+
+
+def one_of(column: str, *groups: Sequence[str]) -> Test:
     names = [n for g in groups for n in g]
-    return lambda: F.col(column).isin(*names)
+    return Test(column, lambda c: c.isin(*names))
 
 
-def none_of(column: str, names: Sequence[str]) -> Callable[[], Column]:
-    return lambda: ~F.col(column).isin(*names)
+def none_of(column: str, names: Sequence[str]) -> Test:
+    return Test(column, lambda c: ~c.isin(*names))
 
 
-def below(column: str, limit: float, default: float) -> Callable[[], Column]:
-    return lambda: F.coalesce(F.col(column), F.lit(default)) < limit
+def below(column: str, limit: float, default: float) -> Test:
+    return Test(column, lambda c: F.coalesce(c, F.lit(default)) < limit)
 
 
-def trait(column: str) -> Callable[[], Column]:
-    return lambda: F.coalesce(F.col(column), F.lit(False))
+def trait(column: str) -> Test:
+    return Test(column, lambda c: F.coalesce(c, F.lit(False)))
 
 
 @dataclass(frozen=True)
 class Rule:
     """``when`` (all must hold) → replace channels, cap numbers, scale-then-cap, add a note."""
 
-    when: tuple[Callable[[], Column], ...]
+    when: tuple[Test, ...]
     put: Mapping[str, str] = field(default_factory=dict)
     cap: Mapping[str, float] = field(default_factory=dict)
     boost: Mapping[str, tuple[float, float]] = field(default_factory=dict)  # factor, ceiling
@@ -178,11 +186,80 @@ RULES: tuple[Rule, ...] = (
 )
 
 
+NUMBERS = ("lower_intensity", "torso_intensity", "arm_intensity", "head_intensity", "stride", "lift")
+
+
+def _stages(rules: Sequence[Rule]) -> list[list[int]]:
+    """Runs of rules whose conditions read nothing that an earlier rule of the run replaced."""
+    stages: list[list[int]] = [[]]
+    dirty: set[str] = set()
+    for number, rule in enumerate(rules):
+        if any(test.column in dirty for test in rule.when):
+            stages.append([])
+            dirty = set()
+        stages[-1].append(number)
+        dirty |= set(rule.put) | ({rule.draw[0]} if rule.draw else set()) | ({"hit_narrow_hip"} if _marks_narrow_hip(rule) else set())
+    return stages
+
+
+def _marks_narrow_hip(rule: Rule) -> bool:
+    return bool(rule.note and rule.note.startswith("narrow_hip_profile"))
+
+
+def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Run rules stage by stage; leaves a ``_hit`` flag per rule and ``_drawn`` choices."""
+    for stage in _stages(rules):
+        hits = {}
+        for number in stage:
+            hit = F.lit(True)
+            for test in rules[number].when:
+                hit = hit & test.build(F.col(test.column))
+            hits[f"_hit{number}"] = hit
+        df = df.withColumns(hits)
+        drawn = {}
+        for number in stage:
+            if rules[number].draw:
+                _, choices, suffix, default = rules[number].draw
+                seed = F.concat(F.coalesce(F.col("preset_id").cast("string"), F.lit(default)), F.lit(suffix))
+                choice = F.element_at(F.array(*[F.lit(c) for c in choices]), stable_mod(seed, len(choices)) + 1)
+                drawn[f"_drawn{number}"] = F.when(F.col(f"_hit{number}"), choice)
+        if drawn:
+            df = df.withColumns(drawn)
+        changed: dict[str, Column] = {}
+        for number in stage:
+            rule, on = rules[number], F.col(f"_hit{number}")
+            for channel, value in rule.put.items():
+                changed[channel] = F.when(on, F.lit(value)).otherwise(changed.get(channel, F.col(channel)))
+            if rule.draw:
+                channel = rule.draw[0]
+                changed[channel] = F.coalesce(F.col(f"_drawn{number}"), changed.get(channel, F.col(channel)))
+            if _marks_narrow_hip(rule):
+                changed["hit_narrow_hip"] = on
+        if changed:
+            df = df.withColumns(changed)
+    return df
+
+
+def _cap(rules: Sequence[Rule], name: str) -> Column | None:
+    caps = [F.when(F.col(f"_hit{i}"), F.lit(rule.cap[name])) for i, rule in enumerate(rules) if name in rule.cap]
+    return F.least(*caps) if len(caps) > 1 else caps[0] if caps else None
+
+
+def _notes(rules: Sequence[Rule]) -> Column:
+    found = [
+        F.when(F.col(f"_hit{i}"), F.concat(F.lit(rule.note), F.col(f"_drawn{i}")) if rule.draw else F.lit(rule.note))
+        for i, rule in enumerate(rules) if rule.note
+    ]
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
 def repair_blueprints(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Apply the rules in order and list the repairs made.
 
     Needs the four channels, their intensities, ``stride``, ``lift`` and ``preset_id``;
-    profile columns that are absent count as unknown.
+    profile columns that are absent count as unknown. Channels change stage by stage; caps
+    commute, so numbers are settled once at the end, before the boosts. Rules that boost
+    have to come last.
     """
     for name, kind in {
         "hip_width_ratio": "double", "arm_length_ratio": "double", "has_skirt_or_robe": "boolean",
@@ -190,34 +267,17 @@ def repair_blueprints(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame
     }.items():
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast(kind))
-    kept = [c for c in df.columns]
+    kept = list(df.columns)
     df = df.withColumns({"was_lower": F.col("lower"), "was_torso": F.col("torso_channel"), "was_arms": F.col("arms")})
-    notes = []
-    for number, rule in enumerate(rules):
-        hit = F.lit(True)
-        for test in rule.when:
-            hit = hit & test()
-        flag = f"_hit{number}"
-        df = df.withColumn(flag, hit)
-        on = F.col(flag)
-        updates = {c: F.when(on, F.lit(v)).otherwise(F.col(c)) for c, v in rule.put.items()}
-        updates |= {c: F.when(on, F.least(F.col(c), F.lit(v))).otherwise(F.col(c)) for c, v in rule.cap.items()}
-        updates |= {
-            c: F.when(on, F.least(F.lit(top), F.col(c) * F.lit(factor))).otherwise(F.col(c))
-            for c, (factor, top) in rule.boost.items()
-        }
-        note = F.lit(rule.note)
-        if rule.draw:
-            channel, choices, suffix, default = rule.draw
-            seed = F.concat(F.coalesce(F.col("preset_id").cast("string"), F.lit(default)), F.lit(suffix))
-            drawn = F.element_at(F.array(*[F.lit(c) for c in choices]), stable_mod(seed, len(choices)) + 1)
-            updates[channel] = F.when(on, drawn).otherwise(F.col(channel))
-            df = df.withColumn(f"_drawn{number}", drawn)
-            note = F.concat(F.lit(rule.note), F.col(f"_drawn{number}"))
-        if rule.note and rule.note.startswith("narrow_hip_profile"):
-            updates["hit_narrow_hip"] = on
-        if updates:
-            df = df.withColumns(updates)
-        if rule.note:
-            notes.append(F.when(on, note))
-    return df.select(*kept, F.array_compact(F.array(*notes)).alias("compatibility_repairs"))
+    df = _apply(df, rules)
+
+    numbers = {}
+    for name in NUMBERS:
+        cap = _cap(rules, name)
+        numbers[name] = F.col(name) if cap is None else F.least(F.col(name), cap)
+    df = df.withColumns(numbers)
+    boosted = {}
+    for i, rule in enumerate(rules):
+        for name, (factor, top) in rule.boost.items():
+            boosted[name] = F.when(F.col(f"_hit{i}"), F.least(F.lit(top), F.col(name) * F.lit(factor))).otherwise(F.col(name))
+    return df.select(*[boosted.get(c, F.col(c)).alias(c) for c in kept], _notes(rules).alias("compatibility_repairs"))
