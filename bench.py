@@ -17,7 +17,7 @@ from cliploom.session import build_session
 HEADLINE = (
     "dispatch_wave", "assign_pairings", "retry_checks", "verify_files", "hash_drift", "catalog_contract", "source_refs", "build_records",
     "robust_stats", "distribution", "pick_diverse", "pick_cold", "repair_blueprints", "smooth_binomial", "trajectory_measures",
-    "best_window", "clamp_steps", "contact_runs", "image_stats", "camera_motion", "proximity_frames", "tree_depth", "common_ancestor",
+    "best_window", "clamp_steps", "contact_runs", "image_stats", "camera_motion", "proximity_frames", "tree_depth",
     "task_gate_prepass", "garment_gate", "stream_status",
 )
 
