@@ -238,18 +238,16 @@ def close_upward(t: Tables) -> DataFrame:
     return tree.close_upward(nodes(t), ["rig"], F.col("p_size") == 50, F.col("p_size") > 10).select("name")
 
 
-@query("hair_verdict", f"""WITH RECURSIVE {STRANDS}, l AS (SELECT max(length) AS m, count(DISTINCT branch) AS n FROM br),
-c AS (SELECT c_custkey AS clip, 1 + c_custkey % 20 AS h, CASE WHEN c_acctbal > 0 THEN c_acctbal / 10000 END AS ext, c_mktsegment = 'BUILDING' AS has FROM customer)
-SELECT clip, CASE WHEN has THEN n ELSE 0 END AS branches, round(CASE WHEN has THEN m ELSE 0 END / h, 6) AS longest_chain, CASE WHEN has THEN m ELSE 0 END / h >= 0.06 AS dynamic_expected,
-  CASE WHEN NOT has AND ext IS NOT NULL AND ext / h >= 0.22 THEN 'needs_hair_adapter' ELSE 'passed' END AS hair_motion_qc_status FROM c, l""")
+@query("hair_verdict", f"""WITH RECURSIVE {STRANDS}, l AS (SELECT CAST(regexp_extract(branch, '[0-9]+') AS BIGINT) AS clip, max(length) AS m, count(DISTINCT branch) AS n FROM br GROUP BY 1),
+c AS (SELECT c_custkey AS clip, 1 + c_custkey % 20 AS h, CASE WHEN c_acctbal > 0 THEN c_acctbal / 10000 END AS ext FROM customer)
+SELECT c.clip, coalesce(n, 0) AS branches, round(coalesce(m, 0) / h, 6) AS longest_chain, coalesce(m, 0) / h >= 0.06 AS dynamic_expected,
+  CASE WHEN n IS NULL AND ext IS NOT NULL AND ext / h >= 0.22 THEN 'needs_hair_adapter' ELSE 'passed' END AS hair_motion_qc_status FROM c LEFT JOIN l ON l.clip = c.clip""")
 def hair_verdict(t: Tables) -> DataFrame:
-    """Customers of one segment carry the strands of the part tree; the others have none."""
+    """A branch of the part tree belongs to the customer of its number."""
     clips = t.customer.select(
         F.col("c_custkey").alias("clip"), (1 + F.col("c_custkey") % 20).alias("height"),
-        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 10000).alias("visible_extent"), "c_mktsegment",
+        F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 10000).alias("visible_extent"),
     )
-    per_branch = tree.branches(strands(t), ["rig"], "length")[1].groupBy("rig").agg(F.max("length").alias("longest"), F.count(F.lit(1)).alias("n"))
-    wearing = clips.filter("c_mktsegment = 'BUILDING'").select("clip", F.lit("tree").alias("rig")).join(F.broadcast(per_branch), "rig")
-    # one row per clip and branch count: the summed branches stand for the strands themselves
-    rows = wearing.select("clip", F.explode(F.array_repeat("longest", F.col("n").cast("int"))).alias("length"))
+    per_branch = tree.branches(strands(t), ["rig"], "length")[1]
+    rows = per_branch.select(F.regexp_extract("branch", "[0-9]+", 0).cast("long").alias("clip"), "length")
     return gates.hair_verdict(clips, rows).select("clip", "branches", F.round("longest_chain", 6).alias("longest_chain"), "dynamic_expected", "hair_motion_qc_status")

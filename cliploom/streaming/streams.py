@@ -62,7 +62,7 @@ def stream_status(spark: SparkSession, events: DataFrame, root: str) -> DataFram
     return fold_deltas(spark, root, ["job_id"]).groupBy("event").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-STALE_SCHEMA = "job_id long, silent_since timestamp"
+STALE_SCHEMA = "job_id long, silent_us long"
 
 
 def _gaps(timeout_ms: int):
@@ -71,10 +71,10 @@ def _gaps(timeout_ms: int):
         if state.hasTimedOut:
             (last,) = state.get
             state.remove()
-            yield pd.DataFrame({"job_id": [job], "silent_since": [pd.Timestamp(last, unit="us")]})
+            yield pd.DataFrame({"job_id": [job], "silent_us": [int(last)]})
             return
-        # one job's events of one micro-batch; only their times are held
-        times = sorted(t for pdf in batches for t in (pdf["ts"].astype("datetime64[us]").astype("int64")))
+        # one job's events of one micro-batch; only their times (microseconds) are held
+        times = sorted(int(t) for pdf in batches for t in pdf["us"])
         if state.exists:
             times.insert(0, state.get[0])
             times.sort()
@@ -83,7 +83,7 @@ def _gaps(timeout_ms: int):
         wake = times[-1] // 1000 + timeout_ms
         state.setTimeoutTimestamp(max(int(wake), state.getCurrentWatermarkMs() + 1))
         if silent:
-            yield pd.DataFrame({"job_id": [job] * len(silent), "silent_since": pd.to_datetime(silent, unit="us")})
+            yield pd.DataFrame({"job_id": [job] * len(silent), "silent_us": silent})
 
     return watch
 
@@ -94,10 +94,11 @@ def stream_stale(events: DataFrame, timeout: str, timeout_ms: int, job: str = "j
     A gap is reported when the next event shows it or, for a job that never comes back,
     when the watermark passes it.
     """
-    watched = events.select(F.col(job).alias("job_id"), "ts").withWatermark("ts", timeout)
-    return watched.groupBy("job_id").applyInPandasWithState(
+    watched = events.select(F.col(job).alias("job_id"), "ts", F.unix_micros("ts").alias("us")).withWatermark("ts", timeout)
+    found = watched.groupBy("job_id").applyInPandasWithState(
         _gaps(timeout_ms), STALE_SCHEMA, "last long", "append", GroupStateTimeout.EventTimeTimeout
     )
+    return found.select("job_id", F.timestamp_micros("silent_us").alias("silent_since"))
 
 
 def stream_telemetry(samples: DataFrame, width: str, delay: str) -> DataFrame:
