@@ -22,6 +22,7 @@ from cliploom.session import pin
 
 Step = Callable[[pd.DataFrame, "np.ndarray | None"], "tuple[pd.DataFrame, np.ndarray]"]
 _END, _START = "_end", "_start"
+CALL_ROWS = 50_000  # rows of whole chunks handed to one pandas call
 
 
 def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
@@ -55,13 +56,18 @@ def chunked_scan(
             return pd.DataFrame(columns=[*kept, *names, _END])
         return run(pdf, np.array(starts[_START].iloc[0], dtype=float))
 
-    first = rows.groupBy(*keys).applyInPandas(lambda pdf: run(pdf, None), schema)
-    longest = df.agg(F.max(frame).alias("m")).first()["m"]
-    if longest is None or longest < size:
-        return first.drop(K.CHUNK_COL, _END)
+    def run_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([run(part, None) for _, part in pdf.groupby(keys, sort=False)], ignore_index=True)
+
+    facts = df.agg(F.max(frame).alias("last"), F.count(F.lit(1)).alias("rows")).first()
+    # Short clips share a call: chunks are dealt into groups of about CALL_ROWS rows.
+    calls = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-facts["rows"] // CALL_ROWS))
+    dealt = lambda r: r.groupBy(F.pmod(F.xxhash64(*keys), F.lit(calls)).alias("_call")).applyInPandas(run_all, schema)
+    if facts["last"] is None or facts["last"] < size:
+        return dealt(rows).drop(K.CHUNK_COL, _END)
 
     rows = pin(rows)
-    layers = [pin(rows.groupBy(*keys).applyInPandas(lambda pdf: run(pdf, None), schema))]
+    layers = [pin(dealt(rows))]
     redone: list[DataFrame] = []
     ends = layers[0].filter(F.col(_END).isNotNull()).select(*keys, _END)
     used = ends.select(*keys, F.lit(None).cast("array<double>").alias("_used"))
