@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import packing
+from cliploom.llm import curriculum, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,3 +37,9 @@ def tokenizer_path() -> str:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), tokenizer_path())
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op8_curriculum", curriculum.SHARES_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = curriculum.by_position(curriculum.shares(table(spark, folder, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
