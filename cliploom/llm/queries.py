@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import curriculum, packing
+from cliploom.llm import curriculum, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     mixed = curriculum.by_position(curriculum.shares(table(spark, folder, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxic_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
