@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import curriculum, packing, toxicity
+from cliploom.llm import curriculum, packing, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +48,16 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_toxicity")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxic_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query("op2_urls")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")

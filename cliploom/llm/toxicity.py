@@ -15,9 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cliploom.llm.labelled import fold, labelled_sample, row_sums, sigmoid
-from cliploom.llm.words import text_chunks, utf8_bytes
+from cliploom.llm.ngrams import held_ngrams
+from cliploom.llm.words import text_chunks
 
 FOLDS, HELD_OUT = 5, 0
 
@@ -43,39 +45,6 @@ class Model:
     constant: float
 
 
-def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts on end, A-Z in lower case, and the n + 1 bounds of the texts."""
-    data, bounds = utf8_bytes(texts, lower=True)
-    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
-    lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    return points, lead[bounds]
-
-
-def held_ngrams(texts: pa.Array, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed n-grams of each text, text after text, and the n + 1 bounds of the texts."""
-    points, bounds = characters(texts)
-    text_of = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
-    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(points))  # characters to the text's end
-    keys = []
-    rolled = np.zeros(len(points), np.uint32)
-    for k in range(max(orders)):
-        n = max(0, len(points) - k)
-        rolled = (rolled[:n] ^ points[k : k + n]) * np.uint32(0x9E3779B1)
-        rolled ^= rolled >> np.uint32(15)
-        if k + 1 in orders:
-            inside = left[:n] > k
-            hashed = ((rolled * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits)).astype(np.uint64)
-            keys.append(((text_of[:n] << np.uint64(bits)) | hashed)[inside])
-    keys = np.concatenate(keys)
-    if len(bounds) <= 1 << (32 - bits):
-        keys = keys.astype(np.uint32)
-    keys.sort()
-    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
-    cuts = np.searchsorted(keys, (np.arange(len(bounds), dtype=np.uint64) << np.uint64(bits)).clip(max=np.iinfo(keys.dtype).max).astype(keys.dtype))
-    cuts[-1] = len(keys)
-    return (keys & keys.dtype.type((1 << bits) - 1)).astype(np.int64), cuts
-
-
 def fit(features: np.ndarray, bounds: np.ndarray, label: np.ndarray, settings: Settings) -> Model:
     """The model of texts whose n-grams lie between the bounds; without two classes a constant one."""
     width, rows = 1 << settings.bits, np.repeat(np.arange(len(label)), np.diff(bounds))
@@ -145,8 +114,6 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
             scores = sigmoid(row_sums(weights[held], bounds) + constant)
             yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(scores)], names=[*chunk.schema.names, "score"])
 
-    from pyspark.sql import types as T
-
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
