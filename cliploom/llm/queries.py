@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import curriculum, packing, quality, toxicity, urls
+from cliploom.llm import curriculum, embedding_links, packing, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,8 @@ URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/":
 @query("op2_urls")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op3_embedding_links", embedding_links.LINKS_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links.near_duplicates(table(spark, folder, "embeddings"))
