@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import curriculum, embedding_links, packing, quality, toxicity, urls
+from cliploom.llm import ann, curriculum, embedding_links, packing, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_embedding_links", embedding_links.LINKS_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op6_multiprobe_ann")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
