@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import ann, curriculum, embedding_links, packing, quality, toxicity, urls
+from cliploom.llm import ann, curriculum, embedding_links, ngram_join, packing, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +71,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_multiprobe_ann")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+@query("op7_ngram_join", ngram_join.COMPONENTS_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
