@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import ann, curriculum, embedding_links, ngram_join, packing, quality, toxicity, urls
+from cliploom.llm import ann, curriculum, embedding_links, ngram_join, packing, quality, recompression, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_ngram_join", ngram_join.COMPONENTS_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_recompression", recompression.REPEATS_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.without_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
