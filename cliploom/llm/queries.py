@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import ann, curriculum, embedding_links, ngram_join, packing, quality, recompression, toxicity, urls
+from cliploom.llm import ann, curriculum, embedding_links, html_blocks, ngram_join, packing, quality, recompression, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_recompression", recompression.REPEATS_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.without_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op9_html_blocks")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.main_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
