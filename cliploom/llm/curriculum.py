@@ -58,18 +58,19 @@ def source_targets(sizes: DataFrame, plan: Plan = Plan()) -> DataFrame:
     )
 
 
-def shares(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+def shares(docs: DataFrame, plan: Plan = Plan(), carry: tuple[str, ...] = ()) -> DataFrame:
     """What the mix takes of each row of ``docs(doc_id, text, source)``.
 
     Columns: doc_id, source, size, source_size, target, tilt, before (words of the source ahead
-    of it), taken. Null text has size 0; sizes are words. Rows with the same id and size are
+    of it), taken, and those of ``docs`` named in ``carry``, as struct ``own``. Null text has size 0; sizes are words. Rows with the same id and size are
     interchangeable, so reruns agree. Other columns are ignored; an empty table gives no rows.
     Only ids, sources and sizes are shuffled, once, by source and block, so a source that holds
     most rows is spread over its blocks.
     """
+    own = [F.struct(*carry).alias("own")] if carry else []
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = docs.select(
-        "doc_id", "source", F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("skey"),
+        "doc_id", "source", *own, F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), "source")).alias("skey"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key"),
     ).withColumn("block", F.substring("key", 1, BLOCK_DIGITS)).repartition("skey", "block")
     blocks = sized.groupBy("skey", "block").agg(F.sum("size").alias("n"))
@@ -80,7 +81,7 @@ def shares(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     placed = sized.withColumn("within", F.sum("size").over(inside) - F.col("size")).join(offsets, ["skey", "block"])
     before = F.col("ahead") + F.col("within")
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", "tilt", "key", before.alias("before"),
+        "doc_id", "source", *(["own"] if carry else []), "size", "source_size", "target", "tilt", "key", before.alias("before"),
         sum((taken_in(k, before) for k in range(plan.repeats)), F.lit(0).cast("long")).alias("taken"),
     )
 
@@ -117,6 +118,20 @@ def placements(share: DataFrame, plan: Plan = Plan()) -> DataFrame:
     return rows.withColumn("position", position(start, F.col("target"), F.col("tilt"))).sort("position", "key").drop("key")
 
 
+def mixed(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """The documents that training reads, in training order, with the columns of ``docs``.
+
+    A document read in several passes has as many rows; where a source's target ends inside a
+    document its row has the words up to there, joined by single spaces, and ``n_chars``, if
+    there is such a column, is counted anew.
+    """
+    rows = placements(shares(docs, plan, tuple(docs.columns)), plan)
+    words = F.array_join(F.slice(F.regexp_extract_all(F.col("own.text"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("words").cast("int")), " ")
+    text = F.when(F.col("words") < F.col("size"), words).otherwise(F.col("own.text"))
+    changed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return rows.select(*(changed.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns))
+
+
 SHARES_SQL = r"""
 WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey,

@@ -316,6 +316,23 @@ def near_copies(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> Data
     return named.join(found, "class", "left").select("doc_id", "n_shingles", "class", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` with one row left of each group of near copies, that of the smallest id.
+
+    Rows without words stay. Of rows that agree in every column one stays; a null id counts as
+    the smallest.
+    """
+    columns = docs.columns
+    rows = docs.withColumns({"row_one": F.xxhash64(*columns), "row_two": F.xxhash64(F.lit(1), *columns)})
+    named = written(set_names(rows.select("doc_id", F.col("text").cast("string").alias("text"), "row_one", "row_two"), width), "set-names")
+    member = class_components(docs.select(F.col("text").cast("string").alias("text")), width, block).select(F.col("node").alias("class"), "component")
+    told = named.where("class is not null").join(member, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    first = told.groupBy("component").agg(F.min(F.struct("doc_id", "row_one", "row_two")).alias("first")).select("first.row_one", "first.row_two")
+    stay = first.union(named.where("class is null").select("row_one", "row_two").distinct())
+    linked = rows.join(stay, ["row_one", "row_two"], "left_semi")
+    return linked.dropDuplicates(["row_one", "row_two"]).select(*columns)
+
+
 COMPONENTS_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
