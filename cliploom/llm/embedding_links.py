@@ -137,7 +137,7 @@ def linked(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .select("key", "tab", "own", "p.i", "p.j", F.xxhash64("tab", "bucket", "p.i", "p.j").alias("grp"))
     )
     # distinct block pairs fall together under one 64-bit name so rarely that it only costs comparisons of other tables' pairs
-    work = spread.join(index.drop("buckets"), "key").repartition("grp").sortWithinPartitions("grp", "tab")
+    work = spread.join(index.drop("buckets"), "key").repartition("grp").sortWithinPartitions("grp", "tab", "key")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in group_slices(batches, "grp"):

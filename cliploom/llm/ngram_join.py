@@ -108,8 +108,8 @@ def by_range(docs: DataFrame, ranges: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "part long, low binary, classes binary, sizes binary, counts binary")
 
 
-def shared_items(parts: DataFrame) -> DataFrame:
-    """For each range and class the n-grams that other classes hold too, as order keys.
+def shared_items(parts: DataFrame, buckets: int) -> DataFrame:
+    """For each range and bucket of classes the n-grams that other classes hold too, as order keys, class by class.
 
     An order key is an unsigned 64-bit number: eight bits for the number of classes on a
     logarithmic scale, then a hash of the n-gram; comparing keys compares in the global order.
@@ -140,17 +140,17 @@ def shared_items(parts: DataFrame) -> DataFrame:
             h, who, held = h[held > 1], who[held > 1], held[held > 1]
             rare = np.minimum(255, np.log2(np.maximum(held, 1)) * 6).astype(np.uint64)
             keys = (rare << np.uint64(56)) | (mix(h + (np.uint64(part) << np.uint64(48))) >> np.uint64(8))
-            order = np.argsort(classes[who], kind="stable")
-            keys, who = keys[order], who[order]
-            own = classes[who]
-            cuts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1], [True]))) if len(own) else np.zeros(1, int)
-            first = cuts[:-1]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(own[first]), pa.array(sizes[who[first]].astype(np.int64)),
-                pa.array([keys[a:b].tobytes() for a, b in zip(first.tolist(), cuts[1:].tolist(), strict=True)], pa.binary()),
-            ], names=["class", "n", "items"])
+            own, n = classes[who], sizes[who]
+            bucket = (mix(own.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            keys, own, n, bucket = keys[order], own[order], n[order], bucket[order]
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(own) else np.zeros(1, int)
+            ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[:-1]]), *(pa.array([x[a:b].tobytes() for a, b in ends], pa.binary()) for x in (keys, own, n))], names=["bucket", "items", "classes", "sizes"]
+            )
 
-    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "class long, n long, items binary")
+    return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "bucket long, items binary, classes binary, sizes binary")
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -160,20 +160,24 @@ def least_common(n: np.ndarray | int) -> np.ndarray | int:
 
 def candidate_sets(items: DataFrame) -> DataFrame:
     """``class, n, items, prefix``: the classes that can link, with their shared n-grams in global order and those of the prefix."""
-    whole = items.groupBy("class").agg(F.max("n").alias("n"), F.collect_list("items").alias("lists"), F.sum(F.length("items") / 8).alias("shared"))
-    whole = whole.where(F.col("shared") >= F.ceil(PERCENT * F.col("n") / 100)).drop("shared")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [np.sort(np.frombuffer(b"".join(x), np.uint64)) for x in batch.column("lists").to_pylist()]
-            n = batch.column("n").to_numpy(zero_copy_only=False)
-            lead = n - least_common(n) + 1 - (n - np.array([len(x) for x in lists], np.int64))  # n-grams that nobody shares come first
-            prefix = [x[:m].view(np.int64) for x, m in zip(lists, lead.tolist(), strict=True)]
+        for group in group_slices(batches, "bucket"):
+            keys, classes, sizes = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("items", np.uint64), ("classes", np.int64), ("sizes", np.uint32)))
+            order = np.lexsort((keys, classes))
+            keys, classes, sizes = keys[order], classes[order], sizes[order].astype(np.int64)
+            cuts = np.flatnonzero(np.concatenate(([True], classes[1:] != classes[:-1], [True])))
+            first, shared = cuts[:-1], np.diff(cuts)
+            n = sizes[first]
+            lead = n - least_common(n) + 1 - (n - shared)  # n-grams that nobody shares come first
+            some = np.flatnonzero(lead > 0)
+            lists = [keys[a : a + m] for a, m in zip(first[some].tolist(), shared[some].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([
-                batch.column("class"), batch.column("n"), pa.array([x.tobytes() for x in lists], pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
+                pa.array(classes[first[some]]), pa.array(n[some]), pa.array([x.tobytes() for x in lists], pa.binary()),
+                pa.array([x[:m].view(np.int64) for x, m in zip(lists, lead[some].tolist(), strict=True)], pa.list_(pa.int64())),
             ], names=["class", "n", "items", "prefix"])
 
-    return whole.mapInArrow(run, "class long, n long, items binary, prefix array<long>")
+    return items.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "class long, n long, items binary, prefix array<long>")
 
 
 class Trie:
@@ -236,10 +240,9 @@ class Trie:
 
 
 def joined_blocks(work: DataFrame) -> DataFrame:
-    """Edges ``a, b`` that connect all linked classes of each group of ``work(grp, own, class, n, items)``.
+    """Edges ``a, b`` that connect all linked classes of each group of ``work(grp, class, n, items)``, as stars.
 
-    Groups of two blocks report links between the blocks and inside them alike. Links between
-    classes that are connected already are left out.
+    Groups of two blocks report links between the blocks and inside them alike.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,16 +259,17 @@ def joined_blocks(work: DataFrame) -> DataFrame:
                     i = root[i]
                 return i
 
-            a, b = [], []
             for at in range(group.num_rows):
                 for other in trie.partners(at):
                     i, j = find(at), find(other)
-                    if i != j:
-                        root[max(i, j)] = min(i, j)
-                        a.append(classes[trie.order[at]])
-                        b.append(classes[trie.order[other]])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(a)), pa.array(np.array(b))], names=["a", "b"])
+                    root[max(i, j)] = min(i, j)
+            label = np.array([find(i) for i in range(group.num_rows)])
+            classes = classes[trie.order]
+            least = np.full(len(label), np.iinfo(np.int64).max)
+            np.minimum.at(least, label, classes)
+            some = np.flatnonzero(classes != least[label])
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(least[label[some]])], names=["a", "b"])
 
     return work.repartition("grp").sortWithinPartitions("grp").select("grp", "class", "n", "items").mapInArrow(run, "a long, b long")
 
@@ -273,7 +277,7 @@ def joined_blocks(work: DataFrame) -> DataFrame:
 def class_components(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> DataFrame:
     """``node, component`` for every class of ``docs(text)`` that links with another one."""
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = written(candidate_sets(shared_items(by_range(docs.select("text"), ranges, width))), "sets")
+    sets = written(candidate_sets(shared_items(by_range(docs.select("text"), ranges, width), ranges)), "sets")
     entries = sets.select("class", F.explode("prefix").alias("item"))
     pivots = entries.groupBy("item").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     meets = entries.join(pivots, "item").where(F.col("class") != F.col("pivot")).select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -289,14 +293,14 @@ def class_components(docs: DataFrame, width: int = WORDS, block: int = BLOCK) ->
 
     # first each block with itself and with block 0; most clusters are one component then
     links = written(met(placed, lambda p: (p["i"] == 0) | (p["i"] == p["j"])), "links")
-    large = placed.where("blocks > 2")
-    if large.isEmpty():
-        return components(links)
-    first = components(links).select(F.col("node").alias("class"), "component")
-    known = large.join(first, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    split = known.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cluster")
-    more = met(large.join(split, "cluster", "left_semi"), lambda p: (p["i"] > 0) & (p["i"] < p["j"]))
-    return components(links.union(written(more, "links")))
+    found = components(links)
+    large = placed.where("blocks > 2").select("class", "cluster").join(found.withColumnRenamed("node", "class"), "class", "left")
+    split = large.groupBy("cluster").agg(F.min(F.coalesce("component", "class")).alias("low"), F.max(F.coalesce("component", "class")).alias("high")).where("low <> high").select("cluster")
+    split = written(split, "split")
+    if split.isEmpty():
+        return found
+    more = met(placed.join(split, "cluster", "left_semi"), lambda p: (p["i"] > 0) & (p["i"] < p["j"]))
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
 def near_copies(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> DataFrame:
