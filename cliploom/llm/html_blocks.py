@@ -61,7 +61,7 @@ class Settings:
     pages: int = 240
     unroll: int = 96
     hidden: int = 16
-    epochs: int = 60
+    steps: int = 450
     rate: float = 0.02
     seed: int = 3
 
@@ -340,23 +340,23 @@ def fit(pages: list[str], settings: Settings) -> Labeller:
         net.p["v"][:] = 0
         return net
     cut.sort(key=lambda page: len(page[0]))
-    speed, size, step = {k: 0.0 for k in net.p}, {k: 0.0 for k in net.p}, 0
+    speed, size = {k: 0.0 for k in net.p}, {k: 0.0 for k in net.p}
     groups = [cut[a : a + 40] for a in range(0, len(cut), 40)]  # of like length
-    for epoch in range(settings.epochs):
-        for g in rng.permutation(len(groups)):
-            rows, purposes = zip(*(varied(*page, pool, short, rng) for page in groups[g]), strict=True)
-            x, mask = padded(list(rows))
-            label, weight = np.zeros(mask.shape[:2], np.float32), np.zeros(mask.shape[:2], np.float32)
-            for k, told in enumerate(purposes):
-                label[: len(told), k] = [t == "main" for t in told]
-                weight[: len(told), k] = [t is not None for t in told]
-            weight /= max(weight.sum(), 1)
-            step += 1
-            rate = settings.rate * min(1, 2 * (1 - epoch / settings.epochs))
-            for k, s in net.slopes(x, mask, label, weight).items():
-                speed[k] = 0.9 * speed[k] + 0.1 * s
-                size[k] = 0.99 * size[k] + 0.01 * s**2
-                net.p[k] = (net.p[k] - rate * (speed[k] / (1 - 0.9**step)) / (np.sqrt(size[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    for step in range(1, settings.steps + 1):
+        if step % len(groups) == 1 % len(groups):
+            turns = rng.permutation(len(groups)).tolist()
+        rows, purposes = zip(*(varied(*page, pool, short, rng) for page in groups[turns.pop()]), strict=True)
+        x, mask = padded(list(rows))
+        label, weight = np.zeros(mask.shape[:2], np.float32), np.zeros(mask.shape[:2], np.float32)
+        for k, told in enumerate(purposes):
+            label[: len(told), k] = [t == "main" for t in told]
+            weight[: len(told), k] = [t is not None for t in told]
+        weight /= max(weight.sum(), 1)
+        rate = settings.rate * min(1, 2 * (1 - (step - 1) / settings.steps))
+        for k, s in net.slopes(x, mask, label, weight).items():
+            speed[k] = 0.9 * speed[k] + 0.1 * s
+            size[k] = 0.99 * size[k] + 0.01 * s**2
+            net.p[k] = (net.p[k] - rate * (speed[k] / (1 - 0.9**step)) / (np.sqrt(size[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return net
 
 
