@@ -29,7 +29,7 @@ from cliploom.llm.words import mix, powers, text_chunks, text_words, window_hash
 
 WIDTH = 35
 #: Words on each side of an anchor that must agree, too, and rounds of renaming.
-CONTEXT, ROUNDS = 5, 3
+CONTEXT, ROUNDS = 4, 2
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -199,8 +199,9 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # anchors whose stretches differ: one of each kind is taken apart into its windows
     mixed = wholes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name")
     apart = ranges_of(wholes.join(mixed, "name", "left_semi").select("one.*"))
-    windows = window_rows(texts.join(apart, _BY_TEXT), width).distinct()
-    twice = windows.groupBy("one", "two").agg(F.count("*").alias("c")).where("c > 1").select("one", "two")
+    windows = window_rows(texts.join(apart, _BY_TEXT), width)
+    place = F.xxhash64(*_BY_TEXT, "at")  # rows of equal text name the same places
+    twice = windows.groupBy("one", "two").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("one", "two")
     single = windows.join(twice, ["one", "two"], "left_semi").select(*_BY_TEXT, "at", F.lit(1).alias("n"))
     gone = ranges_of(sure.select(*_BY_TEXT, "at", "n").union(single))
     fields = [*texts.select(*own).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
