@@ -72,11 +72,17 @@ LATTICE_Y = (6, 30, 2)
 REACH = 4
 
 
-def pack_frames(gray: DataFrame, clip: Sequence[str], frame: str) -> DataFrame:
-    """One row per complete frame with its grey values in scan order; incomplete frames drop out."""
+def frame_pixels(gray: DataFrame, clip: Sequence[str], frame: str) -> DataFrame:
+    """One row per frame with its grey values in scan order and whether all are there."""
     place = F.col("y") * WIDTH + F.col("x")
     packed = gray.groupBy(*clip, frame).agg(F.array_sort(F.collect_list(F.struct(place.alias("p"), F.col("gray").alias("g")))).alias("_px"))
-    return packed.filter(F.size("_px") == WIDTH * HEIGHT).select(*clip, frame, F.transform("_px", lambda p: p["g"]).alias("pixels"))
+    complete = F.size(F.array_distinct(F.transform("_px", lambda p: p["p"]))) == WIDTH * HEIGHT
+    return packed.select(*clip, frame, F.transform("_px", lambda p: p["g"]).alias("pixels"), (complete & (F.size("_px") == WIDTH * HEIGHT)).alias("complete"))
+
+
+def pack_frames(gray: DataFrame, clip: Sequence[str], frame: str) -> DataFrame:
+    """The complete frames only, with their grey values in scan order."""
+    return frame_pixels(gray, clip, frame).filter("complete").drop("complete")
 
 
 def _best_shift():

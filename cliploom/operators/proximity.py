@@ -40,6 +40,14 @@ def region_of(group: Column, weight: Column) -> Column:
     )
 
 
+def is_finite(*columns: str) -> Column:
+    """Whether all coordinates are numbers: neither null, NaN nor infinite."""
+    fine = F.lit(True)
+    for c in columns:
+        fine = fine & F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(float("inf")), F.lit(False))
+    return fine
+
+
 def _normalised(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Coordinates in heights of their frame; the height meets the points salted."""
     height = points.groupBy(*keys).agg(F.greatest(F.max("z") - F.min("z"), F.lit(1e-6)).alias("_h"))
@@ -75,9 +83,45 @@ def _nearest_in_cells(queries: DataFrame, obstacles: DataFrame, keys: Sequence[s
     return met.groupBy(*keys, "x", "y", "z").agg(F.sqrt(F.min("_sq")).alias("distance"))
 
 
+BOXES = 8  # boxes along a cell's edge
+
+
+def _nearest_boxes(queries: DataFrame, obstacles: DataFrame, keys: Sequence[str], size: float) -> tuple[DataFrame, DataFrame]:
+    """Points of both sides whose boxes can hold the nearest pair of their group.
+
+    Points become small boxes; of neighbouring boxes the least and the largest possible
+    distance are known, and pairs of boxes whose least one exceeds the smallest of the
+    largest ones are out. Rows are boxes, not points, however many points a cell holds.
+    """
+    axes = ("x", "y", "z")
+    fine = [F.floor(F.col(a) / F.lit(size / BOXES)).cast("long").alias(f"b{a}") for a in axes]
+    box = [*keys, *[f"b{a}" for a in axes]]
+
+    def boxes(side: DataFrame, name: str) -> DataFrame:
+        ends = [f(a).alias(f"{name}{end}{a}") for a in axes for f, end in ((F.min, "l"), (F.max, "h"))]
+        made = side.select(*keys, *axes, *fine).groupBy(*box).agg(*ends)
+        return made.select(*keys, *[F.col(f"b{a}").alias(f"{name}b{a}") for a in axes], *[f"{name}{e}{a}" for a in axes for e in "lh"],
+                           *[F.floor(F.col(f"b{a}") / BOXES).cast("long").alias(f"c{a}") for a in axes])
+
+    around = boxes(queries, "q")
+    for a in axes:
+        around = around.withColumn("_d", F.explode(F.array(*[F.lit(d).cast("long") for d in (-1, 0, 1)]))).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).drop("_d")
+    apart, reach = F.lit(0.0), F.lit(0.0)
+    for a in axes:
+        gap = F.greatest(F.col(f"ql{a}") - F.col(f"oh{a}"), F.col(f"ol{a}") - F.col(f"qh{a}"), F.lit(0.0))
+        span = F.greatest(F.col(f"qh{a}") - F.col(f"ol{a}"), F.col(f"oh{a}") - F.col(f"ql{a}"))
+        apart, reach = apart + gap * gap, reach + span * span
+    met = pin(around.join(boxes(obstacles, "o"), [*keys, "cx", "cy", "cz"]).select(*keys, *[f"{n}b{a}" for n in "qo" for a in axes], apart.alias("_apart"), reach.alias("_reach")))
+    bound = met.groupBy(*keys).agg(F.min("_reach").alias("_bound"))
+    # rounding must not part a pair from its box
+    kept = met.join(bound, list(keys)).filter(F.col("_apart") <= F.col("_bound") * (1 + 1e-9))
+    own = lambda side, n: side.select("*", *fine).join(kept.select(*keys, *[F.col(f"{n}b{a}").alias(f"b{a}") for a in axes]).distinct(), box, "left_semi").drop(*[f"b{a}" for a in axes])
+    return own(queries, "q"), own(obstacles, "o")
+
+
 def pair_points(points: DataFrame, keys: Sequence[str], pairs: Mapping[str, tuple[str, str]] = PAIRS) -> tuple[DataFrame, DataFrame]:
-    """Distinct query points with their multiplicity, and distinct obstacles, per pair."""
-    scaled = _normalised(points, keys)
+    """Distinct query points with their multiplicity, and distinct obstacles, per pair; only finite points take part."""
+    scaled = _normalised(points.filter(is_finite("x", "y", "z")), keys)
     side = lambda i: F.array_compact(F.array(*[F.when(F.col("region") == regions[i], F.lit(name)) for name, regions in pairs.items()]))
     exploded = lambda i: scaled.select(*keys, F.explode(side(i)).alias("pair"), "x", "y", "z")
     queries = exploded(0).groupBy(*keys, "pair", "x", "y", "z").agg(F.count(F.lit(1)).alias("copies"))
@@ -89,7 +133,9 @@ def proximity_frames(points: DataFrame, clip: Sequence[str] = ("clip",), frame:
     """Per (clip, frame, pair): smallest distance, close points and their share.
 
     Close points are found at the close distance's own cell size. Where a frame has none,
-    the cells are doubled until the smallest distance lies within one cell.
+    the cells are doubled until the smallest distance lies within one cell; of both sides
+    only points in boxes that can hold the nearest pair are compared then. Points that are
+    not finite take no part; ``invalid_points`` counts them per pair.
     """
     keys = [*clip, frame]
     queries, obstacles = (pin(side) for side in pair_points(points, keys, pairs))
@@ -107,7 +153,7 @@ def proximity_frames(points: DataFrame, clip: Sequence[str] = ("clip",), frame:
     while open_groups.limit(1).count():
         size *= 2.0
         some = _nearest_in_cells(
-            queries.join(open_groups, group, "left_semi"), obstacles.join(open_groups, group, "left_semi"), group, size
+            *_nearest_boxes(queries.join(open_groups, group, "left_semi"), obstacles.join(open_groups, group, "left_semi"), group, size), group, size
         ).groupBy(*group).agg(F.min("distance").alias("minimum")).filter(F.col("minimum") <= size)
         solved = pin(some.withColumn("close_points", F.lit(0).cast("long")))
         layers.append(solved)
@@ -115,8 +161,11 @@ def proximity_frames(points: DataFrame, clip: Sequence[str] = ("clip",), frame:
     result = layers[0]
     for layer in layers[1:]:
         result = result.unionByName(layer)
-    return totals.join(result, group).select(
-        *group, "minimum", "close_points", "points", (F.col("close_points") / F.col("points")).alias("close_fraction")
+    named = F.explode(F.array_compact(F.array(*[F.when(F.col("region").isin(*regions), F.lit(name)) for name, regions in pairs.items()]))).alias("pair")
+    broken = points.filter(~is_finite("x", "y", "z")).select(*keys, named).groupBy(*group).agg(F.count(F.lit(1)).alias("invalid_points"))
+    return totals.join(result, group).join(broken, group, "left").select(
+        *group, "minimum", "close_points", "points", (F.col("close_points") / F.col("points")).alias("close_fraction"),
+        F.coalesce("invalid_points", F.lit(0)).alias("invalid_points"),
     )
 
 

@@ -35,18 +35,19 @@ def climb(nodes: DataFrame, key: Sequence[str], name: str, parent: str, stop: Co
     for _ in range(MAX_ROUNDS):
         if not state.filter(F.col("up").isNotNull()).limit(1).count():
             return state.drop("up")
+        settled, moving = state.filter(F.col("up").isNull()), state.filter(F.col("up").isNotNull())
         ahead = state.select(
             *key, F.col("node").alias("up"), F.col("up").alias("_up"), F.col("total").alias("_total"),
             F.col("steps").alias("_steps"), F.col("top").alias("_top"),
         )
-        # A node whose pointer is settled takes that pointer's stop node and stops moving.
+        # A node whose pointer is settled takes that pointer's stop node and stops moving; settled nodes take no part in the join.
         state = pin(
-            state.join(ahead, [*key, "up"], "left").select(
+            settled.select(*key, "node", "up", "total", "steps", "top").unionByName(moving.join(ahead, [*key, "up"], "left").select(
                 *key, "node", F.col("_up").alias("up"),
                 (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
                 (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
-                F.when(F.col("up").isNull(), F.col("top")).otherwise(F.coalesce("_top", "up")).alias("top"),
-            )
+                F.coalesce("_top", "up").alias("top"),
+            ))
         )
     raise RuntimeError("hierarchy has a cycle")
 

@@ -56,16 +56,22 @@ FRAME_PIXELS = M.WIDTH * M.HEIGHT
 
 
 def text_frames(t: Tables) -> DataFrame:
-    """Whole texts cut into frames of 2,304 characters; code points are grey values."""
-    chars = F.transform(F.split("text", ""), lambda c: F.ascii(c) % 256)
-    # one copy of the characters, then one row per complete frame
-    rows = t.documents.select(F.col("doc_id").alias("clip"), F.expr("text").alias("text"), F.floor(F.length("text") / FRAME_PIXELS).alias("_frames")).filter("_frames > 0")
-    cut = rows.select("clip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_frames") - 1)).alias("frame"), "text")
-    piece = cut.withColumn("text", F.substring(F.col("text"), (F.col("frame") * FRAME_PIXELS + 1).cast("int"), F.lit(FRAME_PIXELS)))
-    return piece.select("clip", "frame", chars.alias("pixels"))
+    """Whole texts cut into frames of 2,304 characters; code points are grey values.
+
+    Every document has a frame at least; the last one is filled up with spaces, grey value 32.
+    """
+    frames = F.greatest(F.lit(1), F.ceil(F.length("_t") / FRAME_PIXELS)).cast("int")
+    filled = t.documents.select(F.col("doc_id").alias("clip"), F.coalesce("text", F.lit("")).alias("_t")).select("clip", F.expr("_t"), frames.alias("_n")).select(
+        "clip", F.rpad("_t", F.col("_n") * FRAME_PIXELS, F.lit(" ")).alias("_t")
+    )
+    # one pass of the pattern over the text cuts all of its frames
+    pieces = F.regexp_extract_all("_t", F.lit(f"(?s).{{{FRAME_PIXELS}}}"), F.lit(0))
+    cut = filled.select("clip", F.posexplode(pieces).alias("frame", "_s"))
+    return cut.select("clip", F.col("frame").cast("long").alias("frame"), F.transform(F.split("_s", ""), lambda c: F.ascii(c) % 256).alias("pixels"))
 
 
-CAMERA_SQL = """WITH cut AS (SELECT doc_id AS clip, f AS frame, substr(text, f * 2304 + 1, 2304) AS s FROM documents, generate_series(0, length(text) // 2304 - 1) AS g(f)),
+CAMERA_SQL = """WITH filled AS (SELECT doc_id AS clip, greatest(1, CAST(ceil(length(coalesce(text, '')) / 2304) AS INTEGER)) AS n, coalesce(text, '') AS t FROM documents),
+cut AS (SELECT clip, f AS frame, substr(rpad(t, n * 2304, ' '), f * 2304 + 1, 2304) AS s FROM filled, generate_series(0, n - 1) AS g(f)),
 px AS MATERIALIZED (SELECT clip, frame, unnest(generate_series(0, 2303)) AS p, unnest(list_transform(string_split(s, ''), lambda c: ord(c) % 256)) AS g FROM cut),
 off AS (SELECT dy, dx, (dy + 4) * 9 + dx + 4 AS o FROM generate_series(-4, 4) AS a(dy), generate_series(-4, 4) AS b(dx)),
 lat AS (SELECT y * 64 + x AS p FROM generate_series(6, 29, 2) AS a(y), generate_series(8, 55, 2) AS b(x)),
@@ -92,16 +98,16 @@ def camera_motion(t: Tables) -> DataFrame:
 
 @query("pack_frames", """WITH px AS (SELECT vec_id // 36 AS frame, (vec_id % 36) * 64 + i - 1 AS p, CAST(floor((embedding[i]::DOUBLE + 1) * 100) AS BIGINT) AS g
   FROM embeddings, generate_series(1, 64) AS k(i))
-SELECT frame, count(*) AS pixels, CAST(sum(g) AS BIGINT) AS total, CAST(sum(g * (p + 1)) AS BIGINT) AS weighted FROM px GROUP BY frame HAVING count(*) = 2304""")
+SELECT frame, count(*) = 2304 AS complete, count(*) AS pixels, CAST(sum(g) AS BIGINT) AS total, CAST(sum(g * (p + 1)) AS BIGINT) AS weighted FROM px GROUP BY frame""")
 def pack_frames(t: Tables) -> DataFrame:
-    """36 embeddings of 64 numbers are one grey frame; the last, shorter group is no frame."""
+    """36 embeddings of 64 numbers are one grey frame; a shorter group is reported as incomplete."""
     gray = t.embeddings.select(
         F.lit("vectors").alias("clip"), F.floor(F.col("vec_id") / M.HEIGHT).alias("frame"), (F.col("vec_id") % M.HEIGHT).alias("y"), F.posexplode("embedding").alias("x", "v")
     ).select("clip", "frame", "y", "x", F.floor((F.col("v").cast("double") + 1) * 100).alias("gray"))
-    packed = M.pack_frames(gray, ["clip"], "frame")
+    packed = M.frame_pixels(gray, ["clip"], "frame")
     zero = F.lit(0).cast("long")
     weighted = F.aggregate(F.transform("pixels", lambda g, i: g * (i + 1)), zero, lambda a, v: a + v)
-    return packed.select("frame", F.size("pixels").cast("long").alias("pixels"), F.aggregate("pixels", zero, lambda a, v: a + v).alias("total"), weighted.alias("weighted"))
+    return packed.select("frame", "complete", F.size("pixels").cast("long").alias("pixels"), F.aggregate("pixels", zero, lambda a, v: a + v).alias("total"), weighted.alias("weighted"))
 
 
 # Image files: a line is a frame of its order; its numbers are the header fields.

@@ -78,7 +78,7 @@ def record_scan(t: Tables) -> DataFrame:
                  F.round(F.col("s_acctbal") * 100).cast("long").alias("bytes")).alias("asset"),
     )
     write_records(rows, root)
-    found = readers.read_records(t.spark, root, pattern="*/*/*.json")
+    found = readers.read_records(t.spark, root)
     return found.select("sample_id", "split", "subject_id", F.col("asset.path").alias("asset_path"), F.col("asset.bytes").alias("asset_bytes"))
 
 

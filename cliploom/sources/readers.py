@@ -30,7 +30,7 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
     return df.select(*columns) if columns else df
 
 
-def read_records(spark: SparkSession, root: str, schema: str = schemas.RECORD, pattern: str = "*/*/render_record.json") -> DataFrame:
+def read_records(spark: SparkSession, root: str, schema: str = schemas.RECORD, pattern: str = "*/*/*.json") -> DataFrame:
     """One nested JSON document per clip folder, with the file it came from."""
     return (
         spark.read.schema(schema).option("multiLine", True).json(f"{root}/{pattern}")
