@@ -187,20 +187,44 @@ FULLBODY_FLAG = "person_on_valid_surface"
 PASSING_SCORE = 0.70
 
 
+def _truth(value: Column) -> Column:
+    """Whether a JSON value counts as yes: true, a number but 0, text or a container but an empty one."""
+    kind, text = F.schema_of_variant(value), F.to_json(value)
+    return F.coalesce(
+        F.when(kind == "BOOLEAN", text == "true").when(kind == "VOID", F.lit(False))
+        .when(kind == "STRING", text != '""').when(kind.startswith("ARRAY"), text != "[]").when(kind.startswith("OBJECT"), text != "{}")
+        .otherwise(F.try_variant_get(value, "$", "double") != 0),
+        F.lit(False),
+    )
+
+
 def answer_gate(answers: DataFrame, response: str = "response", framing: str = "framing") -> DataFrame:
-    """Score and verdict from a free-text model answer that holds one JSON block."""
-    fields = "score double, " + ", ".join(f"{f} boolean" for f in (*ANSWER_FLAGS, FULLBODY_FLAG))
-    rows = answers.withColumn("_block", first_json(F.col(response))).withColumn("_a", F.from_json("_block", fields))
-    raw = F.coalesce("_a.score", F.lit(0.0))
-    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(raw > 1.0, raw / 10.0).otherwise(raw)))
-    yes = lambda name: F.coalesce(F.col(f"_a.{name}"), F.lit(False))
+    """Score and verdict from a free-text model answer that holds one JSON block.
+
+    A score may be a number, a truth value or text that spells a number; flags count by
+    their truth. ``bad_json``: the block does not parse; ``bad_score``: no number.
+    """
+    rows = answers.withColumn("_block", first_json(F.col(response))).withColumn("_a", F.try_parse_json("_block"))
+    item = lambda name: F.try_variant_get("_a", f"$.{name}", "variant")
+    given = item("score")
+    kind = F.schema_of_variant(given)
+    number = (
+        F.when(given.isNull(), F.lit(0.0)).when(kind == "BOOLEAN", F.when(F.to_json(given) == "true", 1.0).otherwise(0.0))
+        .otherwise(F.try_variant_get("_a", "$.score", "string").try_cast("double"))
+    )
+    number = F.when(F.isnan(number), F.lit(None)).otherwise(number)
+    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(number > 1.0, number / 10.0).otherwise(number)))
+    yes = lambda name: _truth(item(name))
     flags = yes(ANSWER_FLAGS[0])
     for name in ANSWER_FLAGS[1:]:
         flags = flags & yes(name)
     flags = flags & (yes(FULLBODY_FLAG) | (F.col(framing) != "fullbody"))
-    rows = rows.withColumn("score", F.when(F.col("_block").isNotNull(), score))
+    parsed = F.col("_a").isNotNull() & F.schema_of_variant("_a").startswith("OBJECT")
+    rows = rows.withColumn("score", F.when(parsed & number.isNotNull(), score))
     return rows.withColumn(
-        "status", F.when(F.col("_block").isNull(), "no_json").when(flags & (F.col("score") >= PASSING_SCORE), "passed").otherwise("failed")
+        "status",
+        F.when(F.col("_block").isNull(), "no_json").when(~F.coalesce(parsed, F.lit(False)), "bad_json").when(F.col("score").isNull(), "bad_score")
+        .when(flags & (F.col("score") >= PASSING_SCORE), "passed").otherwise("failed"),
     ).drop("_block", "_a")
 
 
@@ -221,7 +245,7 @@ def subject_verdict(audits: DataFrame) -> DataFrame:
     rows = audits.withColumn("blocking_checks", F.array_sort(F.array_union(direct, result)))
     textures = F.try_element_at("checks", F.lit("active_textures"))["status"]
     status = (
-        F.when(F.col("inspection_error").isNotNull(), "inspection_failed")
+        F.when(F.col("inspection_error").isNotNull() | textures.isNull(), "inspection_failed")
         .when(~_equal(textures, "passed"), "needs_asset_repair")
         .when(F.size("missing_controls") > 0, "needs_adapter")
         .when((F.size("blocking_checks") > 0) | (F.coalesce("load_warning", F.lit("")) != "") | (F.size("previews") != AUDIT_PREVIEWS), "needs_quality_review")

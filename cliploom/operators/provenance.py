@@ -156,15 +156,18 @@ def input_fingerprint(jobs: DataFrame, facts: DataFrame, roles: Sequence[str] =
     """Hash of the job's own fields and the size and time of its three sources.
 
     Fields are taken in name order; the fingerprint itself and later answers are left out.
+    A job of which a source has no path, size or time gets no fingerprint, and the first such
+    source's role in ``missing_source``.
     """
     ignored = {"task_preflight_input_fingerprint", "scene_composite_vlm_qc"}
     own = sorted(c for c in jobs.columns if c not in ignored)
     rows = jobs
     for role in roles:
         rows = attach_facts(rows, facts, role)
-    source = [F.concat_ws("|", F.col(r), F.col(f"_{r}_bytes").cast("string"), F.col(f"_{r}_mtime_ns").cast("string")).alias(f"source_{r}") for r in roles]
-    text = F.to_json(F.struct(*own, *source))
-    return rows.withColumn(out, F.sha2(text, 256)).select(*jobs.columns, out)
+    source = [F.struct(F.col(r).alias("path"), F.col(f"_{r}_bytes").alias("bytes"), F.col(f"_{r}_mtime_ns").alias("mtime_ns")).alias(f"source_{r}") for r in roles]
+    text = F.to_json(F.struct(*own, *source), {"ignoreNullFields": "false"})
+    missing = F.coalesce(*[F.when(F.col(r).isNull() | F.col(f"_{r}_bytes").isNull() | F.col(f"_{r}_mtime_ns").isNull(), r) for r in roles])
+    return rows.withColumn("missing_source", missing).withColumn(out, F.when(missing.isNull(), F.sha2(text, 256))).select(*jobs.columns, out, "missing_source")
 
 
 def replay_gate(records: DataFrame, facts: DataFrame, code: DataFrame, drift: DataFrame, note: str = "") -> DataFrame:

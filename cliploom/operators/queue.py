@@ -47,9 +47,9 @@ def running_jobs(jobs: DataFrame) -> DataFrame:
     return jobs.filter(F.col("status") == "running").select("id", "worker_id", "pid")
 
 
-def has_active(jobs: DataFrame) -> bool:
-    """Whether any job is pending or running; stops at the first hit."""
-    return bool(jobs.filter(F.col("status").isin("pending", "running")).limit(1).count())
+def has_active(jobs: DataFrame) -> DataFrame:
+    """One row: whether any job is pending or running; each task sends one value."""
+    return jobs.agg(F.coalesce(F.bool_or(F.col("status").isin("pending", "running")), F.lit(False)).alias("active"))
 
 
 def quota_audit(jobs: DataFrame, full: int = 6, half: int = 3, hair: int = 3) -> DataFrame:

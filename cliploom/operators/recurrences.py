@@ -1,4 +1,4 @@
-"""Frame recurrences that no window expresses: step clamp, spring, contact anchors.
+"""Frame recurrences that no window expresses: step clamp, contact anchors.
 
 ``chunked_scan`` runs a recurrence chunk by chunk. Chunks first start from a guess, then
 every chunk whose true start state (the end of the chunk before) differs is run again,
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cliploom.functions.vectors import lerp, smooth01
 from cliploom.operators import kernels as K
-from cliploom.operators.series import SOFT_3, TRIANGLE_5, clip_length, smooth
+from cliploom.operators.series import clip_length
 from cliploom.session import pin
 
 Step = Callable[[pd.DataFrame, "np.ndarray | None"], "tuple[pd.DataFrame, np.ndarray]"]
@@ -132,60 +132,6 @@ def clamp_report(clamped: DataFrame, clip: Sequence[str]) -> DataFrame:
     return clamped.groupBy(*clip).agg(F.count_if("repaired").alias("repairs"), F.count(F.lit(1)).alias("frames"))
 
 
-# ---- damped spring -----------------------------------------------------------------
-
-SUBSTEP = 1.0 / 60.0  # fixed value: two substeps per frame at 30 frames a second
-
-
-def spring_series(source: np.ndarray, stiffness: float, damping: float, state: np.ndarray | None):
-    """Spring position after each frame (two substeps), and the end state."""
-    position, velocity = (source[0], 0.0) if state is None else (float(state[0]), float(state[1]))
-    out = np.empty(len(source))
-    for i, target in enumerate(source):
-        for _ in range(2):
-            velocity += (stiffness * (target - position) - damping * velocity) * SUBSTEP
-            position += velocity * SUBSTEP
-        out[i] = position
-    return out, np.array([position, velocity])
-
-
-def spring_follow(
-    df: DataFrame, clip: Sequence[str], frame: str, source: str, stiffness: str, damping: str, limit: str,
-    gain: str, out: str = "deflection", size: int | None = None,
-) -> DataFrame:
-    """Bend of a strand that follows ``source`` through a damped spring.
-
-    The source is smoothed, the lag behind it is scaled and clipped, then smoothed once
-    more. The four parameters are columns constant per clip.
-    """
-    clip = list(clip)
-    parameters = [stiffness, damping, limit, gain]
-    soft = smooth(df.select(*clip, frame, source, *parameters), clip, frame, [source], TRIANGLE_5, 2)
-
-    def step(pdf: pd.DataFrame, start):
-        values = pdf[source].to_numpy(dtype=float)
-        k, c, top, factor = (float(pdf[p].iloc[0]) for p in parameters)
-        position, end = spring_series(values, k, c, start)
-        return pd.DataFrame({out: np.clip((position - values) * factor, -top, top)}), end
-
-    bent = chunked_scan(soft, clip, frame, [source, *parameters], step, f"{out} double", size)
-    return smooth(bent, clip, frame, [out], SOFT_3, 1)
-
-
-def branch_parameters(length: Column, name_sum: Column) -> dict[str, Column]:
-    """Spring parameters of a branch from its length in body heights and its name's code sum."""
-    mobility = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (length - 0.025) / 0.22))
-    variation = (name_sum % 9 - 4) * 0.018
-    stiffness = (F.lit(54.0) - F.lit(30.0) * mobility) * (F.lit(1.0) + variation)
-    return {
-        "mobility": mobility,
-        "stiffness": stiffness,
-        "damping": F.lit(2.0) * F.sqrt(stiffness) * 1.01,
-        "yaw_limit": F.radians(F.lit(1.5) + F.lit(4.5) * mobility),
-        "roll_limit": F.radians(F.lit(0.8) + F.lit(2.8) * mobility),
-    }
-
-
 # ---- contact runs ------------------------------------------------------------------
 
 BLEND = 2  # frames blended on either side of a contact

@@ -162,14 +162,20 @@ def settings_gate(t: Tables) -> DataFrame:
 
 
 @query("answer_gate", """WITH a AS (SELECT l_orderkey, l_linenumber, l_quantity / 5 AS s, l_returnflag = 'A' AS fb, l_tax < 0.07 AS p, l_discount < 0.09 AS v, l_linestatus = 'O' AS j FROM lineitem),
-b AS (SELECT *, greatest(0.0, least(1.0, CASE WHEN s > 1 THEN s / 10 ELSE s END)) AS score FROM a)
-SELECT l_orderkey, l_linenumber, CASE WHEN j OR s > 2 THEN round(score, 8) END AS score,
-  CASE WHEN NOT (j OR s > 2) THEN 'no_json' WHEN p AND (v OR NOT fb) AND score >= 0.70 THEN 'passed' ELSE 'failed' END AS status FROM b""")
+b AS (SELECT *, greatest(0.0, least(1.0, CASE WHEN s > 1 THEN s / 10 ELSE s END)) AS score, NOT (j OR s > 2) AS none, l_linenumber IN (4, 6) AS broken FROM a)
+SELECT l_orderkey, l_linenumber, CASE WHEN NOT none AND NOT broken THEN round(score, 8) END AS score,
+  CASE WHEN none THEN 'no_json' WHEN l_linenumber = 4 THEN 'bad_json' WHEN l_linenumber = 6 THEN 'bad_score'
+    WHEN p AND (v OR NOT fb) AND score >= 0.70 AND l_linenumber <> 7 THEN 'passed' ELSE 'failed' END AS status FROM b""")
 def answer_gate(t: Tables) -> DataFrame:
-    block = F.to_json(F.struct(
-        (F.col("l_quantity") / 5).alias("score"), (F.col("l_tax") < 0.07).alias("perspective_consistent"), F.lit(True).alias("scale_consistent"),
-        F.lit(True).alias("placement_stable"), F.lit(True).alias("physically_plausible"), (F.col("l_discount") < 0.09).alias("person_on_valid_surface"),
-    ))
+    """Answers by line number: 2 spells its score as text, 3 its flags as text and number, 4 is cut short, 6 has words for a score, 7 an empty flag."""
+    line, number = F.col("l_linenumber"), (F.col("l_quantity") / 5).cast("string")
+    score = F.when(line == 2, F.concat(F.lit('"'), number, F.lit('"'))).when(line == 6, '"high"').otherwise(number)
+    truth = lambda c: F.when(c, "true").otherwise("false")
+    block = F.concat(
+        F.lit('{"score": '), score, F.lit(', "perspective_consistent": '), truth(F.col("l_tax") < 0.07),
+        F.lit(', "scale_consistent": '), F.when(line == 3, '"yes"').when(line == 7, '""').otherwise("true"), F.lit(', "placement_stable": '), F.when(line == 3, "1").otherwise("true"),
+        F.lit(', "physically_plausible": true, "person_on_valid_surface": '), truth(F.col("l_discount") < 0.09), F.when(line == 4, ", }").otherwise("}"),
+    )
     shown = (F.col("l_linestatus") == "O") | (F.col("l_quantity") / 5 > 2)
     text = F.concat(F.lit("Here is\nmy answer: "), F.when(shown, block).otherwise("none"), F.lit("\nDone."))
     answers = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "A", "fullbody").otherwise("halfbody").alias("framing"), text.alias("response"))
@@ -205,8 +211,8 @@ AUDIT_SQL = """c AS (SELECT user_id, CASE event_type WHEN 'view' THEN 'active_te
    max(value) AS top FROM events GROUP BY 1, 2),
 b AS (SELECT *, top > 300 OR (chk = 'geometry_motion' AND top > 200) OR (chk = 'hair_motion' AND top > 220) AS blocking FROM c),
 a AS (SELECT user_id AS subject_id, coalesce(array_to_string(list_sort(list(chk) FILTER (blocking)), ','), '') AS blocking_checks, count(*) FILTER (blocking) AS nb,
-   coalesce(max(CASE WHEN chk = 'active_textures' AND top <= 300 THEN 1 END), 0) AS textures FROM b GROUP BY 1),
-v AS (SELECT *, CASE WHEN subject_id % 31 = 0 THEN 'inspection_failed' WHEN textures = 0 THEN 'needs_asset_repair' WHEN subject_id % 7 = 0 THEN 'needs_adapter'
+   coalesce(max(CASE WHEN chk = 'active_textures' AND top <= 300 THEN 1 END), 0) AS textures, count(*) FILTER (chk = 'active_textures') AS looked FROM b GROUP BY 1),
+v AS (SELECT *, CASE WHEN subject_id % 31 = 0 OR looked = 0 THEN 'inspection_failed' WHEN textures = 0 THEN 'needs_asset_repair' WHEN subject_id % 7 = 0 THEN 'needs_adapter'
    WHEN nb > 0 OR subject_id % 5 = 0 THEN 'needs_quality_review' ELSE 'ready_for_task_preflight' END AS status FROM a)"""
 
 

@@ -117,16 +117,18 @@ def build_records(t: Tables) -> DataFrame:
 
 
 @query("changed_inputs", CTX + f""", {SOURCES}
-SELECT s.id FROM src s WHERE EXISTS (SELECT 1 FROM facts f JOIN labels l ON CAST(l.doc_id AS VARCHAR) = f.path
-  WHERE l.quality = 0 AND '/video/' || f.path IN (s.asset_path, s.motion_path, s.background_path))""")
+SELECT s.id, CASE WHEN a.path IS NULL THEN 'asset_path' WHEN m.path IS NULL THEN 'motion_path' WHEN b.path IS NULL THEN 'background_path' END AS missing_source,
+  coalesce(a.path IS NOT NULL AND m.path IS NOT NULL AND b.path IS NOT NULL AND EXISTS (SELECT 1 FROM facts f JOIN labels l ON CAST(l.doc_id AS VARCHAR) = f.path
+    WHERE l.quality = 0 AND '/video/' || f.path IN (s.asset_path, s.motion_path, s.background_path)), false) AS changed
+FROM src s LEFT JOIN facts a ON '/video/' || a.path = s.asset_path LEFT JOIN facts m ON '/video/' || m.path = s.motion_path LEFT JOIN facts b ON '/video/' || b.path = s.background_path""")
 def changed_inputs(t: Tables) -> DataFrame:
-    """Jobs whose input fingerprint changes when the shortened copies are restored."""
+    """For each job whether its input fingerprint changes when the shortened copies are restored, or which source is missing."""
     queue = job_sources(t)
     whole = _file_facts(t).join(manifest(t).select(F.concat(F.lit("/video/"), "path").alias("path"), F.col("bytes").alias("full")), "path")
     restored = whole.withColumn("bytes", F.col("full"))
-    now = ops.input_fingerprint(queue, _file_facts(t)).select("id", "input_fingerprint")
+    now = ops.input_fingerprint(queue, _file_facts(t)).select("id", "input_fingerprint", "missing_source")
     then = ops.input_fingerprint(queue, restored, out="restored").select("id", "restored")
-    return now.join(then, "id").filter(~F.col("input_fingerprint").eqNullSafe(F.col("restored"))).select("id")
+    return now.join(then, "id").select("id", "missing_source", (~F.col("input_fingerprint").eqNullSafe(F.col("restored"))).alias("changed"))
 
 
 @query("replay_gate", CTX + f""", {SOURCES},

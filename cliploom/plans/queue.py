@@ -58,7 +58,7 @@ def running_jobs(t: Tables) -> DataFrame:
 
 @query("active_work_exists", JOBS + " SELECT count(*) > 0 AS active FROM jobs WHERE status IN ('pending', 'running')")
 def active_work_exists(t: Tables) -> DataFrame:
-    return t.spark.range(1).select(F.lit(ops.has_active(jobs(t))).alias("active"))
+    return ops.has_active(jobs(t))
 
 
 @query("framing_class", JOBS + f" SELECT id, {FRAMING} AS framing FROM jobs")

@@ -374,25 +374,6 @@ def clamp_steps(t: Tables) -> DataFrame:
     return out.select("clip", "frame", *[F.round(p[i], 6).alias(a) for i, a in enumerate("xyz")], "repaired")
 
 
-@query("spring_follow", f"""WITH RECURSIVE {FR.replace('value,', 'value / 100 AS value,')}, {_smooth_sql(S.TRIANGLE_5, 2)},
-u AS (SELECT clip, frame, value, value AS p, 0.0::DOUBLE AS vel FROM p1 WHERE frame = 0 UNION ALL
-  SELECT clip, frame, value, p + v2 / 60, v2 FROM (
-    SELECT clip, frame, value, p1p AS p, v1 + (40.0 * (value - p1p) - 12.0 * v1) / 60 AS v2 FROM (
-      SELECT s.clip, s.frame, s.value, u.vel + (40.0 * (s.value - u.p) - 12.0 * u.vel) / 60 AS v1,
-        u.p + (u.vel + (40.0 * (s.value - u.p) - 12.0 * u.vel) / 60) / 60 AS p1p
-      FROM u JOIN p1 s ON s.clip = u.clip AND s.frame = u.frame + 1))),
-d AS (SELECT clip, frame, greatest(-0.5, least(0.5, p - value)) AS d FROM u)
-SELECT clip, frame, round(0.25 * coalesce(lag(d) OVER c, d) + 0.5 * d + 0.25 * coalesce(lead(d) OVER c, d), 6) AS deflection
-FROM d WINDOW c AS (PARTITION BY clip ORDER BY frame)""")
-def spring_follow(t: Tables) -> DataFrame:
-    rows = frames(t).select(
-        "clip", "frame", (F.col("value") / 100).alias("source"), F.lit(40.0).alias("k"), F.lit(12.0).alias("c"),
-        F.lit(0.5).alias("top"), F.lit(1.0).alias("gain"),
-    )
-    out = R.spring_follow(rows, CLIP, "frame", "source", "k", "c", "top", "gain")
-    return out.select("clip", "frame", F.round("deflection", 6).alias("deflection"))
-
-
 # Blend weights at one and two frames: smooth01(2/3) and smooth01(1/3).
 _G = "CASE {0} WHEN 1 THEN 20.0 / 27 ELSE 7.0 / 27 END"
 
@@ -414,17 +395,6 @@ def contact_runs(t: Tables) -> DataFrame:
     return out.select("clip", "frame", F.round(F.col("stabilized")[0], 6).alias("p"))
 
 
-@query("spring_parameters", """WITH b AS (SELECT c_custkey, greatest(0.0, c_acctbal) / 30000 AS length, c_custkey * 31 AS s FROM customer),
-m AS (SELECT *, greatest(0.0, least(1.0, (length - 0.025) / 0.22)) AS mob, (s % 9 - 4) * 0.018 AS var FROM b)
-SELECT c_custkey, round(mob, 8) AS mobility, round((54.0 - 30.0 * mob) * (1.0 + var), 8) AS stiffness,
-  round(2.0 * sqrt((54.0 - 30.0 * mob) * (1.0 + var)) * 1.01, 8) AS damping, round(radians(1.5 + 4.5 * mob), 8) AS yaw_limit FROM m""")
-def spring_parameters(t: Tables) -> DataFrame:
-    made = R.branch_parameters(F.greatest(F.lit(0.0), "c_acctbal") / 30000, F.col("c_custkey") * 31)
-    return t.customer.select("c_custkey", *[F.round(made[c], 8).alias(c) for c in ("mobility", "stiffness", "damping", "yaw_limit")])
-
-
-# ---- single-row geometry -----------------------------------------------------------
-
 @query("place_window", """SELECT event_id, round(least(value, greatest(0.0, 300.0 - user_id / 30.0 - 0.1)), 9) AS start_sec FROM events""")
 def place_window(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.round(S.place_window(F.col("value"), F.lit(300.0), F.col("user_id")), 9).alias("start_sec"))

@@ -179,9 +179,41 @@ def test_pins_and_paths(spark):
     assert got == ["ok", "unsafe_path", "unsafe_path", "unknown_reference", "unknown_reference"]
 
 
-def test_answer_without_json_fails(spark):
-    rows = spark.createDataFrame([("no", "fullbody"), ('x {"score": 8', "fullbody")], "response string, framing string")
-    assert [r.status for r in gates.answer_gate(rows).collect()] == ["no_json", "no_json"]
+@pytest.mark.parametrize(("response", "status", "score"), [
+    ("no", "no_json", None), ('x {"score": 8', "no_json", None), ('{"score": 8, }', "bad_json", None), ('{"score": "high"}', "bad_score", None),
+    ('{"score": "8.5", FLAGS}', "passed", 0.85), ('{"score": true, FLAGS}', "passed", 1.0), ('{"score": 0.71, FLAGS}', "passed", 0.71), ("{FLAGS}", "failed", 0.0),
+    ('{"score": 9, "perspective_consistent": "yes", "scale_consistent": 1, "placement_stable": [0], "physically_plausible": {"a": 0}}', "passed", 0.9),
+    ('{"score": 9, "perspective_consistent": "", "scale_consistent": 1, "placement_stable": 1, "physically_plausible": 1}', "failed", 0.9),
+    ('{"score": 9, "perspective_consistent": 1, "scale_consistent": 0.0, "placement_stable": 1, "physically_plausible": 1}', "failed", 0.9),
+    ('{"score": 9, "perspective_consistent": 1, "scale_consistent": [], "placement_stable": 1, "physically_plausible": 1}', "failed", 0.9),
+    ('{"score": 9, "perspective_consistent": 1, "scale_consistent": null, "placement_stable": 1, "physically_plausible": 1}', "failed", 0.9),
+])
+def test_answers(spark, response, status, score):
+    flags = ", ".join(f'"{f}": true' for f in gates.ANSWER_FLAGS)
+    rows = spark.createDataFrame([(response.replace("FLAGS", flags), "halfbody")], "response string, framing string")
+    got = gates.answer_gate(rows).first()
+    assert (got.status, got.score) == (status, score)
+
+
+def test_points_that_are_not_finite_are_counted_and_left_out(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("c", 0, "left_hand", 0.0, 0.0, 0.0), ("c", 0, "left_hand", nan, 0.0, 0.0), ("c", 0, "right_hand", 5e4, 0.0, 1.0), ("c", 0, "right_hand", 1.0, -inf, 0.5), ("c", 0, "right_hand", None, 0.0, 0.5)]
+    df = spark.createDataFrame(rows, "clip string, frame long, region string, x double, y double, z double")
+    got = proximity.proximity_frames(df).collect()
+    assert [(r.pair, r.points, r.close_points, r.invalid_points) for r in got] == [("left_to_right_hand", 1, 0, 3)]
+    assert math.isclose(got[0].minimum, math.sqrt(5e4**2 + 1))
+
+
+def test_job_without_a_source_has_no_fingerprint(spark):
+    from cliploom.operators.provenance import SOURCE_ROLES, input_fingerprint
+
+    paths = dict(zip(SOURCE_ROLES, "abc", strict=True))
+    jobs = spark.createDataFrame([(1, *paths.values()), (2, "a", "b", "gone"), (3, None, "b", "c")], "id long, " + ", ".join(f"{r} string" for r in SOURCE_ROLES))
+    facts = spark.createDataFrame([("a", True, 1, 1, "x"), ("b", True, 2, 2, "y"), ("c", True, 3, 3, "z")], "path string, exists boolean, bytes long, mtime_ns long, sha256 string")
+    got = {r["id"]: r for r in input_fingerprint(jobs, facts).collect()}
+    assert got[1].input_fingerprint and got[1].missing_source is None
+    assert (got[2].input_fingerprint, got[2].missing_source) == (None, SOURCE_ROLES[2])
+    assert (got[3].input_fingerprint, got[3].missing_source) == (None, SOURCE_ROLES[0])
 
 
 def test_same_result_at_any_partition_count(spark, folder):

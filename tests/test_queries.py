@@ -11,7 +11,7 @@ WITH_SQL = [name for name, item in CATALOGUE.items() if item.sql]
 ORDERED = [
     "next_design_seq", "robust_stats", "robust_scale", "distribution", "image_stats", "unwrap_degrees", "smooth_binomial",
     "smooth_triangle", "smooth_soft", "activity_time", "best_window", "trajectory_measures", "planted_slip", "rotation_jump",
-    "travel_cap", "clamp_steps", "spring_follow", "contact_runs",
+    "travel_cap", "clamp_steps", "contact_runs",
 ]
 
 
