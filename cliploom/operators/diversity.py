@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cliploom.operators.kernels import number_rows
-from cliploom.session import pin
+from cliploom.session import pin, scratch_path
 
 BLOCK = 2048           # rows of either side in one block
-HISTORY_PART = 256     # earlier vectors of a subject handled at once
-PREFERENCES = 64       # choices a job brings into one round
-_PICK = "id long, part long, parts long, preset_id string, distance double, tie string"
+HISTORY_PART = 256     # earlier vectors of a subject in one row
+PREFERENCES = 64       # choices fetched at once; results do not depend on it
+_PICK = "id long, preset_id string, distance double, tie string"
 
 
 def _tie(subject: str, job: object, preset: str) -> str:
@@ -65,27 +65,22 @@ def nearest_sq_fast(candidates: np.ndarray, history: np.ndarray) -> np.ndarray:
 def _best_of_block(top: int):
     def best(_, jobs: pd.DataFrame, catalog: pd.DataFrame) -> pd.DataFrame:
         if jobs.empty or catalog.empty:
-            return pd.DataFrame(columns=["id", "part", "parts", "preset_id", "distance", "tie"])
+            return pd.DataFrame(columns=["id", "preset_id", "distance", "tie"])
         matrix = np.array(catalog["vector"].tolist(), dtype=float)
         names = catalog["preset_id"].to_numpy()
         slack = 1e-9 * (1.0 + float((matrix**2).sum(axis=1).max()))
         rows = []
-        for job in jobs.itertuples(index=False):
-            history = np.array([list(v) for v in job.vectors], dtype=float)
-            if job.parts > 1:
-                keep, exact = np.arange(len(names)), nearest_sq(matrix, history)
-            else:
-                rough = nearest_sq_fast(matrix, history)
-                k = min(top, len(rough))
-                bar = np.partition(rough, len(rough) - k)[len(rough) - k]
-                keep = np.flatnonzero(rough >= bar - slack)
-                exact = nearest_sq(matrix[keep], history)
-            ties = [_tie(job.subject_id, job.id, names[i]) for i in keep]
-            order = range(len(keep))
-            if job.parts == 1:
-                order = sorted(order, key=lambda i: (-exact[i], ties[i]))[:top]
-            rows.extend((job.id, job.part, job.parts, names[keep[i]], float(exact[i]), ties[i]) for i in order)
-        return pd.DataFrame(rows, columns=["id", "part", "parts", "preset_id", "distance", "tie"])
+        for (job, subject), own in jobs.groupby(["id", "subject_id"], sort=False):
+            parts = [np.array([list(v) for v in vectors], dtype=float) for vectors in own["vectors"]]
+            rough = np.min([nearest_sq_fast(matrix, part) for part in parts], axis=0)
+            k = min(top, len(rough))
+            bar = np.partition(rough, len(rough) - k)[len(rough) - k]
+            keep = np.flatnonzero(rough >= bar - slack)
+            exact = np.min([nearest_sq(matrix[keep], part) for part in parts], axis=0)
+            ties = [_tie(subject, job, names[i]) for i in keep]
+            order = sorted(range(len(keep)), key=lambda i: (-exact[i], ties[i]))[:top]
+            rows.extend((job, names[keep[i]], float(exact[i]), ties[i]) for i in order)
+        return pd.DataFrame(rows, columns=["id", "preset_id", "distance", "tie"])
 
     return best
 
@@ -94,7 +89,7 @@ def _history_parts(history: DataFrame, size: int) -> DataFrame:
     """Earlier vectors per subject, in lists of about ``size``.
 
     A plan gives a subject at most twelve actions, so one part is the rule; a subject with
-    far more is cut by vector hash and recombined after the distances.
+    far more has several rows, cut by vector hash, which meet again in each block.
     """
     distinct = history.select("subject_id", "vector").distinct()
     parts = distinct.groupBy("subject_id").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).alias("parts"))
@@ -117,14 +112,9 @@ def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: in
     """
     side = jobs.select("id", "subject_id").join(_history_parts(history, history_part), "subject_id")
     left, right = _pair_up(
-        side.withColumn("_job", F.col("id")), "_job", jobs.count(), catalog.select("preset_id", "vector"), "preset_id", catalog.count(), block
+        side.withColumn("_job", F.col("id")), "_job", side.count(), catalog.select("preset_id", "vector"), "preset_id", catalog.count(), block
     )
-    found = left.cogroup(right).applyInPandas(_best_of_block(top), _PICK)
-    whole = found.filter("parts = 1")
-    split = (
-        found.filter("parts > 1").groupBy("id", "preset_id", "tie").agg(F.min("distance").alias("distance"))
-    )
-    both = whole.select("id", "preset_id", "tie", "distance").unionByName(split.select("id", "preset_id", "tie", "distance"))
+    both = left.cogroup(right).applyInPandas(_best_of_block(top), _PICK)
     ordered = F.struct((-F.col("distance")).alias("far"), "tie", "preset_id")
     if top == 1:
         best = both.groupBy("id").agg(F.min(ordered).alias("_b"))
@@ -208,6 +198,19 @@ def pick_cold(jobs: DataFrame, catalog: DataFrame, block: int = BLOCK) -> DataFr
     return jobs.select("id", "subject_id").join(picked, "subject_id").select("id", "preset_id")
 
 
+def _choices(wave: DataFrame, free: DataFrame, past: DataFrame, width: int) -> DataFrame:
+    """The first ``width`` choices of each job of the wave, with its place in the order of claims."""
+    known = past.select("subject_id").distinct()
+    warm, cold = pin(wave.join(known, "subject_id", "left_semi")), pin(wave.join(known, "subject_id", "left_anti"))
+    found = wave.sparkSession.createDataFrame([], "id long, choice long, preset_id string")
+    if not warm.isEmpty():
+        found = preferences(warm, free, past, width).select("id", "choice", "preset_id")
+    if not cold.isEmpty():
+        chosen = cold.select("id", "subject_id").join(cold_preferences(cold, free, width), "subject_id").select("id", "choice", "preset_id")
+        found = chosen if warm.isEmpty() else found.unionByName(chosen)
+    return found.join(wave, "id").select("id", "choice", "preset_id", "subject_id", "split_rank")
+
+
 def assign_rounds(
     jobs: DataFrame, catalog: DataFrame, history: DataFrame, mode: str = "rounds",
     designed: DataFrame | None = None, top: int = PREFERENCES,
@@ -215,9 +218,10 @@ def assign_rounds(
     """Give every open job its own candidate.
 
     ``mode="sequential"`` follows one claim after another in (split_rank, subject, id)
-    order. ``mode="rounds"`` serves one job per subject and round: each job brings its best
-    choices, the j-th job that wants the same first choice takes its j-th, and a candidate
-    still wanted by several goes to the first of them; the others wait for the next round.
+    order. ``mode="rounds"`` serves one job per subject and round: the j-th job that wants
+    the same first choice takes its j-th, and a candidate still wanted by several goes to the
+    first of them; the others wait for the next round. ``top`` is how many choices are
+    fetched at once and changes nothing else.
     Both modes give each candidate at most once and see all earlier picks of the subject.
     Each round is written out, so the plan stays short and a lost executor re-reads files.
     """
@@ -232,8 +236,7 @@ def assign_rounds(
     todo = pin(jobs.select("id", "subject_id", "split_rank"))
     free = pin(catalog.select("preset_id", "vector"))
     past = pin(history.select("subject_id", "vector"))
-    done = spark.createDataFrame([], "id long, subject_id string, preset_id string, round int")
-    width = 1 if mode == "sequential" else top
+    path = scratch_path(spark, "assigned")
     turn = 0
     while todo.limit(1).count():
         if not free.limit(1).count():
@@ -243,20 +246,17 @@ def assign_rounds(
         if mode == "sequential":
             wave = wave.orderBy("split_rank", "subject_id", "id").limit(1)
         wave = pin(wave)
-        known = past.select("subject_id").distinct()
-        warm, cold = wave.join(known, "subject_id", "left_semi"), wave.join(known, "subject_id", "left_anti")
-        wanted = None
-        if warm.limit(1).count():
-            wanted = preferences(warm, free, past, width).select("id", "choice", "preset_id")
-        if cold.limit(1).count():
-            chosen = cold.select("id", "subject_id").join(cold_preferences(cold, free, width), "subject_id").select("id", "choice", "preset_id")
-            wanted = chosen if wanted is None else wanted.unionByName(chosen)
-        wanted = pin(wanted.join(wave, "id"))
-        rival = number_rows(
-            wanted.filter("choice = 1").select("id", "split_rank", "subject_id", "preset_id"),
-            ["preset_id"], ["split_rank", "subject_id", "id"], "choice",
-        )
-        claims = wanted.join(rival.select("id", "choice"), ["id", "choice"])
+        first = pin(_choices(wave, free, past, 1))
+        claims = first
+        if mode == "rounds":
+            rival = pin(number_rows(first.select("id", "split_rank", "subject_id", "preset_id"), ["preset_id"], ["split_rank", "subject_id", "id"], "turn"))
+            claims = first.join(rival.filter("turn = 1").select("id"), "id", "left_semi")
+            low, high, last = 1, max(top, 2), rival.agg(F.max("turn")).first()[0]
+            while low < last:
+                later = pin(wave.join(rival.filter((F.col("turn") > low) & (F.col("turn") <= high)).select("id", "turn"), "id"))
+                wanted = _choices(later.drop("turn"), free, past, high).join(later.select("id", F.col("turn").alias("choice")), ["id", "choice"])
+                claims = claims.unionByName(pin(wanted.select(*claims.columns)))
+                low, high = high, high * 4
         won = pin(
             claims.groupBy("preset_id").agg(F.min(order).alias("_o"))
             .select(F.col("_o.id").alias("id"), F.col("_o.subject_id").alias("subject_id"), "preset_id", F.lit(turn).alias("round"))
@@ -264,5 +264,6 @@ def assign_rounds(
         past = pin(past.unionByName(won.join(free, "preset_id").select("subject_id", "vector")))
         free = pin(free.join(won.select("preset_id"), "preset_id", "left_anti"))
         todo = pin(todo.join(won.select("id"), "id", "left_anti"))
-        done = done.unionByName(won)
-    return done
+        won.write.mode("append").parquet(path)
+    schema = "id long, subject_id string, preset_id string, round int"
+    return spark.read.schema(schema).parquet(path) if turn else spark.createDataFrame([], schema)

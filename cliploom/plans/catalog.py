@@ -62,9 +62,32 @@ def pick_cold(t: Tables) -> DataFrame:
     return diversity.pick_cold(queue, free_presets(t))
 
 
-@query("assign_rounds")
+# One round after another: the wave is each subject's next job; the j-th job that wants a candidate first takes its j-th choice.
+ROUNDS_SQL = f"""WITH RECURSIVE {CAND},
+v AS (SELECT preset_id, embedding::DOUBLE[] AS e FROM cand),
+jobs AS (SELECT s_suppkey AS id, CAST(s_nationkey AS VARCHAR) || '-' || CAST(CAST(floor(abs(s_acctbal)) AS BIGINT) % 8 AS VARCHAR) AS subject_id FROM supplier),
+rounds AS (SELECT 0 AS round, CAST([] AS STRUCT(id BIGINT, subject_id VARCHAR, preset_id VARCHAR)[]) AS won, CAST([] AS STRUCT(id BIGINT, subject_id VARCHAR, preset_id VARCHAR)[]) AS given
+  UNION ALL
+  SELECT round + 1, now, list_concat(given, now) FROM (
+    SELECT r.round, r.given, (
+      WITH had AS (SELECT x.id, x.subject_id, x.preset_id FROM (SELECT unnest(r.given) AS x)),
+      free AS (SELECT * FROM v WHERE preset_id NOT IN (SELECT preset_id FROM had)),
+      wave AS (SELECT min(id) AS id, subject_id FROM jobs WHERE id NOT IN (SELECT id FROM had) GROUP BY subject_id),
+      far AS (SELECT w.id, w.subject_id, f.preset_id, min(list_distance(f.e, p.e)) AS d FROM wave w JOIN had h ON h.subject_id = w.subject_id JOIN v p ON p.preset_id = h.preset_id CROSS JOIN free f GROUP BY ALL),
+      warm AS (SELECT id, subject_id, preset_id, row_number() OVER (PARTITION BY id ORDER BY d DESC, substr(sha1(subject_id || ':' || CAST(id AS VARCHAR) || ':' || preset_id), 1, 16)) AS choice FROM far),
+      cold AS (SELECT w.id, w.subject_id, f.preset_id, row_number() OVER (PARTITION BY w.id ORDER BY substr(sha1(w.subject_id || ':' || f.preset_id), 1, 16)) - (SELECT count(*) // 3 FROM free) AS choice
+        FROM wave w CROSS JOIN free f WHERE w.subject_id NOT IN (SELECT subject_id FROM had)),
+      wanted AS (SELECT * FROM warm UNION ALL SELECT * FROM cold WHERE choice > 0),
+      turns AS (SELECT id, row_number() OVER (PARTITION BY preset_id ORDER BY subject_id, id) AS choice FROM wanted WHERE choice = 1),
+      claims AS (SELECT w.*, row_number() OVER (PARTITION BY preset_id ORDER BY subject_id, w.id) AS rn FROM wanted w JOIN turns t ON t.id = w.id AND t.choice = w.choice)
+      SELECT list({{'id': id, 'subject_id': subject_id, 'preset_id': preset_id}}) FROM claims WHERE rn = 1) AS now
+    FROM rounds r WHERE len(r.given) < (SELECT count(*) FROM jobs)))
+SELECT x.id, x.subject_id, x.preset_id, round FROM (SELECT round, unnest(won) AS x FROM rounds)"""
+
+
+@query("assign_rounds", ROUNDS_SQL)
 def assign_rounds(t: Tables) -> DataFrame:
-    """Suppliers as jobs; nation and balance digit as subject. Checked against a restatement in the tests."""
+    """Suppliers as jobs; nation and balance digit as subject."""
     queue = t.supplier.select(
         F.col("s_suppkey").alias("id"),
         F.concat_ws("-", F.col("s_nationkey").cast("string"), (F.floor(F.abs("s_acctbal")) % 8).cast("string")).alias("subject_id"),

@@ -57,6 +57,17 @@ def test_rounds_give_every_job_its_own_candidate(assignment):
     assert len({r.preset_id for r in rows}) == len(jobs)
 
 
+@pytest.mark.parametrize("top", [1, 8])
+def test_rounds_do_not_depend_on_what_is_fetched_at_once(spark, top):
+    rng = random.Random(6)
+    catalog = spark.createDataFrame([(f"p{i}", [rng.random() for _ in range(3)]) for i in range(60)], "preset_id string, vector array<double>")
+    jobs = spark.createDataFrame([(i, f"s{i % 14}") for i in range(28)], "id long, subject_id string")
+    history = spark.createDataFrame([(f"s{i}", [0.5, 0.5, 0.5]) for i in range(12)], "subject_id string, vector array<double>")
+    found = {tuple(r) for r in diversity.assign_rounds(jobs, catalog, history, top=top).collect()}
+    assert found == {tuple(r) for r in diversity.assign_rounds(jobs, catalog, history, top=64).collect()}
+    assert len(found) == len({f[2] for f in found}) == 28
+
+
 def test_long_history_in_parts_and_blocks_changes_nothing(spark, assignment):
     _, catalog, _, (jobs, free, _) = assignment
     rng = random.Random(9)
