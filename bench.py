@@ -18,7 +18,7 @@ HEADLINE = (
     "dispatch_wave", "assign_pairings", "retry_checks", "verify_files", "hash_drift", "catalog_contract", "source_refs", "build_records",
     "robust_stats", "distribution", "pick_diverse", "pick_cold", "repair_blueprints", "smooth_binomial", "trajectory_measures",
     "best_window", "clamp_steps", "contact_runs", "image_stats", "camera_motion", "proximity_frames", "tree_depth",
-    "task_gate_prepass", "garment_gate", "stream_status",
+    "task_gate_prepass", "garment_gate", "stream_status", "stream_stale", "assign_rounds",
 )
 
 

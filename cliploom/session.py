@@ -44,6 +44,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/cliploom/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table under the shared folder, on whatever file system it lies."""
+    if "/cliploom/" not in path:
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage and cut its lineage.
 
