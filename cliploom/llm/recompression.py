@@ -192,12 +192,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     own = [c for c in docs.columns if c not in ("key", "bytes", "ranges", "n_words", "n_removed", "kept_sha256")]
     texts = docs.select(*own, F.xxhash64("text").alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     found = written(anchors(texts, width), "anchors")
-    shared = found.groupBy("name").agg(F.count("*").alias("c")).where("c > 1").select("name")
+    # counts are written before they meet the rows again, so that joins on frequent names can be split
+    shared = written(found.groupBy("name").agg(F.count("*").alias("c")).where("c > 1").select("name"), "shared-names")
     hits = written(found.join(shared, "name", "left_semi"), "shared-anchors")
     wholes = written(hits.groupBy("name", "whole").agg(F.count("*").alias("c"), F.min(F.struct("key", "bytes", "at", "n")).alias("one")), "wholes")
     sure = hits.join(wholes.where("c > 1").select("name", "whole"), ["name", "whole"], "left_semi")
     # anchors whose stretches differ: one of each kind is taken apart into its windows
-    mixed = wholes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name")
+    mixed = written(wholes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name"), "mixed-names")
     apart = ranges_of(wholes.join(mixed, "name", "left_semi").select("one.*"))
     windows = window_rows(texts.join(apart, _BY_TEXT), width)
     place = F.xxhash64(*_BY_TEXT, "at")  # rows of equal text name the same places
