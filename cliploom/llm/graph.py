@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliploom.session import scratch_path
+from cliploom.session import remove_path, scratch_path
 
 MAX_ROUNDS = 60
 
@@ -33,17 +33,29 @@ def components(edges: DataFrame) -> DataFrame:
 
     A round joins every edge with the smallest neighbour of one end, found by an aggregation
     that combines before the shuffle, so a node with very many edges is never gathered in one
-    task. Rounds end when every component is a star: a logarithmic number in practice.
+    task; the aggregation is written first, so that the join on that node's edges can be split.
+    Rounds end when every component is a star: a logarithmic number in practice. Tables of
+    earlier rounds are removed.
     """
-    now = written(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    spark, made = edges.sparkSession, []
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        made.append(scratch_path(spark, label))
+        df.write.parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    now = kept(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     for _ in range(MAX_ROUNDS):
         if are_stars(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
         around = both_ways(now)
-        least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = kept(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = around.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
-        large = written(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = kept(large, "large-star")
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e")).select(F.col("e.b").alias("a"), F.col("e.m").alias("b"))
-        now = written(small.where(F.col("a") != F.col("b")).distinct(), "small-star")
+        now = kept(small.where(F.col("a") != F.col("b")).distinct(), "small-star")
+        for path in made[:-1]:
+            remove_path(spark, path)
+        del made[:-1]
     raise RuntimeError("components did not settle")
