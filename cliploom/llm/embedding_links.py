@@ -121,11 +121,11 @@ def linked(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 code = buckets(x / np.linalg.norm(x, axis=1, keepdims=True), width, projections, tables, settings.seed)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column("key"), own.column("copies"), own.column("vector"), pa.array([r.tobytes() for r in code], pa.binary()), pa.array(list(code.view(np.int64)), pa.list_(pa.int64()))],
-                    names=["key", "copies", "vector", "codes", "buckets"],
+                    [own.column("key"), own.column("copies"), own.column("vector"), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * tables, pa.int32()), pa.array(code.view(np.int64).ravel()))],
+                    names=["key", "copies", "vector", "buckets"],
                 )
 
-    index = written(classes.select("key", "copies", "vector").mapInArrow(hashed, "key binary, copies long, vector binary, codes binary, buckets array<long>"), "vectors")
+    index = written(classes.select("key", "copies", "vector").mapInArrow(hashed, "key binary, copies long, vector binary, buckets array<long>"), "vectors")
     places = index.select("key", F.posexplode("buckets").alias("tab", "bucket"))
     met = places.groupBy("tab", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / settings.block).cast("int")
@@ -137,7 +137,7 @@ def linked(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .select("key", "tab", "own", "p.i", "p.j", F.xxhash64("tab", "bucket", "p.i", "p.j").alias("grp"))
     )
     # distinct block pairs fall together under one 64-bit name so rarely that it only costs comparisons of other tables' pairs
-    work = spread.join(index.drop("buckets"), "key").repartition("grp").sortWithinPartitions("grp", "tab", "key")
+    work = spread.join(index, "key").repartition("grp").sortWithinPartitions("grp", "tab", "key")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in group_slices(batches, "grp"):
@@ -156,8 +156,8 @@ def linked(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
             a, b = np.nonzero(near)
             if not len(a):
                 continue
-            codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.uint64).reshape(n, -1)[:, : tab[0] + 1]
-            same = codes[:, -1][a] == codes[:, -1][b]
+            codes = group.column("buckets").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            same = codes[a, tab[0]] == codes[b, tab[0]]
             for t in range(tab[0]):
                 same &= codes[a, t] != codes[b, t]
             a, b = a[same], b[same]
