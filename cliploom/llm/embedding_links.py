@@ -115,8 +115,9 @@ def linked(classes: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(v) for v in batch.column("vector").to_pylist()])
-            for size in np.unique(sizes):
-                own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+            step = max(1, 2_000_000 // (tables * projections))
+            for rows in (r[a : a + step] for s in np.unique(sizes) for r in [np.flatnonzero(sizes == s)] for a in range(0, len(r), step)):
+                own = batch.take(pa.array(rows))
                 x = vector_matrix(own.column("vector"))
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 code = buckets(x / np.linalg.norm(x, axis=1, keepdims=True), width, projections, tables, settings.seed)

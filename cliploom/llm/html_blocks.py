@@ -88,8 +88,11 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             parts.append(page[a:b])
             linked += (b - a) * (links > 0)
 
-    at = 0
-    while m := _TOKEN.search(page, at):
+    opened = page.rfind("<!--")
+    if opened >= 0 and page.find("-->", opened) < 0:  # a comment that never ends
+        page = page[:opened]
+    at, last = 0, page.rfind(">") + 1  # no tag ends behind that
+    while m := _TOKEN.search(page, at, last):
         data(at, m.start())
         at = m.end()
         tag = (m[2] or m[5] or "").lower()

@@ -44,9 +44,10 @@ def ngram_sets(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndar
     hashes = window_hashes(words, width)
     inside = np.arange(len(hashes)) + width <= first[1:][owner[: len(hashes)]]
     hashes, owner = hashes[inside], owner[: len(inside)][inside]
-    for text in np.flatnonzero((n_words > 0) & (n_words < width)):
-        hashes = np.append(hashes, window_hashes(words[first[text] : first[text + 1]], int(n_words[text])) ^ np.uint64(n_words[text]))
-        owner = np.append(owner, text)
+    for few in range(1, width):
+        texts_of = np.flatnonzero(n_words == few)
+        hashes = np.concatenate((hashes, window_hashes(words, few)[first[texts_of]] ^ np.uint64(few)))
+        owner = np.concatenate((owner, texts_of))
     order = np.argsort(hashes)
     order = order[np.argsort(owner[order], kind="stable")]
     hashes, owner = hashes[order], owner[order]

@@ -11,7 +11,11 @@ from cliploom.llm.words import utf8_bytes
 def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts on end, A-Z in lower case, and the n + 1 bounds of the texts."""
     data, bounds = utf8_bytes(texts, lower=True)
-    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    try:
+        points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+    except UnicodeDecodeError:  # text by text, so that broken bytes do not shift the others
+        each = [data[a:b].tobytes().decode("utf-8", "replace").encode("utf-32-le") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return np.frombuffer(b"".join(each), "<u4"), np.cumsum([0, *(len(x) // 4 for x in each)])
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
     return points, lead[bounds]
 

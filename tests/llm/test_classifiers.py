@@ -67,3 +67,16 @@ def test_url_model_learns_from_a_table(spark):
     pages = spark.createDataFrame([(i, url(i)) for i in range(100, 160)], "page_id long, url string")
     rows = urls.judge(pages, {}, known).collect()
     assert all(r["verdict"] == label(r["page_id"]) for r in rows)
+
+
+def test_broken_bytes_do_not_shift_other_texts():
+    import pyarrow as pa
+
+    from cliploom.llm.ngrams import held_ngrams
+
+    raw = [b"good text", b"bad \xff\xfe bytes", "später".encode(), b""]
+    broken = pa.Array.from_buffers(pa.string(), 4, [None, pa.array([0, 9, 21, 28, 28], pa.int32()).buffers()[1], pa.py_buffer(b"".join(raw))])
+    together, bounds = held_ngrams(broken, (1, 3), 12)
+    for k, text in enumerate(raw):
+        alone, _ = held_ngrams(pa.array([text.decode("utf-8", "replace")]), (1, 3), 12)
+        assert together[bounds[k] : bounds[k + 1]].tolist() == alone.tolist()

@@ -95,3 +95,12 @@ def test_odd_pages(spark):
     assert H.main_text(pages.limit(0)).count() == 0
     unnamed = spark.createDataFrame([(1, "u", "<div>a</div><p>b</p>")], "page_id long, url string, html string")
     assert H.main_text(unnamed).first()["text"] == "a\nb"
+
+
+@pytest.mark.parametrize("page", ["<a " * 50_000, '<a "' * 50_000, "<p>" * 20_000, "<!--" * 50_000, "<script>" * 20_000, "&lt;" * 50_000])
+def test_hostile_markup_ends_soon(page):
+    import time
+
+    begin = time.time()
+    H.blocks(page)
+    assert time.time() - begin < 20
