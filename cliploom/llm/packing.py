@@ -21,9 +21,9 @@ from cliploom.session import scratch_path
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a Python worker remembers; further ones are encoded where they occur.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 #: Bytes of text that a worker encodes at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 _PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]*)(?P<rest>[!-&(-/:-@\[-`{-~]*)$"
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, nth long"

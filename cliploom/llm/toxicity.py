@@ -22,6 +22,8 @@ from cliploom.llm.ngrams import held_ngrams
 from cliploom.llm.words import text_chunks
 
 FOLDS, HELD_OUT = 5, 0
+#: Bytes of text whose n-grams are held at once.
+CHUNK_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,7 @@ class Model:
 
 def fit(features: np.ndarray, bounds: np.ndarray, label: np.ndarray, settings: Settings) -> Model:
     """The model of texts whose n-grams lie between the bounds; without two classes a constant one."""
-    width, rows = 1 << settings.bits, np.repeat(np.arange(len(label)), np.diff(bounds))
+    width, rows = 1 << settings.bits, np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))
     if not 0 < label.sum() < len(label):
         return Model(np.zeros(width, np.float32), float(np.sign(2 * label.mean() - 1) * 4) if len(label) else 0.0)
     shares = []
@@ -59,10 +61,12 @@ def fit(features: np.ndarray, bounds: np.ndarray, label: np.ndarray, settings: S
     keep = held_by[features] >= settings.least_texts
     features, rows = features[keep], rows[keep]
     bounds = np.searchsorted(rows, np.arange(len(label) + 1))
-    used, at = np.unique(features, return_inverse=True)
-    values = ratio[used][at].astype(np.float32)
-    norm = np.sqrt(np.maximum(row_sums(values.astype(np.float64) ** 2, bounds), 1e-12))
-    step = 4.0 / max(np.mean(norm**2), 1e-9)
+    used = np.flatnonzero(held_by >= settings.least_texts)
+    place = np.zeros(width, np.int32)
+    place[used] = np.arange(len(used))
+    at, values = place[features], ratio[features].astype(np.float32)
+    del features, keep
+    step = 4.0 / max(float(values @ values) / len(label), 1e-9)
     w, look, constant, look_c, theta = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0, 1.0
     balance = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
     for _ in range(settings.steps):  # accelerated gradient steps
@@ -83,7 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, counts, label = [], [], []
-        for chunk in text_chunks(batches, "text"):
+        for chunk in text_chunks(batches, "text", CHUNK_BYTES):
             held, bounds = held_ngrams(chunk.column("text"), settings.orders, settings.bits)
             features.append(held.astype(np.int32))
             counts.append(np.diff(bounds))
@@ -109,7 +113,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, constant = shared.value
-        for chunk in text_chunks(batches, "text"):
+        for chunk in text_chunks(batches, "text", CHUNK_BYTES):
             held, bounds = held_ngrams(chunk.column("text"), settings.orders, settings.bits)
             scores = sigmoid(row_sums(weights[held], bounds) + constant)
             yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(scores)], names=[*chunk.schema.names, "score"])
