@@ -1,27 +1,30 @@
 """Frame recurrences that no window expresses: step clamp, contact anchors.
 
 ``chunked_scan`` runs a recurrence chunk by chunk. Chunks first start from a guess, then
-every chunk whose true start state (the end of the chunk before) differs is run again,
-until nothing changes. Recurrences that forget their start settle after one repeat; the
-result is always the sequential one, and a task holds one chunk at most.
+every chunk whose true start state (the end of the chunk before) differs is run again.
+Recurrences that forget their start settle after one repeat; clips that have not settled
+after a few are read in order. All versions of the chunks lie in one table, of which the
+newest count, so plan and number of rounds do not grow with the clip; the result is always
+the sequential one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliploom.functions.vectors import lerp, smooth01
 from cliploom.operators import kernels as K
 from cliploom.operators.series import clip_length
-from cliploom.session import pin
+from cliploom.session import pin, scratch_path
 
 Step = Callable[[pd.DataFrame, "np.ndarray | None"], "tuple[pd.DataFrame, np.ndarray]"]
-_END, _START = "_end", "_start"
+_END, _START, _VERSION = "_end", "_start", "_version"
+REPEATS = 3  # rounds of repeated chunks before a clip is read in order
 CALL_ROWS = 50_000  # rows of whole chunks handed to one pandas call
 
 
@@ -67,30 +70,62 @@ def chunked_scan(
         return dealt(rows).drop(K.CHUNK_COL, _END)
 
     rows = pin(rows)
-    layers = [pin(dealt(rows))]
-    redone: list[DataFrame] = []
-    ends = layers[0].filter(F.col(_END).isNotNull()).select(*keys, _END)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "scan")
+    layer = f"{_ddl(rows, kept)}, {outputs}, {_END} array<double>, {_VERSION} int"
+
+    def keep(made: DataFrame, version: int) -> DataFrame:
+        """Add a version of some chunks to the table; each chunk's end state is in its last row."""
+        made.withColumn(_VERSION, F.lit(version)).write.mode("append").parquet(path)
+        return pin(spark.read.schema(layer).parquet(path).filter((F.col(_VERSION) == version) & F.col(_END).isNotNull()).select(*keys, _END))
+
+    ends = keep(dealt(rows), 0)
     used = ends.select(*keys, F.lit(None).cast("array<double>").alias("_used"))
-    while True:
+    for version in range(1, REPEATS + 2):
         now = ends.select(*clip, (F.col(K.CHUNK_COL) + 1).alias(K.CHUNK_COL), F.col(_END).alias(_START))
         changed = pin(used.join(now, keys).filter(~F.col("_used").eqNullSafe(F.col(_START))).select(*keys, _START))
-        if not changed.limit(1).count():
+        if changed.isEmpty():
             break
-        fresh = pin(
+        if version > REPEATS:
+            keep(_onward(rows, changed, clip, frame, step, kept, names, schema), version)
+            break
+        fresh = keep(
             rows.join(changed.select(*keys), keys, "left_semi").groupBy(*keys)
-            .cogroup(changed.groupBy(*keys)).applyInPandas(repeat, schema)
+            .cogroup(changed.groupBy(*keys)).applyInPandas(repeat, schema), version
         )
-        layers.append(fresh)
-        redone.append(changed.select(*keys))
-        fresh_ends = fresh.filter(F.col(_END).isNotNull()).select(*keys, _END)
-        ends = pin(ends.join(changed, keys, "left_anti").unionByName(fresh_ends))
+        ends = pin(ends.join(changed, keys, "left_anti").unionByName(fresh))
         used = pin(used.join(changed, keys, "left_anti").unionByName(changed.select(*keys, F.col(_START).alias("_used"))))
-    out = None
-    for i, layer in enumerate(layers):
-        for later in redone[i:]:
-            layer = layer.join(later, keys, "left_anti")
-        out = layer if out is None else out.unionByName(layer)
-    return out.drop(K.CHUNK_COL, _END)
+    every = spark.read.schema(layer).parquet(path)
+    newest = every.filter(F.col(_END).isNotNull()).groupBy(*keys).agg(F.max(_VERSION).alias(_VERSION))
+    return every.join(newest, [*keys, _VERSION]).select(*clip, frame, *names)
+
+
+def _onward(rows: DataFrame, changed: DataFrame, clip: list[str], frame: str, step: Step, kept: list[str], names: list[str], schema: str) -> DataFrame:
+    """Clips whose states keep changing, from their first wrong chunk to the end, frame after frame.
+
+    Such a recurrence never forgets its start, so a clip is read in order by one task; rows
+    pass through in batches and only the state is held.
+    """
+    chunk = K.CHUNK_COL
+    first = changed.groupBy(*clip).agg(F.min(F.struct(chunk, _START)).alias("_f")).select(*clip, F.col(f"_f.{chunk}").alias("_from"), F.col(f"_f.{_START}").alias(_START))
+    todo = rows.join(first, clip).filter(F.col(chunk) >= F.col("_from"))
+    ahead = Window.partitionBy(*clip).orderBy(frame)
+    todo = todo.withColumn("_last", F.lead(chunk).over(ahead).isNull() | (F.lead(chunk).over(ahead) != F.col(chunk)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        clip_now, state = None, None
+        for batch in batches:
+            cuts = batch[[*clip, chunk]].ne(batch[[*clip, chunk]].shift()).any(axis=1).cumsum()
+            for _, part in batch.groupby(cuts, sort=False):
+                own = tuple(part[clip].iloc[0])
+                if own != clip_now:
+                    clip_now, state = own, np.array(part[_START].iloc[0], dtype=float)
+                part = part.reset_index(drop=True)
+                made, state = step(part, state)
+                out = pd.concat([part[kept], made.reset_index(drop=True)], axis=1)
+                out[_END] = [None] * (len(out) - 1) + [[float(v) for v in state] if part["_last"].iloc[-1] else None]
+                yield out[[*kept, *names, _END]]
+
+    return todo.sortWithinPartitions(*clip, frame).mapInPandas(run, schema)
 
 
 # ---- step clamp --------------------------------------------------------------------

@@ -99,6 +99,23 @@ def test_clamp_matches_plain_loop():
     assert np.allclose(clamp_series(points, 0.12, None)[0], expected)
 
 
+def test_steps_that_never_settle_take_few_rounds(spark, monkeypatch):
+    from cliploom.operators import recurrences
+
+    rounds = []
+    write = recurrences.scratch_path
+    monkeypatch.setattr(recurrences, "scratch_path", lambda *a: rounds.append(a) or write(*a))
+    pinned = recurrences.pin
+    pins = []
+    monkeypatch.setattr(recurrences, "pin", lambda df: pins.append(1) or pinned(df))
+    points = np.array([[i * 1.0, 0.0, 0.0] for i in range(2000)])  # the limit is never caught up with
+    df = spark.createDataFrame([("c", i, p.tolist(), 0.1) for i, p in enumerate(points)], "clip string, frame long, p array<double>, limit double")
+    out = recurrences.clamp_steps(df, ["clip"], "frame", "p", "limit", 2)
+    got = [r.clamped for r in out.orderBy("frame").collect()]
+    assert np.allclose(got, clamp_series(points, 0.1, None)[0])
+    assert len(pins) < 25 and len(out._jdf.queryExecution().toString()) < 30_000
+
+
 def test_proximity_finds_distant_and_close_pairs(spark):
     rng = random.Random(1)
     rows = []
