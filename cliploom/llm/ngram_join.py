@@ -30,7 +30,9 @@ PERCENT = 75
 #: Classes of a cluster that one task holds; larger clusters are joined block by block.
 BLOCK = 1024
 #: Classes a task remembers in order not to send equal sets twice.
-MEMO = 500_000
+MEMO = 200_000
+#: Parts of a range that are counted one after another, to bound what a task holds.
+TURNS = 8
 
 
 def ngram_sets(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,6 +111,29 @@ def by_range(docs: DataFrame, ranges: int, width: int) -> DataFrame:
     return docs.mapInArrow(run, "part long, low binary, classes binary, sizes binary, counts binary")
 
 
+def held_twice(low: np.ndarray, who: np.ndarray, classes: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order keys of the n-grams that several classes hold, and for each the row of a class that does."""
+    h = np.zeros((len(low), 8), np.uint8)
+    h[:, :6] = low
+    h = h.view(np.uint64).ravel()
+    order = np.argsort(h)
+    h, who = h[order], who[order]
+    again = np.zeros(len(h), bool)
+    again[1:] = h[1:] == h[:-1]
+    again[:-1] |= again[1:]
+    h, who = h[again], who[again]
+    order = np.lexsort((classes[who], h))
+    h, who = h[order], who[order]
+    new = np.ones(len(h), bool)  # equal sets from several tasks count once
+    new[1:] = (h[1:] != h[:-1]) | (classes[who[1:]] != classes[who[:-1]])
+    h, who = h[new], who[new]
+    start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
+    held = np.repeat(np.diff(np.append(start, len(h))), np.diff(np.append(start, len(h))))
+    h, who, held = h[held > 1], who[held > 1], held[held > 1]
+    rare = np.minimum(255, np.log2(np.maximum(held, 1)) * 6).astype(np.uint64)
+    return (rare << np.uint64(56)) | (mix(h + (np.uint64(part) << np.uint64(48))) >> np.uint64(8)), who
+
+
 def shared_items(parts: DataFrame, buckets: int) -> DataFrame:
     """For each range and bucket of classes the n-grams that other classes hold too, as order keys, class by class.
 
@@ -120,36 +145,22 @@ def shared_items(parts: DataFrame, buckets: int) -> DataFrame:
         for group in group_slices(batches, "part"):
             part = group.column("part")[0].as_py()
             low = np.frombuffer(b"".join(group.column("low").to_pylist()), np.uint8).reshape(-1, 6)
-            h = np.zeros((len(low), 8), np.uint8)
-            h[:, :6] = low
-            h = h.view(np.uint64).ravel()
             classes, sizes, counts = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("classes", np.int64), ("sizes", np.uint32), ("counts", np.uint32)))
-            who = np.repeat(np.arange(len(classes)), counts)
-            order = np.argsort(h)
-            h, who = h[order], who[order]
-            again = np.zeros(len(h), bool)
-            again[1:] = h[1:] == h[:-1]
-            again[:-1] |= again[1:]
-            h, who = h[again], who[again]
-            order = np.lexsort((classes[who], h))
-            h, who = h[order], who[order]
-            new = np.ones(len(h), bool)  # equal sets from several tasks count once
-            new[1:] = (h[1:] != h[:-1]) | (classes[who[1:]] != classes[who[:-1]])
-            h, who = h[new], who[new]
-            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
-            held = np.repeat(np.diff(np.append(start, len(h))), np.diff(np.append(start, len(h))))
-            h, who, held = h[held > 1], who[held > 1], held[held > 1]
-            rare = np.minimum(255, np.log2(np.maximum(held, 1)) * 6).astype(np.uint64)
-            keys = (rare << np.uint64(56)) | (mix(h + (np.uint64(part) << np.uint64(48))) >> np.uint64(8))
-            own, n = classes[who], sizes[who]
-            bucket = (mix(own.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            keys, own, n, bucket = keys[order], own[order], n[order], bucket[order]
-            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(own) else np.zeros(1, int)
-            ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts[:-1]]), *(pa.array([x[a:b].tobytes() for a, b in ends], pa.binary()) for x in (keys, own, n))], names=["bucket", "items", "classes", "sizes"]
-            )
+            del group
+            whose = np.repeat(np.arange(len(classes), dtype=np.int32), counts)
+            turn = low[:, 5] // (256 // TURNS)
+            for t in range(TURNS):
+                rows = np.flatnonzero(turn == t)
+                keys, who = held_twice(low[rows], whose[rows], classes, part)
+                own, n = classes[who], sizes[who]
+                bucket = (mix(own.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                keys, own, n, bucket = keys[order], own[order], n[order], bucket[order]
+                cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(own) else np.zeros(1, int)
+                ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[cuts[:-1]]), *(pa.array([x[a:b].tobytes() for a, b in ends], pa.binary()) for x in (keys, own, n))], names=["bucket", "items", "classes", "sizes"]
+                )
 
     return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "bucket long, items binary, classes binary, sizes binary")
 

@@ -65,15 +65,19 @@ def fit(features: np.ndarray, bounds: np.ndarray, label: np.ndarray, settings: S
     place = np.zeros(width, np.int32)
     place[used] = np.arange(len(used))
     at, values = place[features], ratio[features].astype(np.float32)
-    del features, keep
+    del features, keep, rows
     step = 4.0 / max(float(values @ values) / len(label), 1e-9)
+    parts = [(a, min(a + 100, len(label))) for a in range(0, len(label), 100)]  # texts whose products are held at once
     w, look, constant, look_c, theta = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0, 1.0
     balance = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
     for _ in range(settings.steps):  # accelerated gradient steps
-        p = sigmoid(row_sums(look[at] * values, bounds) + look_c)
-        error = (p - label) * balance
-        slope = np.bincount(at, error[rows] * values, len(used)) + settings.penalty * look
-        new, new_c = look - step * slope, look_c - 0.5 * error.sum()
+        slope, total = settings.penalty * look, 0.0
+        for a, b in parts:
+            own = slice(bounds[a], bounds[b])
+            error = (sigmoid(row_sums(look[at[own]] * values[own], bounds[a : b + 1] - bounds[a]) + look_c) - label[a:b]) * balance[a:b]
+            slope += np.bincount(at[own], np.repeat(error, np.diff(bounds[a : b + 1])) * values[own], len(used))
+            total += error.sum()
+        new, new_c = look - step * slope, look_c - 0.5 * total
         theta, old = (1 + np.sqrt(1 + 4 * theta**2)) / 2, theta
         look, look_c = new + (old - 1) / theta * (new - w), new_c + (old - 1) / theta * (new_c - constant)
         w, constant = new, new_c
