@@ -60,6 +60,13 @@ def valid_observations(observations: DataFrame, features: DataFrame) -> DataFram
     return observations.filter(F.col("status") == "done").join(supported, "segment_id")
 
 
+def catalog_floor(observations: DataFrame, minimum: int = MINIMUM_CATALOG) -> DataFrame:
+    """One row: how many observations there are and whether a catalogue may be built from them."""
+    return observations.agg(F.count(F.lit(1)).alias("observations")).withColumn(
+        "verdict", F.when(F.col("observations") < minimum, "too_few_observations").otherwise("ok")
+    )
+
+
 def robust_stats(df: DataFrame, vector: str, group_rows: int | None = None) -> DataFrame:
     """Centre and scale per axis: upper median and quartile gap at fixed ranks."""
     long = df.select(F.posexplode(vector).alias("axis", "value"))

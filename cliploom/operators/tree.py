@@ -95,28 +95,15 @@ def depth_share(per_node: DataFrame, per_branch: DataFrame, key: Sequence[str],
     return per_node.join(sizes, [*key, "branch"]).withColumn("share", share).drop("_total", "bones")
 
 
-def ancestors(nodes: DataFrame, seeds: DataFrame, key: Sequence[str], name: str = "name", parent: str = "parent") -> DataFrame:
-    """(seed, ancestor, distance) for each seed, itself included.
-
-    Paths double in length each round: the ancestors known so far are extended by the
-    jump table of the same reach.
-    """
+def jump_tables(nodes: DataFrame, key: Sequence[str], name: str = "name", parent: str = "parent") -> list[DataFrame]:
+    """Tables (node, up) of the ancestors 1, 2, 4, ... steps up, as far as any node has one."""
     key = list(key)
-    reached = pin(seeds.select(*key, F.col(name).alias("seed"), F.col(name).alias("ancestor"), F.lit(0).cast("long").alias("distance")))
-    jump = pin(nodes.filter(F.col(parent).isNotNull()).select(*key, F.col(name).alias("node"), F.col(parent).alias("up")))
-    reach = 1
+    tables = [pin(nodes.filter(F.col(parent).isNotNull()).select(*key, F.col(name).alias("node"), F.col(parent).alias("up")))]
     for _ in range(MAX_ROUNDS):
-        if not jump.limit(1).count():
-            return reached
-        further = reached.join(jump.select(*key, F.col("node").alias("ancestor"), "up"), [*key, "ancestor"]).select(
-            *key, "seed", F.col("up").alias("ancestor"), (F.col("distance") + reach).alias("distance")
-        )
-        reached = pin(reached.unionByName(further))
-        jump = pin(
-            jump.alias("a").join(jump.select(*key, F.col("node").alias("up"), F.col("up").alias("_next")), [*key, "up"])
-            .select(*key, "node", F.col("_next").alias("up"))
-        )
-        reach *= 2
+        last = tables[-1]
+        if last.isEmpty():
+            return tables[:-1]
+        tables.append(pin(last.join(last.select(*key, F.col("node").alias("up"), F.col("up").alias("_next")), [*key, "up"]).select(*key, "node", F.col("_next").alias("up"))))
     raise RuntimeError("hierarchy has a cycle")
 
 
@@ -130,17 +117,36 @@ def common_ancestor(
 ) -> DataFrame:
     """Nearest common ancestor of (left, right) pairs; a nearest preferred name comes first.
 
-    Ancestor rows of both sides meet on (pair, ancestor), so each pair costs its depth.
+    The deeper side jumps to the other's depth, then both jump while they differ, the widest
+    jumps first: a pair stays one row and takes two joins for each power of two of the depth.
     """
     key = list(key)
-    seeds = pairs.select(*key, F.explode(F.array("left", "right")).alias(name)).distinct()
-    up = ancestors(nodes, seeds, key, name, parent)
-    left = pairs.join(up.select(*key, F.col("seed").alias("left"), "ancestor", "distance"), [*key, "left"])
-    right = pairs.join(up.select(*key, F.col("seed").alias("right"), "ancestor"), [*key, "right"])
-    wanted = F.lower(F.col("ancestor").cast("string")).rlike("|".join(preferred))
-    rank = F.struct(F.when(wanted, 0).otherwise(1).alias("p"), F.col("distance").alias("d"), F.col("ancestor").alias("a"))
-    both = left.join(right.select(*key, "left", "right", "ancestor").distinct(), [*key, "left", "right", "ancestor"], "left_semi")
-    return both.groupBy(*key, "left", "right").agg(F.min(rank).alias("_k")).select(*key, "left", "right", F.col("_k.a").alias("ancestor"))
+    jumps = jump_tables(nodes, key, name, parent)
+    deep = depth(nodes, key, name, parent).select(*key, F.col(name).alias("node"), "depth")
+    at = pairs.select(*key, "left", "right").distinct().withColumns({"_l": F.col("left"), "_r": F.col("right")})
+    for side in ("_l", "_r"):
+        at = at.join(deep.select(*key, F.col("node").alias(side), F.col("depth").alias(f"{side}d")), [*key, side], "left").fillna(0, [f"{side}d"])
+    at = at.withColumns({"_low": F.col("_ld") < F.col("_rd"), "_gap": F.abs(F.col("_ld") - F.col("_rd"))})
+    # the deeper side is _a from here on
+    at = pin(at.select(*key, "left", "right", F.when(F.col("_low"), F.col("_r")).otherwise(F.col("_l")).alias("_a"), F.when(F.col("_low"), F.col("_l")).otherwise(F.col("_r")).alias("_b"), "_gap"))
+    up = lambda k, side, out: jumps[k].select(*key, F.col("node").alias(side), F.col("up").alias(out))
+    for k in reversed(range(len(jumps))):
+        moving, rest = at.filter(F.col("_gap") >= 2**k), at.filter(F.col("_gap") < 2**k)
+        moved = moving.join(up(k, "_a", "_up"), [*key, "_a"]).select(*key, "left", "right", F.col("_up").alias("_a"), "_b", (F.col("_gap") - 2**k).alias("_gap"))
+        at = pin(rest.unionByName(moved))
+    met = at.filter(F.col("_a") == F.col("_b")).select(*key, "left", "right", F.col("_a").alias("ancestor"))
+    apart = at.filter(F.col("_a") != F.col("_b"))
+    for k in reversed(range(len(jumps))):
+        ahead = apart.join(up(k, "_a", "_ua"), [*key, "_a"], "left").join(up(k, "_b", "_ub"), [*key, "_b"], "left")
+        jump = F.coalesce(F.col("_ua") != F.col("_ub"), F.lit(False))
+        apart = pin(ahead.select(*key, "left", "right", F.when(jump, F.col("_ua")).otherwise(F.col("_a")).alias("_a"), F.when(jump, F.col("_ub")).otherwise(F.col("_b")).alias("_b")))
+    if jumps:
+        last = apart.join(up(0, "_a", "ancestor"), [*key, "_a"]).join(up(0, "_b", "_other"), [*key, "_b"]).filter(F.col("ancestor") == F.col("_other"))
+        met = met.unionByName(last.select(*key, "left", "right", "ancestor"))
+    wanted = F.lower(F.col(name).cast("string")).rlike("|".join(preferred))
+    nearest = climb(nodes, key, name, parent, wanted, F.lit(1.0)).select(*key, F.col("node").alias("ancestor"), F.col("top").alias("_top"))
+    top = F.when(F.lower(F.col("_top").cast("string")).rlike("|".join(preferred)), F.col("_top"))
+    return met.join(nearest, [*key, "ancestor"], "left").select(*key, "left", "right", F.coalesce(top, "ancestor").alias("ancestor"))
 
 
 def close_upward(nodes: DataFrame, key: Sequence[str], seed: Column, accepted: Column, name: str = "name", parent: str = "parent") -> DataFrame:

@@ -158,9 +158,20 @@ def raw_vector(t: Tables) -> DataFrame:
     )
 
 
+@query("catalog_floor", """SELECT count(*) AS observations, CASE WHEN count(*) < 1908 THEN 'too_few_observations' ELSE 'ok' END AS verdict FROM orders
+JOIN documents ON doc_id = o_orderkey WHERE o_orderstatus = 'F' AND lang = 'en' AND source <> 'src3'""")
+def catalog_floor(t: Tables) -> DataFrame:
+    return ops.catalog_floor(observed(t))
+
+
 @query("valid_observations", """SELECT CAST(o_orderkey AS VARCHAR) AS segment_id, n_chars AS frame_count FROM orders
 JOIN documents ON doc_id = o_orderkey WHERE o_orderstatus = 'F' AND lang = 'en' AND source <> 'src3'""")
 def valid_observations(t: Tables) -> DataFrame:
+    return observed(t).select("segment_id", "frame_count")
+
+
+def observed(t: Tables) -> DataFrame:
+    """Orders as observations, documents as their feature documents."""
     observations = t.orders.select(
         F.col("o_orderkey").cast("string").alias("segment_id"),
         F.when(F.col("o_orderstatus") == "F", "done").otherwise("open").alias("status"),
@@ -170,7 +181,7 @@ def valid_observations(t: Tables) -> DataFrame:
         F.when(F.col("lang") == "en", schemas.OBSERVATION_SCHEMA).otherwise(1).alias("schema"),
         F.when(F.col("source") != "src3", schemas.OBSERVATION_VERSION).alias("observation_version"),
     )
-    return ops.valid_observations(observations, features).select("segment_id", "frame_count")
+    return ops.valid_observations(observations, features)
 
 
 @query("distribution", """WITH names AS (SELECT DISTINCT event_type AS semantic FROM events UNION SELECT r_name FROM region),

@@ -142,6 +142,28 @@ def test_missing_region_is_not_available_but_passes(spark):
     assert (row.collision_status, row.gate) == ("not_available", "passed")
 
 
+def test_common_ancestors_equal_lists_of_ancestors(spark):
+    rng = random.Random(2)
+    up = {("t", i): None if i in (0, 1) else rng.randrange(max(0, i - 6), i) for i in range(80)}
+    label = lambda i: f"pelvis{i}" if i is not None and i % 17 == 3 else None if i is None else f"n{i}"
+    nodes = spark.createDataFrame([(t, label(i), label(p)) for (t, i), p in up.items()], "tree string, name string, parent string")
+
+    def line(i):
+        out = [i]
+        while up["t", out[-1]] is not None:
+            out.append(up["t", out[-1]])
+        return out
+
+    pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(150)] + [(5, 5), (0, 1)]
+    expected = {}
+    for a, b in pairs:
+        both = [x for x in line(a) if x in line(b)]
+        if both:
+            expected[label(a), label(b)] = label(next((x for x in both if "pelvis" in label(x)), both[0]))
+    found = tree.common_ancestor(nodes, spark.createDataFrame([("t", label(a), label(b)) for a, b in pairs], "tree string, left string, right string"), ["tree"]).collect()
+    assert {(r["left"], r["right"]): r.ancestor for r in found} == expected and len(found) == len(expected)
+
+
 def test_cycle_in_hierarchy_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(tree, "MAX_ROUNDS", 4)
     loop = spark.createDataFrame([("r", "a", "b"), ("r", "b", "a")], "rig string, name string, parent string")
