@@ -11,6 +11,7 @@ from cliploom.session import scratch_path
 from cliploom.streaming import streams as S
 
 ARRIVALS = 4
+FILE_ROWS = 10_000
 TIMEOUT_S = 6 * 3600
 
 
@@ -21,9 +22,11 @@ def arriving(t: Tables, columns: list, schema: str) -> DataFrame:
     ends = rows.agg(F.unix_micros(F.min("ts")).alias("a"), F.unix_micros(F.max("ts")).alias("z")).first()
     width = max(1, (ends["z"] - ends["a"]) // ARRIVALS + 1)
     step = F.floor((F.unix_micros("ts") - ends["a"]) / width)
+    counts = {r["step"]: r["count"] for r in rows.groupBy(step.alias("step")).count().collect()}
+    files = max(1, min(counts.get(i, 0) for i in range(ARRIVALS)) // FILE_ROWS)  # as many for each step, so that a batch is a step
     for i in range(ARRIVALS):
-        rows.filter(step == i).select(*columns).coalesce(1).write.mode("append").parquet(path)
-    return S.file_stream(t.spark, path, schema, files_per_batch=1)
+        rows.filter(step == i).select(*columns).repartition(files).write.mode("append").parquet(path)
+    return S.file_stream(t.spark, path, schema, files_per_batch=files)
 
 
 LOG_SCHEMA = "job_id long, event_id long, event string, ts timestamp"
@@ -42,9 +45,9 @@ def stream_status(t: Tables) -> DataFrame:
 
 @query("stream_stale", f"""WITH g AS (SELECT user_id AS job_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS nxt, (SELECT max(ts) FROM events) AS top FROM events)
 SELECT job_id, CAST(epoch_us(ts) AS BIGINT) AS silent_since FROM g
-WHERE coalesce(nxt - ts > INTERVAL {TIMEOUT_S} SECOND, date_trunc('millisecond', ts) + INTERVAL {TIMEOUT_S} SECOND < date_trunc('millisecond', top) - INTERVAL {TIMEOUT_S} SECOND)""")
+WHERE coalesce(nxt - ts > INTERVAL {TIMEOUT_S} SECOND, true) AND ts + INTERVAL {TIMEOUT_S} SECOND <= date_trunc('millisecond', top) - INTERVAL {TIMEOUT_S} SECOND""")
 def stream_stale(t: Tables) -> DataFrame:
-    stream = S.stream_stale(arriving(t, log_columns(), LOG_SCHEMA), f"{TIMEOUT_S} seconds", TIMEOUT_S * 1000)
+    stream = S.stream_stale(arriving(t, log_columns(), LOG_SCHEMA), f"{TIMEOUT_S} seconds")
     out = S.drain_append(stream, scratch_path(t.spark, "stale"))
     return out.select("job_id", F.unix_micros("silent_since").alias("silent_since"))
 

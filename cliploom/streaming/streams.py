@@ -6,12 +6,10 @@ folder is overwritten when its epoch is repeated, so a restarted query stays exa
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
@@ -62,43 +60,16 @@ def stream_status(spark: SparkSession, events: DataFrame, root: str) -> DataFram
     return fold_deltas(spark, root, ["job_id"]).groupBy("event").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-STALE_SCHEMA = "job_id long, silent_us long"
-
-
-def _gaps(timeout_ms: int):
-    def watch(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (job,) = key
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({"job_id": [job], "silent_us": [int(last)]})
-            return
-        # one job's events of one micro-batch; only their times (microseconds) are held
-        times = sorted(int(t) for pdf in batches for t in pdf["us"])
-        if state.exists:
-            times.insert(0, state.get[0])
-            times.sort()
-        silent = [a for a, b in zip(times, times[1:]) if b - a > timeout_ms * 1000]
-        state.update((int(times[-1]),))
-        wake = times[-1] // 1000 + timeout_ms
-        state.setTimeoutTimestamp(max(int(wake), state.getCurrentWatermarkMs() + 1))
-        if silent:
-            yield pd.DataFrame({"job_id": [job] * len(silent), "silent_us": silent})
-
-    return watch
-
-
-def stream_stale(events: DataFrame, timeout: str, timeout_ms: int, job: str = "job_id") -> DataFrame:
+def stream_stale(events: DataFrame, timeout: str, job: str = "job_id") -> DataFrame:
     """Moments after which a job stayed silent longer than the timeout, by event time.
 
-    A gap is reported when the next event shows it or, for a job that never comes back,
-    when the watermark passes it.
+    A session of a job goes on while each event follows within the timeout; its last event is
+    reported once the watermark has passed the session's end. Sessions are combined before
+    the shuffle and only their bounds are kept as state, however many events they hold.
     """
-    watched = events.select(F.col(job).alias("job_id"), "ts", F.unix_micros("ts").alias("us")).withWatermark("ts", timeout)
-    found = watched.groupBy("job_id").applyInPandasWithState(
-        _gaps(timeout_ms), STALE_SCHEMA, "last long", "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return found.select("job_id", F.timestamp_micros("silent_us").alias("silent_since"))
+    watched = events.select(F.col(job).alias("job_id"), "ts").withWatermark("ts", timeout)
+    sessions = watched.groupBy("job_id", F.session_window("ts", timeout).alias("_w")).agg(F.max("ts").alias("silent_since"))
+    return sessions.select("job_id", "silent_since")
 
 
 def stream_telemetry(samples: DataFrame, width: str, delay: str) -> DataFrame:

@@ -292,3 +292,20 @@ def test_unused_ignores_malformed_payloads(spark):
     c = spark.createDataFrame([("p1",), ("p2",)], "preset_id string")
     d = spark.createDataFrame([('{"id":"p1"}',), ("{bad",), (None,)], "action_params_json string")
     assert [r.preset_id for r in unused(c, d, "preset_id", "$.id").collect()] == ["p2"]
+
+
+def test_silence_begins_after_more_than_the_timeout(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from cliploom.streaming import streams
+
+    begin = datetime(2026, 1, 1)
+    hours = {1: [0, 6, 12, 40], 2: [0, 6.001, 50], 3: [60]}
+    events = [(job, begin + timedelta(hours=h)) for job, hs in hours.items() for h in hs]
+    for k, late in enumerate((20, 100)):
+        some = [e for e in events if (late == 100) != (e[1] < begin + timedelta(hours=20))]
+        spark.createDataFrame(some, "job_id long, ts timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.stream_stale(streams.file_stream(spark, f"{tmp_path}/in", "job_id long, ts timestamp", 1), "21600 seconds")
+    found = {(r["job_id"], (r["silent_since"] - begin) / timedelta(hours=1)) for r in streams.drain_append(stream, f"{tmp_path}/out").collect()}
+    # exactly six hours go on, a little more does not; the watermark ends at hour 54
+    assert found == {(1, 12.0), (1, 40.0), (2, 0.0), (2, 6.001)}
