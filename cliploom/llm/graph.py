@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliploom.session import remove_path, scratch_path
 
 MAX_ROUNDS = 60
+#: Rows of an Arrow batch while tables of whole texts are written; the default holds ten times as many.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of few rows inside the block, where texts may be long; the session's setting afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there, lost executors read it again."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

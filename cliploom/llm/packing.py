@@ -15,15 +15,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cliploom.llm.graph import written
 from cliploom.llm.words import text_chunks
-from cliploom.session import scratch_path
 
 CAPACITY = 4096
 END_ID = 2
 #: Words whose ids a Python worker remembers; further ones are encoded where they occur.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 #: Bytes of text that a worker encodes at once.
-ENCODE_BYTES = 2 << 20
+ENCODE_BYTES = 1 << 20
 _PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]*)(?P<rest>[!-&(-/:-@\[-`{-~]*)$"
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, nth long"
@@ -47,7 +47,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.letters = Tokenizer.from_file(path)
+        self.letters = Tokenizer(self.whole.model)  # one vocabulary for both
         self.letters.normalizer = normalizers.Lowercase()
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -172,10 +172,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     numbering adds to each piece the count of earlier pieces of its length, a table of one row
     for each task and length. An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "pieces")
-    decompose(docs, tokenizer_path, capacity, end_id).write.parquet(path)
-    pieces = spark.read.parquet(path)
+    pieces = written(decompose(docs, tokenizer_path, capacity, end_id), "pieces")
     counts = pieces.groupBy("length", "part").agg((F.max("nth") + 1).alias("n"))
     per_length = counts.groupBy("length").agg(F.sum("n").alias("all"))
     longer = per_length.select("length", F.coalesce(F.sum("all").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("longer"))
