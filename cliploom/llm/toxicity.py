@@ -49,25 +49,28 @@ class Model:
 
 def fit(features: np.ndarray, bounds: np.ndarray, label: np.ndarray, settings: Settings) -> Model:
     """The model of texts whose n-grams lie between the bounds; without two classes a constant one."""
-    width, rows = 1 << settings.bits, np.repeat(np.arange(len(label), dtype=np.int32), np.diff(bounds))
+    width = 1 << settings.bits
     if not 0 < label.sum() < len(label):
         return Model(np.zeros(width, np.float32), float(np.sign(2 * label.mean() - 1) * 4) if len(label) else 0.0)
-    shares = []
-    for value in (1, 0):
-        count = settings.smoothing + np.bincount(features[label[rows] == value], minlength=width)
-        shares.append(np.log(count / ((label == value).sum() + 2 * settings.smoothing)))
-    ratio = shares[0] - shares[1]
-    held_by = np.bincount(features, minlength=width)
-    keep = held_by[features] >= settings.least_texts
-    features, rows = features[keep], rows[keep]
-    bounds = np.searchsorted(rows, np.arange(len(label) + 1))
-    used = np.flatnonzero(held_by >= settings.least_texts)
+    parts = [(a, min(a + 100, len(label))) for a in range(0, len(label), 100)]  # texts that are worked on at once
+    counts = np.zeros((2, width))
+    for a, b in parts:
+        marked = np.repeat(label[a:b], np.diff(bounds[a : b + 1]))
+        for value in (0, 1):
+            counts[value] += np.bincount(features[bounds[a] : bounds[b]][marked == value], minlength=width)
+    texts = np.array([[len(label) - label.sum()], [label.sum()]])
+    shares = np.log((settings.smoothing + counts) / (texts + 2 * settings.smoothing))
+    ratio = shares[1] - shares[0]
+    often = counts.sum(axis=0) >= settings.least_texts
+    keep = often[features]
+    bounds = np.concatenate((np.zeros(1, np.int32), np.cumsum(keep, dtype=np.int32)))[bounds]
+    features = features[keep]
+    used = np.flatnonzero(often)
     place = np.zeros(width, np.int32)
     place[used] = np.arange(len(used))
-    at, values = place[features], ratio[features].astype(np.float32)
-    del features, keep, rows
+    at, values = place[features], ratio.astype(np.float32)[features]
+    del features, keep
     step = 4.0 / max(float(values @ values) / len(label), 1e-9)
-    parts = [(a, min(a + 100, len(label))) for a in range(0, len(label), 100)]  # texts whose products are held at once
     w, look, constant, look_c, theta = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0, 1.0
     balance = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
     for _ in range(settings.steps):  # accelerated gradient steps
