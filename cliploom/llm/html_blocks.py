@@ -14,6 +14,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,13 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base basefont br col embed frame hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template textarea title svg math iframe object canvas audio video noframes xmp".split())
+RAW = frozenset("script style textarea title iframe noframes xmp".split())  # nothing but its own end tag ends one
+SEALED = frozenset("noscript template object".split())  # end tags of outer elements do not count inside
+DRAWN = frozenset("svg math".split())
+LEAVES_DRAWN = frozenset(
+    "article aside b big blockquote body br center code dd dialog div dl dt em embed fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr "
+    "i img li listing main menu meta nav nobr ol p pre ruby s section small span strike strong sub sup table tt u ul var".split()
+)
 CLOSED_BY_OWN = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "table tr", "th": "table tr", "option": "select", "p": ""}
 MAIN_TAGS = frozenset("article main".split())
 MAIN_NAMES = ("article", "main", "content", "post", "entry", "story")
@@ -49,7 +57,7 @@ OTHER_NAMES = {
 }
 _PURPOSE = {name: purpose for purpose, names in OTHER_NAMES.items() for name in names}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 PATH_BITS, WORD_BITS, SHAPE = 128, 32, 6
@@ -67,11 +75,18 @@ class Settings:
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """Leaf blocks in page order: names on the path, text with single spaces, characters inside links."""
+    """Leaf blocks in page order: names on the path, text with single spaces, characters inside links.
+
+    A comment or an element of ``RAW`` that never ends takes the rest of the page, as in a browser;
+    another element of ``UNSEEN`` without an end tag ends with the element around it.
+    """
     out: list[tuple[tuple[str, ...], str, int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     in_head, links, linked = False, 0, 0
+    inside: list[str] = []  # open elements from one of UNSEEN on, how many of each, and where its end tag is
+    within: Counter[str] = Counter()
+    limit = -1
 
     def flush() -> None:
         nonlocal linked
@@ -84,25 +99,77 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
 
     def data(a: int, b: int) -> None:
         nonlocal linked
-        if b > a and not in_head:
+        if b > a and not in_head and not inside:
             parts.append(page[a:b])
             linked += (b - a) * (links > 0)
 
-    opened = page.rfind("<!--")
-    if opened >= 0 and page.find("-->", opened) < 0:  # a comment that never ends
-        page = page[:opened]
+    def end_of(tag: str, a: int, b: int) -> int:
+        """Where the next end tag begins, or -1."""
+        end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, a, b)
+        return end.start() if end else -1
+
+    def own_end(tag: str, a: int) -> int:
+        """Where the end tag begins if it comes before another such element; no part is read twice."""
+        again = re.compile(rf"<{re.escape(tag)}(?=[\s/>])", re.I).search(page, a, last)
+        return end_of(tag, a, again.start() if again else last)
+
+    def ends_outer(tag: str) -> bool:
+        """Whether a start tag inside an element without end tag ends what is around that."""
+        if inside[0] in DRAWN and tag in LEAVES_DRAWN or tag == "body":
+            return True
+        if len(inside) > 1 or not stack or tag in INLINE or tag in VOID or tag in UNSEEN:
+            return False
+        return stack[-1][0] == "p" or (tag in CLOSED_BY_OWN and stack[-1][0] == tag) or {tag, stack[-1][0]} in ({"dt", "dd"}, {"td", "th"})
+
     at, last = 0, page.rfind(">") + 1  # no tag ends behind that
     while m := _TOKEN.search(page, at, last):
         data(at, m.start())
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith(("-->", "--!>")):  # a comment that never ends
+                at = len(page)
+                break
             continue
         closing = bool(m[1] or m[4])
+        alone = (m[3] or m[6] or "").endswith("/")
+        if inside:
+            if closing and within[tag]:
+                while True:
+                    gone = inside.pop()
+                    within[gone] -= 1
+                    if gone == tag:
+                        break
+                if not inside:
+                    parts.append(" ")
+                continue
+            if closing:
+                leaves = tag == "head" or any(t == tag for t, _ in stack) or (limit < 0 and tag in INLINE and tag not in VOID)
+            else:
+                leaves = limit < 0 and ends_outer(tag)
+            if not leaves:
+                if closing or tag in VOID or (alone and (inside[0] in DRAWN or tag in UNSEEN)):
+                    continue
+                if tag in RAW and inside[0] not in DRAWN:
+                    end = end_of(tag, at, last if limit < 0 else limit)
+                    at = page.find(">", end) + 1 if end >= 0 else len(page) if limit < 0 else limit
+                    continue
+                inside.append(tag)
+                within[tag] += 1
+                continue
+            inside.clear()
+            within.clear()
+            parts.append(" ")
         if tag in UNSEEN:
-            if not closing and not (m[3] or m[6] or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+            if not closing and not alone:
+                end = end_of(tag, at, last) if tag in RAW else own_end(tag, at)
+                if tag in RAW and end < 0:
+                    at = len(page)
+                elif tag in RAW or (tag in SEALED and end >= 0):
+                    at = page.find(">", end) + 1
+                else:
+                    inside.append(tag)
+                    within[tag], limit = 1, end
             if tag != "title":
                 parts.append(" ")
             continue
@@ -140,7 +207,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             stack.pop()
         named = {w for x in _NAMES.findall(m[3] or m[6] or "") for w in _WORD.findall("".join(x).lower())}
         stack.append((tag, (tag, *(f".{w}" for w in sorted(named)))))
-    data(at, len(page))
+    opened = page.find("<!--", at)  # in the rest, where no tag and no comment ends
+    data(at, opened if opened >= 0 else len(page))
     flush()
     return out
 

@@ -27,6 +27,29 @@ def test_blocks(page, expected):
         assert found == expected
 
 
+ARTICLE = "<article><p>one</p><p>two</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<script>if(s.indexOf('<!--')>=0){}</script>", "<head><style><!-- p{} </style></head><body>", "<div title='<!-- x'></div>", "<textarea><!-- x</textarea>", "<svg><title><!-- x --></title></svg>",
+    "<script>s='-->'</script><script>t='<!--'</script>", "<!-->", "<!--->", "<!-- x --!>", "<script>x</script foo>", "<style>x</style/>", "<noscript><style>p{}</noscript>",
+    "<div><svg><path d='M0'></div>", "<svg><g>", "<p><canvas>x", "<div><object><param name=a>x</div>", "<div><video><source src=a></div><video>x</video>", "<a href=x><svg><path></a>",
+    "<span><svg></span>", "<ul><li><canvas>x<li><math></ul>", "<head><noscript><link></head><body>", "<head><template>x<body>", "<svg><svg></svg><text>x</text></svg>", "<svg><title>x</svg>", "<div><svg></div><!-- </svg> -->", "<td><audio>x</td>",
+])
+def test_what_stands_before_an_article_does_not_take_it(before):
+    assert texts(before + ARTICLE)[-2:] == ["one", "two"]
+    assert texts(before + ARTICLE + "<svg><path></svg>")[-2:] == ["one", "two"]
+    assert "x" not in texts(before + ARTICLE)
+
+
+@pytest.mark.parametrize(("page", "expected"), [
+    ("<p>a</p><!-- b > <p>c</p> d", ["a"]), ("<p>a</p><!-- <!-- b", ["a"]), ("<p>a</p><script>x<p>b</p>", ["a"]), ("<div>a<svg><text>x</text></svg>b</div>", ["a b"]),
+    ("<div>a<video><p>x</p></video>b</div>", ["a b"]), ("<div>a<object><div>x</div></div></object>b</div>", ["a b"]), ("<div>a<canvas>x</div>b", ["a", "b"]), ("<p>a<video><p>x</p></video>b</p>", ["a b"]),
+])
+def test_unseen_parts_stay_unseen(page, expected):
+    assert texts(page) == expected
+
+
 def test_paths_close_what_they_must():
     found = H.blocks("<body><div class='post main-content'><p>a<p>b</div><footer id=foot>c</footer>")
     assert found[0][0] == ("body", "div", ".content", ".main", ".post", "p") and found[1][0] == found[0][0]
@@ -104,3 +127,10 @@ def test_hostile_markup_ends_soon(page):
     begin = time.time()
     H.blocks(page)
     assert time.time() - begin < 20
+
+
+@pytest.mark.parametrize("page", [
+    "<svg>" * 50_000, "<svg><g>" * 50_000 + "</g>" * 50_000, "<svg></b>" * 50_000, "<svg>" + "</svg " * 50_000 + "<svg>", "<p><canvas>" * 20_000, "<video><style>" * 50_000, "<script>" + "</script " * 50_000, "<!-->" * 50_000, "<!--" * 50_000 + ">",
+])
+def test_unclosed_unseen_markup_ends_soon(page):
+    test_hostile_markup_ends_soon(page)
