@@ -19,6 +19,23 @@ OUTPUTS = {
     "done": "DONE",
 }
 FPS = 30
+REPO_ID = "Renz-7/VideoMatting-Assets"
+REPO_URL = f"https://huggingface.co/datasets/{REPO_ID}"
+FILE_MANIFEST = "manifests/files.jsonl"
+#: Columns of the binding of a workspace to its data set; ``files_sha256`` is the hash of the file manifest at hand.
+BINDING = (
+    "repo_id string, repo_url string, resolved_revision string, origin string, manifest_sha256 map<string,string>, "
+    "video_root string, files_sha256 string"
+)
+REFERENCE = (
+    "struct<repo_id string, repo_url string, revision string, origin string, file_manifest_sha256 string, "
+    "archive_path string, path_in_root string, sha256 string>"
+)
+ENVIRONMENT = ("python", "blender_bin", "gpu_uuid", "cuda_visible_devices")
+LIMITATIONS = (
+    "Three primary files are hashed. Preserve complete asset dependency packages and runtime; "
+    "bit-identical GPU output is not guaranteed."
+)
 
 
 def relocate(df: DataFrame, roots: Mapping[str, str]) -> DataFrame:
@@ -36,30 +53,50 @@ def unique_name() -> Column:
     return F.concat_ws("/", F.col("split"), F.col("sample_id"), F.lit(OUTPUTS["video"]))
 
 
-def source_refs(jobs: DataFrame, files: DataFrame, facts: DataFrame, root: str, roles: Sequence[str] = SOURCE_ROLES) -> DataFrame:
+def only_row(df: DataFrame, name: str) -> DataFrame:
+    """The one row of ``df`` as a struct, null where there is none, and ``_n``, how many there are."""
+    return F.broadcast(df.agg(F.first(F.struct(*df.columns)).alias(name), F.count(F.lit(1)).alias("_n")))
+
+
+def source_refs(
+    jobs: DataFrame, files: DataFrame, facts: DataFrame, binding: DataFrame, root: str | None = None, roles: Sequence[str] = SOURCE_ROLES
+) -> DataFrame:
     """Trace the source paths of each job to the bound file manifest.
 
     One row per job: the verdict of the first bad role, and the map role -> reference.
+    ``binding`` has one row of ``BINDING``: without it jobs are ``not_bound``; one for another data
+    set, or for another file manifest than ``files_sha256``, is an ``invalid_binding``. Neither
+    gives references. Paths lie below ``root``, or else below the binding's ``video_root``.
     """
-    prefix = root.rstrip("/") + "/"
-    long = jobs.select("id", *roles).unpivot("id", list(roles), "role", "source_path")
-    inside = F.col("source_path").startswith(prefix)
-    long = long.withColumn("rel", F.when(inside, F.substring(F.col("source_path"), F.lit(len(prefix) + 1), F.length("source_path"))))
+    expected = F.try_element_at("_bound.manifest_sha256", F.lit(FILE_MANIFEST))
+    valid = (F.col("_n") == 1) & F.col("_bound.repo_id").eqNullSafe(REPO_ID) & expected.isNotNull() & expected.eqNullSafe(F.col("_bound.files_sha256"))
+    unbound = F.when(F.col("_n") == 0, "not_bound").when(~valid, "invalid_binding")
+    origin = only_row(binding, "_bound").select(
+        unbound.alias("_unbound"), F.concat(F.rtrim(F.lit(root) if root is not None else F.col("_bound.video_root"), F.lit("/")), F.lit("/")).alias("_prefix"),
+        F.col("_bound.resolved_revision").alias("_revision"), F.col("_bound.origin").alias("_origin"), expected.alias("_manifest"),
+    )
+    long = jobs.select("id", *roles).unpivot("id", list(roles), "role", "source_path").crossJoin(F.broadcast(origin))
+    inside = F.col("source_path").startswith(F.col("_prefix"))
+    long = long.withColumn("rel", F.when(inside, F.substring(F.col("source_path"), F.length("_prefix") + 1, F.length("source_path"))))
     listed = files.select(F.col("path").alias("rel"), "archive", F.col("sha256").alias("_listed"))
     found = facts.select(F.col("path").alias("rel"), F.col("sha256").alias("_found"))
     verdict = (
         F.when(F.col("rel").isNull(), "outside_root")
         .when(F.col("_listed").isNull() | ~F.col("_listed").eqNullSafe(F.col("_found")), "missing_changed_or_unlisted")
     )
-    entry = F.struct(F.col("archive").alias("archive_path"), F.col("rel").alias("path_in_root"), F.col("_listed").alias("sha256"))
+    entry = F.struct(
+        F.lit(REPO_ID).alias("repo_id"), F.lit(REPO_URL).alias("repo_url"), F.col("_revision").alias("revision"), F.col("_origin").alias("origin"),
+        F.col("_manifest").alias("file_manifest_sha256"), F.col("archive").alias("archive_path"), F.col("rel").alias("path_in_root"), F.col("_listed").alias("sha256"),
+    )
     order = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role"))
+    good = F.col("_bad").isNull() & F.col("_unbound").isNull()
     return (
         long.join(listed, "rel", "left").join(found, "rel", "left")
         .withColumn("_bad", verdict)
         .groupBy("id")  # one row per role
         .agg(
-            F.min_by(F.concat_ws(":", "_bad", "role"), F.when(F.col("_bad").isNotNull(), order)).alias("problem"),
-            F.map_from_entries(F.collect_list(F.when(F.col("_bad").isNull(), F.struct("role", entry)))).alias("refs"),
+            F.coalesce(F.max("_unbound"), F.min_by(F.concat_ws(":", "_bad", "role"), F.when(F.col("_bad").isNotNull(), order))).alias("problem"),
+            F.map_from_entries(F.collect_list(F.when(good, F.struct("role", entry)))).alias("refs"),
         )
     )
 
@@ -80,11 +117,17 @@ def attach_facts(jobs: DataFrame, facts: DataFrame, column: str) -> DataFrame:
     return jobs.join(side, column, "left")
 
 
-def build_records(jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_root: str, setting: Mapping[str, str]) -> DataFrame:
+def build_records(
+    jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_root: str, setting: Mapping[str, str], refs: DataFrame | None = None,
+    binding: DataFrame | None = None, release: DataFrame | None = None, setting_path: str | None = None,
+) -> DataFrame:
     """Assemble one provenance record per job.
 
-    ``reports`` gives job_id, status, error, attempt and the runtime report JSON. The code
-    and setting hashes are one literal map for the whole batch.
+    ``reports`` gives job_id, status, error, attempt and the runtime report JSON, and in columns
+    named as in ``ENVIRONMENT`` what the worker ran in. The code and setting hashes are one
+    literal map for the whole batch. ``refs`` is what ``source_refs`` returns; a job with a problem
+    has no references. ``binding`` and ``release`` have one row for the batch; these and other
+    fields that nothing gives are null.
     """
     rows = jobs
     for role in SOURCE_ROLES:
@@ -93,8 +136,23 @@ def build_records(jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_
     side = reports.select(
         F.col("job_id").alias("id"), F.col("status").alias("_status"), F.col("error").alias("_error"),
         F.col("attempt").alias("_attempt"), F.col("runtime_report").alias("_runtime"),
+        F.struct(*[(F.col(c) if c in reports.columns else F.lit(None)).cast("string").alias(c) for c in ENVIRONMENT]).alias("_environment"),
     )
     rows = rows.join(side, "id")
+    if refs is not None:
+        traced = refs.select("id", F.when(F.col("problem").isNull(), F.col("refs")).alias("dataset_source_refs"))
+        rows = rows.drop("dataset_source_refs").join(traced, "id", "left")
+    elif "dataset_source_refs" not in jobs.columns:
+        rows = rows.withColumn("dataset_source_refs", F.lit(None).cast(f"map<string, {REFERENCE}>"))
+    for name, one, kind in (("asset_source_binding", binding, f"struct<{BINDING}>"), ("asset_release", release, "string")):
+        rows = rows.drop(name)
+        rows = rows.withColumn(name, F.lit(None).cast(kind)) if one is None else rows.crossJoin(only_row(one, name).drop("_n"))
+    given = facts.filter(F.col("path") == F.lit(setting_path)).select("exists", "bytes", "mtime_ns", "sha256")
+    rows = rows.crossJoin(only_row(given, "_set").drop("_n"))
+    setting_file = F.when(F.lit(setting_path).isNotNull(), F.struct(
+        F.lit(setting_path).cast("string").alias("path"), F.coalesce(F.col("_set.exists"), F.lit(False)).alias("exists"),
+        *[F.col(f"_set.{n}").alias(n) for n in ("bytes", "mtime_ns", "sha256")],
+    ))
     runtime = F.when(F.col("_status") == "completed", F.col("_runtime"))
     codes = F.create_map(*[F.lit(x) for pair in sorted(setting.items()) for x in pair])
     optional = lambda name, kind: F.col(name) if name in jobs.columns else F.lit(None).cast(kind)
@@ -104,6 +162,7 @@ def build_records(jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_
         F.unix_timestamp().alias("updated_unix"),
         F.col("id").alias("job_id"), "sample_id", "split", "subject_id",
         F.col("_attempt").alias("attempt_id"),
+        "asset_source_binding", "dataset_source_refs", "asset_release",
         file_fact("asset_path").alias("asset"),
         file_fact("background_path").alias("background"),
         file_fact("motion_path").alias("motion"),
@@ -120,12 +179,16 @@ def build_records(jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_
         F.get_json_object(runtime, "$.action_params").alias("runtime_action_parameters"),
         F.from_json(F.get_json_object(runtime, "$.visible_character_meshes"), "array<string>").alias("visible_character_meshes"),
         F.get_json_object(runtime, "$.hair_variant_visibility").alias("hair_variant_visibility"),
+        optional("production_setting", "string").alias("setting"),
+        setting_file.alias("setting_file"),
         codes.alias("code_files_sha256"),
         F.struct(*[F.concat_ws("/", folder, F.lit(rel)).alias(name) for name, rel in OUTPUTS.items()]).alias("outputs"),
         F.lit(OUTPUTS["video"].rsplit("/", 1)[-1]).alias("video_name"),
         unique_name().alias("video_unique_name"),
         F.col("_error").alias("error"),
+        F.col("_environment").alias("environment"),
         F.to_json(F.struct(*jobs.columns)).alias("replay_job"),
+        F.lit(LIMITATIONS).alias("limitations"),
     )
 
 

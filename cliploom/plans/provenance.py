@@ -39,6 +39,26 @@ def job_sources(t: Tables) -> DataFrame:
     )
 
 
+def binding(t: Tables) -> DataFrame:
+    """The binding of the workspace to its data set; the manifest at hand is the one it names."""
+    listed = F.sha2(F.lit("documents"), 256)
+    return t.spark.range(1).select(
+        F.lit(ops.REPO_ID).alias("repo_id"), F.lit(ops.REPO_URL).alias("repo_url"), F.lit(None).cast("string").alias("resolved_revision"),
+        F.lit("local_release").alias("origin"), F.create_map(F.lit(ops.FILE_MANIFEST), listed).alias("manifest_sha256"),
+        F.lit("/video").alias("video_root"), listed.alias("files_sha256"),
+    )
+
+
+def found(t: Tables) -> DataFrame:
+    """``facts`` with both forms of a text hashed before the join, so that no text is shuffled."""
+    whole = t.documents.select("doc_id", "n_chars", F.sha2("text", 256).alias("_whole"), F.sha2(F.concat("text", F.lit("!")), 256).alias("_altered"))
+    return whole.join(t.labels, "doc_id").select(
+        F.col("doc_id").cast("string").alias("path"), F.lit(True).alias("exists"),
+        F.when(F.col("toxic") == 1, F.col("_altered")).otherwise(F.col("_whole")).alias("sha256"),
+        F.when(F.col("quality") == 0, F.col("n_chars") - 1).otherwise(F.col("n_chars")).alias("bytes"),
+    )
+
+
 @query("source_refs", CTX + f""", {SOURCES},
 long AS (SELECT id, 1 AS k, 'asset_path' AS role, asset_path AS p FROM src UNION ALL SELECT id, 2, 'motion_path', motion_path FROM src
   UNION ALL SELECT id, 3, 'background_path', background_path FROM src),
@@ -49,7 +69,7 @@ v AS (SELECT l.*, m.archive, CASE WHEN NOT starts_with(p, '/video/') THEN 'outsi
 SELECT id, arg_min(bad || ':' || role, k) FILTER (bad IS NOT NULL) AS problem, count(*) FILTER (bad IS NULL) AS traced,
   max(archive) FILTER (bad IS NULL AND role = 'motion_path') AS motion_archive FROM v GROUP BY id""")
 def source_refs(t: Tables) -> DataFrame:
-    out = ops.source_refs(job_sources(t), manifest(t), facts(t), "/video")
+    out = ops.source_refs(job_sources(t), manifest(t), found(t), binding(t))
     return out.select(
         "id", "problem", F.size("refs").cast("long").alias("traced"),
         F.expr("refs['motion_path'].archive_path").alias("motion_archive"),
@@ -89,8 +109,8 @@ def done_without_record(t: Tables) -> DataFrame:
     return _index(t)[1]
 
 
-def _file_facts(t: Tables) -> DataFrame:
-    return facts(t).withColumn("path", F.concat(F.lit("/video/"), "path")).withColumn("mtime_ns", F.col("bytes") * 1000)
+def _file_facts(t: Tables, rows: DataFrame | None = None) -> DataFrame:
+    return (rows or facts(t)).withColumn("path", F.concat(F.lit("/video/"), "path")).withColumn("mtime_ns", F.col("bytes") * 1000)
 
 
 @query("build_records", CTX + f""", {SOURCES}
@@ -108,7 +128,8 @@ def build_records(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("error"), F.sha1(F.col("id").cast("string")).alias("attempt"),
         F.lit("{}").alias("runtime_report"),
     )
-    records = ops.build_records(queue, _file_facts(t), reports, "/out", {"worker.py": "0" * 64})
+    refs = ops.source_refs(job_sources(t), manifest(t), found(t), binding(t))
+    records = ops.build_records(queue, _file_facts(t, found(t)), reports, "/out", {"worker.py": "0" * 64}, refs, binding(t))
     return records.select(
         "job_id", "video_unique_name", "status", F.col("asset.exists").alias("asset_exists"),
         F.col("asset.sha256").alias("asset_sha256"), F.col("motion.bytes").alias("motion_bytes"),
