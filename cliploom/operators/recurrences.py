@@ -2,8 +2,8 @@
 
 ``chunked_scan`` runs a recurrence chunk by chunk. Chunks first start from a guess, then
 every chunk whose true start state (the end of the chunk before) differs is run again.
-Recurrences that forget their start settle after one repeat; clips that have not settled
-after a few are read in order. All versions of the chunks lie in one table, of which the
+Recurrences that forget their start settle after one repeat; where a clip has not settled
+after a few, chunks are read in order as far as their start differs. All versions of the chunks lie in one table, of which the
 newest count, so plan and number of rounds do not grow with the clip; the result is always
 the sequential one.
 """
@@ -24,7 +24,8 @@ from cliploom.session import pin, scratch_path
 
 Step = Callable[[pd.DataFrame, "np.ndarray | None"], "tuple[pd.DataFrame, np.ndarray]"]
 _END, _START, _VERSION = "_end", "_start", "_version"
-REPEATS = 3  # rounds of repeated chunks before a clip is read in order
+REPEATS = 3  # rounds of repeated chunks before chunks are read in order
+REACH = 64  # chunks read in order behind each wrong one, before the rest of such a clip is
 CALL_ROWS = 50_000  # rows of whole chunks handed to one pandas call
 
 
@@ -80,14 +81,20 @@ def chunked_scan(
 
     ends = keep(dealt(rows), 0)
     used = ends.select(*keys, F.lit(None).cast("array<double>").alias("_used"))
-    for version in range(1, REPEATS + 2):
+    for version in range(1, REPEATS + 3):
         now = ends.select(*clip, (F.col(K.CHUNK_COL) + 1).alias(K.CHUNK_COL), F.col(_END).alias(_START))
         changed = pin(used.join(now, keys).filter(~F.col("_used").eqNullSafe(F.col(_START))).select(*keys, _START))
         if changed.isEmpty():
             break
         if version > REPEATS:
-            keep(_onward(rows, changed, clip, frame, step, kept, names, schema), version)
-            break
+            reach = REACH if version == REPEATS + 1 else None
+            fresh = keep(_onward(rows, changed, used.join(ends, keys), reach, clip, frame, step, kept, names, schema), version)
+            if reach is None:
+                break
+            ends = pin(ends.join(fresh, keys, "left_anti").unionByName(fresh))
+            begun = ends.select(*clip, (F.col(K.CHUNK_COL) + 1).alias(K.CHUNK_COL), F.col(_END).alias("_used"))
+            used = pin(used.join(fresh, keys, "left_anti").unionByName(fresh.select(*keys).join(begun, keys)))
+            continue
         fresh = keep(
             rows.join(changed.select(*keys), keys, "left_semi").groupBy(*keys)
             .cogroup(changed.groupBy(*keys)).applyInPandas(repeat, schema), version
@@ -99,33 +106,53 @@ def chunked_scan(
     return every.join(newest, [*keys, _VERSION]).select(*clip, frame, *names)
 
 
-def _onward(rows: DataFrame, changed: DataFrame, clip: list[str], frame: str, step: Step, kept: list[str], names: list[str], schema: str) -> DataFrame:
-    """Clips whose states keep changing, from their first wrong chunk to the end, frame after frame.
+def _onward(
+    rows: DataFrame, changed: DataFrame, known: DataFrame, reach: int | None, clip: list[str], frame: str, step: Step, kept: list[str], names: list[str], schema: str
+) -> DataFrame:
+    """Chunks in order from each wrong one on, ``reach`` of them or all: those whose start differs from the one used.
 
-    Such a recurrence never forgets its start, so a clip is read in order by one task; rows
-    pass through in batches and only the state is held.
+    ``known`` has the used start and the end of every chunk; a chunk that began from the carried
+    state stays as it is. Chunks in a row are read by one task; rows pass through in batches
+    and only the state is held.
     """
-    chunk = K.CHUNK_COL
-    first = changed.groupBy(*clip).agg(F.min(F.struct(chunk, _START)).alias("_f")).select(*clip, F.col(f"_f.{chunk}").alias("_from"), F.col(f"_f.{_START}").alias(_START))
-    todo = rows.join(first, clip).filter(F.col(chunk) >= F.col("_from"))
-    ahead = Window.partitionBy(*clip).orderBy(frame)
-    todo = todo.withColumn("_last", F.lead(chunk).over(ahead).isNull() | (F.lead(chunk).over(ahead) != F.col(chunk)))
+    chunk, keys = K.CHUNK_COL, [*clip, K.CHUNK_COL]
+    if reach is None:
+        first = changed.groupBy(*clip).agg(F.min(chunk).alias("_from"))
+        cover = known.select(*keys).join(first, clip).filter(F.col(chunk) >= F.col("_from")).drop("_from")
+    else:
+        cover = changed.select(*clip, F.explode(F.sequence(F.col(chunk), F.col(chunk) + (reach - 1))).alias(chunk)).distinct()
+    ahead = Window.partitionBy(*clip).orderBy(chunk)  # one row for a chunk
+    gap = F.coalesce(F.col(chunk) - F.lag(chunk).over(ahead) != 1, F.lit(True))
+    cover = cover.withColumn("_gap", gap.cast("long")).withColumn("_walk", F.sum("_gap").over(ahead)).drop("_gap")
+    bounds = rows.groupBy(*keys).agg(F.min(frame).alias("_lo"), F.max(frame).alias("_hi"))
+    facts = cover.join(known.withColumnRenamed(_END, "_had"), keys).join(bounds, keys).join(changed, keys, "left")
+    head = F.col(frame) == F.col("_lo")
+    todo = rows.join(facts, keys).select(
+        *rows.columns, "_walk", head.alias("_first"), (F.col(frame) == F.col("_hi")).alias("_last"), *[F.when(head, F.col(c)).alias(c) for c in (_START, "_used", "_had")]
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        clip_now, state = None, None
+        before, state, agrees = None, None, False
         for batch in batches:
-            cuts = batch[[*clip, chunk]].ne(batch[[*clip, chunk]].shift()).any(axis=1).cumsum()
+            cuts = batch[keys].ne(batch[keys].shift()).any(axis=1).cumsum()
             for _, part in batch.groupby(cuts, sort=False):
-                own = tuple(part[clip].iloc[0])
-                if own != clip_now:
-                    clip_now, state = own, np.array(part[_START].iloc[0], dtype=float)
+                top = part.iloc[0]
+                if top["_first"]:
+                    if before != (*top[clip], top[chunk] - 1):
+                        state = np.array(top[_START], dtype=float)
+                    before = (*top[clip], top[chunk])
+                    agrees = top["_used"] is not None and np.array_equal(state, np.array(top["_used"], dtype=float), equal_nan=True)
+                    if agrees:
+                        state = np.array(top["_had"], dtype=float)
+                if agrees:
+                    continue
                 part = part.reset_index(drop=True)
                 made, state = step(part, state)
                 out = pd.concat([part[kept], made.reset_index(drop=True)], axis=1)
                 out[_END] = [None] * (len(out) - 1) + [[float(v) for v in state] if part["_last"].iloc[-1] else None]
                 yield out[[*kept, *names, _END]]
 
-    return todo.sortWithinPartitions(*clip, frame).mapInPandas(run, schema)
+    return todo.repartition(*clip, "_walk").sortWithinPartitions(*clip, frame).mapInPandas(run, schema)
 
 
 # ---- step clamp --------------------------------------------------------------------

@@ -116,6 +116,29 @@ def test_steps_that_never_settle_take_few_rounds(spark, monkeypatch):
     assert len(pins) < 25 and len(out._jdf.queryExecution().toString()) < 30_000
 
 
+def test_chunks_that_agree_again_are_not_read_in_order(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cliploom.operators import recurrences
+
+    paths = []
+    write = recurrences.scratch_path
+    monkeypatch.setattr(recurrences, "scratch_path", lambda *a: paths.append(write(*a)) or paths[-1])
+    i = np.arange(2000)
+    bursts = np.minimum(i, 20) * 0.2 + np.clip(i - 1000, 0, 100) * 0.2 + np.clip(i - 1500, 0, 20) * 0.2
+    clips = {"still": np.zeros(2000), "bursts": bursts, "steady": i * 0.2}
+    rows = [(c, int(k), [float(v), 0.0, 0.0], 0.1) for c, values in clips.items() for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "clip string, frame long, p array<double>, limit double")
+    out = recurrences.clamp_steps(df, ["clip"], "frame", "p", "limit", 2).orderBy("frame").collect()
+    for c, values in clips.items():
+        expected, hit = clamp_series(np.array([[v, 0.0, 0.0] for v in values]), 0.1, None)
+        got = [r for r in out if r.clip == c]
+        assert np.allclose([r.clamped for r in got], expected) and [r.repaired for r in got] == hit.tolist()
+    late = spark.read.parquet(paths[0]).filter(F.col("_version") > recurrences.REPEATS).groupBy("clip").count().collect()
+    late = {r["clip"]: r["count"] for r in late}
+    assert "still" not in late and late["bursts"] < 500 and late["steady"] < 2200
+
+
 def test_proximity_finds_distant_and_close_pairs(spark):
     rng = random.Random(1)
     rows = []
