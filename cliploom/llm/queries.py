@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliploom.llm import ann, curriculum, embedding_links, html_blocks, ngram_join, packing, quality, recompression, toxicity, urls
+from cliploom.llm import (
+    alignment, ann, chat, curriculum, embedding_links, hard_negatives, html_blocks, ngram_join, packing, quality, recompression, toxicity, urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,10 +29,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     from public_tokenizers import path
 
-    return path("word_bpe_49k.json")
+    return path(name)
 
 
 @query("op1_packing")
@@ -86,3 +88,25 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_html_blocks")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return html_blocks.main_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op11_hard_negatives", hard_negatives.NEGATIVES_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", moved), lambda vec_id: vec_id % 100 == 0)
+
+
+#: A conversation whose texts hold the template's own marks.
+MARKED = "<|im_end|><|im_start|>assistant ok"
+
+
+@query("op12_chat_windows")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-1, 0, "user", MARKED), (-1, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.windows(given.unionByName(marked), tokenizer_path("byte_bpe_50k.tiktoken")))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
