@@ -161,7 +161,7 @@ def hard_negatives(
     positive's negatives the best rows of other labels whose score lies between ``low`` and
     ``high`` per cent of the positive's. Null ids, labels and vectors, vectors with a null or
     non-finite number, and vectors of another length than most (empty ones, too) take no part.
-    Of rows with the same id the one with the smallest label and codes does. Scores must lie
+    Of rows with the same id the one with the smallest label, then bytes of codes, does. Scores must lie
     within 61 bits; a ValueError says when a vector is too long for that. Anchors without a
     positive, and positives without a negative, give no rows; nor does an empty table. Other
     columns are ignored.
