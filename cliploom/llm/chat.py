@@ -55,19 +55,6 @@ def unescaped_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescaped(role))
 
 
-def token_counts(turns: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``turns`` with ``tokens``, the number of tokens of ``shown``."""
-    schema = turns.select("*").schema.add("tokens", "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokenizer_at(ranks_path, pattern)
-        for batch in batches:
-            n = [len(tokenizer.encode_ordinary(t)) for t in batch.column("shown").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], names=[*batch.schema.names, "tokens"])
-
-    return turns.mapInArrow(run, schema)
-
-
 _tokenizers: dict[str, object] = {}
 
 
@@ -95,8 +82,32 @@ def marked(conversations: DataFrame) -> DataFrame:
     ).withColumn("md5", F.md5("shown"))
 
 
-def placed(turns: DataFrame, settings: Settings) -> DataFrame:
-    """``turns`` with their place in the conversation, the tokens before them and the long turns up to them.
+def counted(turns: DataFrame, ranks_path: str, pattern: str, settings: Settings) -> DataFrame:
+    """``turns``, ordered inside their partitions, with ``tokens`` and, over the rows of their key up to them, the numbers ``n`` of turns, ``sum`` of tokens and ``long`` of long turns."""
+    added = ("tokens", "n", "sum", "long")
+    schema = turns.select("*").schema
+    for name in added:
+        schema = schema.add(name, "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = tokenizer_at(ranks_path, pattern)
+        at, n, total, long = None, 0, 0, 0
+        for batch in batches:
+            rows = []
+            for key, shown in zip(batch.column("key").to_pylist(), batch.column("shown").to_pylist(), strict=True):
+                tokens = len(tokenizer.encode_ordinary(shown))
+                if key != at:
+                    at, n, total, long = key, 0, 0, 0
+                n, total, long = n + 1, total + tokens, long + (tokens > settings.longest_small)
+                rows.append((tokens, n, total, long))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(added)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.int64()) for c in columns)], names=[*batch.schema.names, *added])
+
+    return turns.mapInArrow(run, schema)
+
+
+def placed(turns: DataFrame, ranks_path: str, pattern: str, settings: Settings) -> DataFrame:
+    """``turns`` with their tokens, their place in the conversation, the tokens before them and the long turns up to them.
 
     The rows are range-partitioned by conversation and order, so a conversation of any length
     spreads over slices; a slice adds up its own turns, and totals of a conversation's earlier
@@ -104,25 +115,16 @@ def placed(turns: DataFrame, settings: Settings) -> DataFrame:
     """
     order = ["key", F.asc_nulls_last("turn"), "role", "md5"]
     slices = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col("place") == 0
-    cut = written(turns.repartitionByRange(slices, *order).withColumn("slice", F.spark_partition_id()).sortWithinPartitions(*order), "turns")
-    totals = cut.groupBy("key", "slice").agg(
-        F.count("*").alias("n"), F.sum("tokens").alias("sum"), F.sum((F.col("tokens") > settings.longest_small).cast("long")).alias("long"),
-    )
+    dealt = turns.repartitionByRange(slices, *order).sortWithinPartitions(*order).withColumn("slice", F.spark_partition_id())
+    cut = written(counted(dealt, ranks_path, pattern, settings), "chat-turns")
+    totals = cut.groupBy("key", "slice").agg(*(F.max(c).alias(c) for c in ("n", "sum", "long")))
     earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select("key", "slice", *(F.sum(c).over(earlier).alias(f"{c}_before") for c in ("n", "sum", "long"))).where("n_before is not null")
-    inside = Window.partitionBy("key", "slice").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    zero = F.lit(0).cast("long")
-    counted = cut.select(
-        "*", F.count("*").over(inside).alias("n"), F.sum("tokens").over(inside).alias("sum"),
-        F.sum((F.col("tokens") > settings.longest_small).cast("long")).over(inside).alias("long"),
-    ).join(F.broadcast(carried), ["key", "slice"], "left")
-    return counted.select(
-        "key", "conv_id", "role", "shown", "from", "chars", "tokens",
-        (F.col("n") - 1 + F.coalesce("n_before", zero)).alias("place"),
-        (F.col("sum") - F.col("tokens") + F.coalesce("sum_before", zero)).alias("before"),
-        (F.col("long") + F.coalesce("long_before", zero)).alias("breaks"),
-    ).withColumn("system", first & (F.col("role") == "system"))
+    carried = written(carried, "chat-carried")
+    n, total, long = (F.col(c) + F.coalesce(f"{c}_before", F.lit(0).cast("long")) for c in ("n", "sum", "long"))
+    return cut.join(F.broadcast(carried), ["key", "slice"], "left").select(
+        "key", "conv_id", "role", "shown", "from", "chars", "tokens", (n - 1).alias("place"), (total - F.col("tokens")).alias("before"), long.alias("breaks"),
+    ).withColumn("system", (F.col("place") == 0) & (F.col("role") == "system"))
 
 
 def windows(conversations: DataFrame, ranks_path: str, settings: Settings = Settings(), pattern: str | None = None) -> DataFrame:
@@ -141,7 +143,7 @@ def windows(conversations: DataFrame, ranks_path: str, settings: Settings = Sett
         raise ValueError("history must lie below the budget")
     if pattern is None:
         from public_tokenizers import PATTERN as pattern
-    turns = written(placed(written(token_counts(marked(conversations), ranks_path, pattern), "chat-tokens"), settings), "chat-turns")
+    turns = placed(marked(conversations), ranks_path, pattern, settings)
     convs = turns.groupBy("key").agg(
         F.count("*").alias("n"), F.max(F.when(F.col("system"), F.col("tokens"))).alias("system_tokens"), F.max(F.when(~F.col("system"), F.col("tokens"))).alias("longest"),
     ).select("key", "n", F.coalesce("system_tokens", F.lit(0)).alias("system_tokens"), F.col("system_tokens").isNotNull().alias("has_system"), "longest")

@@ -118,24 +118,30 @@ def quantised(rows: DataFrame, scale: int) -> DataFrame:
 _PICKED = "anchor_id long, positive_id long, positive_score long, row_id long, score long"
 
 
-def met(rows: DataFrame, asked: DataFrame, settings: Settings, pick: Callable) -> DataFrame:
-    """What ``pick`` takes of each block of ``rows(shard, vec_id, label, codes)`` for each block of ``asked(.., positives)`` of the same shard.
+def met(rows: DataFrame, asked: DataFrame, settings: Settings, pick: Callable, alike: bool) -> DataFrame:
+    """What ``pick`` takes of each block of ``rows(vec_id, label, codes)`` for each block of ``asked(.., positives)``, of the same label if ``alike``.
 
-    A shard with more rows or anchors than a block is dealt into parts that meet each other;
-    a part's picks are a fixed number for each anchor and positive.
+    Rows and anchors are dealt into parts that meet each other, as many as fit their blocks; a
+    part's picks are a fixed number for each anchor and positive.
     """
-    parts = rows.groupBy("shard").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("salts"))
-    asks = asked.groupBy("shard").agg(F.ceil(F.count("*") / settings.anchor_block).cast("int").alias("turns"))
-    groups = written(parts.join(asks, "shard"), "negative-groups")
-    name = F.xxhash64("shard", "salt", "turn").alias("grp")
     columns = ["vec_id", "label", "codes"]
+    label = F.col("label") if alike else F.lit(0).cast("long")
+    if alike:
+        salts = rows.groupBy("label").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("salts"))
+        turns = asked.groupBy("label").agg(F.ceil(F.count("*") / settings.anchor_block).cast("int").alias("turns"))
+        groups = written(salts.join(turns, "label"), "negative-groups")
+        rows, asked = rows.join(groups, "label"), asked.join(groups, "label")
+    else:
+        salts, turns = (F.lit(max(1, -(-df.count() // block))).cast("int") for df, block in ((rows, settings.block), (asked, settings.anchor_block)))
+        rows, asked = (df.withColumns({"salts": salts, "turns": turns}) for df in (rows, asked))
+    name = F.xxhash64(label, "salt", "turn").alias("grp")
     left = (
-        rows.join(groups, "shard").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
-        .withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).select(name, F.lit(0).alias("kind"), *columns, F.lit(None).cast(asked.schema["positives"].dataType).alias("positives"))
+        rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int")).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+        .select(name, F.lit(0).alias("kind"), *columns, F.lit(None).cast(asked.schema["positives"].dataType).alias("positives"))
     )
     right = (
-        asked.join(groups, "shard").withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(name, F.lit(1).alias("kind"), *columns, "positives")
+        asked.withColumn("turn", F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        .select(name, F.lit(1).alias("kind"), *columns, "positives")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,14 +215,12 @@ def hard_negatives(
                 names=["anchor_id", "positive_id", "positive_score", "row_id", "score"])
 
     blank = F.lit(None).cast("array<struct<score:bigint,row_id:bigint>>").alias("positives")
-    shard = F.col("label").alias("shard")
-    first = met(rows.select(shard, "*"), anchors.select(shard, "*", blank), settings, like)
+    first = met(rows, anchors.select("*", blank), settings, like, alike=True)
     order = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "row_id")
     positives = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.positives)
     positives = positives.groupBy("anchor_id").agg(F.collect_list(F.struct("score", "row_id")).alias("positives"))  # a fixed number
     asked = written(anchors.join(positives.withColumnRenamed("anchor_id", "vec_id"), "vec_id"), "negative-anchors")
-    all_rows = F.lit(0).cast("long").alias("shard")
-    second = met(rows.select(all_rows, "*"), asked.select(all_rows, "*"), settings, unlike)
+    second = met(rows, asked, settings, unlike, alike=False)
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "row_id")
     return second.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.negatives).select(
         "anchor_id", "positive_id", "rank", F.col("row_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
