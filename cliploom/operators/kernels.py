@@ -8,6 +8,7 @@ split that work:
 * ``spread`` / ``in_chunks`` cut frame series into fixed-length chunks with a halo,
   so lags, leads and short filters see their neighbours and no task sees a whole clip;
 * ``series_running_sum`` adds chunk totals to in-chunk running sums;
+* ``affine_scan`` follows x -> a * x + b over the rows of a key by composing the maps;
 * ``attach_per_clip`` joins one row per clip to its frames on (clip, chunk).
 """
 
@@ -222,6 +223,44 @@ def series_running_sum(
     )
 
 
+def _after(a: Column, b: Column, earlier_a: Column, earlier_b: Column) -> tuple[Column, Column]:
+    """The map ``earlier`` and then ``a, b``; a row without an earlier map stays as it is, and so does one that forgets it."""
+    apart = earlier_a.isNull() | (a == 0)
+    both = F.zip_with(b, earlier_b, lambda x, y: x + a * y)
+    return F.when(apart, a).otherwise(a * earlier_a), F.when(apart, b).otherwise(both)
+
+
+def affine_scan(df: DataFrame, keys: Sequence[str], order: str, a: str, b: str, out: str, last: int, size: int | None = None) -> DataFrame:
+    """The state after each row of the recurrence state = ``a`` * state + ``b``, with ``b`` an array, from a state of zeros.
+
+    ``order`` counts the rows of a key from 0 without a gap, ``last`` is the largest of all
+    keys. Maps compose, so every chunk of ``size`` rows is scanned alone: pass k composes each
+    row with what the row 2^k before it covers, all passes over one sorted shuffle. The last
+    map of each chunk is the chunk's own; these are scanned the same way, level by level, and
+    the state before a chunk is joined to its rows. ``a`` = 0 begins anew, whatever was before.
+    """
+    size, keys = size or CHUNK, list(keys)
+    inside = Window.partitionBy(*keys, CHUNK_COL).orderBy(order)
+    rows = df.withColumn(CHUNK_COL, chunk_of(order, size)).withColumns({"_scale": F.col(a).cast("double"), "_shift": F.col(b)})
+    scale, shift, reach = F.col("_scale"), F.col("_shift"), 1
+    while reach <= min(last, size - 1):
+        rows = rows.withColumns({"_scale_before": F.lag(scale, reach).over(inside), "_shift_before": F.lag(shift, reach).over(inside)})
+        both = _after(scale, shift, F.col("_scale_before"), F.col("_shift_before"))
+        # under other names first: in a select a name would mean the new column
+        rows = rows.select(*df.columns, CHUNK_COL, both[0].alias("_scale_now"), both[1].alias("_shift_now"))
+        rows = rows.withColumnsRenamed({"_scale_now": "_scale", "_shift_now": "_shift"})
+        reach *= 2
+    if last < size:
+        return rows.withColumnRenamed("_shift", out).drop(CHUNK_COL, "_scale")
+    rows = pin(rows)
+    final = (F.col(order) % size == size - 1) & (F.col(CHUNK_COL) < last // size)
+    ends = rows.filter(final).select(*keys, F.col(CHUNK_COL).alias("_at"), scale.alias("_end_scale"), shift.alias("_end_shift"))
+    before = affine_scan(ends, keys, "_at", "_end_scale", "_end_shift", "_end_state", last // size - 1, size)
+    before = before.select(*keys, (F.col("_at") + 1).alias(CHUNK_COL), F.lit(1.0).alias("_one"), F.col("_end_state").alias("_carried"))
+    state = _after(scale, shift, F.col("_one"), F.col("_carried"))[1]
+    return rows.join(before, [*keys, CHUNK_COL], "left").withColumn(out, state).drop(CHUNK_COL, "_scale", "_shift", "_one", "_carried")
+
+
 def attach_per_clip(
     df: DataFrame, per_clip: DataFrame, clip: Sequence[str], frame: str, last: str, size: int | None = None
 ) -> DataFrame:

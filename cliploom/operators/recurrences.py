@@ -207,7 +207,8 @@ def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, v
     """Hold each maximal contact run at its mean position and blend two frames either side.
 
     Runs are taken in order: a run one frame after another sees its first position already
-    pulled toward the earlier anchor, so anchors follow a recurrence over runs.
+    pulled toward the earlier anchor, so an anchor is an affine map of the one before it, and
+    anchors are a scan that composes these maps (``kernels.affine_scan``).
     """
     clip = list(clip)
     far = 1.0 / (BLEND + 1)
@@ -217,34 +218,24 @@ def contact_runs(df: DataFrame, clip: Sequence[str], frame: str, contact: str, v
         df, clip, frame,
         lambda w: {"_begin": (F.col(contact) & ~F.coalesce(F.lag(contact).over(w), F.lit(False))).cast("double")},
     )
-    # Frames and runs are each read several times below, so both are written once.
-    rows = pin(K.series_running_sum(begun, clip, frame, "_begin", "_run").withColumn("_run", F.col("_run").cast("long")))
-    sums = [F.sum(F.col(vector)[i]).alias(f"_s{i}") for i in range(dims)]
+    # Frames are read several times below, so they are written once; so are the spans.
+    rows = pin(K.series_running_sum(begun, clip, frame, "_begin", "_run", size).withColumn("_run", F.col("_run").cast("long")))
     runs = rows.filter(contact).groupBy(*clip, "_run").agg(
-        F.min(frame).cast("long").alias("_from"), F.max(frame).cast("long").alias("_to"), F.count(F.lit(1)).alias("_n"), *sums
+        F.min(frame).cast("long").alias("_from"), F.max(frame).cast("long").alias("_to"), F.count(F.lit(1)).alias("_n"),
+        F.array(*[F.sum(F.col(vector)[i]) for i in range(dims)]).alias("_sum"), F.min_by(vector, frame).alias("_first"),
     )
-    opening = rows.filter("_begin = 1").select(*clip, "_run", F.col(vector).alias("_first"))
-    runs = pin(
-        runs.join(opening, [*clip, "_run"]).withColumn("_sum", F.array(*[f"_s{i}" for i in range(dims)]))
-        .withColumn("_order", F.col("_run") - 1).drop(*[f"_s{i}" for i in range(dims)])
+    # The anchor is total / n, and total follows the anchor of a run that ended BLEND frames before.
+    runs = K.in_chunks(
+        runs.withColumn("_order", F.col("_run") - 1), clip, "_order",
+        lambda w: {"_near": F.coalesce(F.col("_from") - F.lag("_to").over(w) == BLEND, F.lit(False))}, size=size,
     )
-
-    def step(pdf: pd.DataFrame, start):
-        end, anchor = (None, None) if start is None else (start[0], start[1:])
-        anchors = []
-        for run in pdf.itertuples(index=False, name=None):
-            begin, finish, n, total, first = run[-5], run[-4], run[-3], np.array(run[-2], dtype=float), np.array(run[-1], dtype=float)
-            if anchor is not None and begin - end == BLEND:
-                total = total + reach * (anchor - first)
-            anchor, end = total / n, finish
-            anchors.append(anchor.tolist())
-        return pd.DataFrame({"_anchor": anchors}), np.concatenate([[end], anchor])
-
-    def ordered(pdf: pd.DataFrame, start):
-        return step(pdf[["_from", "_to", "_n", "_sum", "_first"]], start)
-
-    anchored = chunked_scan(runs, clip, "_order", ["_from", "_to", "_n", "_sum", "_first"], ordered, "_anchor array<double>", size)
-    spans = pin(runs.select(*clip, "_run", "_order", "_from", "_to").join(anchored, [*clip, "_order"]).drop("_order"))
+    pull = F.when(F.col("_near"), F.lit(reach)).otherwise(0.0)
+    apart = F.transform("_sum", lambda total: total / F.col("_n"))
+    pulled = F.zip_with("_sum", "_first", lambda total, first: (total - reach * first) / F.col("_n"))
+    maps = runs.withColumns({"_pull": pull / F.col("_n"), "_rest": F.when(F.col("_near"), pulled).otherwise(apart)})
+    longest = rows.agg(F.max("_run")).first()[0] or 0
+    anchored = K.affine_scan(maps, clip, "_order", "_pull", "_rest", "_anchor", max(longest - 1, 0), size)
+    spans = pin(anchored.select(*clip, "_run", "_from", "_to", "_anchor"))
     following = spans.select(*clip, (F.col("_run") - 1).alias("_run"), F.col("_from").alias("_next"), F.col("_anchor").alias("_next_anchor"))
     nothing = F.lit(None)
     lead_in = spans.filter("_run = 1 AND _from > 0").select(

@@ -359,3 +359,63 @@ def test_silence_begins_after_more_than_the_timeout(spark, tmp_path):
     found = {(r["job_id"], (r["silent_since"] - begin) / timedelta(hours=1)) for r in streams.drain_append(stream, f"{tmp_path}/out").collect()}
     # exactly six hours go on, a little more does not; the watermark ends at hour 54
     assert found == {(1, 12.0), (1, 40.0), (2, 0.0), (2, 6.001)}
+
+
+@pytest.mark.parametrize("size", [2, 9, 4096])
+def test_affine_scan(spark, size):
+    from cliploom.operators import kernels as K
+
+    rng = np.random.default_rng(3)
+    maps = {k: [(0.0 if rng.random() < 0.1 else float(rng.normal()), rng.normal(size=2).tolist()) for _ in range(n)] for k, n in (("long", 500), ("one", 1), ("short", 7))}
+    df = spark.createDataFrame([(k, i, a, b) for k, own in maps.items() for i, (a, b) in enumerate(own)], "k string, i long, a double, b array<double>")
+    got = {(r.k, r.i): r.state for r in K.affine_scan(df, ["k"], "i", "a", "b", "state", 499, size).collect()}
+    for k, own in maps.items():
+        state = np.zeros(2)
+        for i, (a, b) in enumerate(own):
+            state = a * state + np.array(b)
+            assert np.allclose(got[k, i], state, rtol=1e-9, atol=1e-9)
+
+
+def test_affine_scan_begins_anew_behind_what_is_not_finite(spark):
+    from cliploom.operators import kernels as K
+
+    df = spark.createDataFrame([("k", 0, 1.0, [float("nan")]), ("k", 1, 0.0, [2.0]), ("k", 2, 0.5, [1.0])], "k string, i long, a double, b array<double>")
+    assert [r.state for r in K.affine_scan(df, ["k"], "i", "a", "b", "state", 2).orderBy("i").collect()][1:] == [[2.0], [2.0]]
+
+
+@pytest.mark.parametrize("size", [9, 4096])
+@pytest.mark.parametrize("dims", [1, 3])
+def test_contact_runs_are_a_scan_in_the_jvm(spark, monkeypatch, size, dims):
+    """Against the walk over runs; one clip holds nearly all rows; at most two tables are written and no Python worker runs."""
+    from cliploom.operators import recurrences as R
+
+    rng = np.random.default_rng(dims)
+    clips = {"hot": 700, "short": 12, "still": 30}
+    contact = {c: (rng.random(n) < 0.55) if c != "still" else np.zeros(n, bool) for c, n in clips.items()}
+    contact["hot"][:300] = np.arange(300) % 2 == 0  # each run begins one frame behind the one before
+    points = {c: rng.normal(size=(n, dims)) for c, n in clips.items()}
+    rows = [(c, i, bool(contact[c][i]), points[c][i].tolist()) for c, n in clips.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "clip string, frame long, contact boolean, p array<double>")
+    pins = []
+    pinned = R.pin
+    monkeypatch.setattr(R, "pin", lambda x: pins.append(1) or pinned(x))
+    out = R.contact_runs(df, ["clip"], "frame", "contact", "p", dims, size)
+    assert len(pins) == 2
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    got = {(r.clip, r.frame): r.stabilized for r in out.collect()}
+    weight = lambda d: (lambda x: x * x * (3 - 2 * x))((3 - d) / 3)
+    for c, n in clips.items():
+        made = points[c].copy()
+        for b in range(n):
+            if contact[c][b] and (b == 0 or not contact[c][b - 1]):
+                e = b
+                while e + 1 < n and contact[c][e + 1]:
+                    e += 1
+                anchor = made[b : e + 1].mean(axis=0)
+                made[b : e + 1] = anchor
+                for d in (1, 2):
+                    for f in (b - d, e + d):
+                        if 0 <= f < n:
+                            made[f] += (anchor - made[f]) * weight(d)
+        assert np.allclose([got[c, f] for f in range(n)], made)
