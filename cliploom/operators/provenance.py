@@ -19,8 +19,6 @@ OUTPUTS = {
     "done": "DONE",
 }
 FPS = 30
-REPO_ID = "Renz-7/VideoMatting-Assets"
-REPO_URL = f"https://huggingface.co/datasets/{REPO_ID}"
 FILE_MANIFEST = "manifests/files.jsonl"
 #: Columns of the binding of a workspace to its data set; ``files_sha256`` is the hash of the file manifest at hand.
 BINDING = (
@@ -32,10 +30,6 @@ REFERENCE = (
     "archive_path string, path_in_root string, sha256 string>"
 )
 ENVIRONMENT = ("python", "blender_bin", "gpu_uuid", "cuda_visible_devices")
-LIMITATIONS = (
-    "Three primary files are hashed. Preserve complete asset dependency packages and runtime; "
-    "bit-identical GPU output is not guaranteed."
-)
 
 
 def relocate(df: DataFrame, roots: Mapping[str, str]) -> DataFrame:
@@ -59,21 +53,25 @@ def only_row(df: DataFrame, name: str) -> DataFrame:
 
 
 def source_refs(
-    jobs: DataFrame, files: DataFrame, facts: DataFrame, binding: DataFrame, root: str | None = None, roles: Sequence[str] = SOURCE_ROLES
+    jobs: DataFrame, files: DataFrame, facts: DataFrame, binding: DataFrame, root: str | None = None, roles: Sequence[str] = SOURCE_ROLES,
+    data_set: str | None = None,
 ) -> DataFrame:
     """Trace the source paths of each job to the bound file manifest.
 
     One row per job: the verdict of the first bad role, and the map role -> reference.
-    ``binding`` has one row of ``BINDING``: without it jobs are ``not_bound``; one for another data
-    set, or for another file manifest than ``files_sha256``, is an ``invalid_binding``. Neither
-    gives references. Paths lie below ``root``, or else below the binding's ``video_root``.
+    ``binding`` has one row of ``BINDING``: without it jobs are ``not_bound``; one that names no
+    data set, another one than ``data_set`` where that is given, or another file manifest than
+    ``files_sha256``, is an ``invalid_binding``. Neither gives references, which carry the data
+    set's id and address as the binding has them. Paths lie below ``root``, or else below the
+    binding's ``video_root``.
     """
     expected = F.try_element_at("_bound.manifest_sha256", F.lit(FILE_MANIFEST))
-    valid = (F.col("_n") == 1) & F.col("_bound.repo_id").eqNullSafe(REPO_ID) & expected.isNotNull() & expected.eqNullSafe(F.col("_bound.files_sha256"))
+    valid = (F.col("_n") == 1) & (F.col("_bound.repo_id").isNotNull() if data_set is None else F.col("_bound.repo_id").eqNullSafe(data_set)) & expected.isNotNull() & expected.eqNullSafe(F.col("_bound.files_sha256"))
     unbound = F.when(F.col("_n") == 0, "not_bound").when(~valid, "invalid_binding")
     origin = only_row(binding, "_bound").select(
         unbound.alias("_unbound"), F.concat(F.rtrim(F.lit(root) if root is not None else F.col("_bound.video_root"), F.lit("/")), F.lit("/")).alias("_prefix"),
         F.col("_bound.resolved_revision").alias("_revision"), F.col("_bound.origin").alias("_origin"), expected.alias("_manifest"),
+        F.col("_bound.repo_id").alias("_repo_id"), F.col("_bound.repo_url").alias("_repo_url"),
     )
     long = jobs.select("id", *roles).unpivot("id", list(roles), "role", "source_path").crossJoin(F.broadcast(origin))
     inside = F.col("source_path").startswith(F.col("_prefix"))
@@ -85,7 +83,7 @@ def source_refs(
         .when(F.col("_listed").isNull() | ~F.col("_listed").eqNullSafe(F.col("_found")), "missing_changed_or_unlisted")
     )
     entry = F.struct(
-        F.lit(REPO_ID).alias("repo_id"), F.lit(REPO_URL).alias("repo_url"), F.col("_revision").alias("revision"), F.col("_origin").alias("origin"),
+        F.col("_repo_id").alias("repo_id"), F.col("_repo_url").alias("repo_url"), F.col("_revision").alias("revision"), F.col("_origin").alias("origin"),
         F.col("_manifest").alias("file_manifest_sha256"), F.col("archive").alias("archive_path"), F.col("rel").alias("path_in_root"), F.col("_listed").alias("sha256"),
     )
     order = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role"))
@@ -119,15 +117,15 @@ def attach_facts(jobs: DataFrame, facts: DataFrame, column: str) -> DataFrame:
 
 def build_records(
     jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_root: str, setting: Mapping[str, str], refs: DataFrame | None = None,
-    binding: DataFrame | None = None, release: DataFrame | None = None, setting_path: str | None = None,
+    binding: DataFrame | None = None, release: DataFrame | None = None, setting_path: str | None = None, limitations: str | None = None,
 ) -> DataFrame:
     """Assemble one provenance record per job.
 
     ``reports`` gives job_id, status, error, attempt and the runtime report JSON, and in columns
     named as in ``ENVIRONMENT`` what the worker ran in. The code and setting hashes are one
     literal map for the whole batch. ``refs`` is what ``source_refs`` returns; a job with a problem
-    has no references. ``binding`` and ``release`` have one row for the batch; these and other
-    fields that nothing gives are null.
+    has no references. ``binding`` and ``release`` have one row for the batch, ``limitations`` is
+    what the batch says about its records; these and other fields that nothing gives are null.
     """
     rows = jobs
     for role in SOURCE_ROLES:
@@ -188,7 +186,7 @@ def build_records(
         F.col("_error").alias("error"),
         F.col("_environment").alias("environment"),
         F.to_json(F.struct(*jobs.columns)).alias("replay_job"),
-        F.lit(LIMITATIONS).alias("limitations"),
+        F.lit(limitations).cast("string").alias("limitations"),
     )
 
 

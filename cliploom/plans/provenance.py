@@ -39,12 +39,14 @@ def job_sources(t: Tables) -> DataFrame:
     )
 
 
+BOUND = {"repo_id": "tables/documents", "repo_url": "file:///tables/documents", "resolved_revision": "r1", "origin": "local_release"}
+
+
 def binding(t: Tables) -> DataFrame:
     """The binding of the workspace to its data set; the manifest at hand is the one it names."""
     listed = F.sha2(F.lit("documents"), 256)
     return t.spark.range(1).select(
-        F.lit(ops.REPO_ID).alias("repo_id"), F.lit(ops.REPO_URL).alias("repo_url"), F.lit(None).cast("string").alias("resolved_revision"),
-        F.lit("local_release").alias("origin"), F.create_map(F.lit(ops.FILE_MANIFEST), listed).alias("manifest_sha256"),
+        *[F.lit(value).alias(name) for name, value in BOUND.items()], F.create_map(F.lit(ops.FILE_MANIFEST), listed).alias("manifest_sha256"),
         F.lit("/video").alias("video_root"), listed.alias("files_sha256"),
     )
 
@@ -59,21 +61,27 @@ def found(t: Tables) -> DataFrame:
     )
 
 
-@query("source_refs", CTX + f""", {SOURCES},
-long AS (SELECT id, 1 AS k, 'asset_path' AS role, asset_path AS p FROM src UNION ALL SELECT id, 2, 'motion_path', motion_path FROM src
+# Verdict of each source of each job, and what is listed for it.
+TRACED = """long AS (SELECT id, 1 AS k, 'asset_path' AS role, asset_path AS p FROM src UNION ALL SELECT id, 2, 'motion_path', motion_path FROM src
   UNION ALL SELECT id, 3, 'background_path', background_path FROM src),
-v AS (SELECT l.*, m.archive, CASE WHEN NOT starts_with(p, '/video/') THEN 'outside_root'
+v AS (SELECT l.*, m.archive, m.sha256, CASE WHEN NOT starts_with(p, '/video/') THEN 'outside_root'
    WHEN m.path IS NULL OR m.sha256 IS DISTINCT FROM f.sha256 THEN 'missing_changed_or_unlisted' END AS bad
   FROM long l LEFT JOIN manifest m ON starts_with(p, '/video/') AND m.path = substr(p, 8)
-  LEFT JOIN facts f ON starts_with(p, '/video/') AND f.path = substr(p, 8))
-SELECT id, arg_min(bad || ':' || role, k) FILTER (bad IS NOT NULL) AS problem, count(*) FILTER (bad IS NULL) AS traced,
-  max(archive) FILTER (bad IS NULL AND role = 'motion_path') AS motion_archive FROM v GROUP BY id""")
+  LEFT JOIN facts f ON starts_with(p, '/video/') AND f.path = substr(p, 8)),
+problems AS (SELECT id, arg_min(bad || ':' || role, k) FILTER (bad IS NOT NULL) AS problem FROM v GROUP BY id)"""
+
+
+@query("source_refs", CTX + f""", {SOURCES}, {TRACED}
+SELECT v.id, v.role, p.problem, CASE WHEN bad IS NULL THEN '{BOUND["repo_id"]}' END AS repo_id, CASE WHEN bad IS NULL THEN '{BOUND["repo_url"]}' END AS repo_url,
+  CASE WHEN bad IS NULL THEN '{BOUND["resolved_revision"]}' END AS revision, CASE WHEN bad IS NULL THEN '{BOUND["origin"]}' END AS origin,
+  CASE WHEN bad IS NULL THEN sha256('documents') END AS file_manifest_sha256, CASE WHEN bad IS NULL THEN archive END AS archive_path,
+  CASE WHEN bad IS NULL THEN substr(v.p, 8) END AS path_in_root, CASE WHEN bad IS NULL THEN v.sha256 END AS sha256
+FROM v JOIN problems p ON p.id = v.id""")
 def source_refs(t: Tables) -> DataFrame:
+    """Every job and role with the eight fields of its reference, null where the source cannot be traced."""
     out = ops.source_refs(job_sources(t), manifest(t), found(t), binding(t))
-    return out.select(
-        "id", "problem", F.size("refs").cast("long").alias("traced"),
-        F.expr("refs['motion_path'].archive_path").alias("motion_archive"),
-    )
+    each = out.select("id", "problem", "refs", F.explode(F.array(*[F.lit(r) for r in ops.SOURCE_ROLES])).alias("role"))
+    return each.select("id", "role", "problem", F.try_element_at("refs", F.col("role")).alias("ref")).select("id", "role", "problem", "ref.*")
 
 
 DONE_FILES = """done AS (SELECT DISTINCT split, sample_id FROM jobs j JOIN lineitem l ON l.l_orderkey = j.id WHERE l_returnflag = 'A'),
@@ -113,28 +121,66 @@ def _file_facts(t: Tables, rows: DataFrame | None = None) -> DataFrame:
     return (rows or facts(t)).withColumn("path", F.concat(F.lit("/video/"), "path")).withColumn("mtime_ns", F.col("bytes") * 1000)
 
 
-@query("build_records", CTX + f""", {SOURCES}
-SELECT j.id AS job_id, j.split || '/' || j.sample_id || '/video/preview_960x540.mp4' AS video_unique_name,
-  CASE WHEN j.status = 'done' THEN 'completed' ELSE 'failed' END AS status,
-  coalesce(a.present, false) AS asset_exists, a.sha256 AS asset_sha256, m.bytes AS motion_bytes, b.bytes * 1000 AS background_mtime_ns,
-  '/out/' || j.split || '/' || j.sample_id || '/DONE' AS done_path
-FROM src s JOIN jobs j ON j.id = s.id
+# What a job may say about itself, beside its sources.
+DETAILS = {
+    "background_start_sec": "pid * 0.5D", "background_start_sec_actual": "pid * 0.25D", "motion_segment_id": "concat('seg-', action_index)",
+    "action_design_id": "concat('design-', id)", "source_start_frame": "attempts * 30", "frame_count": "CAST(90 + action_index AS INT)",
+    "framing": "CASE WHEN action_index < 4 THEN 'full' END", "camera_angle_deg": "attempts * 1.5D", "production_setting": "concat('setting-', split)",
+}
+RUNTIME = '{"action_params":{"speed":%s},"visible_character_meshes":["body","hair"],"hair_variant_visibility":{"short":true}}'
+CODE = {"worker.py": "0" * 64, "a_rules.py": "1" * 64}
+SETTING_PATH = "/video/7"
+
+
+def _fact_sql(path: str, side: str) -> str:
+    return f"concat_ws('|', {path}, CASE WHEN {side}.present THEN 'true' ELSE 'false' END, {side}.bytes, {side}.bytes * 1000, {side}.sha256)"
+
+
+@query("build_records", CTX + f""", {SOURCES}, {TRACED}, traced AS (SELECT id, string_agg(role || '=' || substr(p, 8) || ':' || sha256, ',' ORDER BY k) AS refs FROM v GROUP BY id)
+SELECT 1 AS schema_version, CASE WHEN j.status = 'done' THEN 'completed' ELSE 'failed' END AS status, true AS updated, j.id AS job_id, j.sample_id, j.split, j.subject_id,
+  sha1(CAST(j.id AS VARCHAR)) AS attempt_id, '{"|".join(BOUND.values())}|' || sha256('documents') || '|/video|' || sha256('documents') AS asset_source_binding,
+  CASE WHEN p.problem IS NULL THEN r.refs END AS dataset_source_refs, 'v1' AS asset_release,
+  {_fact_sql("s.asset_path", "a")} AS asset, {_fact_sql("s.background_path", "b")} AS background, {_fact_sql("s.motion_path", "m")} AS motion,
+  pid * 0.5::DOUBLE AS background_start_seconds_requested, pid * 0.25::DOUBLE AS background_start_seconds_actual, 'seg-' || action_index AS motion_segment_id,
+  'design-' || j.id AS action_design_id, action_params_json AS action_parameters, attempts * 30 AS motion_source_start_frame, CAST(90 + action_index AS INT) AS frame_count, 30 AS fps,
+  CASE WHEN action_index < 4 THEN 'full' END AS framing, attempts * 1.5::DOUBLE AS camera_angle_deg,
+  CASE WHEN j.status = 'done' THEN '{{"speed":' || action_index || '}}' END AS runtime_action_parameters, CASE WHEN j.status = 'done' THEN 'body,hair' END AS visible_character_meshes,
+  CASE WHEN j.status = 'done' THEN '{{"short":true}}' END AS hair_variant_visibility, 'setting-' || j.split AS setting,
+  {_fact_sql(f"'{SETTING_PATH}'", "z")} AS setting_file, '{",".join(f"{k}={v}" for k, v in sorted(CODE.items()))}' AS code_files_sha256,
+  {" || '|' || ".join(f"'/out/' || j.split || '/' || j.sample_id || '/{rel}'" for rel in ops.OUTPUTS.values())} AS outputs,
+  'preview_960x540.mp4' AS video_name, j.split || '/' || j.sample_id || '/video/preview_960x540.mp4' AS video_unique_name,
+  CASE WHEN j.status <> 'done' THEN 'E-' || j.id END AS error, '3.11|GPU-' || pid AS environment, j.sample_id || '|' || s.asset_path AS replay_job, 'one batch' AS limitations
+FROM src s JOIN jobs j ON j.id = s.id JOIN problems p ON p.id = s.id JOIN traced r ON r.id = s.id
 LEFT JOIN facts a ON '/video/' || a.path = s.asset_path LEFT JOIN facts m ON '/video/' || m.path = s.motion_path
-LEFT JOIN facts b ON '/video/' || b.path = s.background_path""")
+LEFT JOIN facts b ON '/video/' || b.path = s.background_path LEFT JOIN facts z ON '/video/' || z.path = '{SETTING_PATH}'""")
 def build_records(t: Tables) -> DataFrame:
-    queue = jobs(t).select("id", "sample_id", "split", "subject_id", "status").join(job_sources(t), "id")
+    """All 37 fields of every job's record; nested ones are joined into text, the time of writing is checked to be one."""
+    details = [F.expr(e).alias(c) for c, e in DETAILS.items()]
+    queue = jobs(t).select("id", "sample_id", "split", "subject_id", "status", "action_params_json", "action_index", "pid", *details).join(job_sources(t), "id")
+    done = F.col("status") == "done"
     reports = queue.select(
-        F.col("id").alias("job_id"), F.when(F.col("status") == "done", "completed").otherwise("failed").alias("status"),
-        F.lit(None).cast("string").alias("error"), F.sha1(F.col("id").cast("string")).alias("attempt"),
-        F.lit("{}").alias("runtime_report"),
-    )
-    refs = ops.source_refs(job_sources(t), manifest(t), found(t), binding(t))
-    records = ops.build_records(queue, _file_facts(t, found(t)), reports, "/out", {"worker.py": "0" * 64}, refs, binding(t))
-    return records.select(
-        "job_id", "video_unique_name", "status", F.col("asset.exists").alias("asset_exists"),
-        F.col("asset.sha256").alias("asset_sha256"), F.col("motion.bytes").alias("motion_bytes"),
-        F.col("background.mtime_ns").alias("background_mtime_ns"), F.col("outputs.done").alias("done_path"),
+        F.col("id").alias("job_id"), F.when(done, "completed").otherwise("failed").alias("status"), F.when(~done, F.concat(F.lit("E-"), "id")).alias("error"),
+        F.sha1(F.col("id").cast("string")).alias("attempt"), F.format_string(RUNTIME, F.col("action_index").cast("string")).alias("runtime_report"),
+        F.lit("3.11").alias("python"), F.concat(F.lit("GPU-"), "pid").alias("gpu_uuid"),
     )
+    refs = ops.source_refs(job_sources(t), manifest(t), found(t), binding(t), data_set=BOUND["repo_id"])
+    release = t.spark.range(1).select(F.lit("v1").alias("tag"))
+    records = ops.build_records(queue, _file_facts(t, found(t)), reports, "/out", CODE, refs, binding(t), release, SETTING_PATH, "one batch")
+    joined = lambda *c: F.concat_ws("|", *[F.col(x).cast("string") for x in c])
+    fact = lambda c: joined(*(f"{c}.{x}" for x in ("path", "exists", "bytes", "mtime_ns", "sha256"))).alias(c)
+    bound = "asset_source_binding"
+    role = lambda r: F.concat_ws(":", F.concat(F.lit(r + "="), F.expr(f"dataset_source_refs['{r}'].path_in_root")), F.expr(f"dataset_source_refs['{r}'].sha256"))
+    made = {
+        "asset": fact("asset"), "background": fact("background"), "motion": fact("motion"), "setting_file": fact("setting_file"),
+        "updated_unix": (F.col("updated_unix") > 1_600_000_000).alias("updated"), "asset_release": F.col("asset_release.tag").alias("asset_release"),
+        bound: F.concat_ws("|", *[F.col(f"{bound}.{c}") for c in BOUND], F.element_at(f"{bound}.manifest_sha256", ops.FILE_MANIFEST), f"{bound}.video_root", f"{bound}.files_sha256").alias(bound),
+        "dataset_source_refs": F.when(F.col("dataset_source_refs").isNotNull(), F.concat_ws(",", *[role(r) for r in ops.SOURCE_ROLES])).alias("dataset_source_refs"),
+        "visible_character_meshes": F.array_join("visible_character_meshes", ",").alias("visible_character_meshes"),
+        "code_files_sha256": F.array_join(F.transform(F.array_sort(F.map_entries("code_files_sha256")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("code_files_sha256"),
+        "outputs": joined(*(f"outputs.{c}" for c in ops.OUTPUTS)).alias("outputs"), "environment": joined(*(f"environment.{c}" for c in ops.ENVIRONMENT)).alias("environment"),
+        "replay_job": F.concat_ws("|", F.get_json_object("replay_job", "$.sample_id"), F.get_json_object("replay_job", "$.asset_path")).alias("replay_job"),
+    }
+    return records.select(*[made.get(c, F.col(c)) for c in records.columns])
 
 
 @query("changed_inputs", CTX + f""", {SOURCES}

@@ -296,24 +296,24 @@ def test_records_hold_every_field_and_the_references(spark):
     jobs = spark.createDataFrame([(1, "s1", "train", "h", *["/video/p"] * 3, "x"), (2, "s2", "test", "h", "/video/p", "/video/gone", "/video/p", None)], f"id long, sample_id string, split string, subject_id string, {roles}, production_setting string")
     files = spark.createDataFrame([("p", "p.tar.zst", "h1")], "path string, archive string, sha256 string")
     facts = spark.createDataFrame([("p", "h1"), ("/video/p", "h1"), ("/code/setting.json", "h2")], "path string, sha256 string").selectExpr("path", "true AS exists", "1L AS bytes", "2L AS mtime_ns", "sha256")
-    bind = lambda repo=P.REPO_ID, held="m": spark.createDataFrame([(repo, "u", "r7", "hf_download", {P.FILE_MANIFEST: "m"}, "/video", held)], P.BINDING)
+    bind = lambda repo="a/set", held="m": spark.createDataFrame([(repo, "u", "r7", "hf_download", {P.FILE_MANIFEST: "m"}, "/video", held)], P.BINDING)
     refs = P.source_refs(jobs, files, facts, bind())
     reports = spark.createDataFrame([(1, "completed", None, "a", "{}", "3.11", "gpu0"), (2, "failed", "e", "b", None, "3.11", "gpu1")], "job_id long, status string, error string, attempt string, runtime_report string, python string, gpu_uuid string")
     release = spark.createDataFrame([("v1",)], "tag string")
-    rows = P.build_records(jobs, facts, reports, "/out", {"w.py": "0"}, refs, bind(), release, "/code/setting.json")
+    rows = P.build_records(jobs, facts, reports, "/out", {"w.py": "0"}, refs, bind(), release, "/code/setting.json", "not to be used alone")
     got = {r.job_id: r for r in rows.collect()}
     assert len(rows.columns) == len(set(rows.columns)) == 37 and got.keys() == {1, 2}
     assert got[1].dataset_source_refs["background_path"].asDict() == {
-        "repo_id": P.REPO_ID, "repo_url": P.REPO_URL, "revision": "r7", "origin": "hf_download", "file_manifest_sha256": "m", "archive_path": "p.tar.zst", "path_in_root": "p", "sha256": "h1",
+        "repo_id": "a/set", "repo_url": "u", "revision": "r7", "origin": "hf_download", "file_manifest_sha256": "m", "archive_path": "p.tar.zst", "path_in_root": "p", "sha256": "h1",
     }
     assert len(got[1].dataset_source_refs) == 3 and got[2].dataset_source_refs is None
     assert got[1].asset_source_binding.resolved_revision == "r7" and got[1].asset_release.tag == "v1"
     assert (got[1].setting, got[2].setting, got[1].setting_file.sha256) == ("x", None, "h2")
-    assert (got[2].environment.gpu_uuid, got[2].environment.blender_bin, got[1].limitations) == ("gpu1", None, P.LIMITATIONS)
+    assert (got[2].environment.gpu_uuid, got[2].environment.blender_bin, got[1].limitations) == ("gpu1", None, "not to be used alone")
     bare = P.build_records(jobs, facts, reports, "/out", {"w.py": "0"}, setting_path="/code/none").filter("job_id = 1").first()
     assert (bare.asset_source_binding, bare.dataset_source_refs, bare.asset_release, bare.setting_file.exists) == (None, None, None, False)
-    for binding, problem in ((bind("other"), "invalid_binding"), (bind(held="n"), "invalid_binding"), (bind().limit(0), "not_bound"), (bind().union(bind()), "invalid_binding")):
-        assert [(r.problem, r.refs) for r in P.source_refs(jobs, files, facts, binding, "/video").collect()] == [(problem, {})] * 2
+    for binding, problem in ((bind("other"), "invalid_binding"), (bind(None), "invalid_binding"), (bind(held="n"), "invalid_binding"), (bind().limit(0), "not_bound"), (bind().union(bind()), "invalid_binding")):
+        assert [(r.problem, r.refs) for r in P.source_refs(jobs, files, facts, binding, "/video", data_set="a/set").collect()] == [(problem, {})] * 2
 
 
 def test_same_result_at_any_partition_count(spark, folder):
