@@ -13,10 +13,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cliploom.operators.kernels import number_rows
+from cliploom.operators.kernels import GROUP_ROWS, largest_group, number_rows
 from cliploom.session import pin, scratch_path
 
 BLOCK = 2048           # rows of either side in one block
@@ -33,10 +33,11 @@ def _tie(subject: str, job: object, preset: str) -> str:
 def _pair_up(left: DataFrame, left_key: str, left_rows: int, right: DataFrame, right_key: str, right_rows: int, block: int):
     """Both sides repeated per block of the other, ready to be cogrouped.
 
-    A small left side is cut finer than the block size, to give every core a group.
+    A small left side is cut finer than the block size, to give every core a group; each group
+    gets the right side's block anew.
     """
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = max(1, math.ceil(left_rows / block), min(4 * width, left_rows))
+    lefts = max(1, math.ceil(left_rows / block), min(width, left_rows))
     rights = max(1, math.ceil(right_rows / block))
     number = lambda key, n: F.pmod(F.xxhash64(F.col(key)), F.lit(n))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -55,11 +56,29 @@ def nearest_sq(candidates: np.ndarray, history: np.ndarray) -> np.ndarray:
     return out
 
 
-def nearest_sq_fast(candidates: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """The same up to rounding, by matrix product."""
-    cross = candidates @ history.T
-    sq = (candidates**2).sum(axis=1)[:, None] + (history**2).sum(axis=1)[None, :] - 2.0 * cross
-    return sq.min(axis=1)
+def farthest(catalog: np.ndarray, parts: list[np.ndarray], top: int, slack: float) -> np.ndarray:
+    """Rows of ``catalog`` that may be among the ``top`` farthest from their nearest vector of all ``parts``.
+
+    A distance to some of the vectors bounds the distance to the nearest from above, so a row
+    that falls behind the ``top`` best of the rows measured whole is not compared any further.
+    The first rows measured whole are those that the first vector leaves farthest.
+    """
+    history = np.concatenate(parts)
+    squares = (catalog**2).sum(axis=1)
+    rough = np.full(len(catalog), np.inf)
+    alive, at, bar = np.arange(len(catalog)), 0, -np.inf
+    while at < len(history) and len(alive):
+        some = history[at : at + max(1, at)]  # one, one, two, four ..
+        near = squares[alive][:, None] + (some**2).sum(axis=1) - 2.0 * catalog[alive] @ some.T
+        rough[alive] = np.minimum(rough[alive], near.min(axis=1))
+        if not at and len(alive) > top:
+            best = np.argpartition(rough, len(rough) - top)[len(rough) - top :]
+            whole = squares[best][:, None] + (history**2).sum(axis=1) - 2.0 * catalog[best] @ history.T
+            bar = whole.min(axis=1).min()
+        alive = alive[rough[alive] >= bar - slack]
+        at += len(some)
+    k = min(top, len(alive))
+    return alive[rough[alive] >= np.partition(rough[alive], len(alive) - k)[len(alive) - k] - slack]
 
 
 def _best_of_block(top: int):
@@ -72,11 +91,11 @@ def _best_of_block(top: int):
         rows = []
         for (job, subject), own in jobs.groupby(["id", "subject_id"], sort=False):
             parts = [np.array([list(v) for v in vectors], dtype=float) for vectors in own["vectors"]]
-            rough = np.min([nearest_sq_fast(matrix, part) for part in parts], axis=0)
-            k = min(top, len(rough))
-            bar = np.partition(rough, len(rough) - k)[len(rough) - k]
-            keep = np.flatnonzero(rough >= bar - slack)
+            keep = farthest(matrix, parts, top, slack)
             exact = np.min([nearest_sq(matrix[keep], part) for part in parts], axis=0)
+            if len(keep) > top:  # hashes only of what may be among the best
+                some = exact >= np.partition(exact, len(exact) - top)[len(exact) - top]
+                keep, exact = keep[some], exact[some]
             ties = [_tie(subject, job, names[i]) for i in keep]
             order = sorted(range(len(keep)), key=lambda i: (-exact[i], ties[i]))[:top]
             rows.extend((job, names[keep[i]], float(exact[i]), ties[i]) for i in order)
@@ -85,12 +104,15 @@ def _best_of_block(top: int):
     return best
 
 
-def _history_parts(history: DataFrame, size: int) -> DataFrame:
+def _history_parts(history: DataFrame, size: int, longest: int | None = None) -> DataFrame:
     """Earlier vectors per subject, in lists of about ``size``.
 
     A plan gives a subject at most twelve actions, so one part is the rule; a subject with
-    far more has several rows, cut by vector hash, which meet again in each block.
+    far more has several rows, cut by vector hash, which meet again in each block. ``longest``
+    is the largest number of vectors of a subject, where that is known.
     """
+    if longest is not None and longest <= size:
+        return history.groupBy("subject_id").agg(F.collect_set("vector").alias("vectors"))
     distinct = history.select("subject_id", "vector").distinct()
     parts = distinct.groupBy("subject_id").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).alias("parts"))
     return (
@@ -102,24 +124,29 @@ def _history_parts(history: DataFrame, size: int) -> DataFrame:
 
 
 def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: int = 1,
-                block: int = BLOCK, history_part: int = HISTORY_PART) -> DataFrame:
+                block: int = BLOCK, history_part: int = HISTORY_PART, sizes: tuple[int, int] | None = None, longest: int | None = None) -> DataFrame:
     """The ``top`` most distant candidates of each job whose subject has a history.
 
     ``jobs`` (id, subject_id), ``catalog`` (preset_id, vector) of free candidates and
     ``history`` (subject_id, vector). A candidate's distance is the squared distance to
     the subject's nearest earlier vector; equal distances go to the smaller stable hash of
-    subject:job:candidate.
+    subject:job:candidate. ``sizes`` are the rows of jobs with parts of their history and of
+    the catalogue, at most, where they are known; else they are counted. ``longest`` is the
+    largest number of vectors of a subject, where that is known.
     """
-    side = jobs.select("id", "subject_id").join(_history_parts(history, history_part), "subject_id")
-    left, right = _pair_up(
-        side.withColumn("_job", F.col("id")), "_job", side.count(), catalog.select("preset_id", "vector"), "preset_id", catalog.count(), block
-    )
+    side = jobs.select("id", "subject_id").join(_history_parts(history, history_part, longest), "subject_id")
+    n_side, n_catalog = sizes or (side.count(), catalog.count())
+    left, right = _pair_up(side.withColumn("_job", F.col("id")), "_job", n_side, catalog.select("preset_id", "vector"), "preset_id", n_catalog, block)
     both = left.cogroup(right).applyInPandas(_best_of_block(top), _PICK)
     ordered = F.struct((-F.col("distance")).alias("far"), "tie", "preset_id")
     if top == 1:
         best = both.groupBy("id").agg(F.min(ordered).alias("_b"))
         return best.select("id", F.lit(1).cast("long").alias("choice"), F.col("_b.preset_id").alias("preset_id"), (-F.col("_b.far")).alias("distance"))
-    ranked = number_rows(both.withColumn("far", -F.col("distance")), ["id"], ["far", "tie", "preset_id"], "choice")
+    both, order = both.withColumn("far", -F.col("distance")), ["far", "tie", "preset_id"]
+    if top * math.ceil(n_catalog / block) <= GROUP_ROWS:  # a job has no more rows than that
+        ranked = both.withColumn("choice", F.row_number().over(Window.partitionBy("id").orderBy(*order)).cast("long"))
+    else:
+        ranked = number_rows(both, ["id"], order, "choice")
     return ranked.filter(F.col("choice") <= top).select("id", "choice", "preset_id", "distance")
 
 
@@ -172,13 +199,13 @@ def _ranked_by_hash(subjects: DataFrame, catalog: DataFrame, n: int, rank: int,
     )
 
 
-def cold_preferences(subjects: DataFrame, catalog: DataFrame, top: int = 1, block: int = BLOCK) -> DataFrame:
+def cold_preferences(subjects: DataFrame, catalog: DataFrame, top: int = 1, block: int = BLOCK, size: int | None = None) -> DataFrame:
     """Candidates from rank n // 3 on, in the order of the stable hash of subject:candidate.
 
     Hashes are uniform, so only those near the wanted rank are kept and the rest counted.
     A subject whose rank falls outside the window is repeated with the whole range.
     """
-    n = catalog.count()
+    n = catalog.count() if size is None else size
     if n == 0:
         raise ValueError("no free candidates left")
     rank, subjects = n // 3, subjects.select("subject_id").distinct()
@@ -198,19 +225,6 @@ def pick_cold(jobs: DataFrame, catalog: DataFrame, block: int = BLOCK) -> DataFr
     return jobs.select("id", "subject_id").join(picked, "subject_id").select("id", "preset_id")
 
 
-def _choices(wave: DataFrame, free: DataFrame, past: DataFrame, width: int) -> DataFrame:
-    """The first ``width`` choices of each job of the wave, with its place in the order of claims."""
-    known = past.select("subject_id").distinct()
-    warm, cold = pin(wave.join(known, "subject_id", "left_semi")), pin(wave.join(known, "subject_id", "left_anti"))
-    found = wave.sparkSession.createDataFrame([], "id long, choice long, preset_id string")
-    if not warm.isEmpty():
-        found = preferences(warm, free, past, width).select("id", "choice", "preset_id")
-    if not cold.isEmpty():
-        chosen = cold.select("id", "subject_id").join(cold_preferences(cold, free, width), "subject_id").select("id", "choice", "preset_id")
-        found = chosen if warm.isEmpty() else found.unionByName(chosen)
-    return found.join(wave, "id").select("id", "choice", "preset_id", "subject_id", "split_rank")
-
-
 def assign_rounds(
     jobs: DataFrame, catalog: DataFrame, history: DataFrame, mode: str = "rounds",
     designed: DataFrame | None = None, top: int = PREFERENCES,
@@ -223,7 +237,9 @@ def assign_rounds(
     first of them; the others wait for the next round. ``top`` is how many choices are
     fetched at once and changes nothing else.
     Both modes give each candidate at most once and see all earlier picks of the subject.
-    Each round is written out, so the plan stays short and a lost executor re-reads files.
+    What is open, free and past follows from the table of picks, so a round writes its wave,
+    the wave's choices and its picks, whatever it decides; the plan stays short and a lost
+    executor re-reads files. Only a candidate that more than ``top`` jobs want first takes more.
     """
     if mode not in ("rounds", "sequential"):
         raise ValueError(mode)
@@ -233,37 +249,57 @@ def assign_rounds(
     if designed is not None:
         jobs = jobs.join(designed.select(F.col("job_id").alias("id")).distinct(), "id", "left_anti")
     order = F.struct("split_rank", "subject_id", "id")
-    todo = pin(jobs.select("id", "subject_id", "split_rank"))
-    free = pin(catalog.select("preset_id", "vector"))
-    past = pin(history.select("subject_id", "vector"))
-    path = scratch_path(spark, "assigned")
-    turn = 0
-    while todo.limit(1).count():
-        if not free.limit(1).count():
+    jobs, catalog, history = pin(jobs.select("id", "subject_id", "split_rank")), pin(catalog.select("preset_id", "vector")), pin(history.select("subject_id", "vector"))
+    n_jobs, n_presets, n_history, longest = jobs.count(), catalog.count(), history.count(), largest_group(history, ["subject_id"])
+    schema, path = "id long, subject_id string, preset_id string, round int", scratch_path(spark, "assigned")
+    width, given, turn = (top if mode == "rounds" else 1), 0, 0
+    while given < n_jobs:
+        if given >= n_presets:
             raise RuntimeError("free candidates are exhausted")
+        won = spark.read.schema(schema).parquet(path) if turn else spark.createDataFrame([], schema)
         turn += 1
-        wave = todo.groupBy("subject_id").agg(F.min(order).alias("_o")).select("_o.*")
+        free = catalog.join(won.select("preset_id"), "preset_id", "left_anti")
+        past = history.union(won.join(catalog, "preset_id").select("subject_id", "vector"))
+        known = history.select("subject_id").union(won.select("subject_id")).distinct().withColumn("warm", F.lit(True))
+        wave = jobs.join(won.select("id"), "id", "left_anti").groupBy("subject_id").agg(F.min(order).alias("_o")).select("_o.*")
         if mode == "sequential":
             wave = wave.orderBy("split_rank", "subject_id", "id").limit(1)
-        wave = pin(wave)
-        first = pin(_choices(wave, free, past, 1))
+        wave = pin(wave.join(known, "subject_id", "left").withColumn("warm", F.col("warm").isNotNull()))
+        n_wave, n_warm = wave.agg(F.count("*"), F.count_if("warm")).first()
+
+        def choices(some: DataFrame, k: int, n_some: int, n_warm: int) -> DataFrame:
+            """The first ``k`` choices of each job of some of the wave."""
+            found = None
+            if n_warm:
+                parts = n_warm + (n_history + given) // HISTORY_PART
+                found = preferences(some.filter("warm"), free, past, k, sizes=(parts, n_presets - given), longest=longest + turn).select("id", "choice", "preset_id")
+            if n_some > n_warm:
+                cold = some.filter("NOT warm").select("id", "subject_id")
+                chosen = cold.join(cold_preferences(cold, free, k, size=n_presets - given), "subject_id").select("id", "choice", "preset_id")
+                found = chosen if found is None else found.unionByName(chosen)
+            return found.join(some, "id").select("id", "choice", "preset_id", "subject_id", "split_rank")
+
+        fetched = pin(choices(wave, width, n_wave, n_warm))
+        first = fetched.filter("choice = 1")
         claims = first
         if mode == "rounds":
-            rival = pin(number_rows(first.select("id", "split_rank", "subject_id", "preset_id"), ["preset_id"], ["split_rank", "subject_id", "id"], "turn"))
-            claims = first.join(rival.filter("turn = 1").select("id"), "id", "left_semi")
-            low, high, last = 1, max(top, 2), rival.agg(F.max("turn")).first()[0]
+            last = largest_group(first, ["preset_id"])
+            rival, by = first.select("id", "split_rank", "subject_id", "preset_id"), ["split_rank", "subject_id", "id"]
+            if last <= GROUP_ROWS:
+                rival = rival.withColumn("turn", F.row_number().over(Window.partitionBy("preset_id").orderBy(*by)))
+            else:
+                rival = number_rows(rival, ["preset_id"], by, "turn")
+            rival = rival.select("id", "turn")
+            claims = fetched.join(rival.select("id", F.col("turn").alias("choice")), ["id", "choice"]).select(*fetched.columns)
+            low = width
             while low < last:
-                later = pin(wave.join(rival.filter((F.col("turn") > low) & (F.col("turn") <= high)).select("id", "turn"), "id"))
-                wanted = _choices(later.drop("turn"), free, past, high).join(later.select("id", F.col("turn").alias("choice")), ["id", "choice"])
+                high = low * 4
+                later = pin(wave.join(rival.filter((F.col("turn") > low) & (F.col("turn") <= high)), "id"))
+                n_later, n_warm = later.agg(F.count("*"), F.count_if("warm")).first()
+                wanted = choices(later.drop("turn"), high, n_later, n_warm).join(later.select("id", F.col("turn").alias("choice")), ["id", "choice"])
                 claims = claims.unionByName(pin(wanted.select(*claims.columns)))
-                low, high = high, high * 4
-        won = pin(
-            claims.groupBy("preset_id").agg(F.min(order).alias("_o"))
-            .select(F.col("_o.id").alias("id"), F.col("_o.subject_id").alias("subject_id"), "preset_id", F.lit(turn).alias("round"))
-        )
-        past = pin(past.unionByName(won.join(free, "preset_id").select("subject_id", "vector")))
-        free = pin(free.join(won.select("preset_id"), "preset_id", "left_anti"))
-        todo = pin(todo.join(won.select("id"), "id", "left_anti"))
-        won.write.mode("append").parquet(path)
-    schema = "id long, subject_id string, preset_id string, round int"
+                low = high
+        picks = claims.groupBy("preset_id").agg(F.min(order).alias("_o")).select("_o.id", "_o.subject_id", "preset_id", F.lit(turn).alias("round"))
+        picks.write.mode("append").parquet(path)
+        given = spark.read.schema(schema).parquet(path).count()
     return spark.read.schema(schema).parquet(path) if turn else spark.createDataFrame([], schema)
