@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cliploom.llm.graph import written
 from cliploom.llm.runs import group_slices
-from cliploom.llm.words import mix, text_chunks
+from cliploom.llm.words import mix, text_chunks, tool
 
 #: Segments whose alignment a Python worker remembers, and the longest of them; others are aligned where they occur.
 MEMO_SEGMENTS = 60_000
@@ -225,14 +225,9 @@ class Aligner:
         return totals, same, pairs, codes, code_docs
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner_at(a_path: str, b_path: str) -> Aligner:
     """The worker's aligner, read once for all of its tasks."""
-    if (a_path, b_path) not in _aligners:
-        _aligners[a_path, b_path] = Aligner(a_path, b_path)
-    return _aligners[a_path, b_path]
+    return tool(("alignment", a_path, b_path), lambda: Aligner(a_path, b_path))
 
 
 def aligned_chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliploom.llm.graph import written
+from cliploom.llm.words import tool
 
 START, END = "<|im_start|>", "<|im_end|>"
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL)
@@ -55,20 +56,18 @@ def unescaped_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescaped(role))
 
 
-_tokenizers: dict[str, object] = {}
-
-
 def tokenizer_at(ranks_path: str, pattern: str):
     """The worker's tokenizer, read once for all of its tasks."""
-    if ranks_path not in _tokenizers:
+    def read():
         import base64
 
         import tiktoken
 
         with open(ranks_path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        _tokenizers[ranks_path] = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _tokenizers[ranks_path]
+        return tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return tool(("chat", ranks_path, pattern), read)
 
 
 def marked(conversations: DataFrame) -> DataFrame:

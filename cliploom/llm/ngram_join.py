@@ -31,6 +31,9 @@ PERCENT = 75
 BLOCK = 1024
 #: Classes a task remembers in order not to send equal sets twice.
 MEMO = 200_000
+#: n-grams of a range, whose copies meet in one task, and of a bucket of classes.
+RANGE_NGRAMS = 3_000_000
+BUCKET_NGRAMS = 6_000_000
 #: Parts of a range that are counted one after another, to bound what a task holds.
 TURNS = 8
 
@@ -148,19 +151,21 @@ def shared_items(parts: DataFrame, buckets: int) -> DataFrame:
             classes, sizes, counts = (np.frombuffer(b"".join(group.column(c).to_pylist()), kind) for c, kind in (("classes", np.int64), ("sizes", np.uint32), ("counts", np.uint32)))
             del group
             whose = np.repeat(np.arange(len(classes), dtype=np.int32), counts)
-            turn = low[:, 5] // (256 // TURNS)
+            turn, found = low[:, 5] // (256 // TURNS), []
             for t in range(TURNS):
                 rows = np.flatnonzero(turn == t)
-                keys, who = held_twice(low[rows], whose[rows], classes, part)
-                own, n = classes[who], sizes[who]
-                bucket = (mix(own.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                keys, own, n, bucket = keys[order], own[order], n[order], bucket[order]
-                cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(own) else np.zeros(1, int)
-                ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[cuts[:-1]]), *(pa.array([x[a:b].tobytes() for a, b in ends], pa.binary()) for x in (keys, own, n))], names=["bucket", "items", "classes", "sizes"]
-                )
+                found.append(held_twice(low[rows], whose[rows], classes, part))
+            keys, who = (np.concatenate(x) for x in zip(*found, strict=True))
+            del low, whose, turn, found
+            own, n = classes[who], sizes[who]
+            bucket = (mix(own.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            keys, own, n, bucket = keys[order], own[order], n[order], bucket[order]
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(own) else np.zeros(1, int)
+            ends = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[cuts[:-1]]), *(pa.array([x[a:b].tobytes() for a, b in ends], pa.binary()) for x in (keys, own, n))], names=["bucket", "items", "classes", "sizes"]
+            )
 
     return parts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "bucket long, items binary, classes binary, sizes binary")
 
@@ -286,10 +291,15 @@ def joined_blocks(work: DataFrame) -> DataFrame:
     return work.repartition("grp").sortWithinPartitions("grp").select("grp", "class", "n", "items").mapInArrow(run, "a long, b long")
 
 
-def class_components(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> DataFrame:
-    """``node, component`` for every class of ``docs(text)`` that links with another one."""
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sets = written(candidate_sets(shared_items(by_range(docs.select("text"), ranges, width), ranges)), "sets")
+def class_components(docs: DataFrame, named: DataFrame, width: int = WORDS, block: int = BLOCK) -> DataFrame:
+    """``node, component`` for every class of ``docs(text)`` that links with another one.
+
+    Ranges of hashes, and buckets of classes, are as many as the n-grams counted in ``named``
+    need, so tasks hold as much whatever the number of partitions.
+    """
+    total = named.agg(F.sum("n_shingles")).first()[0] or 0
+    ranges, buckets = max(1, -(-total // RANGE_NGRAMS)), max(1, -(-total // BUCKET_NGRAMS))
+    sets = written(candidate_sets(shared_items(by_range(docs.select("text"), ranges, width), buckets)), "sets")
     entries = sets.select("class", F.explode("prefix").alias("item"))
     pivots = entries.groupBy("item").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     meets = entries.join(pivots, "item").where(F.col("class") != F.col("pivot")).select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -324,7 +334,7 @@ def near_copies(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> Data
     """
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     named = written(set_names(docs, width), "set-names")
-    member = class_components(docs, width, block).select(F.col("node").alias("class"), "component")
+    member = class_components(docs, named, width, block).select(F.col("node").alias("class"), "component")
     classes = named.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     classes = classes.join(member, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -338,15 +348,15 @@ def one_of_each(docs: DataFrame, width: int = WORDS, block: int = BLOCK) -> Data
     Rows without words stay. Of rows that agree in every column one stays; a null id counts as
     the smallest.
     """
-    columns = docs.columns
-    rows = docs.withColumns({"row_one": F.xxhash64(*columns), "row_two": F.xxhash64(F.lit(1), *columns)})
-    named = written(set_names(rows.select("doc_id", F.col("text").cast("string").alias("text"), "row_one", "row_two"), width), "set-names")
-    member = class_components(docs.select(F.col("text").cast("string").alias("text")), width, block).select(F.col("node").alias("class"), "component")
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))  # so that no name clashes
+    rows = docs.select(own.alias("own"), "doc_id", F.col("text").cast("string").alias("text")).withColumns({"row_one": F.xxhash64("own"), "row_two": F.xxhash64(F.lit(1), "own")})
+    named = written(set_names(rows.drop("own"), width), "set-names")
+    member = class_components(rows.select("text"), named, width, block).select(F.col("node").alias("class"), "component")
     told = named.where("class is not null").join(member, "class", "left").withColumn("component", F.coalesce("component", "class"))
     first = told.groupBy("component").agg(F.min(F.struct("doc_id", "row_one", "row_two")).alias("first")).select("first.row_one", "first.row_two")
     stay = first.union(named.where("class is null").select("row_one", "row_two").distinct())
-    linked = rows.join(stay, ["row_one", "row_two"], "left_semi")
-    return linked.dropDuplicates(["row_one", "row_two"]).select(*columns)
+    linked = rows.select("own", "row_one", "row_two").join(stay, ["row_one", "row_two"], "left_semi")
+    return linked.dropDuplicates(["row_one", "row_two"]).select(*(F.col(f"own.`{c}`").alias(c) for c in docs.columns))
 
 
 COMPONENTS_SQL = r"""

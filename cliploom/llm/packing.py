@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliploom.llm.graph import written
-from cliploom.llm.words import text_chunks
+from cliploom.llm.words import text_chunks, tool
 
 CAPACITY = 4096
 END_ID = 2
@@ -103,14 +103,9 @@ class WordTokenizer:
         return ids, np.concatenate(([0], ends))[2 * words]
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
-
-
 def tokenizer_at(path: str) -> WordTokenizer:
     """The worker's tokenizer, read once for all of its tasks."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    return tool(("packing", path), lambda: WordTokenizer(path))
 
 
 def binary_pieces(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,9 +172,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     per_length = counts.groupBy("length").agg(F.sum("n").alias("all"))
     longer = per_length.select("length", F.coalesce(F.sum("all").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("longer"))
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # one row for each task and length: bounded by the number of partitions, not by their rows
+    # one row for each task and length; whether that is small enough to be broadcast is measured at run time
     bases = counts.join(longer, "length").select("length", "part", (F.col("longer") + earlier).alias("base"))
-    return pieces.join(F.broadcast(bases), ["length", "part"]).select(
+    return pieces.join(bases, ["length", "part"]).select(
         "doc_id", "start", "length", "ids", "doc_tokens",
         (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("bucket"),
     )

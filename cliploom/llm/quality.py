@@ -170,7 +170,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``; every row is kept, repeated ones too."""
+    """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``; every row is kept, repeated ones too.
+
+    A score of exactly one half is predicted good; null and empty texts have the features of no
+    text; texts of any length are read whole. Without labels of both classes all score alike.
+    Other columns are ignored; an empty table gives no rows.
+    """
     model = train(docs, labels, settings)
     return score(docs.select("doc_id", F.col("text").cast("string").alias("text")), model).select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),

@@ -185,12 +185,15 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     A word goes if a window of ``width`` words that holds it also starts anywhere else, in the
     same text or another row. Kept words are joined by single spaces; a text that loses nothing
     stays as it is. Null text has no words and stays null. Repeated rows repeat each other; an
-    empty table gives no rows; other columns are carried along.
+    empty table gives no rows; other columns are carried along, whatever their names, but for
+    those three, which become the result's.
     """
     if width < 2:
         raise ValueError("width must be 2 at least")
-    own = [c for c in docs.columns if c not in ("key", "bytes", "ranges", "n_words", "n_removed", "kept_sha256")]
-    texts = docs.select(*own, F.xxhash64("text").alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    results = ["n_words", "n_removed", "kept_sha256"]
+    carried = [c for c in docs.columns if c not in ("text", *results)]
+    own = F.struct(*(F.col(f"`{c}`") for c in carried)) if carried else F.lit(None)
+    texts = docs.select(own.alias("own"), "text", F.xxhash64("text").alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
     found = written(anchors(texts, width), "anchors")
     # counts are written before they meet the rows again, so that joins on frequent names can be split
     shared = written(found.groupBy("name").agg(F.count("*").alias("c")).where("c > 1").select("name"), "shared-names")
@@ -205,7 +208,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     twice = windows.groupBy("one", "two").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("one", "two")
     single = windows.join(twice, ["one", "two"], "left_semi").select(*_BY_TEXT, "at", F.lit(1).alias("n"))
     gone = ranges_of(sure.select(*_BY_TEXT, "at", "n").union(single))
-    fields = [*texts.select(*own).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
+    fields = [*texts.select("own", "text").schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "text"):
@@ -225,10 +228,10 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 digests.append(hashlib.sha256(joined).hexdigest())
                 kept_texts.append(raw if len(kept) == len(words) else joined)
             text = pa.array(kept_texts, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
-            columns = [text if c == "text" else chunk.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())], names=[*own, "n_words", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([chunk.column("own"), text, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())], names=["own", "text", *results])
 
-    return texts.join(gone, _BY_TEXT, "left").mapInArrow(cut, T.StructType(fields))
+    out = texts.join(gone, _BY_TEXT, "left").mapInArrow(cut, T.StructType(fields))
+    return out.select(*("text" if c == "text" else F.col(f"own.`{c}`").alias(c) for c in docs.columns if c not in results), *results)
 
 
 REPEATS_SQL = r"""

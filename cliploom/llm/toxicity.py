@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from cliploom.llm.labelled import fold, labelled_sample, row_sums, sigmoid
 from cliploom.llm.ngrams import held_ngrams
-from cliploom.llm.words import text_chunks
+from cliploom.llm.words import make_room, text_chunks
 
 FOLDS, HELD_OUT = 5, 0
 #: Bytes of text whose n-grams are held at once.
@@ -93,6 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     """Fit on labelled rows outside the held-out fold; at most ``2 * per_class`` texts, in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         features, counts, label = [], [], []
         for chunk in text_chunks(batches, "text", CHUNK_BYTES):
             held, bounds = held_ngrams(chunk.column("text"), settings.orders, settings.bits)
@@ -119,6 +120,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.constant))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         weights, constant = shared.value
         for chunk in text_chunks(batches, "text", CHUNK_BYTES):
             held, bounds = held_ngrams(chunk.column("text"), settings.orders, settings.bits)
@@ -129,7 +131,12 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``; every row is kept, repeated ones too."""
+    """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``; every row is kept, repeated ones too.
+
+    A score of exactly one half is predicted toxic; null and empty texts score by the constant;
+    texts of any length are read whole. Without labels of both classes the score is a constant.
+    Other columns are ignored; an empty table gives no rows.
+    """
     model = train(docs, labels, settings)
     return score(docs.select("doc_id", F.col("text").cast("string").alias("text")), model, settings).select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
@@ -137,6 +144,10 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settin
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that score below one half, with their columns as they were."""
-    model = train(docs, labels, settings)
-    return score(docs, model, settings).where("score < 0.5").select(*docs.columns)
+    """The rows of ``docs`` that score below one half, with their columns as they were, whatever their names.
+
+    Null, empty and very long texts, ties and repeated rows go as in ``toxic_scores``.
+    """
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))  # a caller's own score stays as it is
+    scored = score(docs.select(own.alias("own"), F.col("text").cast("string").alias("text")), train(docs, labels, settings), settings)
+    return scored.where("score < 0.5").select(*(F.col(f"own.`{c}`").alias(c) for c in docs.columns))

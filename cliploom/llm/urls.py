@@ -109,7 +109,9 @@ def judge(pages: DataFrame, rules: dict[str, str], labelled: DataFrame | None =
 
     ``labelled(url, verdict)`` is the labelled table; without one, the addresses that a rule
     decides teach the model about those that none does. With nothing to learn from, pages
-    outside all rules are allowed. Every row is kept; a null address has an empty host and path.
+    outside all rules are allowed. Every row is kept, repeated ones too; a null address has an
+    empty host and path; addresses of any length are read whole. A score of exactly one half
+    blocks. Other columns are ignored; an empty table gives no rows.
     """
     ruled = with_rule(pages.select("page_id", "url"), rules)
     if labelled is None:

@@ -6,7 +6,10 @@ needs no decoding. Hashes are functions of the content alone, equal in every tas
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +52,37 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+_tools: dict[Hashable, Any] = {}
+
+
+def tool(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` builds, kept for the worker's next task; a worker keeps the tool of one operator at a time."""
+    if key not in _tools:
+        make_room()
+        _tools[key] = make()
+    return _tools[key]
+
+
+def make_room() -> None:
+    """Drop the tool of another operator that this worker ran before, and give free memory back."""
+    _tools.clear()
+    release()
+
+
+def release() -> None:
+    """Give memory that a finished task leaves behind back to the system; workers outlive tasks and stages."""
+    global _powers
+    _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps its own account
+        pass
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of at most ``limit`` bytes of text, one row at least."""
+    """The batches cut into slices of at most ``limit`` bytes of text, one row at least; behind the last one memory is released."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
@@ -60,6 +92,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
             to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 def utf8_bytes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:

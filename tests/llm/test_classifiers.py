@@ -80,3 +80,28 @@ def test_broken_bytes_do_not_shift_other_texts():
     for k, text in enumerate(raw):
         alone, _ = held_ngrams(pa.array([text.decode("utf-8", "replace")]), (1, 3), 12)
         assert together[bounds[k] : bounds[k + 1]].tolist() == alone.tolist()
+
+
+@pytest.mark.parametrize("name, folds, held", [("op4_quality", 3, 1), ("op5_toxicity", 5, 0)])
+def test_folds_and_predictions_row_by_row(spark, folder, name, folds, held):
+    """Every document once, its fold by crc32 of the id as text, its prediction by the score."""
+    import zlib
+
+    from cliploom.llm import queries
+
+    ids = sorted(r["doc_id"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id").collect())
+    rows = queries.QUERIES[name](spark, folder).collect()
+    assert sorted(r["doc_id"] for r in rows) == ids
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == held)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+
+
+def test_a_caller_keeps_a_score_of_its_own(spark, folder):
+    from pyspark.sql import functions as F
+
+    from cliploom.llm import toxicity
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("score", F.lit(0.123))
+    left = toxicity.drop_toxic(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    assert left.columns == docs.columns and {r["score"] for r in left.select("score").distinct().collect()} == {0.123}

@@ -69,11 +69,26 @@ def test_packing_keeps_every_token(steps):
     assert sum(r["length"] for r in steps[5].collect()) == len(ids) + len(rows)
 
 
+CLASHING = ("key", "bytes", "ranges", "row_one", "row_two", "score", "own", "class", "n_removed", "n_words", "size", "text_", "before", "taken")
+
+
 def test_odd_documents_pass_all_stages(spark, tmp_path):
+    """Also with columns named as the operators name their own: all but the last stage return them as they were."""
+    from pyspark.sql import functions as F
+
     labels = [(i, 0, int(i in (9, 14))) for i in range(1, 15)]
     for k, docs in enumerate((odd_documents(spark), no_documents(spark))):
-        docs = docs.select("doc_id", "text", "lang", "source", docs["n_chars"])
-        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
-        docs.write.parquet(f"{tmp_path}/{k}/documents.parquet")
-        rows = pipeline.run(spark, f"{tmp_path}/{k}").count()
+        own = {c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in CLASHING}
+        docs = docs.select("doc_id", "text", "lang", "source", docs["n_chars"], *(v.alias(c) for c, v in own.items()))
+        folder = f"{tmp_path}/{k}"
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        rows = pipeline.run(spark, folder).count()
         assert rows > 0 if k == 0 else rows == 0
+        now = spark.read.parquet(f"{folder}/documents.parquet")
+        for n, (_, stage) in enumerate(pipeline.STAGES[:-1]):
+            stage(spark, now, folder).write.parquet(f"{folder}/{n}")
+            now = spark.read.parquet(f"{folder}/{n}")
+            assert now.columns == docs.columns
+            for r in now.collect():
+                assert all(r[c] == c + str("-" if r["doc_id"] is None else r["doc_id"]) for c in CLASHING)

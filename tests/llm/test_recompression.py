@@ -56,7 +56,7 @@ def test_odd_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     result = recompression.without_repeats(docs)
     assert found(result) == brute(rows, 35)
-    assert set(docs.columns) - {"key"} <= set(result.columns)
+    assert set(docs.columns) <= set(result.columns)
     assert all(r["text"] == dict(rows)[r["doc_id"]] for r in result.where("n_removed = 0").collect())
     assert recompression.without_repeats(no_documents(spark)).count() == 0
 
