@@ -21,9 +21,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of windows that occur elsewhere, too; texts left empty stay as rows."""
-    cut = recompression.without_repeats(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns))  # so that no name clashes
+    cut = recompression.without_repeats(docs.select(own.alias("own"), "text"))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("own.n_chars") if "n_chars" in docs.columns else None)}
+    return cut.select(*(changed.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
