@@ -172,8 +172,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     per_length = counts.groupBy("length").agg(F.sum("n").alias("all"))
     longer = per_length.select("length", F.coalesce(F.sum("all").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("longer"))
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # one row for each task and length; whether that is small enough to be broadcast is measured at run time
+    # one row for each task and length; written, so that Spark broadcasts the table or not by its size
     bases = counts.join(longer, "length").select("length", "part", (F.col("longer") + earlier).alias("base"))
+    bases = written(bases, "piece-bases")
     return pieces.join(bases, ["length", "part"]).select(
         "doc_id", "start", "length", "ids", "doc_tokens",
         (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("bucket"),
