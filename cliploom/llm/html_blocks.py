@@ -60,7 +60,7 @@ _PURPOSE = {name: purpose for purpose, names in OTHER_NAMES.items() for name in
 _TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
-PATH_BITS, WORD_BITS, SHAPE = 128, 32, 6
+PATH_BITS, WORD_BITS, SHAPE = 320, 32, 6
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ class Settings:
     pages: int = 240
     unroll: int = 96
     hidden: int = 16
-    steps: int = 450
+    steps: int = 900
     rate: float = 0.02
     seed: int = 3
 
@@ -231,9 +231,11 @@ def disguised(path: tuple[str, ...], rng: np.random.Generator, hide: bool) -> tu
     out = []
     for name in path:
         word = name.lstrip(".")
-        if word in _PURPOSE or word in MAIN_NAMES or name in OTHER_TAGS:
+        if word in _PURPOSE or word in MAIN_NAMES or name in OTHER_TAGS or name in MAIN_TAGS:
             if hide:
                 out += ["div"] if name[0] != "." else []
+            elif name in MAIN_TAGS and rng.random() < 0.4:
+                out.append(("article", "main")[rng.integers(2)])
             elif rng.random() < 0.5:
                 same = OTHER_NAMES[_PURPOSE[word]] if word in _PURPOSE else MAIN_NAMES if word in MAIN_NAMES else OTHER_NAMES["form"]
                 out += ["div", f".{same[rng.integers(len(same))]}"]
@@ -361,10 +363,26 @@ OTHER_PLACES = tuple((tag,) for tag in ("aside", "footer", "nav", "form", "heade
 )
 
 
+# What a block may be inside any part of a page.
+INNER = (
+    ("p",), ("p",), ("div",), ("ul", "li"), ("ol", "li"), ("li",), ("blockquote",), ("blockquote", "p"), ("pre",), ("h2",), ("h3",), ("h4",), ("h5",), ("h6",), ("section", "p"),
+    ("section", "h2"), ("div", "p"), ("table", "tr", "td"), ("table", "tbody", "tr", "td"), ("table", "tr", "th"), ("figure", "figcaption"), ("dl", "dt"), ("dl", "dd"), (),
+)
+WRAPPERS = ((), ("div",), ("div", ".wrap"), ("div", ".page", ".wrap"), ("div", ".container"), ("div", ".outer", "div", ".inner"), ("section",), ("div", "div", ".row"), ("center",))
+
+
+def named_depth(path: tuple[str, ...]) -> int:
+    """Names of the path up to the innermost one that names main text."""
+    return max((i + 1 for i, name in enumerate(path) if name in MAIN_TAGS or (name[0] == "." and name[1:] in MAIN_NAMES)), default=0)
+
+
+def any_inner(rng: np.random.Generator) -> tuple[str, ...]:
+    return INNER[rng.integers(len(INNER))]
+
+
 def strangers(path: tuple[str, ...], pool: list[np.ndarray], rng: np.random.Generator) -> tuple[list[tuple[str, ...]], list[np.ndarray]]:
     """One to four blocks of main text moved below an element that names another purpose."""
-    place = OTHER_PLACES[rng.integers(len(OTHER_PLACES))]
-    inner = [("p",), ("li",), ("div",), ("ul", "li"), ()][rng.integers(5)]
+    place, inner = OTHER_PLACES[rng.integers(len(OTHER_PLACES))], any_inner(rng)
     n = 1 + int(rng.integers(4))
     return [(*path, *place, *inner)] * n, [pool[k] for k in rng.integers(len(pool), size=n)]
 
@@ -372,18 +390,39 @@ def strangers(path: tuple[str, ...], pool: list[np.ndarray], rng: np.random.Gene
 def varied(paths: list, vectors: np.ndarray, told: list, pool: list[np.ndarray], short: list[np.ndarray], rng: np.random.Generator) -> tuple[np.ndarray, list]:
     """Input rows and purposes of one training page under new names.
 
-    Strangers stand before and behind its main text; where names are kept, blocks that look
-    like other parts of a page stand inside it.
+    Strangers stand before, behind and inside its main text; where names are kept, blocks that look
+    like other parts of a page stand inside it. Blocks of main text become items, quotations,
+    code, subheads, cells, captions and so on, alone or in stretches, as others may be, and the
+    whole page may lie in wrappers: what a block is tells little, where it stands much.
     """
     hide = rng.random() < 0.3
-    seen = [disguised(p, rng, hide) for p in paths]
+    paths = list(paths)
     main = [k for k, t in enumerate(told) if t == "main"]
+    if main and rng.random() < 0.7:
+        inner, left = (), 0
+        for k in main:
+            if not left and rng.random() < 0.35:
+                inner, left = any_inner(rng), 1 + int(rng.integers(5))
+            if left:
+                left -= 1
+                paths[k] = (*paths[k][: named_depth(paths[k])], *inner)
+    wrapper = WRAPPERS[rng.integers(len(WRAPPERS))]
+    if wrapper:
+        stop = next((i for i, name in enumerate(paths[0]) if name == "body"), -1) + 1 if paths else 0
+        paths = [(*p[:stop], *wrapper, *p[stop:]) for p in paths]
+    seen = [disguised(p, rng, hide) for p in paths]
     inputs, told = list(vectors), list(told)
     start = paths[main[0]] if main else ()
     if main and pool:
-        if short and not hide and rng.random() < 0.4:
+        if short and not hide and rng.random() < 0.5:
             k, n = main[rng.integers(len(main))] + 1, 1 + int(rng.integers(6))
-            seen[k:k], inputs[k:k], told[k:k] = [disguised(paths[main[-1]], rng, False)] * n, [short[j] for j in rng.integers(len(short), size=n)], ["main"] * n
+            whose = (*paths[main[-1]][: named_depth(paths[main[-1]])], *any_inner(rng))
+            seen[k:k], inputs[k:k], told[k:k] = [disguised(whose, rng, False)] * n, [short[j] for j in rng.integers(len(short), size=n)], ["main"] * n
+            main = [j for j, t in enumerate(told) if t == "main"]
+        if not hide and len(main) > 1 and rng.random() < 0.5:  # another part in the midst, after which main text goes on
+            k = main[1 + rng.integers(len(main) - 1)]
+            new, moved = strangers(start[: named_depth(start)], pool, rng)
+            seen[k:k], inputs[k:k], told[k:k] = new, moved, ["other"] * len(new)
             main = [j for j, t in enumerate(told) if t == "main"]
         for k in (main[-1] + 1, main[0]):
             if rng.random() < 0.6:

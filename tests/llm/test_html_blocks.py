@@ -134,3 +134,55 @@ def test_hostile_markup_ends_soon(page):
 ])
 def test_unclosed_unseen_markup_ends_soon(page):
     test_hostile_markup_ends_soon(page)
+
+
+SAID = "Die Sprache der Landschaft ist alt und reich, und wer sie hört, versteht den Wind."
+SHAPES = {
+    "<ul><li>erster Punkt der Liste</li><li>zweiter Punkt</li></ul>": ["erster Punkt der Liste", "zweiter Punkt"],
+    f"<ol><li>{SAID}</li><li>zwei</li></ol>": [SAID, "zwei"],
+    f"<blockquote>{SAID}</blockquote>": [SAID],
+    f"<blockquote><p>{SAID}</p></blockquote>": [SAID],
+    "<pre>x = 1;\nprint(x)</pre>": ["x = 1; print(x)"],
+    "<h2>Ein Zwischentitel</h2>": ["Ein Zwischentitel"],
+    "<h3>Kurz</h3>": ["Kurz"],
+    f"<div>{SAID}</div>": [SAID],
+    f"<section><h2>Noch ein Titel</h2><p>{SAID}</p></section>": ["Noch ein Titel", SAID],
+    "<table><tr><th>Jahr</th><th>Wert</th></tr><tr><td>1999</td><td>12</td></tr></table>": ["Jahr", "Wert", "1999", "12"],
+    "<figure><img src=x><figcaption>Ein Bild vom See</figcaption></figure>": ["Ein Bild vom See"],
+    "<dl><dt>Wort</dt><dd>Erklärung des Wortes</dd></dl>": ["Wort", "Erklärung des Wortes"],
+}
+
+
+@pytest.fixture(scope="module")
+def fitted():
+    """A labeller fitted on as many given pages as production takes."""
+    import pyarrow.parquet as pq
+
+    pages = [p for p in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist() if p]
+    return H.fit(pages[: H.Settings().pages], H.Settings())
+
+
+def kept(net, page):
+    return [t for t, s in H.labelled_pages([page], net)[0] if s >= 0.5]
+
+
+@pytest.mark.parametrize("wrap", ["article", "main", "div id='content'", "div class='post'"])
+def test_articles_keep_items_quotations_code_tables_and_subheads(fitted, wrap):
+    end = wrap.split()[0]
+    for inner, texts in SHAPES.items():
+        page = (
+            f"<html><head><title>T</title></head><body><nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
+            f"<{wrap}><h1>Ein Titel über vieles</h1><p>{SAID} {SAID}</p>{inner}<p>{SAID}</p></{end}><footer><p>Impressum und Kontakt</p></footer></body></html>"
+        )
+        assert kept(fitted, page) == ["Ein Titel über vieles", f"{SAID} {SAID}", *texts, SAID], inner
+
+
+def test_an_article_without_names_is_found(fitted):
+    """Nothing names it, so its last block may go with what follows it on other pages."""
+    page = f"<html><body><div><a href='/x'>Start</a></div><div id='wrap'><h1>Ein Titel über vieles</h1><p>{SAID} {SAID}</p><p>{SAID}</p></div></body></html>"
+    assert kept(fitted, page)[:2] == ["Ein Titel über vieles", f"{SAID} {SAID}"]
+
+
+def test_other_parts_inside_an_article_go(fitted):
+    page = f"<html><body><article><h1>Titel eins</h1><p>{SAID}</p><div class='share'>Teilen</div><section class='comments'><p>{SAID}</p></section><aside><p>{SAID}</p></aside><p>{SAID} Ende.</p></article></body></html>"
+    assert kept(fitted, page) == ["Titel eins", SAID, f"{SAID} Ende."]
