@@ -4,7 +4,7 @@ Plain ``Window.partitionBy(key)`` puts a whole key into one task. The helpers he
 split that work:
 
 * ``running_total`` / ``number_rows`` order rows by range slices when a key is large;
-* ``order_stats`` picks exact ranks from value counts, never from raw rows;
+* ``order_stats`` picks exact ranks from value counts, in large groups by radix selection;
 * ``spread`` / ``in_chunks`` cut frame series into fixed-length chunks with a halo,
   so lags, leads and short filters see their neighbours and no task sees a whole clip;
 * ``series_running_sum`` adds chunk totals to in-chunk running sums;
@@ -18,12 +18,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from cliploom.session import pin
 
 GROUP_ROWS = 1_000_000  # most rows one window task may hold
 CHUNK = 4096            # frames per chunk of a series
+CELLS = 1024            # steps a range of values is counted in
 CHUNK_COL = "_chunk"
 OWN_COL = "_own"
 
@@ -107,15 +109,15 @@ def order_stats(
     ``picks`` maps an output name to a rule taking the row count n and giving a 0-based
     rank in ascending order. Repeated values are counted before anything is ordered, so
     a value that fills a group is one row. The element at rank i is the smallest value
-    whose cumulative count exceeds i.
+    whose cumulative count exceeds i. Groups of at most ``group_rows`` values are ordered;
+    beyond that the value is narrowed down by counts (``_narrowed_stats``).
     """
     by = list(by)
     group_rows = group_rows or GROUP_ROWS
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    whole = largest_group(counts, by)
+    if whole > group_rows and isinstance(df.schema[value].dataType, NumericType):
+        return _narrowed_stats(pin(counts), by, value, picks, group_rows)
     running = running_total(counts, by, [F.col(value)], "_n", "_upto", group_rows)
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_rows"))
     # Totals repeat once per ``group_rows`` rows and join on (group, part), so a large
@@ -132,6 +134,55 @@ def order_stats(
     )
 
 
+def _cell(x: Column, low: Column, high: Column, cells: int) -> Column:
+    """Which of ``cells`` steps between two values a value lies in; it never falls as the value rises, and NaN is the largest."""
+    half = F.lit(0.5)  # differences of halves stay finite
+    place = F.floor((x * half - low * half) / (high * half - low * half) * cells)
+    inside = F.when(low >= high, 0).otherwise(F.least(F.greatest(place, F.lit(0)), F.lit(cells - 1)))
+    return F.when(F.isnan(x), cells + 1).when(x > high, cells).when(x < low, -1).otherwise(inside).cast("long")
+
+
+def _narrowed_stats(counts: DataFrame, by: list[str], value: str, picks: Mapping[str, Callable[[Column], Column]], group_rows: int, cells: int = CELLS) -> DataFrame:
+    """Ranks by radix selection: counts by cell, then by cell of the cells that hold a wanted rank; only what is left there is sorted.
+
+    A pass is one aggregation that combines before its shuffle; a group has ``cells`` rows
+    behind it, however many values it holds. The bounds of a cell are values of it, so two
+    passes leave a share of about 1 / cells^2 of an even spread, and a cell of one value is done.
+    """
+    x = F.col(value).cast("double")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    groups = counts.groupBy(*by).agg(F.sum("_n").alias("n"), F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("pick"), rule(F.col("n")).cast("long").alias("rest")) for name, rule in picks.items()])
+    bounds = lambda low, high: (F.coalesce(F.col(low), F.lit(0.0)), F.coalesce(F.col(high), F.lit(0.0)))
+    meet = lambda left, right, keys: left.join(right, keys) if keys else left.crossJoin(F.broadcast(right))
+
+    def narrowed(rows: DataFrame, keys: list[str], goals: DataFrame, cell: str) -> DataFrame:
+        """For each goal the cell that holds its rank, the rank inside the cell and the cell's least and largest value."""
+        tally = rows.groupBy(*keys, cell).agg(F.sum("_n").alias("_m"), F.min(value).alias("_least"), F.max(value).alias("_most"))
+        order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(cell).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        tally = tally.withColumn("_before", F.sum("_m").over(order) - F.col("_m"))
+        hit = (F.col("rest") >= F.col("_before")) & (F.col("rest") < F.col("_before") + F.col("_m"))
+        return meet(tally, goals, keys).filter(hit).withColumn("rest", F.col("rest") - F.col("_before")).drop("_m", "_before")
+
+    placed = meet(counts, groups, by).select(*by, value, "_n", _cell(x, *bounds("_low", "_high"), cells).alias("_c1"))
+    goals = groups.select(*by, "n", F.explode(wanted).alias("_g")).select(*by, "n", "_g.*")
+    first = pin(narrowed(placed, by, goals, "_c1"))
+    settled = lambda df: df.filter(F.col("_least").eqNullSafe(F.col("_most"))).select(*by, "n", "pick", F.col("_least").alias("_value"))
+    open_ = lambda df: df.filter(~F.col("_least").eqNullSafe(F.col("_most")))
+    left = open_(first).select(*by, "_c1", "_least", "_most").distinct()
+    inside = placed.join(F.broadcast(left) if not by else left, [*by, "_c1"]).select(
+        *by, "_c1", value, "_n", _cell(x, F.col("_least").cast("double"), F.col("_most").cast("double"), cells).alias("_c2")
+    )
+    second = pin(narrowed(inside, [*by, "_c1"], open_(first).drop("_least", "_most"), "_c2"))
+    rest = open_(second).select(*by, "n", "pick", "_c1", "_c2", "rest")
+    few = inside.join(rest.select(*by, "_c1", "_c2").distinct(), [*by, "_c1", "_c2"])
+    keys = [*by, "_c1", "_c2"]
+    upto = running_total(few, keys, [F.col(value)], "_n", "_upto", group_rows)
+    last = upto.join(rest, keys).filter(F.col("_upto") > F.col("rest")).groupBy(*by, "n", "pick").agg(F.min(value).alias("_value"))
+    found = settled(first).unionByName(settled(second)).unionByName(last)
+    return found.groupBy(*by).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("pick") == name, F.col("_value"))).alias(name) for name in picks])
+
+
 # Index rules used by the operators (0-based rank from a row count n).
 def middle(n: Column) -> Column:
     return F.floor(n / 2)

@@ -419,3 +419,47 @@ def test_contact_runs_are_a_scan_in_the_jvm(spark, monkeypatch, size, dims):
                         if 0 <= f < n:
                             made[f] += (anchor - made[f]) * weight(d)
         assert np.allclose([got[c, f] for f in range(n)], made)
+
+
+def test_ranks_of_a_million_values_without_a_range_sort(spark):
+    from pyspark.sql import functions as F
+
+    from cliploom.operators import kernels as K
+
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("hot").alias("g"), F.expr("exp(id * 1e-5) * (1 + pmod(xxhash64(id), 7))").alias("v"))
+    df = df.union(spark.range(10).select(F.lit("small"), F.col("id").cast("double")))
+    picks = {"low": K.lower_quartile, "mid": K.middle, "high": K.p95_rank, "first": lambda n: n * 0, "last": lambda n: n - 1}
+    out = K.order_stats(df, ["g"], "v", picks, group_rows=50_000)
+    assert "rangepartitioning" not in out._jdf.queryExecution().toString().lower()
+    got = {r.g: r.asDict() for r in out.collect()}
+    for g in ("hot", "small"):
+        v = np.sort([r.v for r in df.filter(F.col("g") == g).select("v").collect()])
+        ranks = {"low": len(v) // 4, "mid": len(v) // 2, "high": min(len(v) - 1, int(len(v) * 0.95)), "first": 0, "last": len(v) - 1}
+        assert got[g] == {"g": g, "n": len(v)} | {k: v[i] for k, i in ranks.items()}
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "decimal(20,3)"])
+@pytest.mark.parametrize("by", [["g"], []])
+def test_narrowed_ranks_of_odd_values(spark, kind, by):
+    """Ties, huge neighbours that are one double, infinities and NaN; every rank, also with two cells only."""
+    from cliploom.operators import kernels as K
+
+    rng = np.random.default_rng(4)
+    values = [int(v) for v in rng.integers(-50, 50, 120)] + [9, 9, 9, 2**60, 2**60 + 1, 2**60 + 2, -(2**60)] if kind == "long" else [float(v) for v in rng.normal(size=100)] + [0.5] * 40 + [1e5, 0.0, -0.0]
+    if kind == "double":
+        values += [float("inf"), float("-inf"), float("nan"), 1e308, -1e308, 5e-324]
+    rows = [(k % 2 if by else 0, v) for k, v in enumerate(values)] + [(0, None)]
+    df = spark.createDataFrame(rows, f"g long, v {'double' if kind != 'long' else 'long'}").selectExpr("g", f"CAST(v AS {kind}) AS v")
+    ranks = {f"r{i}": (lambda i: lambda n: F_least(n, i))(i) for i in range(0, 64, 3)}
+    wide = K.order_stats(df, by, "v", ranks)
+    for cells in (2, 1024):
+        counts = df.filter("v IS NOT NULL").groupBy(*by, "v").agg({"v": "count"}).withColumnRenamed("count(v)", "_n")
+        narrow = K._narrowed_stats(counts, by, "v", ranks, 5, cells)
+        assert sorted(map(str, narrow.select(*wide.columns).collect())) == sorted(map(str, wide.collect()))
+
+
+def F_least(n, i):
+    from pyspark.sql import functions as F
+
+    return F.least(n - 1, F.lit(i).cast("long"))
