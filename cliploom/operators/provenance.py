@@ -231,11 +231,37 @@ def input_fingerprint(jobs: DataFrame, facts: DataFrame, roles: Sequence[str] =
     return rows.withColumn("missing_source", missing).withColumn(out, F.when(missing.isNull(), F.sha2(text, 256))).select(*jobs.columns, out, "missing_source")
 
 
+def _digest(entries: Column) -> Column:
+    """One hash for a map's entries in the order of their keys."""
+    return F.sha2(F.array_join(F.transform(F.array_sort(entries), lambda e: F.concat(F.length(e["key"]).cast("string"), F.lit(":"), e["key"], F.lit("="), F.coalesce(e["value"], F.lit("")))), "\n"), 256)
+
+
+def code_drift(records: DataFrame, current: DataFrame, setting_sha256: str | None = None, key: str = "record") -> DataFrame:
+    """What changed in code and settings since each record: ``record, path, old, new, change``.
+
+    ``records`` has the key, ``code_files_sha256`` and ``setting_file``; ``current`` has path and
+    sha256 of the code files there are now, one batch's few. The map of each record is compared
+    by its digest, and only maps that differ are taken apart; no rows are shuffled. A setting
+    that differs is a row named ``setting``. Records without a map have drifted in every file.
+    """
+    now = current.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("path").alias("key"), F.col("sha256").alias("value"))))).alias("_now"))
+    now = F.broadcast(now.withColumn("_digest", _digest(F.map_entries("_now"))))  # one row
+    was = F.coalesce("code_files_sha256", F.create_map().cast("map<string,string>"))
+    rows = records.select(F.col(key).alias("record"), was.alias("_was"), F.col("setting_file.sha256").alias("_setting")).crossJoin(now)
+    differs = ~_digest(F.map_entries("_was")).eqNullSafe(F.col("_digest"))
+    paths = F.when(differs, F.array_union(F.map_keys("_was"), F.map_keys("_now"))).otherwise(F.array().cast("array<string>"))
+    each = F.transform(paths, lambda p: F.struct(p.alias("path"), F.try_element_at("_was", p).alias("old"), F.try_element_at("_now", p).alias("new")))
+    setting = F.struct(F.lit("setting").alias("path"), F.col("_setting").alias("old"), F.lit(setting_sha256).cast("string").alias("new"))
+    moved = F.filter(F.concat(each, F.array(setting)), lambda e: ~e["old"].eqNullSafe(e["new"]))
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("changed")
+    return rows.select("record", F.explode(moved).alias("e")).select("record", "e.*").withColumn("change", change)
+
+
 def replay_gate(records: DataFrame, facts: DataFrame, code: DataFrame, drift: DataFrame, note: str = "") -> DataFrame:
     """Whether each record may be replayed.
 
-    Needs a complete job and three unchanged sources; records listed in ``drift`` (changed
-    code or settings) also need a note. ``code`` names the record key and its replay fields.
+    Needs a complete job and three unchanged sources; records listed in ``drift`` (changed code
+    or settings, see ``code_drift``) also need a note. ``code`` names the record key and its replay fields.
     """
     roles = ("asset", "motion", "background")
     long = records.select("record", F.explode(F.array(*[

@@ -424,3 +424,22 @@ def design_rows(assigned: DataFrame, designs: DataFrame) -> tuple[DataFrame, Dat
         )).alias("detail"),
     )
     return rows, events
+
+
+def designed_jobs(jobs: DataFrame, assigned: DataFrame, rows: DataFrame, recipe: str = "expanded_preset") -> DataFrame:
+    """The next jobs snapshot behind ``design_rows``: six columns follow the design, other jobs stay as they are.
+
+    ``assigned`` is what the rows were made from. Columns that ``jobs`` lacks are added, null
+    for jobs without a design.
+    """
+    made = rows.select(F.col("job_id").alias("id"), "action_design_id", "action_params_json").join(
+        assigned.select(
+            "id", F.col("source_segment_id").alias("motion_segment_id"), F.col("source_motion_path").alias("motion_path"),
+            F.element_at("source_frames", 1).cast("long").alias("source_start_frame"),
+        ), "id",
+    ).withColumn("recipe", F.lit(recipe))
+    fields = ("recipe", "action_design_id", "action_params_json", "motion_segment_id", "motion_path", "source_start_frame")
+    joined = jobs.join(made.select("id", F.struct(*fields).alias("_design")), "id", "left")
+    kept = lambda c: F.col(c) if c in jobs.columns else F.lit(None)
+    changed = {c: F.when(F.col("_design").isNotNull(), F.col(f"_design.{c}")).otherwise(kept(c)).alias(c) for c in fields}
+    return joined.select(*[changed.get(c, F.col(c)) for c in jobs.columns], *[changed[c] for c in fields if c not in jobs.columns])

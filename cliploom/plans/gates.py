@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cliploom.operators import gates as G
 from cliploom.operators import provenance
+from cliploom.operators import queue as Q
+from cliploom.plans.common import JOBS_SQL, jobs
 from cliploom.plans.registry import Tables, query
 from cliploom.schemas import CATALOG_VERSION, GARMENT_VERSION, REPORT_VERSION
 
@@ -263,20 +265,42 @@ def time_stamps(t: Tables) -> DataFrame:
     return t.events.select("event_id", utc_stamp(F.col("ts")).alias("stamp"), since.alias("unix"))
 
 
-@query("design_rows", """SELECT o_orderkey AS job_id, row_number() OVER (ORDER BY 'S' || CAST(o_custkey AS VARCHAR), o_orderkey) - 1 AS design_seq,
-  substr(sha1('expanded-preset-v1:S' || CAST(o_custkey AS VARCHAR) || ':' || CAST(o_orderkey AS VARCHAR) || ':p' || CAST(o_orderkey AS VARCHAR)), 1, 24) AS action_design_id,
-  'p' || CAST(o_orderkey AS VARCHAR) AS preset_id, 31 AS source_frame_count FROM orders WHERE o_orderkey NOT IN (SELECT doc_id FROM documents)""")
-def design_rows(t: Tables) -> DataFrame:
-    from cliploom.operators.queue import design_rows as make
-
+def _assigned(t: Tables) -> DataFrame:
+    """Orders as jobs that were given a preset of their own."""
     text = F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))
-    assigned = t.orders.select(
+    return t.orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("subject_id"), (F.col("o_orderkey") % 12).cast("int").alias("subject_action_index"),
         F.lit(120).alias("frame_count"), text.alias("preset_id"), F.lit(CATALOG_VERSION).alias("catalog_version"), F.array(F.col("o_totalprice")).alias("trajectory_descriptor"),
         F.sha1(text).alias("trajectory_fingerprint"), F.sha1(text).alias("blueprint_signature"), text.alias("source_motion_path"),
         F.array(F.lit(10), F.lit(40)).cast("array<long>").alias("source_frames"), F.lit(30.0).alias("source_fps"), text.alias("source_segment_id"),
     )
-    earlier = t.documents.select(F.col("doc_id").alias("job_id"), F.lit(-1).cast("long").alias("design_seq"))
-    rows, _ = make(assigned, earlier)
+
+
+def _earlier_designs(t: Tables) -> DataFrame:
+    return t.documents.select(F.col("doc_id").alias("job_id"), F.lit(-1).cast("long").alias("design_seq"))
+
+
+@query("design_rows", """SELECT o_orderkey AS job_id, row_number() OVER (ORDER BY 'S' || CAST(o_custkey AS VARCHAR), o_orderkey) - 1 AS design_seq,
+  substr(sha1('expanded-preset-v1:S' || CAST(o_custkey AS VARCHAR) || ':' || CAST(o_orderkey AS VARCHAR) || ':p' || CAST(o_orderkey AS VARCHAR)), 1, 24) AS action_design_id,
+  'p' || CAST(o_orderkey AS VARCHAR) AS preset_id, 31 AS source_frame_count FROM orders WHERE o_orderkey NOT IN (SELECT doc_id FROM documents)""")
+def design_rows(t: Tables) -> DataFrame:
+    rows, _ = Q.design_rows(_assigned(t), _earlier_designs(t))
     field = lambda name: F.get_json_object("action_params_json", f"$.{name}")
     return rows.select("job_id", "design_seq", "action_design_id", field("expanded_preset_id").alias("preset_id"), field("source_frame_count").cast("int").alias("source_frame_count"))
+
+
+@query("designed_jobs", f"""WITH jobs AS ({JOBS_SQL})
+SELECT id, status, attempts, subject_id, CASE WHEN d THEN 'expanded_preset' END AS recipe,
+  CASE WHEN d THEN substr(sha1('expanded-preset-v1:' || subject_id || ':' || id || ':p' || id), 1, 24) END AS action_design_id,
+  CASE WHEN d THEN 'p' || id ELSE action_params_json END AS preset, CASE WHEN d THEN 'p' || id END AS motion_segment_id,
+  CASE WHEN d THEN 'p' || id ELSE 'old/' || id END AS motion_path, CASE WHEN d THEN 10 END AS source_start_frame
+FROM (SELECT *, id NOT IN (SELECT doc_id FROM documents) AS d FROM jobs)""")
+def designed_jobs(t: Tables) -> DataFrame:
+    """The jobs table after the designs of ``design_rows``; jobs with an earlier design stay as they are."""
+    assigned = _assigned(t)
+    rows, _ = Q.design_rows(assigned, _earlier_designs(t))
+    now = jobs(t).withColumn("motion_path", F.concat(F.lit("old/"), F.col("id").cast("string")))
+    params = F.coalesce(F.get_json_object("action_params_json", "$.expanded_preset_id"), "action_params_json").alias("preset")
+    return Q.designed_jobs(now, assigned, rows).select(
+        "id", "status", "attempts", "subject_id", "recipe", "action_design_id", params, "motion_segment_id", "motion_path", "source_start_frame"
+    )

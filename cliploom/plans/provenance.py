@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,6 +200,33 @@ def changed_inputs(t: Tables) -> DataFrame:
     return now.join(then, "id").select("id", "missing_source", (~F.col("input_fingerprint").eqNullSafe(F.col("restored"))).alias("changed"))
 
 
+def _code_then_and_now(t: Tables) -> tuple[DataFrame, DataFrame, str]:
+    """Nations as code files: what each job's record says of them, what they are now, and the setting's hash now.
+
+    Of five records one has another hash of one file, one lacks a file, one another setting.
+    """
+    current = t.nation.select(F.concat("n_name", F.lit(".py")).alias("path"), F.sha2("n_name", 256).alias("sha256"), "n_nationkey")
+    files = F.broadcast(current.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "path", "sha256"))).alias("_files")))  # 25 rows
+    rows = jobs(t).select("id").crossJoin(files)
+    own = lambda f: f["n_nationkey"] == F.col("id") % 25
+    held = F.filter("_files", lambda f: ~((F.col("id") % 5 == 1) & own(f)))
+    entry = lambda f: F.struct(f["path"].alias("key"), F.when((F.col("id") % 5 == 0) & own(f), F.reverse(f["sha256"])).otherwise(f["sha256"]).alias("value"))
+    records = rows.select(
+        F.col("id").alias("record"), F.map_from_entries(F.transform(held, entry)).alias("code_files_sha256"),
+        F.struct(F.when(F.col("id") % 5 == 2, F.sha2(F.lit("old"), 256)).otherwise(F.sha2(F.lit("setting"), 256)).alias("sha256")).alias("setting_file"),
+    )
+    return records, current, hashlib.sha256(b"setting").hexdigest()
+
+
+@query("code_drift", f"""WITH jobs AS ({JOBS_SQL})
+SELECT j.id AS record, n_name || '.py' AS path, CASE WHEN j.id % 5 = 1 THEN 'added' ELSE 'changed' END AS change,
+  CASE WHEN j.id % 5 = 0 THEN reverse(sha256(n_name)) END AS old, sha256(n_name) AS new
+FROM jobs j JOIN nation ON n_nationkey = j.id % 25 WHERE j.id % 5 < 2
+UNION ALL SELECT id, 'setting', 'changed', sha256('old'), sha256('setting') FROM jobs WHERE id % 5 = 2""")
+def code_drift(t: Tables) -> DataFrame:
+    return ops.code_drift(*_code_then_and_now(t)).select("record", "path", "change", "old", "new")
+
+
 @query("replay_gate", CTX + f""", {SOURCES},
 long AS (SELECT id, 1 AS k, 'asset' AS role, asset_path AS p FROM src UNION ALL SELECT id, 2, 'motion', motion_path FROM src
   UNION ALL SELECT id, 3, 'background', background_path FROM src),
@@ -205,7 +234,7 @@ bad AS (SELECT l.id, arg_min(role, k) AS role FROM long l
   LEFT JOIN manifest m ON '/video/' || m.path = l.p LEFT JOIN facts f ON '/video/' || f.path = l.p
   WHERE m.sha256 IS NULL OR m.sha256 IS DISTINCT FROM f.sha256 GROUP BY l.id)
 SELECT j.id AS record, CASE WHEN j.status = 'pending' THEN 'incomplete_job' WHEN bad.role IS NOT NULL THEN 'source_changed:' || bad.role
-  WHEN j.split = 'test' THEN 'change_note_required' ELSE 'ok' END AS replay_verdict
+  WHEN j.id % 5 < 3 THEN 'change_note_required' ELSE 'ok' END AS replay_verdict
 FROM jobs j LEFT JOIN bad ON bad.id = j.id""")
 def replay_gate(t: Tables) -> DataFrame:
     queue = jobs(t).select("id", "split", "status", "action_params_json").join(job_sources(t), "id")
@@ -220,5 +249,4 @@ def replay_gate(t: Tables) -> DataFrame:
         F.col("id").alias("record"), "asset_path", "motion_path", "background_path",
         F.when(F.col("status") != "pending", F.col("action_params_json")).alias("action_params_json"),
     )
-    drift = queue.filter("split = 'test'").select(F.col("id").alias("record"))
-    return ops.replay_gate(records, _file_facts(t), code, drift)
+    return ops.replay_gate(records, _file_facts(t), code, ops.code_drift(*_code_then_and_now(t)))

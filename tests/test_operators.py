@@ -463,3 +463,37 @@ def F_least(n, i):
     from pyspark.sql import functions as F
 
     return F.least(n - 1, F.lit(i).cast("long"))
+
+
+def test_designed_jobs_change_six_columns(spark):
+    jobs = spark.createDataFrame([(1, "S1", "pending", "{}", "m1"), (2, "S1", "pending", "{}", "m2"), (3, "S2", "done", "{}", "m3")], "id long, subject_id string, status string, action_params_json string, motion_path string")
+    assigned = spark.createDataFrame(
+        [(i, s, 4, 90, f"p{i}", "v", [1.0], f"t{i}", f"b{i}", f"new{i}", [5, 9], 30.0, f"seg{i}") for i, s in ((1, "S1"), (3, "S2"))],
+        "id long, subject_id string, subject_action_index int, frame_count int, preset_id string, catalog_version string, trajectory_descriptor array<double>, trajectory_fingerprint string, "
+        "blueprint_signature string, source_motion_path string, source_frames array<long>, source_fps double, source_segment_id string",
+    )
+    rows, events = queue.design_rows(assigned, spark.createDataFrame([(3, 7)], "job_id long, design_seq long"))  # job 3 has a design
+    made = rows.first()
+    got = {r.id: r for r in queue.designed_jobs(jobs, assigned, rows).collect()}
+    assert len(got) == 3 and events.count() == 1
+    assert (got[1].recipe, got[1].action_design_id, got[1].action_params_json) == ("expanded_preset", made.action_design_id, made.action_params_json)
+    assert (got[1].motion_segment_id, got[1].motion_path, got[1].source_start_frame, got[1].status) == ("seg1", "new1", 5, "pending")
+    for i in (2, 3):
+        assert (got[i].recipe, got[i].action_design_id, got[i].action_params_json, got[i].motion_path, got[i].source_start_frame) == (None, None, "{}", f"m{i}", None)
+
+
+def test_code_drift_takes_apart_only_maps_that_differ(spark):
+    from cliploom.operators.integrity import hash_drift, hash_map_rows
+    from cliploom.operators.provenance import code_drift
+
+    now = {"a.py": "1", "b.py": "2", "c.py": "3"}
+    maps = {1: now, 2: {"a.py": "1", "b.py": "x", "c.py": "3"}, 3: {"a.py": "1", "c.py": "3"}, 4: now | {"d.py": "4"}, 5: {}, 6: None, 7: now}
+    records = spark.createDataFrame([(k, m, ("s0" if k == 7 else "s1",)) for k, m in maps.items()], "record long, code_files_sha256 map<string,string>, setting_file struct<sha256:string>")
+    current = spark.createDataFrame(list(now.items()), "path string, sha256 string")
+    got = {(r.record, r.path, r.change) for r in code_drift(records, current, "s1").collect()}
+    assert got == {(2, "b.py", "changed"), (3, "b.py", "added"), (4, "d.py", "removed"), (7, "setting", "changed")} | {(k, p, "added") for k in (5, 6) for p in now}
+    # the same as comparing every row of every map
+    long = hash_map_rows(records, "record", "code_files_sha256")
+    every = records.select("record").crossJoin(current)
+    assert {(r.record, r.path, r.change) for r in hash_drift(long, every).collect()} == got - {(7, "setting", "changed")}
+    assert code_drift(records.limit(0), current).count() == 0 and code_drift(records.filter("record = 1"), current, "s1").count() == 0
