@@ -497,3 +497,29 @@ def test_code_drift_takes_apart_only_maps_that_differ(spark):
     every = records.select("record").crossJoin(current)
     assert {(r.record, r.path, r.change) for r in hash_drift(long, every).collect()} == got - {(7, "setting", "changed")}
     assert code_drift(records.limit(0), current).count() == 0 and code_drift(records.filter("record = 1"), current, "s1").count() == 0
+
+
+def test_close_upward_takes_logarithmic_rounds(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    pins = []
+    pinned = tree.pin
+    monkeypatch.setattr(tree, "pin", lambda df: pins.append(1) or pinned(df))
+    rng = np.random.default_rng(8)
+    rows = [("chain", f"n{i}", f"n{i - 1}" if i else None, i == 4999 or i == 17, i not in (40, 900)) for i in range(5000)]
+    rows += [("bush", f"n{i}", f"n{rng.integers(max(0, i - 30), i)}" if i else None, bool(rng.random() < 0.05), bool(rng.random() < 0.9)) for i in range(800)]
+    rows += [("bush", "lost", "nowhere", True, True), ("bush", "alone", None, True, False)]
+    df = spark.createDataFrame(rows, "rig string, name string, parent string, seed boolean, ok boolean")
+    got = {tuple(r) for r in tree.close_upward(df, ["rig"], F.col("seed"), F.col("ok")).collect()}
+    known = {(rig, name): (up, ok) for rig, name, up, _, ok in rows}
+    expected = set()
+    for rig, name, up, seed, _ in rows:
+        if seed:
+            at = name
+            while (rig, at) not in expected:
+                expected.add((rig, at))
+                up = known[rig, at][0]
+                if (rig, up) not in known or not known[rig, up][1]:
+                    break
+                at = up
+    assert got == expected and len(pins) <= 30
