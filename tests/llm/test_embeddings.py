@@ -73,7 +73,7 @@ def brute_nearest(rows, query, k=10):
     return found[:k]
 
 
-@pytest.mark.parametrize("settings", [ann.Settings(), ann.Settings(block=7, query_block=2), ann.Settings(recall=0.01, tables=1, per_bucket=1)])
+@pytest.mark.parametrize("settings", [ann.Settings(), ann.Settings(block=7, query_block=2), ann.Settings(recall=0.01, tables=1, per_bucket=1), ann.Settings(first=1, most=1)])
 def test_small_tables_are_searched_well(spark, settings):
     rows = [r for r in odd_vectors(spark) if r[0] is not None]
     found = ann.search(spark.createDataFrame(rows, SCHEMA), lambda i: i % 7 == 0, settings).collect()
@@ -111,3 +111,20 @@ def test_recall_on_the_given_table(spark):
         assert all(score == pytest.approx(float(distance[ids == v][0]), rel=1e-12) for v, score in own.items())
         hits, total = hits + len(own.keys() & set(best.tolist())), total + 10
     assert hits / total >= 0.9
+
+
+@pytest.mark.parametrize("per_cluster", [20, 500])
+def test_clustered_rows_are_found_without_visiting_most(spark, per_cluster):
+    rng = np.random.default_rng(per_cluster)
+    x = np.repeat(rng.standard_normal((50_000 // per_cluster, 32)), per_cluster, axis=0) + 0.15 * rng.standard_normal((50_000, 32))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = ann.search(rows, lambda i: i % 250 == 0).collect()
+    hits = 0
+    for q in range(0, len(x), 250):
+        distance = ((x - x[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        hits += len(set(np.argsort(distance)[:10].tolist()) & {r["vec_id"] for r in found if r["query_id"] == q})
+    visited = {r["query_id"]: r["visited"] for r in found}
+    assert len(found) == 2000 and len(visited) == 200
+    assert hits / 2000 >= 0.9
+    assert sum(visited.values()) / len(visited) <= 0.1 * len(x)  # all tables together
