@@ -77,3 +77,22 @@ def stream_reports(t: Tables) -> DataFrame:
     current = F.when(F.col("o_orderstatus") == "F", "purchase").when(F.col("o_orderstatus") == "O", "view").otherwise("signup")
     jobs = t.orders.select(F.col("o_orderkey").alias("job_id"), current.alias("attempt"))
     return S.drain_append(S.stream_reports(stream, jobs, "400 days"), scratch_path(t.spark, "reports")).select("job_id", "attempt")
+
+
+HORIZON_H, DELAY_H = 72, 2
+
+
+@query("stream_live_reports", f"""WITH log AS ({LOG_SQL}), r AS (SELECT DISTINCT job_id, event_id % 3 AS attempt, ts FROM log WHERE event = 'purchase'),
+c AS (SELECT job_id, event_id % 3 AS attempt, ts, event_id FROM log WHERE event = 'claimed'),
+near AS (SELECT r.job_id, r.attempt, r.ts, c.attempt AS claimed, c.ts AS claimed_at, c.event_id AS claim_id,
+  row_number() OVER (PARTITION BY r.job_id, r.attempt, r.ts ORDER BY c.ts DESC, c.event_id DESC) AS rn
+  FROM r JOIN c ON r.job_id = c.job_id AND c.ts <= r.ts AND c.ts >= r.ts - INTERVAL {HORIZON_H} HOUR),
+seen AS (SELECT date_trunc('millisecond', least((SELECT max(ts) FROM c), (SELECT max(ts) FROM r))) - INTERVAL {DELAY_H} HOUR AS watermark)
+SELECT job_id, attempt, CAST(epoch_us(ts) AS BIGINT) AS reported_at, CAST(epoch_us(claimed_at) AS BIGINT) AS claimed_at, claim_id
+FROM near, seen WHERE rn = 1 AND claimed = attempt AND ts + INTERVAL {HORIZON_H} HOUR <= watermark""")
+def stream_live_reports(t: Tables) -> DataFrame:
+    log = arriving(t, log_columns(), LOG_SCHEMA).withColumn("attempt", F.col("event_id") % 3)
+    claims = log.where("event = 'claimed'").withColumn("claim_id", F.col("event_id"))
+    stream = S.stream_live_reports(log.where("event = 'purchase'"), claims, f"{DELAY_H} hours", f"{HORIZON_H} HOURS")
+    out = S.drain_append(stream, scratch_path(t.spark, "live-reports"))
+    return out.withColumns({c: F.unix_micros(c) for c in ("reported_at", "claimed_at")})

@@ -100,3 +100,26 @@ def stream_reports(reports: DataFrame, jobs: DataFrame, delay: str) -> DataFrame
     """
     current = reports.withWatermark("ts", delay).join(jobs.select("job_id", "attempt"), ["job_id", "attempt"])
     return current.dropDuplicatesWithinWatermark(["job_id", "attempt"])
+
+
+def stream_live_reports(reports: DataFrame, claims: DataFrame, delay: str, horizon: str) -> DataFrame:
+    """Reports that speak for the attempt that was current when they were made; both sides may be streams.
+
+    ``reports`` has job_id, attempt and ts; ``claims`` has job_id, attempt, ts and claim_id and
+    tells when an attempt took its job over. A report counts for the last claim of its job at or
+    before it, of claims at the same time that with the largest claim_id, if that names the same
+    attempt and is at most ``horizon`` old. Equal reports are one row.
+
+    Both sides wait for ``delay``; a claim is held until no report can reach it and a report until
+    no claim can precede it, so the state is what arrives within ``delay`` and ``horizon``. Rows
+    later than that are dropped. A stream tells a report once it is older than ``delay`` and
+    ``horizon`` together; static tables give the same rows without waiting.
+    """
+    made = reports.select("job_id", "attempt", "ts").withWatermark("ts", delay)
+    taken = claims.select(
+        F.col("job_id").alias("_job"), F.col("ts").alias("claimed_at"), "claim_id", F.col("attempt").alias("_attempt")
+    ).withWatermark("claimed_at", delay)
+    near = made.join(taken, F.expr(f"job_id = _job AND claimed_at <= ts AND claimed_at >= ts - INTERVAL {horizon}"))
+    last = F.max(F.struct("claimed_at", "claim_id", "_attempt")).alias("_last")
+    current = near.groupBy("job_id", "attempt", "ts").agg(last).where(F.col("_last._attempt") == F.col("attempt"))
+    return current.select("job_id", "attempt", F.col("ts").alias("reported_at"), "_last.claimed_at", "_last.claim_id")

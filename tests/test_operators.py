@@ -361,6 +361,62 @@ def test_silence_begins_after_more_than_the_timeout(spark, tmp_path):
     assert found == {(1, 12.0), (1, 40.0), (2, 0.0), (2, 6.001)}
 
 
+def _arrive(spark, path, schema, steps):
+    for rows in steps:  # one file for each step, read in this order
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_live_reports_follow_the_claims(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from cliploom.streaming import streams
+
+    at = lambda hours: datetime(2026, 1, 1) + timedelta(hours=hours)
+    report, claim = "job_id long, attempt string, ts timestamp", "job_id long, attempt string, ts timestamp, claim_id long"
+    end = [(9, "z", at(200))]
+    reports = [
+        [(1, "a", at(1)), (2, "a", at(1)), (2, "b", at(2)), (4, "a", at(20)), (None, "a", at(1)), (5, None, at(1))],
+        [(1, "a", at(11)), (1, "b", at(11)), (1, "b", at(11)), (3, "a", at(12)), (1, "b", at(12))],
+        end, end, [(1, "b", at(11.5)), (9, "z", at(200))],
+    ]
+    claims = [
+        [(1, "a", at(0), 1), (2, "a", at(0), 2), (2, "b", at(0), 3), (4, "a", at(0), 7), (None, "a", at(0), 8), (5, None, at(0), 9)],
+        [(1, "b", at(10), 4)], [(9, "z", at(200), 5)], [(9, "z", at(200), 6)], [(9, "z", at(200), 10)],
+    ]
+    _arrive(spark, f"{tmp_path}/r", report, reports)
+    _arrive(spark, f"{tmp_path}/c", claim, claims)
+    sides = [streams.file_stream(spark, f"{tmp_path}/r", report, 1), streams.file_stream(spark, f"{tmp_path}/c", claim, 1)]
+    live = streams.stream_live_reports(*sides, "2 hours", "12 hours").writeStream.outputMode("append").format("parquet")
+    query = live.option("checkpointLocation", f"{tmp_path}/k").trigger(availableNow=True).start(f"{tmp_path}/o")
+    query.awaitTermination()
+    told = lambda df: {(r.job_id, r.attempt, (r.reported_at - at(0)) / timedelta(hours=1), r.claim_id) for r in df.collect()}
+    on_time = {(1, "a", 1.0, 1), (2, "b", 2.0, 3), (1, "b", 11.0, 4), (1, "b", 12.0, 4)}
+    assert told(spark.read.parquet(f"{tmp_path}/o")) == on_time
+    fixed = streams.stream_live_reports(spark.read.parquet(f"{tmp_path}/r"), spark.read.parquet(f"{tmp_path}/c"), "2 hours", "12 hours")
+    # the report that came after its time was dropped; job 9 is not settled
+    assert told(fixed) == on_time | {(1, "b", 11.5, 4), (9, "z", 200.0, 10)}
+    held = {o["operatorName"]: o["numRowsTotal"] for o in query.lastProgress["stateOperators"]}
+    assert held == {"symmetricHashJoin": 6, "stateStoreSave": 1}  # only hour 200: three reports, three claims, one report to tell
+    assert sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"]) == 1
+
+
+def test_late_telemetry_is_dropped(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from cliploom.streaming import streams
+
+    at = lambda hours: datetime(2026, 1, 1) + timedelta(hours=hours)
+    schema = "run long, ts timestamp, memory_used_mib double, utilization double"
+    steps = [[(1, at(0.5), 10.0, 50.0), (1, at(5), 20.0, 10.0)], [(1, at(3.2), 5.0, 30.0), (1, at(5.5), 1.0, 30.0)], [(1, at(0.6), 99.0, 99.0), (1, at(4.5), 7.0, 70.0)]]
+    _arrive(spark, f"{tmp_path}/in", schema, steps)
+    stream = streams.stream_telemetry(streams.file_stream(spark, f"{tmp_path}/in", schema, 1), "1 hour", "2 hours")
+    streams.drain_deltas(stream, f"{tmp_path}/out")
+    rows = streams.fold_deltas(spark, f"{tmp_path}/out", ["run", "window_start"]).collect()
+    found = {((r.window_start - at(0)) / timedelta(hours=1), r.peak_memory_mib, r.mean_utilization, r.samples) for r in rows}
+    # the watermark is hour 3 when the last file arrives: of its rows the first is too late
+    assert found == {(0.0, 10.0, 50.0, 1), (3.0, 5.0, 30.0, 1), (4.0, 7.0, 70.0, 1), (5.0, 20.0, 20.0, 2)}
+
+
 @pytest.mark.parametrize("size", [2, 9, 4096])
 def test_affine_scan(spark, size):
     from cliploom.operators import kernels as K
