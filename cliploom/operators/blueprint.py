@@ -215,7 +215,7 @@ def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             for test in rules[number].when:
                 hit = hit & test.build(F.col(test.column))
             hits[f"_hit{number}"] = hit
-        df = df.withColumns(hits)
+        df = _settled(df, hits)
         drawn = {}
         for number in stage:
             if rules[number].draw:
@@ -224,7 +224,7 @@ def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 choice = F.element_at(F.array(*[F.lit(c) for c in choices]), stable_mod(seed, len(choices)) + 1)
                 drawn[f"_drawn{number}"] = F.when(F.col(f"_hit{number}"), choice)
         if drawn:
-            df = df.withColumns(drawn)
+            df = _settled(df, drawn)
         changed: dict[str, Column] = {}
         for number in stage:
             rule, on = rules[number], F.col(f"_hit{number}")
@@ -236,10 +236,20 @@ def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             if _marks_narrow_hip(rule):
                 changed["hit_narrow_hip"] = on
         if changed:
-            df = df.withColumns(changed)
+            df = _settled(df, changed)
     return df
 
 
+def _settled(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``withColumns`` whose results are computed once a row.
+
+    Each stage reads the previous one's columns several times; projections that the optimizer
+    merges would repeat the whole chain in every branch. A generator of one row is not merged.
+    """
+    one = F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c not in columns), one)
+
+
 def _cap(rules: Sequence[Rule], name: str) -> Column | None:
     caps = [F.when(F.col(f"_hit{i}"), F.lit(rule.cap[name])) for i, rule in enumerate(rules) if name in rule.cap]
     return F.least(*caps) if len(caps) > 1 else caps[0] if caps else None
