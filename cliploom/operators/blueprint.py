@@ -7,7 +7,7 @@ Conditions that must see the blueprint as it came in name ``was_*`` columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -97,27 +97,37 @@ DEFAULT_ARM_RATIO = 0.30
 
 @dataclass(frozen=True)
 class Test:
-    """A condition on one column."""
+    """A condition on one column, as data: names it is among or not, a limit it stays below, or its truth."""
 
     column: str
-    build: Callable[[Column], Column]
+    names: tuple[str, ...] = ()
+    among: bool = True
+    limit: float | None = None
+    default: float | None = None
+
+    def holds(self) -> Column:
+        value = F.col(self.column)
+        if self.limit is not None:
+            return F.coalesce(value, F.lit(self.default)) < self.limit
+        if not self.names:
+            return F.coalesce(value, F.lit(False))
+        return value.isin(*self.names) if self.among else ~value.isin(*self.names)
 
 
 def one_of(column: str, *groups: Sequence[str]) -> Test:
-    names = [n for g in groups for n in g]
-    return Test(column, lambda c: c.isin(*names))
+    return Test(column, tuple(n for g in groups for n in g))
 
 
 def none_of(column: str, names: Sequence[str]) -> Test:
-    return Test(column, lambda c: ~c.isin(*names))
+    return Test(column, tuple(names), among=False)
 
 
 def below(column: str, limit: float, default: float) -> Test:
-    return Test(column, lambda c: F.coalesce(c, F.lit(default)) < limit)
+    return Test(column, limit=limit, default=default)
 
 
 def trait(column: str) -> Test:
-    return Test(column, lambda c: F.coalesce(c, F.lit(False)))
+    return Test(column)
 
 
 @dataclass(frozen=True)
@@ -132,60 +142,185 @@ class Rule:
     note: str | None = None
 
 
-# The ordered compatibility rules of the current catalogue edition.
-RULES: tuple[Rule, ...] = (
-    Rule((one_of("was_lower", DEEP_LOWER), one_of("was_torso", ("bow", "body_wave"))),
-         put={"torso_channel": "athletic_lean"}, note="deep_lower_with_flexion->athletic_lean"),
-    Rule((one_of("was_lower", DEEP_LOWER),), cap={"lower_intensity": 0.78, "torso_intensity": 0.66}),
-    Rule((one_of("was_lower", DEEP_LOWER), one_of("was_arms", FORWARD_ARMS)),
-         cap={"arm_intensity": 0.58}, note="deep_lower_caps_forward_reach"),
-    Rule((one_of("was_lower", DEEP_LOWER), none_of("was_arms", FORWARD_ARMS), one_of("was_arms", WIDE_ARMS)),
-         cap={"arm_intensity": 0.62}, note="deep_lower_caps_wide_arms"),
-    Rule((one_of("was_lower", ("soft_jump",)), one_of("was_arms", CROSSING_ARMS)),
-         put={"arms": "balance_open"}, note="jump_with_crossing_arms->balance_open"),
-    Rule((one_of("was_lower", DYNAMIC_LOWER), one_of("was_arms", HIGH_ARMS)),
-         cap={"arm_intensity": 0.72}, note="dynamic_lower_caps_high_arms"),
-    Rule((one_of("was_lower", DYNAMIC_LOWER), one_of("was_arms", WIDE_ARMS)),
-         cap={"arm_intensity": 0.66}, note="dynamic_lower_caps_wide_arms"),
-    Rule((one_of("was_lower", TURNING_LOWER), one_of("torso_channel", ("counter_rotate",))),
-         put={"torso_channel": "neutral"}, note="opposed_turn_channels->neutral_torso"),
-    Rule((one_of("was_arms", CROSSING_ARMS), one_of("torso_channel", ("twist", "look_back_twist"))),
-         cap={"arm_intensity": 0.68}, note="cross_body_with_twist_caps_arms"),
-    Rule((one_of("was_arms", HIGH_ARMS), one_of("torso_channel", TORSO_EXTREMES)),
-         cap={"torso_intensity": 0.58, "arm_intensity": 0.64}, note="high_arms_caps_extreme_torso"),
-    Rule((one_of("was_lower", ("controlled_kick", "side_lunge")), one_of("was_arms", CROSSING_ARMS, HIGH_ARMS)),
-         put={"arms": "balance_open"}, cap={"arm_intensity": 0.66},
-         note="single_leg_excursion_replaces_conflicting_arms"),
-    Rule((one_of("was_lower", DEEP_LOWER), one_of("was_arms", CROSSING_ARMS)),
-         put={"arms": "presentation"}, cap={"arm_intensity": 0.60}, note="deep_lower_replaces_crossing_arms"),
-    Rule((one_of("was_lower", DYNAMIC_LOWER), one_of("torso_channel", ("body_wave",))),
-         draw=("lower", ("weight_shift", "side_step", "heel_tap"), ":lower", "body_wave"),
-         cap={"lower_intensity": 0.82, "stride": 0.112, "lift": 0.055, "torso_intensity": 0.72},
-         note="body_wave_replaces_dynamic_lower->"),
-    Rule((one_of("lower", NARROW_HIP_UNSAFE_LOWER), below("hip_width_ratio", 0.115, DEFAULT_HIP_RATIO)),
-         draw=("lower", ("step_touch", "side_step", "heel_tap", "split_stance_rock"), ":hip", "narrow_hip"),
-         cap={"lower_intensity": 0.82, "stride": 0.102, "lift": 0.050},
-         note="narrow_hip_profile_replaces_lateral_or_deep_lower->"),
-    Rule((trait("hit_narrow_hip"), one_of("arms", ("double_reach", "push", "guarded_extension"))),
-         put={"arms": "presentation"}, cap={"arm_intensity": 0.55}, note="narrow_hip_replaces_symmetric_forward_arms"),
-    Rule((trait("has_skirt_or_robe"), one_of("lower", GARMENT_UNSAFE_LOWER)),
-         draw=("lower", ("weight_shift", "side_step", "pivot_step", "heel_tap"), "", "garment"),
-         cap={"lower_intensity": 0.84, "stride": 0.105, "lift": 0.052}, note="skirt_replaces_leg_excursion->"),
-    Rule((trait("has_long_sleeve_or_cape"), one_of("arms", GARMENT_UNSAFE_ARMS)),
-         draw=("arms", ("natural_swing", "presentation", "outward_sweep", "compact_gesture"), ":arms", "sleeve"),
-         cap={"arm_intensity": 0.70}, note="long_sleeve_replaces_collision_prone_arms->"),
-    Rule((trait("has_armor_or_bulky_shoulders"),), cap={"arm_intensity": 0.68}),
-    Rule((trait("has_armor_or_bulky_shoulders"), one_of("arms", CROSSING_ARMS, HIGH_ARMS)),
-         put={"arms": "presentation"}, note="bulky_replaces_crossing_or_high_arms"),
-    Rule((below("arm_length_ratio", 0.27, DEFAULT_ARM_RATIO), one_of("arms", FORWARD_ARMS, WIDE_ARMS)),
-         cap={"arm_intensity": 0.56}, note="short_arm_profile_caps_reach"),
-    Rule((one_of("lower", LOW_RISK_LOWER),), boost={"lower_intensity": (1.08, 0.98), "stride": (1.06, 0.158)}),
-    Rule((one_of("arms", LOW_RISK_ARMS),), boost={"arm_intensity": (1.08, 0.96)}),
-    Rule((one_of("torso_channel", LOW_RISK_TORSO),), boost={"torso_intensity": (1.06, 0.94)}),
-    Rule((), boost={"head_intensity": (1.04, 0.92)}),
+@dataclass(frozen=True)
+class Groups:
+    """Channels that the rules of an edition speak of."""
+
+    deep: tuple[str, ...]
+    dynamic: tuple[str, ...]
+    turning: tuple[str, ...]
+    wide: tuple[str, ...]
+    crossing: tuple[str, ...]
+    high: tuple[str, ...]
+    forward: tuple[str, ...]
+    torso: tuple[str, ...]
+    unsafe_lower: tuple[str, ...] = ()
+    unsafe_arms: tuple[str, ...] = ()
+    safe_lower: tuple[str, ...] = ()
+    safe_arms: tuple[str, ...] = ()
+
+
+CURRENT = Groups(
+    DEEP_LOWER, DYNAMIC_LOWER, TURNING_LOWER, WIDE_ARMS, CROSSING_ARMS, HIGH_ARMS, FORWARD_ARMS, TORSO_EXTREMES,
+    GARMENT_UNSAFE_LOWER, GARMENT_UNSAFE_ARMS, LOW_RISK_LOWER, LOW_RISK_ARMS,
+)
+
+# The groups of the third and fourth editions.
+EARLIER = Groups(
+    deep=("squat", "side_lunge", "crouch_shift"),
+    dynamic=("brisk_walk", "jog_cycle", "soft_jump", "controlled_kick", "dance_step"),
+    turning=("pivot_step", "dance_step"),
+    wide=("double_reach", "overhead_open", "outward_sweep", "balance_open", "arm_circle", "celebration"),
+    crossing=("clap", "cross_body", "near_face", "push", "pull", "guarded_extension"),
+    high=("overhead_open", "celebration", "arm_circle"),
+    forward=("single_reach", "double_reach", "push", "guarded_extension"),
+    torso=("bow", "body_wave", "side_lean", "look_back_twist"),
+    unsafe_lower=("squat", "side_lunge", "soft_jump", "controlled_kick", "crouch_shift"),
+    unsafe_arms=(
+        "double_reach", "overhead_open", "clap", "cross_body", "near_face", "push", "pull", "celebration",
+        "arm_circle", "guarded_extension",
+    ),
+    safe_lower=(
+        "weight_shift", "side_step", "forward_step", "back_step", "walk_cycle", "brisk_walk", "march", "pivot_step", "heel_tap",
+    ),
+    safe_arms=(
+        "natural_swing", "single_reach", "wave", "outward_sweep", "downward_sweep", "alternating_pump", "presentation",
+        "balance_open", "dance_flow", "compact_gesture",
+    ),
 )
 
 
+# The ordered compatibility rules, in the parts that editions share or exchange.
+def channel_conflicts(g: Groups) -> tuple[Rule, ...]:
+    """Channels against each other; in all editions."""
+    return (
+        Rule((one_of("was_lower", g.deep), one_of("was_torso", ("bow", "body_wave"))),
+             put={"torso_channel": "athletic_lean"}, note="deep_lower_with_flexion->athletic_lean"),
+        Rule((one_of("was_lower", g.deep),), cap={"lower_intensity": 0.78, "torso_intensity": 0.66}),
+        Rule((one_of("was_lower", g.deep), one_of("was_arms", g.forward)),
+             cap={"arm_intensity": 0.58}, note="deep_lower_caps_forward_reach"),
+        Rule((one_of("was_lower", g.deep), none_of("was_arms", g.forward), one_of("was_arms", g.wide)),
+             cap={"arm_intensity": 0.62}, note="deep_lower_caps_wide_arms"),
+        Rule((one_of("was_lower", ("soft_jump",)), one_of("was_arms", g.crossing)),
+             put={"arms": "balance_open"}, note="jump_with_crossing_arms->balance_open"),
+        Rule((one_of("was_lower", g.dynamic), one_of("was_arms", g.high)),
+             cap={"arm_intensity": 0.72}, note="dynamic_lower_caps_high_arms"),
+        Rule((one_of("was_lower", g.dynamic), one_of("was_arms", g.wide)),
+             cap={"arm_intensity": 0.66}, note="dynamic_lower_caps_wide_arms"),
+        Rule((one_of("was_lower", g.turning), one_of("torso_channel", ("counter_rotate",))),
+             put={"torso_channel": "neutral"}, note="opposed_turn_channels->neutral_torso"),
+        Rule((one_of("was_arms", g.crossing), one_of("torso_channel", ("twist", "look_back_twist"))),
+             cap={"arm_intensity": 0.68}, note="cross_body_with_twist_caps_arms"),
+        Rule((one_of("was_arms", g.high), one_of("torso_channel", g.torso)),
+             cap={"torso_intensity": 0.58, "arm_intensity": 0.64}, note="high_arms_caps_extreme_torso"),
+    )
+
+
+def exchanges(g: Groups) -> tuple[Rule, ...]:
+    """Legs and torso that take other arms or legs; since the fourth edition."""
+    return (
+        Rule((one_of("was_lower", ("controlled_kick", "side_lunge")), one_of("was_arms", g.crossing, g.high)),
+             put={"arms": "balance_open"}, cap={"arm_intensity": 0.66},
+             note="single_leg_excursion_replaces_conflicting_arms"),
+        Rule((one_of("was_lower", g.deep), one_of("was_arms", g.crossing)),
+             put={"arms": "presentation"}, cap={"arm_intensity": 0.60}, note="deep_lower_replaces_crossing_arms"),
+        Rule((one_of("was_lower", g.dynamic), one_of("torso_channel", ("body_wave",))),
+             draw=("lower", ("weight_shift", "side_step", "heel_tap"), ":lower", "body_wave"),
+             cap={"lower_intensity": 0.82, "stride": 0.112, "lift": 0.055, "torso_intensity": 0.72},
+             note="body_wave_replaces_dynamic_lower->"),
+    )
+
+
+def narrow_hips(g: Groups) -> tuple[Rule, ...]:
+    """Narrow hips choose other legs; the current edition."""
+    return (
+        Rule((one_of("lower", NARROW_HIP_UNSAFE_LOWER), below("hip_width_ratio", 0.115, DEFAULT_HIP_RATIO)),
+             draw=("lower", ("step_touch", "side_step", "heel_tap", "split_stance_rock"), ":hip", "narrow_hip"),
+             cap={"lower_intensity": 0.82, "stride": 0.102, "lift": 0.050},
+             note="narrow_hip_profile_replaces_lateral_or_deep_lower->"),
+        Rule((trait("hit_narrow_hip"), one_of("arms", ("double_reach", "push", "guarded_extension"))),
+             put={"arms": "presentation"}, cap={"arm_intensity": 0.55}, note="narrow_hip_replaces_symmetric_forward_arms"),
+    )
+
+
+def narrow_stance(g: Groups) -> tuple[Rule, ...]:
+    """Narrow hips stand still instead; the third and fourth editions. Intensities are not negative."""
+    return (
+        Rule((one_of("was_lower", g.deep), below("hip_width_ratio", 0.11, DEFAULT_HIP_RATIO)),
+             put={"lower": "stable_stance", "torso_channel": "neutral"}, cap={"lower_intensity": 0.0},
+             note="narrow_hip_profile_replaces_deep_lower_with_stable_stance"),
+        Rule((trait("hit_narrow_hip"), one_of("arms", ("double_reach", "push", "guarded_extension"))),
+             put={"arms": "presentation"}, cap={"arm_intensity": 0.55}, note="narrow_hip_deep_lower_replaces_symmetric_forward_arms"),
+    )
+
+
+def garments(g: Groups) -> tuple[Rule, ...]:
+    """Skirts and sleeves choose other channels; since the fourth edition."""
+    return (
+        Rule((trait("has_skirt_or_robe"), one_of("lower", g.unsafe_lower)),
+             draw=("lower", ("weight_shift", "side_step", "pivot_step", "heel_tap"), "", "garment"),
+             cap={"lower_intensity": 0.84, "stride": 0.105, "lift": 0.052}, note="skirt_replaces_leg_excursion->"),
+        Rule((trait("has_long_sleeve_or_cape"), one_of("arms", g.unsafe_arms)),
+             draw=("arms", ("natural_swing", "presentation", "outward_sweep", "compact_gesture"), ":arms", "sleeve"),
+             cap={"arm_intensity": 0.70}, note="long_sleeve_replaces_collision_prone_arms->"),
+    )
+
+
+def garment_caps(g: Groups) -> tuple[Rule, ...]:
+    """Skirts and sleeves limit what they keep; the third edition."""
+    return (
+        Rule((trait("has_skirt_or_robe"), one_of("was_lower", ("side_lunge", "controlled_kick"))),
+             cap={"stride": 0.105, "lift": 0.060}, note="skirt_caps_leg_excursion"),
+        Rule((trait("has_long_sleeve_or_cape"), one_of("arms", g.wide)),
+             cap={"arm_intensity": 0.72}, note="long_sleeve_caps_wide_arms"),
+        Rule((trait("has_armor_or_bulky_shoulders"),), cap={"arm_intensity": 0.68}),
+        Rule((trait("has_armor_or_bulky_shoulders"), one_of("arms", g.crossing)),
+             put={"arms": "presentation"}, note="bulky_replaces_crossing_arms"),
+    )
+
+
+def shoulders(g: Groups) -> tuple[Rule, ...]:
+    """Bulky shoulders; since the fourth edition."""
+    return (
+        Rule((trait("has_armor_or_bulky_shoulders"),), cap={"arm_intensity": 0.68}),
+        Rule((trait("has_armor_or_bulky_shoulders"), one_of("arms", g.crossing, g.high)),
+             put={"arms": "presentation"}, note="bulky_replaces_crossing_or_high_arms"),
+    )
+
+
+def short_arms(g: Groups) -> tuple[Rule, ...]:
+    """Short arms; in all editions."""
+    return (
+        Rule((below("arm_length_ratio", 0.27, DEFAULT_ARM_RATIO), one_of("arms", g.forward, g.wide)),
+             cap={"arm_intensity": 0.56}, note="short_arm_profile_caps_reach"),
+    )
+
+
+def boosts(g: Groups) -> tuple[Rule, ...]:
+    """More of what is safe, last of all; since the fourth edition."""
+    return (
+        Rule((one_of("lower", g.safe_lower),), boost={"lower_intensity": (1.08, 0.98), "stride": (1.06, 0.158)}),
+        Rule((one_of("arms", g.safe_arms),), boost={"arm_intensity": (1.08, 0.96)}),
+        Rule((one_of("torso_channel", LOW_RISK_TORSO),), boost={"torso_intensity": (1.06, 0.94)}),
+        Rule((), boost={"head_intensity": (1.04, 0.92)}),
+    )
+
+
+#: Rule tables by edition of the catalogue.
+EDITIONS: Mapping[str, tuple[Rule, ...]] = {
+    "v3": channel_conflicts(EARLIER) + narrow_stance(EARLIER) + garment_caps(EARLIER) + short_arms(EARLIER),
+    "v4": (
+        channel_conflicts(EARLIER) + exchanges(EARLIER) + narrow_stance(EARLIER) + garments(EARLIER)
+        + shoulders(EARLIER) + short_arms(EARLIER) + boosts(EARLIER)
+    ),
+    "v4-expanded": (
+        channel_conflicts(CURRENT) + exchanges(CURRENT) + narrow_hips(CURRENT) + garments(CURRENT)
+        + shoulders(CURRENT) + short_arms(CURRENT) + boosts(CURRENT)
+    ),
+}
+RULES = EDITIONS["v4-expanded"]
+
+
 NUMBERS = ("lower_intensity", "torso_intensity", "arm_intensity", "head_intensity", "stride", "lift")
 
 
@@ -213,7 +348,7 @@ def _apply(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for number in stage:
             hit = F.lit(True)
             for test in rules[number].when:
-                hit = hit & test.build(F.col(test.column))
+                hit = hit & test.holds()
             hits[f"_hit{number}"] = hit
         df = _settled(df, hits)
         drawn = {}

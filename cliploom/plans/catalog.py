@@ -317,3 +317,39 @@ def repair_blueprints(t: Tables) -> DataFrame:
         "preset_id", "lower", "torso_channel", "arms", *[F.round(c, 6).alias(c) for c in numbers],
         F.array_join("compatibility_repairs", "|").alias("repairs"),
     )
+
+
+@query("repair_early_blueprints", f"""WITH b AS (SELECT *, lower AS l0, arms AS a0 FROM ({BLUEPRINTS_SQL})),
+deep AS (SELECT *, l0 IN ('squat', 'side_lunge', 'crouch_shift') AS d, l0 IN ('brisk_walk', 'jog_cycle', 'soft_jump', 'controlled_kick', 'dance_step') AS dyn,
+  a0 IN ('double_reach', 'overhead_open', 'outward_sweep', 'balance_open', 'arm_circle', 'celebration') AS wide, a0 IN ('overhead_open', 'celebration', 'arm_circle') AS high,
+  a0 IN ('clap', 'cross_body', 'near_face', 'push', 'pull', 'guarded_extension') AS crossing, a0 IN ('single_reach', 'double_reach', 'push', 'guarded_extension') AS fwd FROM b),
+t1 AS (SELECT * REPLACE (CASE WHEN d AND torso_channel IN ('bow', 'body_wave') THEN 'athletic_lean' WHEN l0 IN ('pivot_step', 'dance_step') AND torso_channel = 'counter_rotate' THEN 'neutral' ELSE torso_channel END AS torso_channel,
+  CASE WHEN l0 = 'soft_jump' AND crossing THEN 'balance_open' ELSE arms END AS arms), torso_channel AS t0 FROM deep),
+t2 AS (SELECT *, torso_channel IN ('bow', 'body_wave', 'side_lean', 'look_back_twist') AS extreme, d AND coalesce(hip_width_ratio, 0.14) < 0.11 AS still FROM t1),
+t3 AS (SELECT *, still AND arms IN ('double_reach', 'push', 'guarded_extension') AS still_arms FROM t2),
+t4 AS (SELECT *, CASE WHEN still_arms THEN 'presentation' ELSE arms END AS a1 FROM t3),
+t5 AS (SELECT *, has_long_sleeve_or_cape AND a1 IN ('double_reach', 'overhead_open', 'outward_sweep', 'balance_open', 'arm_circle', 'celebration') AS sleeve,
+  has_armor_or_bulky_shoulders AND a1 IN ('clap', 'cross_body', 'near_face', 'push', 'pull', 'guarded_extension') AS bulky FROM t4),
+t6 AS (SELECT *, CASE WHEN bulky THEN 'presentation' ELSE a1 END AS a2, has_skirt_or_robe AND l0 IN ('side_lunge', 'controlled_kick') AS skirt FROM t5),
+t7 AS (SELECT *, coalesce(arm_length_ratio, 0.30) < 0.27 AND a2 IN ('single_reach', 'double_reach', 'push', 'guarded_extension', 'overhead_open', 'outward_sweep', 'balance_open', 'arm_circle', 'celebration') AS short FROM t6)
+SELECT preset_id, CASE WHEN still THEN 'stable_stance' ELSE l0 END AS lower, CASE WHEN still THEN 'neutral' ELSE torso_channel END AS torso_channel, a2 AS arms,
+  round(CASE WHEN still THEN 0 WHEN d THEN least(lower_intensity, 0.78) ELSE lower_intensity END, 6) AS lower_intensity,
+  round(least(torso_intensity, CASE WHEN d THEN 0.66 ELSE 9 END, CASE WHEN high AND extreme THEN 0.58 ELSE 9 END), 6) AS torso_intensity,
+  round(least(arm_intensity, CASE WHEN d AND fwd THEN 0.58 WHEN d AND wide THEN 0.62 ELSE 9 END, CASE WHEN dyn AND high THEN 0.72 ELSE 9 END, CASE WHEN dyn AND wide THEN 0.66 ELSE 9 END,
+    CASE WHEN crossing AND torso_channel IN ('twist', 'look_back_twist') THEN 0.68 ELSE 9 END, CASE WHEN high AND extreme THEN 0.64 ELSE 9 END, CASE WHEN still_arms THEN 0.55 ELSE 9 END,
+    CASE WHEN sleeve THEN 0.72 ELSE 9 END, CASE WHEN has_armor_or_bulky_shoulders THEN 0.68 ELSE 9 END, CASE WHEN short THEN 0.56 ELSE 9 END), 6) AS arm_intensity,
+  round(head_intensity, 6) AS head_intensity, round(CASE WHEN skirt THEN least(stride, 0.105) ELSE stride END, 6) AS stride, round(CASE WHEN skirt THEN least(lift, 0.06) ELSE lift END, 6) AS lift,
+  concat_ws('|', CASE WHEN d AND t0 IN ('bow', 'body_wave') THEN 'deep_lower_with_flexion->athletic_lean' END,
+    CASE WHEN d AND fwd THEN 'deep_lower_caps_forward_reach' WHEN d AND wide THEN 'deep_lower_caps_wide_arms' END, CASE WHEN l0 = 'soft_jump' AND crossing THEN 'jump_with_crossing_arms->balance_open' END,
+    CASE WHEN dyn AND high THEN 'dynamic_lower_caps_high_arms' END, CASE WHEN dyn AND wide THEN 'dynamic_lower_caps_wide_arms' END,
+    CASE WHEN l0 IN ('pivot_step', 'dance_step') AND t0 = 'counter_rotate' THEN 'opposed_turn_channels->neutral_torso' END,
+    CASE WHEN crossing AND torso_channel IN ('twist', 'look_back_twist') THEN 'cross_body_with_twist_caps_arms' END, CASE WHEN high AND extreme THEN 'high_arms_caps_extreme_torso' END,
+    CASE WHEN still THEN 'narrow_hip_profile_replaces_deep_lower_with_stable_stance' END, CASE WHEN still_arms THEN 'narrow_hip_deep_lower_replaces_symmetric_forward_arms' END,
+    CASE WHEN skirt THEN 'skirt_caps_leg_excursion' END, CASE WHEN sleeve THEN 'long_sleeve_caps_wide_arms' END, CASE WHEN bulky THEN 'bulky_replaces_crossing_arms' END,
+    CASE WHEN short THEN 'short_arm_profile_caps_reach' END) AS repairs FROM t7""")
+def repair_early_blueprints(t: Tables) -> DataFrame:
+    numbers = ("lower_intensity", "torso_intensity", "arm_intensity", "head_intensity", "stride", "lift")
+    return B.repair_blueprints(blueprints(t), B.EDITIONS["v3"]).select(
+        "preset_id", "lower", "torso_channel", "arms", *[F.round(c, 6).alias(c) for c in numbers],
+        F.array_join("compatibility_repairs", "|").alias("repairs"),
+    )

@@ -579,3 +579,27 @@ def test_close_upward_takes_logarithmic_rounds(spark, monkeypatch):
                     break
                 at = up
     assert got == expected and len(pins) <= 30
+
+
+def test_rule_editions(spark):
+    from cliploom.operators import blueprint as B
+
+    schema = "preset_id string, lower string, torso_channel string, arms string, head string, lower_intensity double, torso_intensity double, arm_intensity double, head_intensity double, stride double, lift double, hip_width_ratio double"
+    numbers = (0.9, 0.9, 0.9, 0.9, 0.1, 0.05)
+    rows = [("deep", "squat", "bow", "push", "nod", *numbers, 0.10), ("safe", "walk_cycle", "sway", "wave", "nod", *numbers, None), ("none", None, None, None, None, *numbers, 0.10)]
+    df = spark.createDataFrame(rows, schema)
+    found = {
+        e: {r.preset_id: (r.lower, r.torso_channel, r.arms, [round(x, 6) for x in (r.lower_intensity, r.torso_intensity, r.arm_intensity, r.head_intensity, r.stride)], r.compatibility_repairs)
+            for r in B.repair_blueprints(df, rules).collect()}
+        for e, rules in B.EDITIONS.items()
+    }
+    start = ["deep_lower_with_flexion->athletic_lean", "deep_lower_caps_forward_reach"]
+    stance = "narrow_hip_profile_replaces_deep_lower_with_stable_stance"
+    assert found["v3"]["deep"] == ("stable_stance", "neutral", "presentation", [0.0, 0.66, 0.55, 0.9, 0.1], [*start, stance, "narrow_hip_deep_lower_replaces_symmetric_forward_arms"])
+    assert found["v4"]["deep"] == ("stable_stance", "neutral", "presentation", [0.0, 0.6996, 0.6264, 0.92, 0.1], [*start, "deep_lower_replaces_crossing_arms", stance])
+    assert found["v4-expanded"]["deep"][0] in ("step_touch", "side_step", "heel_tap", "split_stance_rock")
+    assert found["v3"]["safe"] == ("walk_cycle", "sway", "wave", [0.9, 0.9, 0.9, 0.9, 0.1], [])
+    assert found["v4"]["safe"] == found["v4-expanded"]["safe"] == ("walk_cycle", "sway", "wave", [0.972, 0.94, 0.96, 0.92, 0.106], [])
+    assert found["v3"]["none"] == (None, None, None, [0.9, 0.9, 0.9, 0.9, 0.1], [])
+    # rules are plain data: two tables of the same rules are equal
+    assert B.EDITIONS["v3"][:10] == B.channel_conflicts(B.EARLIER)
