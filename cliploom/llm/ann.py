@@ -274,7 +274,7 @@ def search(embeddings: DataFrame, is_query, settings: Settings = Settings(), id_
     reach = _best(first, settings.k).groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") == settings.k, F.max("score")).alias("d"))
     near = queries.join(reach, "vec_id", "left").select("vec_id", "vector", F.coalesce("d", F.lit(math.inf)).alias("reach"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not one task
-    asked = written(near.repartition(parts, "vec_id").mapInArrow(visits, asking), "ann-probes")
+    asked = written(near.repartition(parts, F.xxhash64("vec_id")).mapInArrow(visits, asking), "ann-probes")
     found = first.unionByName(written(met(vectors, asked.where("buckets is not null"), settings), "ann-found"))
     whole = asked.where("buckets is null").select("vec_id").distinct()
     few = queries.select("vec_id").distinct().join(found.where("vec_id is not null").groupBy(F.col("query_id").alias("vec_id")).agg(F.countDistinct("vec_id", "score").alias("n")), "vec_id", "left").where(F.coalesce("n", F.lit(0)) < settings.k).select("vec_id")
