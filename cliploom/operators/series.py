@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from cliploom.functions.vectors import clamp, dist, dot, half_even, norm, sq_dist
 from cliploom.operators import kernels as K
 from cliploom.operators.catalog import distribution
+from cliploom.session import pin
 
 # Smoothing weights.
 BINOMIAL_5 = (1.0, 4.0, 6.0, 4.0, 1.0)
@@ -349,23 +350,27 @@ def descriptor(samples: DataFrame, clip: Sequence[str], channels: Sequence[str])
 FRAMING_CUTOFF = {"fullbody": 0.0, "halfbody": 0.40, "closeup_hair": 0.67}
 
 
-def bounds(points: DataFrame, clip: Sequence[str], frame: str, framing: Column) -> DataFrame:
+def bounds(points: DataFrame, clip: Sequence[str], frame: str, framing: Column, group_rows: int = K.GROUP_ROWS) -> DataFrame:
     """Box per (clip, frame) of the points above the framing's cut-off height.
 
-    Height limits are aggregated first; points meet them again by (clip, frame).
+    Points are shuffled once: a window finds the height limits of its frame and the boxes are
+    grouped where they are. Frames of more than ``group_rows`` points, which are fewer than one in
+    so many points, are counted first; their limits are broadcast and their points only aggregated.
     """
     keys = [*clip, frame]
-    limits = points.groupBy(*keys).agg(F.min("z").alias("_lo"), F.max("z").alias("_hi"))
+    heights = (F.min("z").alias("_lo"), F.max("z").alias("_hi"))
     share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in FRAMING_CUTOFF.items() for x in kv]), F.col("_framing")), F.lit(0.0))
     cutoff = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * share
-    # points of one frame are spread by a salt so a dense frame is not gathered by the join
-    salts = 16
-    salted = points.withColumn("_framing", framing).withColumn("_salt", F.pmod(F.xxhash64("x", "y", "z"), F.lit(salts)))
-    copies = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    kept = salted.join(copies, [*keys, "_salt"]).filter(F.col("z") >= cutoff)
-    return kept.groupBy(*keys).agg(
-        *[F.min(a).alias(f"low_{a}") for a in ("x", "y", "z")], *[F.max(a).alias(f"high_{a}") for a in ("x", "y", "z")]
-    )
+    keyed = points.withColumn("_framing", framing)
+    for key in keys:
+        keyed = keyed.filter(F.col(key).isNotNull())
+    box = [*[F.min(a).alias(f"low_{a}") for a in ("x", "y", "z")], *[F.max(a).alias(f"high_{a}") for a in ("x", "y", "z")]]
+    boxes = lambda rows: rows.filter(F.col("z") >= cutoff).groupBy(*keys).agg(*box)
+    inside = lambda rows: boxes(rows.withColumns({h: f(F.col("z")).over(Window.partitionBy(*keys)) for h, f in (("_lo", F.min), ("_hi", F.max))}))
+    if K.largest_group(keyed, keys) <= group_rows:
+        return inside(keyed)
+    dense = pin(keyed.groupBy(*keys).agg(*heights, F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_rows).drop("_n"))
+    return inside(keyed.join(F.broadcast(dense), keys, "left_anti")).unionByName(boxes(keyed.join(F.broadcast(dense), keys)))
 
 
 def envelope(frame_bounds: DataFrame, clip: Sequence[str]) -> DataFrame:
