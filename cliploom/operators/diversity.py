@@ -3,7 +3,7 @@
 Every job has to look at every free candidate, so both sides are cut into blocks of
 bounded size and each pair of blocks is one task group. A group returns at most the best
 candidates of each of its jobs; pairs are never turned into rows. Numpy does the distance
-arithmetic inside the group.
+arithmetic inside the group, on blocks that travel as one row each.
 """
 
 from __future__ import annotations
@@ -13,13 +13,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cliploom.operators.kernels import GROUP_ROWS, largest_group, number_rows
 from cliploom.session import pin, scratch_path
 
 BLOCK = 2048           # rows of either side in one block
+PACKED = 8192          # jobs in one row
+TILE = 4096            # candidates that meet the vectors of a block at a time
+VECTORS = 4096         # vectors of jobs that meet a tile at a time
 HISTORY_PART = 256     # earlier vectors of a subject in one row
 PREFERENCES = 64       # choices fetched at once; results do not depend on it
 _PICK = "id long, preset_id string, distance double, tie string"
@@ -39,13 +42,19 @@ def _pair_up(left: DataFrame, left_key: str, left_rows: int, right: DataFrame, r
     width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lefts = max(1, math.ceil(left_rows / block), min(width, left_rows))
     rights = max(1, math.ceil(right_rows / block))
-    number = lambda key, n: F.pmod(F.xxhash64(F.col(key)), F.lit(n))
-    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    a = left.withColumn("_lb", number(left_key, lefts)).withColumn("_rb", all_of(rights))
-    b = right.withColumn("_rb", number(right_key, rights)).withColumn("_lb", all_of(lefts))
+    a = left.withColumn("_lb", _block_of(left_key, lefts)).withColumn("_rb", _all_of(rights))
+    b = right.withColumn("_rb", _block_of(right_key, rights)).withColumn("_lb", _all_of(lefts))
     return a.groupBy("_lb", "_rb"), b.groupBy("_lb", "_rb")
 
 
+def _block_of(key: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n))
+
+
+def _all_of(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
 def nearest_sq(candidates: np.ndarray, history: np.ndarray) -> np.ndarray:
     """Squared distance of each candidate to its nearest history vector."""
     out = np.full(len(candidates), np.inf)
@@ -56,49 +65,91 @@ def nearest_sq(candidates: np.ndarray, history: np.ndarray) -> np.ndarray:
     return out
 
 
-def farthest(catalog: np.ndarray, parts: list[np.ndarray], top: int, slack: float) -> np.ndarray:
-    """Rows of ``catalog`` that may be among the ``top`` farthest from their nearest vector of all ``parts``.
+def _flat(vectors: list) -> tuple[bytes, int]:
+    matrix = np.array(vectors, dtype=float).reshape(len(vectors), -1) if vectors else np.empty((0, 0))
+    return matrix.tobytes(), matrix.shape[1]
+
+
+def _pack_jobs(keys: tuple, jobs: pd.DataFrame) -> pd.DataFrame:
+    """A block of jobs as one row: each distinct vector once, and for each job the places of its own."""
+    place, distinct, rows = {}, [], []
+    for (job, subject), own in jobs.groupby(["id", "subject_id"], sort=False):
+        mine = []
+        for vector in (v for vectors in own["vectors"] for v in vectors):
+            key = np.asarray(vector, dtype=float).tobytes()
+            if key not in place:
+                place[key] = len(distinct)
+                distinct.append(vector)
+            mine.append(place[key])
+        rows.append((int(job), subject, np.array(mine, dtype=np.int64).tobytes()))
+    packed = [(keys[0], *(list(x) for x in zip(*rows)), *_flat(distinct))] if rows else []
+    return pd.DataFrame(packed, columns=["_lb", "ids", "subjects", "places", "vectors", "width"])
 
-    A distance to some of the vectors bounds the distance to the nearest from above, so a row
-    that falls behind the ``top`` best of the rows measured whole is not compared any further.
-    The first rows measured whole are those that the first vector leaves farthest.
+
+def _pack_catalog(keys: tuple, catalog: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame([(keys[0], catalog["preset_id"].tolist(), *_flat(catalog["vector"].tolist()))], columns=["_rb", "names", "vectors", "width"])
+
+
+def farthest(catalog: np.ndarray, vectors: np.ndarray, places: list[np.ndarray], top: int) -> list[np.ndarray]:
+    """For each job the rows of ``catalog`` that may be among the ``top`` farthest from their nearest of the job's vectors.
+
+    A tile of candidates meets each distinct vector once, however many jobs have it; a job then
+    takes the least of its own rows. That is done in single precision, so a row stays as long as
+    it is not behind the ``top`` best by more than rounding can explain.
     """
-    history = np.concatenate(parts)
-    squares = (catalog**2).sum(axis=1)
-    rough = np.full(len(catalog), np.inf)
-    alive, at, bar = np.arange(len(catalog)), 0, -np.inf
-    while at < len(history) and len(alive):
-        some = history[at : at + max(1, at)]  # one, one, two, four ..
-        near = squares[alive][:, None] + (some**2).sum(axis=1) - 2.0 * catalog[alive] @ some.T
-        rough[alive] = np.minimum(rough[alive], near.min(axis=1))
-        if not at and len(alive) > top:
-            best = np.argpartition(rough, len(rough) - top)[len(rough) - top :]
-            whole = squares[best][:, None] + (history**2).sum(axis=1) - 2.0 * catalog[best] @ history.T
-            bar = whole.min(axis=1).min()
-        alive = alive[rough[alive] >= bar - slack]
-        at += len(some)
-    k = min(top, len(alive))
-    return alive[rough[alive] >= np.partition(rough[alive], len(alive) - k)[len(alive) - k] - slack]
+    scale = float((catalog**2).sum(axis=1).max() + (vectors**2).sum(axis=1).max(initial=0.0))
+    kind = np.float32 if 1e-20 < scale < 1e30 else np.float64
+    slack = 8 * (catalog.shape[1] + 4) * float(np.finfo(kind).eps) * scale
+    bars, kept = np.full(len(places), -np.inf), [[] for _ in places]
+    chunks, size = [[]], 0
+    for j, mine in enumerate(places):
+        if size and size + len(mine) > VECTORS < len(vectors):
+            chunks.append([])
+            size = 0
+        chunks[-1].append(j)
+        size += len(mine)
+    for chunk in chunks:
+        used = np.unique(np.concatenate([places[j] for j in chunk]))
+        some = vectors[used]
+        at = [np.searchsorted(used, places[j]) for j in chunk]
+        flat, norms = (-2.0 * some).astype(kind), (some**2).sum(axis=1).astype(kind)[:, None]
+        for start in range(0, len(catalog), TILE):
+            part = catalog[start : start + TILE]
+            table = flat @ part.astype(kind).T
+            table += norms
+            table += (part**2).sum(axis=1).astype(kind)
+            for j, mine in zip(chunk, at):
+                near = table[mine].min(axis=0, initial=np.inf)
+                best = near.max() if top == 1 else np.partition(near, len(near) - top)[len(near) - top] if top <= len(near) else -np.inf
+                bars[j] = max(bars[j], best)
+                rows = np.flatnonzero(near >= bars[j] - slack)
+                if len(rows):
+                    kept[j].append((start + rows, near[rows]))
+    out = []
+    for bar, found in zip(bars, kept):
+        rows, near = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, dtype=int), np.empty(0))
+        if len(near) > top:
+            bar = max(bar, np.partition(near, len(near) - top)[len(near) - top])
+        out.append(rows[near >= bar - slack])
+    return out
 
 
 def _best_of_block(top: int):
     def best(_, jobs: pd.DataFrame, catalog: pd.DataFrame) -> pd.DataFrame:
-        if jobs.empty or catalog.empty:
-            return pd.DataFrame(columns=["id", "preset_id", "distance", "tie"])
-        matrix = np.array(catalog["vector"].tolist(), dtype=float)
-        names = catalog["preset_id"].to_numpy()
-        slack = 1e-9 * (1.0 + float((matrix**2).sum(axis=1).max()))
         rows = []
-        for (job, subject), own in jobs.groupby(["id", "subject_id"], sort=False):
-            parts = [np.array([list(v) for v in vectors], dtype=float) for vectors in own["vectors"]]
-            keep = farthest(matrix, parts, top, slack)
-            exact = np.min([nearest_sq(matrix[keep], part) for part in parts], axis=0)
-            if len(keep) > top:  # hashes only of what may be among the best
-                some = exact >= np.partition(exact, len(exact) - top)[len(exact) - top]
-                keep, exact = keep[some], exact[some]
-            ties = [_tie(subject, job, names[i]) for i in keep]
-            order = sorted(range(len(keep)), key=lambda i: (-exact[i], ties[i]))[:top]
-            rows.extend((job, names[keep[i]], float(exact[i]), ties[i]) for i in order)
+        if len(jobs) and len(catalog):
+            own, other = jobs.iloc[0], catalog.iloc[0]
+            matrix = np.frombuffer(other["vectors"]).reshape(-1, other["width"])
+            vectors = np.frombuffer(own["vectors"]).reshape(-1, own["width"] or other["width"])
+            names, places = other["names"], [np.frombuffer(x, dtype=np.int64) for x in own["places"]]
+            for job, subject, mine, keep in zip(own["ids"], own["subjects"], places, farthest(matrix, vectors, places, top)):
+                exact = nearest_sq(matrix[keep], vectors[mine])
+                if len(keep) > top:  # hashes only of what may be among the best
+                    some = exact >= np.partition(exact, len(exact) - top)[len(exact) - top]
+                    keep, exact = keep[some], exact[some]
+                ties = [_tie(subject, job, names[i]) for i in keep]
+                order = sorted(range(len(keep)), key=lambda i: (-exact[i], ties[i]))[:top]
+                rows.extend((job, names[keep[i]], float(exact[i]), ties[i]) for i in order)
         return pd.DataFrame(rows, columns=["id", "preset_id", "distance", "tie"])
 
     return best
@@ -124,33 +175,43 @@ def _history_parts(history: DataFrame, size: int, longest: int | None = None) ->
 
 
 def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: int = 1,
-                block: int = BLOCK, history_part: int = HISTORY_PART, sizes: tuple[int, int] | None = None, longest: int | None = None) -> DataFrame:
+                block: int = PACKED, history_part: int = HISTORY_PART, sizes: tuple[int, int, int] | None = None, longest: int | None = None) -> DataFrame:
     """The ``top`` most distant candidates of each job whose subject has a history.
 
     ``jobs`` (id, subject_id), ``catalog`` (preset_id, vector) of free candidates and
     ``history`` (subject_id, vector). A candidate's distance is the squared distance to
     the subject's nearest earlier vector; equal distances go to the smaller stable hash of
-    subject:job:candidate. ``sizes`` are the rows of jobs with parts of their history and of
-    the catalogue, at most, where they are known; else they are counted. ``longest`` is the
-    largest number of vectors of a subject, where that is known.
+    subject:job:candidate. ``sizes`` are the rows of jobs with parts of their history, the
+    vectors in them and the rows of the catalogue, at most, where they are known; else they are
+    counted. ``longest`` is the largest number of vectors of a subject, where that is known.
+
+    A block of either side is packed into one row before it is repeated for the blocks of the
+    other; a block of jobs holds ``block`` of them and eight times as many vectors, a block of
+    the catalogue eight times ``block``.
     """
     side = jobs.select("id", "subject_id").join(_history_parts(history, history_part, longest), "subject_id")
-    n_side, n_catalog = sizes or (side.count(), catalog.count())
-    left, right = _pair_up(side.withColumn("_job", F.col("id")), "_job", n_side, catalog.select("preset_id", "vector"), "preset_id", n_catalog, block)
-    both = left.cogroup(right).applyInPandas(_best_of_block(top), _PICK)
+    n_side, n_vectors, n_catalog = sizes or (*side.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vectors")), F.lit(0))).first(), catalog.count())
+    width = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts = max(1, math.ceil(n_side / block), math.ceil(n_vectors / (8 * block)))
+    rights = max(1, math.ceil(n_catalog / (8 * block)), min(math.ceil(n_catalog / TILE), math.ceil(width / lefts)))
+    lefts = max(lefts, min(n_side, math.ceil(width / rights)))  # a group for every core
+    left = side.withColumn("_lb", _block_of("id", lefts)).groupBy("_lb").applyInPandas(_pack_jobs, "_lb long, ids array<long>, subjects array<string>, places array<binary>, vectors binary, width long")
+    right = catalog.select("preset_id", "vector", _block_of("preset_id", rights).alias("_rb")).groupBy("_rb").applyInPandas(_pack_catalog, "_rb long, names array<string>, vectors binary, width long")
+    pairs = [left.withColumn("_rb", _all_of(rights)), right.withColumn("_lb", _all_of(lefts))]
+    both = pairs[0].groupBy("_lb", "_rb").cogroup(pairs[1].groupBy("_lb", "_rb")).applyInPandas(_best_of_block(top), _PICK)
     ordered = F.struct((-F.col("distance")).alias("far"), "tie", "preset_id")
     if top == 1:
         best = both.groupBy("id").agg(F.min(ordered).alias("_b"))
         return best.select("id", F.lit(1).cast("long").alias("choice"), F.col("_b.preset_id").alias("preset_id"), (-F.col("_b.far")).alias("distance"))
     both, order = both.withColumn("far", -F.col("distance")), ["far", "tie", "preset_id"]
-    if top * math.ceil(n_catalog / block) <= GROUP_ROWS:  # a job has no more rows than that
+    if top * rights <= GROUP_ROWS:  # a job has no more rows than that
         ranked = both.withColumn("choice", F.row_number().over(Window.partitionBy("id").orderBy(*order)).cast("long"))
     else:
         ranked = number_rows(both, ["id"], order, "choice")
     return ranked.filter(F.col("choice") <= top).select("id", "choice", "preset_id", "distance")
 
 
-def pick_diverse(jobs: DataFrame, catalog: DataFrame, history: DataFrame, block: int = BLOCK,
+def pick_diverse(jobs: DataFrame, catalog: DataFrame, history: DataFrame, block: int = PACKED,
                  history_part: int = HISTORY_PART) -> DataFrame:
     """Most distant free candidate per job; jobs of subjects without history are left out."""
     return preferences(jobs, catalog, history, 1, block, history_part).drop("choice")
@@ -272,7 +333,7 @@ def assign_rounds(
             found = None
             if n_warm:
                 parts = n_warm + (n_history + given) // HISTORY_PART
-                found = preferences(some.filter("warm"), free, past, k, sizes=(parts, n_presets - given), longest=longest + turn).select("id", "choice", "preset_id")
+                found = preferences(some.filter("warm"), free, past, k, sizes=(parts, n_history + given, n_presets - given), longest=longest + turn).select("id", "choice", "preset_id")
             if n_some > n_warm:
                 cold = some.filter("NOT warm").select("id", "subject_id")
                 chosen = cold.join(cold_preferences(cold, free, k, size=n_presets - given), "subject_id").select("id", "choice", "preset_id")

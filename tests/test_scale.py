@@ -1,11 +1,31 @@
 """Small cases of steps that grew faster than their input."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cliploom.operators import diversity
 from cliploom.operators import series as S
 
 
+def test_farthest_of_many_jobs_equals_all_distances():
+    rng = np.random.default_rng(4)
+    catalog, vectors = rng.normal(size=(700, 6)), rng.normal(size=(40, 6))
+    places = [rng.choice(40, size=n, replace=False) for n in (1, 3, 12, 40)]
+    for top in (1, 5, 900):
+        for mine, keep in zip(places, diversity.farthest(catalog, vectors, places, top)):
+            order = np.argsort(-diversity.nearest_sq(catalog, vectors[mine]), kind="stable")[:top]
+            assert set(order) <= set(keep.tolist()) and len(keep) <= max(top, 1) + 2
+
+
+def test_jobs_of_a_block_bring_each_vector_once():
+    jobs = pd.DataFrame({"id": [1, 2, 3], "subject_id": ["a", "b", "c"], "vectors": [[[1.0, 2.0]], [[1.0, 2.0], [3.0, 4.0]], [[3.0, 4.0]]]})
+    packed = diversity._pack_jobs((0,), jobs)
+    assert len(packed) == 1 and np.frombuffer(packed.vectors[0]).reshape(-1, packed.width[0]).tolist() == [[1.0, 2.0], [3.0, 4.0]]
+    assert [np.frombuffer(x, np.int64).tolist() for x in packed.places[0]] == [[0], [0, 1], [1]]
+
+
 @pytest.mark.parametrize("group_rows", [3, 1_000_000])
 def test_bounds_need_no_copies_of_the_limits(spark, group_rows):
     rows = [("a", 0, float(i), float(-i), float(i), "halfbody") for i in range(11)] + [("a", 1, 1.0, 2.0, 3.0, "fullbody"), (None, 1, 9.0, 9.0, 9.0, "fullbody")]
