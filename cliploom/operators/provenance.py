@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cliploom.sources.snapshots import many_folders
+
 SOURCE_ROLES = ("asset_path", "motion_path", "background_path")
 # Where each output of a clip lies below its folder.
 OUTPUTS = {
@@ -191,9 +193,10 @@ def build_records(
 
 
 def write_records(records: DataFrame, root: str) -> None:
-    """One folder per clip below its split; written by the tasks that hold the rows."""
+    """One folder per clip below its split; rows are dealt out by clip, however few tasks hold them."""
     keyed = records.withColumn("_split", F.col("split")).withColumn("_sample", F.col("sample_id"))
-    keyed.write.mode("overwrite").partitionBy("_split", "_sample").json(root)
+    width = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, as small rows would be put together
+    many_folders(keyed.repartition(width, "_split", "_sample").write).mode("overwrite").partitionBy("_split", "_sample").json(root)
 
 
 def index_records(records: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:

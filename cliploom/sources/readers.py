@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliploom import schemas
-from cliploom.sources.snapshots import latest_snapshot
+from cliploom.sources.snapshots import folder_of, latest_snapshot
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str, keep_corrupt: bool = False) -> DataFrame:
@@ -31,11 +33,19 @@ def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | N
 
 
 def read_records(spark: SparkSession, root: str, schema: str = schemas.RECORD, pattern: str = "*/*/*.json") -> DataFrame:
-    """One nested JSON document per clip folder, with the file it came from."""
-    return (
-        spark.read.schema(schema).option("multiLine", True).json(f"{root}/{pattern}")
-        .select("*", F.col("_metadata.file_path").alias("record_path"))
-    )
+    """One nested JSON document per clip folder, with the file it came from.
+
+    Folders are listed by tasks, and of the files found those stay whose path fits the pattern.
+    """
+    reader = spark.read.schema(schema).option("multiLine", True)
+    if not re.fullmatch(r"[\w.*?/-]+", pattern):  # other patterns are left to the file system, which expands them in the driver
+        return reader.json(f"{root}/{pattern}").select("*", F.col("_metadata.file_path").alias("record_path"))
+    found = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern.rsplit("/", 1)[-1]).json(root)
+    system, folder = folder_of(spark, root)
+    depth = len([x for x in system.makeQualified(folder).toUri().getPath().split("/") if x])
+    fits = "^/" + "[^/]+/" * depth + re.escape(pattern).replace(r"\*", "[^/]*").replace(r"\?", "[^/]") + "$"
+    below = F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z0-9+.-]+:(//[^/]*)?", "")
+    return found.select("*", F.col("_metadata.file_path").alias("record_path"), below.alias("_below")).filter(F.col("_below").rlike(fits)).drop("_below")
 
 
 def read_features(spark: SparkSession, path: str, schema: str = schemas.FEATURES, one_document: bool = True) -> DataFrame:

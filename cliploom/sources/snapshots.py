@@ -5,19 +5,19 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 PREFIX = "snapshot-"
 
 
-def _folder(spark: SparkSession, root: str):
+def folder_of(spark: SparkSession, root: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def snapshots(spark: SparkSession, root: str) -> list[str]:
     """Complete snapshots under ``root``, oldest first."""
-    system, path = _folder(spark, root)
+    system, path = folder_of(spark, root)
     if not system.exists(path):
         return []
     names = [s.getPath() for s in system.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith(PREFIX)]
@@ -44,5 +44,13 @@ def write_index(df: DataFrame, root: str, order: str) -> str:
     return snapshot(df.orderBy(order), root, "json")
 
 
+def many_folders(writer: DataFrameWriter) -> DataFrameWriter:
+    """For a write of very many folders: tasks move their own to the target, and the driver need not move each after the other.
+
+    Rows of a folder must lie in one task.
+    """
+    return writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+
+
 def append_events(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cliploom.operators import diversity
+from cliploom.operators import provenance as P
 from cliploom.operators import series as S
+from cliploom.sources import readers
 
 
 def test_farthest_of_many_jobs_equals_all_distances():
@@ -33,3 +35,15 @@ def test_bounds_need_no_copies_of_the_limits(spark, group_rows):
     out = S.bounds(points, ["clip"], "frame", F.col("framing"), group_rows)
     assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.frame, r.low_x, r.high_x, r.low_y, r.high_y) for r in out.collect()) == [(0, 4.0, 10.0, -10.0, -4.0), (1, 1.0, 1.0, 2.0, 2.0)]
+
+
+def test_records_are_written_by_many_tasks_and_found_by_pattern(spark, tmp_path):
+    rows = spark.createDataFrame([(f"c{i}", f"s {i % 2}") for i in range(24)], "sample_id string, split string").coalesce(1)
+    P.write_records(rows, str(tmp_path / "r"))
+    names = [f.name[:10] for f in (tmp_path / "r").glob("*/*/*.json")]
+    assert len(names) == 24 and len(set(names)) > 1
+    (tmp_path / "r" / "stray.json").write_text('{"sample_id": "stray"}')
+    found = readers.read_records(spark, str(tmp_path / "r"), "sample_id string, split string")
+    assert sorted(r.sample_id for r in found.collect()) == sorted(f"c{i}" for i in range(24))
+    one = readers.read_records(spark, str(tmp_path / "r"), "sample_id string", "*/_sample=c1?/*.json")
+    assert {r.sample_id for r in one.collect()} == {f"c{i}" for i in range(10, 20)}
