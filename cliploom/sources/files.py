@@ -23,9 +23,11 @@ def _scan(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Path, size and time only; file bytes are pruned from the scan."""
-    return _scan(spark, path, pattern).select(
-        "path", F.col("length").alias("bytes"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns")
-    )
+    return _listed(_scan(spark, path, pattern))
+
+
+def _listed(scan: DataFrame) -> DataFrame:
+    return scan.select("path", F.col("length").alias("bytes"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))
 
 
 def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -51,7 +53,7 @@ def file_facts(spark: SparkSession, path: str, pattern: str | None = None, whole
         "path", F.lit(True).alias("exists"), F.col("length").alias("bytes"),
         (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"), F.sha2("content", 256).alias("sha256"),
     )
-    large = list_files(spark, path, pattern).filter(F.col("bytes") > whole_bytes).mapInPandas(hash_blocks, FACT_SCHEMA)
+    large = _listed(scan).filter(F.col("bytes") > whole_bytes).mapInPandas(hash_blocks, FACT_SCHEMA)
     return small.unionByName(large)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cliploom.operators import diversity
 from cliploom.operators import provenance as P
 from cliploom.operators import series as S
-from cliploom.sources import readers
+from cliploom.sources import readers, snapshots
 
 
 def test_farthest_of_many_jobs_equals_all_distances():
@@ -47,3 +47,15 @@ def test_records_are_written_by_many_tasks_and_found_by_pattern(spark, tmp_path)
     assert sorted(r.sample_id for r in found.collect()) == sorted(f"c{i}" for i in range(24))
     one = readers.read_records(spark, str(tmp_path / "r"), "sample_id string", "*/_sample=c1?/*.json")
     assert {r.sample_id for r in one.collect()} == {f"c{i}" for i in range(10, 20)}
+
+
+def test_folders_of_a_page_are_committed_by_the_tasks(spark):
+    seen = {}
+
+    class Writer:
+        def option(self, name, value):
+            seen[name] = value
+            return self
+
+    snapshots.many_folders(Writer())
+    assert seen == {"mapreduce.fileoutputcommitter.algorithm.version": 2}
