@@ -31,6 +31,7 @@ REFERENCE = (
     "struct<repo_id string, repo_url string, revision string, origin string, file_manifest_sha256 string, "
     "archive_path string, path_in_root string, sha256 string>"
 )
+SALTS = 16  # copies of the listed sources, so that one named by very many jobs is not gathered
 ENVIRONMENT = ("python", "blender_bin", "gpu_uuid", "cuda_visible_devices")
 
 
@@ -90,8 +91,11 @@ def source_refs(
     )
     order = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role"))
     good = F.col("_bad").isNull() & F.col("_unbound").isNull()
+    # Many jobs may share a source, and paths outside the root have no key at all: a source's rows are spread over copies of the listing.
+    salted = long.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    known = listed.join(found, "rel", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return (
-        long.join(listed, "rel", "left").join(found, "rel", "left")
+        salted.join(known, ["rel", "_salt"], "left")
         .withColumn("_bad", verdict)
         .groupBy("id")  # one row per role
         .agg(

@@ -59,3 +59,14 @@ def test_folders_of_a_page_are_committed_by_the_tasks(spark):
 
     snapshots.many_folders(Writer())
     assert seen == {"mapreduce.fileoutputcommitter.algorithm.version": 2}
+
+
+def test_sources_shared_by_many_jobs_are_spread(spark):
+    jobs = spark.range(200).select("id", *[F.lit("/video/a").alias(r) for r in P.SOURCE_ROLES[:2]], F.lit("/other/a").alias(P.SOURCE_ROLES[2]))
+    files = spark.createDataFrame([("a", "z", "h")], "path string, archive string, sha256 string")
+    bind = spark.range(1).select(*[F.lit("x").alias(c) for c in ("repo_id", "repo_url", "resolved_revision", "origin")], F.create_map(F.lit(P.FILE_MANIFEST), F.lit("m")).alias("manifest_sha256"),
+                                 F.lit("/video").alias("video_root"), F.lit("m").alias("files_sha256"))
+    out = P.source_refs(jobs, files, files.select("path", "sha256"), bind)
+    assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = out.collect()
+    assert len(rows) == 200 and {r.problem for r in rows} == {"outside_root:background_path"} and all(set(r.refs) == set(P.SOURCE_ROLES[:2]) for r in rows)
