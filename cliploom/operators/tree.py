@@ -7,7 +7,9 @@ are already keyed. Each round is written out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,6 +113,34 @@ def jump_tables(nodes: DataFrame, key: Sequence[str], name: str = "name", parent
 PELVIS_WORDS = ("pelvis", "hip")
 
 
+PAIRS = 500_000      # pairs told apart in one task
+HOT = 512            # nodes at most that are looked up in a broadcast
+HOT_ROWS = 100_000   # rows of a node below which it is joined like any other
+
+
+def _look_up(rows: DataFrame, table: DataFrame, key: Sequence[str], sides: Mapping[str, str], how: str) -> DataFrame:
+    """``rows`` with the ``up`` that ``table`` (node, up) has for the node in each of ``sides``, side -> new column.
+
+    Near a root a few nodes stand in most rows. A sketch, one pass without a shuffle, names the most
+    frequent ones; their rows stay where they are and meet a broadcast of those nodes, and only the
+    others are shuffled. Which nodes it names changes the work, never the result.
+    """
+    at = lambda side: F.xxhash64(*key, side)
+    counted = rows.select(*[at(side).alias(side) for side in sides])
+    frequent = counted.selectExpr(*[f"approx_top_k(`{side}`, {HOT}, {32 * HOT}) AS `{side}`" for side in sides]).first()
+    parts = [rows]
+    for side, out in sides.items():
+        found = table.select(*key, F.col("node").alias(side), F.col("up").alias(out))
+        hot = [e["item"] for e in frequent[side] if e["count"] >= HOT_ROWS]
+        if hot:
+            inside = at(side).isin(hot)
+            near = F.broadcast(found.filter(inside))
+            parts = [x for p in parts for x in (p.filter(inside).join(near, [*key, side], how), p.filter(~inside).join(found, [*key, side], how))]
+        else:
+            parts = [p.join(found, [*key, side], how) for p in parts]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def common_ancestor(
     nodes: DataFrame, pairs: DataFrame, key: Sequence[str], name: str = "name", parent: str = "parent",
     preferred: Sequence[str] = PELVIS_WORDS,
@@ -123,30 +153,31 @@ def common_ancestor(
     key = list(key)
     jumps = jump_tables(nodes, key, name, parent)
     deep = depth(nodes, key, name, parent).select(*key, F.col(name).alias("node"), "depth")
-    at = pairs.select(*key, "left", "right").distinct().withColumns({"_l": F.col("left"), "_r": F.col("right")})
+    at = pin(pairs.select(*key, "left", "right"))
+    at = at.repartition(math.ceil(at.count() / PAIRS) or 1, *key, "left", "right").distinct()  # hash tables of a bounded size
+    at = at.withColumns({"_l": F.col("left"), "_r": F.col("right")})
     for side in ("_l", "_r"):
         at = at.join(deep.select(*key, F.col("node").alias(side), F.col("depth").alias(f"{side}d")), [*key, side], "left").fillna(0, [f"{side}d"])
     at = at.withColumns({"_low": F.col("_ld") < F.col("_rd"), "_gap": F.abs(F.col("_ld") - F.col("_rd"))})
     # the deeper side is _a from here on
     at = pin(at.select(*key, "left", "right", F.when(F.col("_low"), F.col("_r")).otherwise(F.col("_l")).alias("_a"), F.when(F.col("_low"), F.col("_l")).otherwise(F.col("_r")).alias("_b"), "_gap"))
-    up = lambda k, side, out: jumps[k].select(*key, F.col("node").alias(side), F.col("up").alias(out))
     for k in reversed(range(len(jumps))):
         moving, rest = at.filter(F.col("_gap") >= 2**k), at.filter(F.col("_gap") < 2**k)
-        moved = moving.join(up(k, "_a", "_up"), [*key, "_a"]).select(*key, "left", "right", F.col("_up").alias("_a"), "_b", (F.col("_gap") - 2**k).alias("_gap"))
+        moved = _look_up(moving, jumps[k], key, {"_a": "_up"}, "inner").select(*key, "left", "right", F.col("_up").alias("_a"), "_b", (F.col("_gap") - 2**k).alias("_gap"))
         at = pin(rest.unionByName(moved))
     met = at.filter(F.col("_a") == F.col("_b")).select(*key, "left", "right", F.col("_a").alias("ancestor"))
     apart = at.filter(F.col("_a") != F.col("_b"))
     for k in reversed(range(len(jumps))):
-        ahead = apart.join(up(k, "_a", "_ua"), [*key, "_a"], "left").join(up(k, "_b", "_ub"), [*key, "_b"], "left")
+        ahead = _look_up(apart, jumps[k], key, {"_a": "_ua", "_b": "_ub"}, "left")
         jump = F.coalesce(F.col("_ua") != F.col("_ub"), F.lit(False))
         apart = pin(ahead.select(*key, "left", "right", F.when(jump, F.col("_ua")).otherwise(F.col("_a")).alias("_a"), F.when(jump, F.col("_ub")).otherwise(F.col("_b")).alias("_b")))
     if jumps:
-        last = apart.join(up(0, "_a", "ancestor"), [*key, "_a"]).join(up(0, "_b", "_other"), [*key, "_b"]).filter(F.col("ancestor") == F.col("_other"))
+        last = _look_up(apart, jumps[0], key, {"_a": "ancestor", "_b": "_other"}, "inner").filter(F.col("ancestor") == F.col("_other"))
         met = met.unionByName(last.select(*key, "left", "right", "ancestor"))
     wanted = F.lower(F.col(name).cast("string")).rlike("|".join(preferred))
-    nearest = climb(nodes, key, name, parent, wanted, F.lit(1.0)).select(*key, F.col("node").alias("ancestor"), F.col("top").alias("_top"))
+    nearest = climb(nodes, key, name, parent, wanted, F.lit(1.0)).select(*key, "node", F.col("top").alias("up"))
     top = F.when(F.lower(F.col("_top").cast("string")).rlike("|".join(preferred)), F.col("_top"))
-    return met.join(nearest, [*key, "ancestor"], "left").select(*key, "left", "right", F.coalesce(top, "ancestor").alias("ancestor"))
+    return _look_up(pin(met), nearest, key, {"ancestor": "_top"}, "left").select(*key, "left", "right", F.coalesce(top, "ancestor").alias("ancestor"))
 
 
 def close_upward(nodes: DataFrame, key: Sequence[str], seed: Column, accepted: Column, name: str = "name", parent: str = "parent") -> DataFrame:

@@ -187,6 +187,29 @@ def test_common_ancestors_equal_lists_of_ancestors(spark):
     assert {(r["left"], r["right"]): r.ancestor for r in found} == expected and len(found) == len(expected)
 
 
+def test_frequent_nodes_are_not_gathered(spark, monkeypatch):
+    monkeypatch.setattr(tree, "HOT_ROWS", 20)
+    label = lambda i: "root" if i == 1 else f"n{i}"
+    rows = [("t", label(i), None if i == 1 else label(i // 2)) for i in range(1, 64)]
+    nodes = spark.createDataFrame([*rows, ("t", "n9", "n4")], "tree string, name string, parent string")  # one node comes twice
+    table = nodes.selectExpr("tree", "name AS node", "parent AS up")
+    pairs = spark.createDataFrame([("t", label(a), label(b)) for a in range(32, 64) for b in (2, 5, 9, a)], "tree string, left string, right string")
+    sides = {"left": "_a", "right": "_b"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("left", "inner"):
+            plain = pairs
+            for side, out in sides.items():
+                plain = plain.join(table.selectExpr("tree", f"node AS {side}", f"up AS {out}"), ["tree", side], how)
+            found = tree._look_up(pairs, table, ["tree"], sides, how).select(plain.columns)
+            assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+            assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        found = tree.common_ancestor(nodes.distinct(), pairs, ["tree"])
+        assert {(r["left"], r["right"]): r.ancestor for r in found.collect()}["n63", "n2"] == "root" and found.count() == pairs.distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_cycle_in_hierarchy_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(tree, "MAX_ROUNDS", 4)
     loop = spark.createDataFrame([("r", "a", "b"), ("r", "b", "a")], "rig string, name string, parent string")
