@@ -76,31 +76,41 @@ def source_refs(
         F.col("_bound.resolved_revision").alias("_revision"), F.col("_bound.origin").alias("_origin"), expected.alias("_manifest"),
         F.col("_bound.repo_id").alias("_repo_id"), F.col("_bound.repo_url").alias("_repo_url"),
     )
-    long = jobs.select("id", *roles).unpivot("id", list(roles), "role", "source_path").crossJoin(F.broadcast(origin))
+    long = jobs.select("id", *roles).unpivot("id", list(roles), "role", "source_path").crossJoin(F.broadcast(origin.select("_prefix")))
     inside = F.col("source_path").startswith(F.col("_prefix"))
-    long = long.withColumn("rel", F.when(inside, F.substring(F.col("source_path"), F.length("_prefix") + 1, F.length("source_path"))))
+    rel = F.when(inside, F.substring(F.col("source_path"), F.length("_prefix") + 1, F.length("source_path")))
+    at = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role")).cast("int")
+    long = long.select("id", at.alias("_at"), rel.alias("rel"))
     listed = files.select(F.col("path").alias("rel"), "archive", F.col("sha256").alias("_listed"))
     found = facts.select(F.col("path").alias("rel"), F.col("sha256").alias("_found"))
     verdict = (
         F.when(F.col("rel").isNull(), "outside_root")
         .when(F.col("_listed").isNull() | ~F.col("_listed").eqNullSafe(F.col("_found")), "missing_changed_or_unlisted")
     )
-    entry = F.struct(
+    role = lambda place: F.element_at(F.array(*[F.lit(r) for r in roles]), place)
+    entry = lambda e: F.struct(
         F.col("_repo_id").alias("repo_id"), F.col("_repo_url").alias("repo_url"), F.col("_revision").alias("revision"), F.col("_origin").alias("origin"),
-        F.col("_manifest").alias("file_manifest_sha256"), F.col("archive").alias("archive_path"), F.col("rel").alias("path_in_root"), F.col("_listed").alias("sha256"),
+        F.col("_manifest").alias("file_manifest_sha256"), e["archive"].alias("archive_path"), e["rel"].alias("path_in_root"), e["_listed"].alias("sha256"),
     )
-    order = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role"))
-    good = F.col("_bad").isNull() & F.col("_unbound").isNull()
     # Many jobs may share a source, and paths outside the root have no key at all: a source's rows are spread over copies of the listing.
     salted = long.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     known = listed.join(found, "rel", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    # What is the same for all jobs joins last, when nothing is shuffled any more; a bad role travels as a place and a verdict alone.
+    refs = F.transform("_good", lambda e: F.struct(role(e["_at"]).alias("role"), entry(e).alias("ref")))
     return (
         salted.join(known, ["rel", "_salt"], "left")
         .withColumn("_bad", verdict)
+        .select("id", "_at", "_bad", *[F.when(F.col("_bad").isNull(), F.col(c)).alias(c) for c in ("archive", "rel", "_listed")])
+        .repartition("id")
         .groupBy("id")  # one row per role
         .agg(
-            F.coalesce(F.max("_unbound"), F.min_by(F.concat_ws(":", "_bad", "role"), F.when(F.col("_bad").isNotNull(), order))).alias("problem"),
-            F.map_from_entries(F.collect_list(F.when(good, F.struct("role", entry)))).alias("refs"),
+            F.min(F.when(F.col("_bad").isNotNull(), F.struct("_at", "_bad"))).alias("_first"),
+            F.collect_list(F.when(F.col("_bad").isNull(), F.struct("_at", "archive", "rel", "_listed"))).alias("_good"),
+        )
+        .crossJoin(F.broadcast(origin))
+        .select(
+            "id", F.coalesce("_unbound", F.when(F.col("_first").isNotNull(), F.concat_ws(":", "_first._bad", role(F.col("_first._at"))))).alias("problem"),
+            F.map_from_entries(F.when(F.col("_unbound").isNull(), refs).otherwise(F.filter(refs, lambda e: F.lit(False)))).alias("refs"),
         )
     )
 
@@ -121,6 +131,25 @@ def attach_facts(jobs: DataFrame, facts: DataFrame, column: str) -> DataFrame:
     return jobs.join(side, column, "left")
 
 
+FACT = ("exists", "bytes", "mtime_ns", "sha256")
+
+
+def facts_by_id(jobs: DataFrame, facts: DataFrame, roles: Sequence[str] = SOURCE_ROLES) -> DataFrame:
+    """Job id and ``_facts``, all there is about its sources: only ids, paths and facts are shuffled, never the jobs' other columns."""
+    paths = jobs.filter(F.col("id").isNotNull()).select("id", F.explode(F.array_distinct(F.array(*roles))).alias("path")).distinct()
+    salted = paths.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))  # many jobs may share a source
+    known = facts.select("path", *FACT).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    found = salted.join(known, ["path", "_salt"]).select("id", "path", *FACT).repartition("id")
+    return found.groupBy("id").agg(F.collect_list(F.struct("path", *FACT)).alias("_facts"))
+
+
+def with_facts(rows: DataFrame, column: str) -> DataFrame:
+    """As ``attach_facts``, from the ``_facts`` at hand: a row for each fact of the path, or one without."""
+    own = F.filter("_facts", lambda f: f["path"] == F.col(column))
+    each = rows.select("*", F.explode_outer(own).alias("_fact"))
+    return each.select(*rows.columns, *[F.col(f"_fact.{n}").alias(f"_{column}_{n}") for n in FACT])
+
+
 def build_records(
     jobs: DataFrame, facts: DataFrame, reports: DataFrame, output_root: str, setting: Mapping[str, str], refs: DataFrame | None = None,
     binding: DataFrame | None = None, release: DataFrame | None = None, setting_path: str | None = None, limitations: str | None = None,
@@ -133,9 +162,10 @@ def build_records(
     has no references. ``binding`` and ``release`` have one row for the batch, ``limitations`` is
     what the batch says about its records; these and other fields that nothing gives are null.
     """
-    rows = jobs
+    rows = jobs.join(facts_by_id(jobs, facts), "id", "left")
     for role in SOURCE_ROLES:
-        rows = attach_facts(rows, facts, role)
+        rows = with_facts(rows, role)
+    rows = rows.drop("_facts")
     folder = F.concat_ws("/", F.lit(output_root.rstrip("/")), F.col("split"), F.col("sample_id"))
     side = reports.select(
         F.col("job_id").alias("id"), F.col("status").alias("_status"), F.col("error").alias("_error"),

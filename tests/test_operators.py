@@ -339,6 +339,24 @@ def test_records_hold_every_field_and_the_references(spark):
         assert [(r.problem, r.refs) for r in P.source_refs(jobs, files, facts, binding, "/video", data_set="a/set").collect()] == [(problem, {})] * 2
 
 
+def test_jobs_are_not_shuffled_by_their_sources(spark):
+    from cliploom.operators import provenance as P
+
+    roles = ", ".join(f"{r} string" for r in P.SOURCE_ROLES)
+    jobs = spark.createDataFrame([(i, f"s{i}", "train", "h", "/p", "/q" if i % 2 else None, "/p") for i in range(6)], f"id long, sample_id string, split string, subject_id string, {roles}")
+    facts = spark.createDataFrame([("/p", "h1", 1), ("/p", "h2", 2), ("/q", "h3", None), (None, "h4", 4)], "path string, sha256 string, bytes long").selectExpr("path", "true AS exists", "bytes", "2L AS mtime_ns", "sha256")
+    reports = jobs.selectExpr("id AS job_id", "'completed' AS status", "'' AS error", "'a' AS attempt", "'{}' AS runtime_report")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = P.build_records(jobs, facts, reports, "/out", {"w.py": "0"})
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert not any(f"hashpartitioning({role}" in plan for role in P.SOURCE_ROLES)
+        got = sorted((r.job_id, r.asset.sha256, r.background.sha256, r.motion and r.motion.sha256) for r in rows.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted((i, a, b, "h3" if i % 2 else None) for i in range(6) for a in ("h1", "h2") for b in ("h1", "h2"))
+
+
 def test_same_result_at_any_partition_count(spark, folder):
     from cliploom.plans import CATALOGUE
 
