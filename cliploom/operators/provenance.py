@@ -305,11 +305,12 @@ def replay_gate(records: DataFrame, facts: DataFrame, code: DataFrame, drift: Da
         F.struct(F.lit(r).alias("role"), F.col(f"{r}.path").alias("path"), F.col(f"{r}.sha256").alias("sha256")) for r in roles
     ])).alias("s")).select("record", "s.*")
     now = facts.select("path", F.col("sha256").alias("_now"))
-    bad = (
-        long.join(now, "path", "left")
-        .withColumn("_bad", F.col("sha256").isNull() | ~F.col("sha256").eqNullSafe(F.col("_now")))
+    place = F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role")).cast("int")
+    bad = (  # good sources go no further
+        long.withColumn("_place", place).drop("role").join(now, "path", "left")
+        .filter(F.col("sha256").isNull() | ~F.col("sha256").eqNullSafe(F.col("_now")))
         .groupBy("record")  # three rows each
-        .agg(F.min_by("role", F.when(F.col("_bad"), F.array_position(F.array(*[F.lit(r) for r in roles]), F.col("role")))).alias("_role"))
+        .agg(F.element_at(F.array(*[F.lit(r) for r in roles]), F.min("_place")).alias("_role"))
     )
     changed = drift.select("record").distinct().withColumn("_drift", F.lit(True))
     fields = ("asset_path", "motion_path", "background_path", "action_params_json")

@@ -249,4 +249,4 @@ def replay_gate(t: Tables) -> DataFrame:
         F.col("id").alias("record"), "asset_path", "motion_path", "background_path",
         F.when(F.col("status") != "pending", F.col("action_params_json")).alias("action_params_json"),
     )
-    return ops.replay_gate(records, _file_facts(t), code, ops.code_drift(*_code_then_and_now(t)))
+    return ops.replay_gate(records, _file_facts(t, found(t)), code, ops.code_drift(*_code_then_and_now(t)))

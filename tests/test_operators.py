@@ -357,6 +357,29 @@ def test_jobs_are_not_shuffled_by_their_sources(spark):
     assert got == sorted((i, a, b, "h3" if i % 2 else None) for i in range(6) for a in ("h1", "h2") for b in ("h1", "h2"))
 
 
+def test_replay_gate_shuffles_no_text(spark, folder):
+    from cliploom.operators import provenance as P
+    from cliploom.plans import CATALOGUE
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = CATALOGUE["replay_gate"].run(spark, folder)
+        nodes = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted").split("\n\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [n for n in nodes if "Exchange" in n.strip().split("\n")[0] and "Input" in n]
+    assert moved and not [n for n in moved if "text#" in n]
+
+    held = lambda p, h: {"path": p, "sha256": h}
+    source = "struct<path string, sha256 string>"
+    rows = [(1, held("/p", "h"), held("/q", "i"), held("/p", "h")), (1, held("/p", "h"), held("/q", "x"), held("/p", None)), (2, held("/p", "h"), held("/p", "h"), held("/gone", "h")), (3, held("/p", "h"), held("/p", "h"), held("/p", "h"))]
+    records = spark.createDataFrame(rows, f"record long, asset {source}, motion {source}, background {source}")
+    facts = spark.createDataFrame([("/p", "h"), ("/q", "i")], "path string, sha256 string")
+    code = spark.createDataFrame([(i, "a", "m", "b", "{}") for i in (1, 2, 3)], "record long, asset_path string, motion_path string, background_path string, action_params_json string")
+    got = P.replay_gate(records, facts, code, spark.createDataFrame([], "record long")).collect()
+    assert sorted(map(tuple, got)) == [(1, "source_changed:motion")] * 2 + [(2, "source_changed:background"), (3, "ok")]
+
+
 def test_same_result_at_any_partition_count(spark, folder):
     from cliploom.plans import CATALOGUE
 
