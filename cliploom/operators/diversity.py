@@ -16,16 +16,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cliploom.functions.digests import sha1_heads
 from cliploom.operators.kernels import GROUP_ROWS, largest_group, number_rows
 from cliploom.session import pin, scratch_path
 
-BLOCK = 2048           # rows of either side in one block
+BLOCK = 2048           # subjects in one row, where candidates are hashed
+NAMES = 16384          # candidates in one row, there
+WINDOW_ROWS = 4_000_000  # hashes near the wanted ranks of a row of subjects, about
+SIGMAS = 5.0           # deviations of a rank that its window reaches to either side
 PACKED = 8192          # jobs in one row
 TILE = 4096            # candidates that meet the vectors of a block at a time
 VECTORS = 4096         # vectors of jobs that meet a tile at a time
 HISTORY_PART = 256     # earlier vectors of a subject in one row
 PREFERENCES = 64       # choices fetched at once; results do not depend on it
 _PICK = "id long, preset_id string, distance double, tie string"
+_WINDOW = "_lb long, _rb long, subjects array<string>, below binary, owner binary, place binary, tie binary"
+_WINDOW_COLUMNS = [field.split()[0] for field in _WINDOW.split(", ")]
 
 
 def _tie(subject: str, job: object, preset: str) -> str:
@@ -33,20 +39,6 @@ def _tie(subject: str, job: object, preset: str) -> str:
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:16]
 
 
-def _pair_up(left: DataFrame, left_key: str, left_rows: int, right: DataFrame, right_key: str, right_rows: int, block: int):
-    """Both sides repeated per block of the other, ready to be cogrouped.
-
-    A small left side is cut finer than the block size, to give every core a group; each group
-    gets the right side's block anew.
-    """
-    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = max(1, math.ceil(left_rows / block), min(width, left_rows))
-    rights = max(1, math.ceil(right_rows / block))
-    a = left.withColumn("_lb", _block_of(left_key, lefts)).withColumn("_rb", _all_of(rights))
-    b = right.withColumn("_rb", _block_of(right_key, rights)).withColumn("_lb", _all_of(lefts))
-    return a.groupBy("_lb", "_rb"), b.groupBy("_lb", "_rb")
-
-
 def _block_of(key: str, n: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n))
 
@@ -218,66 +210,91 @@ def pick_diverse(jobs: DataFrame, catalog: DataFrame, history: DataFrame, block:
 
 
 def _hashes_in_window(low: int, high: int):
-    """Per subject: how many candidates hash below the window, and those inside it."""
+    """One row for a block of subjects and one of candidates: per subject how many hash below the window, and the hashes inside it.
+
+    ``low`` and ``high`` are the first and last leading 32 bits of the window.
+    """
     def count(_, subjects: pd.DataFrame, catalog: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        names = catalog["preset_id"].tolist()
-        raw = [name.encode("utf-8") for name in names]
-        first = low.to_bytes(8, "big")
-        end = high.to_bytes(9, "big")
-        for subject in subjects["subject_id"]:
-            start, below = hashlib.sha1(f"{subject}:".encode("utf-8")), 0
-            for name, text in zip(names, raw):
-                state = start.copy()
-                state.update(text)
-                digest = state.digest()[:8]
-                if digest < first:
-                    below += 1
-                elif b"\0" + digest < end:
-                    rows.append((subject, 0, name, digest.hex()))
-            rows.append((subject, below, None, None))
-        return pd.DataFrame(rows, columns=["subject_id", "below", "preset_id", "tie"])
+        if not len(subjects) or not len(catalog):
+            return pd.DataFrame(columns=_WINDOW_COLUMNS)
+        own, other = subjects.iloc[0], catalog.iloc[0]
+        below, found = np.zeros(len(own["subjects"]), dtype=np.int64), []
+        for rows, cols, first, second in sha1_heads([f"{s}:".encode("utf-8") for s in own["subjects"]], [n.encode("utf-8") for n in other["names"]]):
+            below[rows] += (first < np.uint32(low)).sum(axis=1)
+            i, j = np.nonzero(first - np.uint32(low) <= np.uint32(high - low))
+            found.append((rows[i].astype(np.int32), cols[j].astype(np.int32), first[i, j].astype(np.uint64) << np.uint64(32) | second[i, j]))
+        owner, place, tie = (np.concatenate(x).tobytes() for x in zip(*found))
+        return pd.DataFrame([(own["_lb"], other["_rb"], own["subjects"], below.tobytes(), owner, place, tie)], columns=_WINDOW_COLUMNS)
 
     return count
 
 
-def _ranked_by_hash(subjects: DataFrame, catalog: DataFrame, n: int, rank: int, spread: float, block: int, top: int) -> DataFrame:
-    middle, space = (rank + 0.5) / n, 2**64
-    low = int(max(0.0, middle - spread) * space)
-    high = int(min(1.0, middle + spread) * space) if middle + spread < 1.0 else space
-    left, right = _pair_up(subjects, "subject_id", subjects.count(), catalog.select("preset_id"), "preset_id", n, block)
-    found = left.cogroup(right).applyInPandas(_hashes_in_window(low, high), "subject_id string, below long, preset_id string, tie string")
-    merged = found.groupBy("subject_id").agg(
-        F.sum("below").alias("_below"),
-        # the window holds about the square root of the catalogue
-        F.array_sort(F.collect_list(F.when(F.col("preset_id").isNotNull(), F.struct("tie", "preset_id")))).alias("_window"),
-    )
-    place = (F.lit(rank) - F.col("_below") + 1).cast("int")
-    inside = (place >= 1) & (place <= F.size("_window"))
-    picks = F.when(inside, F.slice("_window", place, F.lit(top)))
-    return merged.select("subject_id", F.posexplode(picks).alias("_at", "_p")).select(
-        "subject_id", (F.col("_at") + 1).cast("long").alias("choice"), F.col("_p.preset_id").alias("preset_id")
-    )
+def _choose(rank: int, need: int, whole: bool):
+    """The candidates of a block of subjects from ``rank`` on; a subject whose window does not hold them all has no row."""
+    def choose(_: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        subjects = parts["subjects"].iloc[0]
+        start = rank - sum(np.frombuffer(x, dtype=np.int64) for x in parts["below"])
+        owner, place = (np.concatenate([np.frombuffer(x, dtype=np.int32) for x in parts[c]]) for c in ("owner", "place"))
+        tie = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in parts["tie"]])
+        block = np.repeat(parts["_rb"].to_numpy(), [len(x) // 4 for x in parts["owner"]])
+        order = np.lexsort((place, block, tie, owner))
+        ends = np.searchsorted(owner[order], np.arange(len(subjects)), side="right")
+        begins = np.concatenate([[0], ends[:-1]])
+        rows = []
+        for i in np.flatnonzero((start >= 0) & (whole | (begins + start + need <= ends))):
+            picked = order[begins[i] + start[i] : min(ends[i], begins[i] + start[i] + need)]
+            rows.extend((subjects[i], at, block[k], place[k]) for at, k in enumerate(picked, 1))
+        return pd.DataFrame(rows, columns=["subject_id", "choice", "_rb", "_at"])
+
+    return choose
+
+
+def _ranked_by_hash(subjects: DataFrame, catalog: DataFrame, n: int, rank: int, spread: float, block: int, need: int) -> DataFrame:
+    """Candidates from ``rank`` on of the subjects for which a window of ``spread`` to either side holds them.
+
+    A block of either side is packed into one row, in a fixed order, before it is repeated for the
+    blocks of the other. Windows travel as buffers; a block has fewer subjects where they are long.
+    """
+    middle, space, whole = (rank + 0.5) / n, 2**32, spread >= 0.5
+    low = 0 if whole else int(max(0.0, middle - spread) * space)
+    high = space - 1 if whole else min(space - 1, int((middle + spread) * space))
+    count, width = subjects.count(), int(subjects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = max(1, min(block, int(WINDOW_ROWS / (n * min(1.0, 2 * spread) + 1))))
+    rights = max(1, math.ceil(n / NAMES))
+    lefts = max(1, math.ceil(count / block), min(count, math.ceil(2 * width / rights)))  # groups for every core
+    left = subjects.groupBy(_block_of("subject_id", lefts).alias("_lb")).agg(F.array_sort(F.collect_list("subject_id")).alias("subjects"))
+    right = pin(catalog.groupBy(_block_of("preset_id", rights).alias("_rb")).agg(F.array_sort(F.collect_list("preset_id")).alias("names")))
+    # a fixed number of partitions, as few bytes are much work here
+    sides = [side.repartition(lefts * rights, "_lb", "_rb").groupBy("_lb", "_rb") for side in (left.withColumn("_rb", _all_of(rights)), right.withColumn("_lb", _all_of(lefts)))]
+    found = sides[0].cogroup(sides[1]).applyInPandas(_hashes_in_window(low, high), _WINDOW)
+    picked = found.groupBy("_lb").applyInPandas(_choose(rank, need, whole), "subject_id string, choice long, _rb long, _at int")
+    return picked.join(right.select("_rb", F.posexplode("names").alias("_at", "preset_id")), ["_rb", "_at"]).select("subject_id", "choice", "preset_id")
 
 
 def cold_preferences(subjects: DataFrame, catalog: DataFrame, top: int = 1, block: int = BLOCK, size: int | None = None) -> DataFrame:
     """Candidates from rank n // 3 on, in the order of the stable hash of subject:candidate.
 
     Hashes are uniform, so only those near the wanted rank are kept and the rest counted.
-    A subject whose rank falls outside the window is repeated with the whole range.
+    A subject whose ranks fall outside the window is repeated with a wider one.
     """
+    catalog = catalog.select("preset_id").filter("preset_id IS NOT NULL")
     n = catalog.count() if size is None else size
     if n == 0:
         raise ValueError("no free candidates left")
-    rank, subjects = n // 3, subjects.select("subject_id").distinct()
-    spread = 8.0 * math.sqrt(2.0 / 9.0 / n) + 2.0 * (top + 1) / n
-    if spread >= 0.5:
-        return _ranked_by_hash(subjects, catalog, n, rank, 1.0, block, top)
-    first = pin(_ranked_by_hash(subjects, catalog, n, rank, spread, block, top))
-    rest = pin(subjects.join(first.select("subject_id").distinct(), "subject_id", "left_anti"))
-    if not rest.limit(1).count():
-        return first
-    return first.unionByName(_ranked_by_hash(rest, catalog, n, rank, 1.0, block, top))
+    rank, left, picked = n // 3, subjects.select("subject_id").filter("subject_id IS NOT NULL").distinct(), None
+    need = min(top, n - rank)
+    spread = SIGMAS * math.sqrt(2.0 / 9.0 / n) + 2.0 * (need + 1) / n
+    while True:
+        some = _ranked_by_hash(left, catalog, n, rank, spread, block, need)
+        if spread < 0.5:
+            some = pin(some)
+        picked = some if picked is None else picked.unionByName(some)
+        if spread >= 0.5:
+            return picked
+        left = pin(left.join(some.select("subject_id").distinct(), "subject_id", "left_anti"))
+        if not left.limit(1).count():
+            return picked
+        spread *= 4
 
 
 def pick_cold(jobs: DataFrame, catalog: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -1,10 +1,13 @@
 """Small cases of steps that grew faster than their input."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cliploom.functions.digests import sha1_heads
 from cliploom.operators import diversity
 from cliploom.operators import provenance as P
 from cliploom.operators import series as S
@@ -28,6 +31,45 @@ def test_jobs_of_a_block_bring_each_vector_once():
     assert [np.frombuffer(x, np.int64).tolist() for x in packed.places[0]] == [[0], [0, 1], [1]]
 
 
+def test_hashes_of_all_pairs_equal_hashlib():
+    firsts = [b"s" * k + b":" for k in (0, 1, 18, 40, 54, 55, 62, 63, 64, 130)] + [b"s" * 18 + b";"]
+    seconds = [b"", b"1", b"12", b"123", "\u00e4\u20ac".encode(), b"y" * 36, b"y" * 45, b"z" * 130]
+    seen = set()
+    for rows, cols, first, second in sha1_heads(firsts, seconds):
+        for i, j in np.ndindex(first.shape):
+            seen.add((rows[i], cols[j]))
+            assert hashlib.sha1(firsts[rows[i]] + seconds[cols[j]]).hexdigest()[:16] == f"{first[i, j]:08x}{second[i, j]:08x}"
+    assert len(seen) == len(firsts) * len(seconds)
+
+
+def test_window_of_a_block_pair_is_one_row():
+    subjects, names = ["a", "bcd"], [str(i) for i in range(300)]
+    side = pd.DataFrame({"_lb": [4], "subjects": [subjects]}), pd.DataFrame({"_rb": [7], "names": [names]})
+    out = diversity._hashes_in_window(2**30, 2**31)((4, 7), *side)
+    assert len(out) == 1 and (out._lb[0], out._rb[0], out.subjects[0]) == (4, 7, subjects)
+    hashes = [[int(hashlib.sha1(f"{s}:{n}".encode()).hexdigest()[:16], 16) for n in names] for s in subjects]
+    assert np.frombuffer(out.below[0], np.int64).tolist() == [sum(h >> 32 < 2**30 for h in own) for own in hashes]
+    inside = {(i, j, h) for i, own in enumerate(hashes) for j, h in enumerate(own) if 2**30 <= h >> 32 <= 2**31}
+    assert inside == set(zip(*(np.frombuffer(x, kind).tolist() for x, kind in ((out.owner[0], np.int32), (out.place[0], np.int32), (out.tie[0], np.uint64)))))
+
+
+@pytest.mark.parametrize("sigmas, names", [(5.0, 16384), (0.3, 64)])
+def test_cold_ranks_equal_the_sorted_hashes(spark, monkeypatch, sigmas, names):
+    monkeypatch.setattr(diversity, "SIGMAS", sigmas)  # a narrow window is missed and widened
+    monkeypatch.setattr(diversity, "NAMES", names)
+    presets = [f"p{i}" for i in range(900)] + ["twin"] * 40
+    subjects = [f"s{i * i}" for i in range(25)]
+    catalog = spark.createDataFrame([(p,) for p in [*presets, None]], "preset_id string")
+    jobs = spark.createDataFrame([*enumerate(subjects), (98, "s4"), (99, None)], "id long, subject_id string")
+    order = {s: sorted(presets, key=lambda p: hashlib.sha1(f"{s}:{p}".encode()).hexdigest()[:16]) for s in subjects}
+    rank = len(presets) // 3
+    for top in (1, 7, 2000):
+        out = diversity.cold_preferences(jobs, catalog, top, block=9).collect()
+        assert sorted((r.subject_id, r.choice, r.preset_id) for r in out) == sorted((s, i, p) for s in subjects for i, p in enumerate(order[s][rank : rank + top], 1))
+    picked = sorted((r.id, r.preset_id) for r in diversity.pick_cold(jobs, catalog).collect())
+    assert picked == [*((i, order[s][rank]) for i, s in enumerate(subjects)), (98, order["s4"][rank])]
+
+
 @pytest.mark.parametrize("group_rows", [3, 1_000_000])
 def test_bounds_need_no_copies_of_the_limits(spark, group_rows):
     rows = [("a", 0, float(i), float(-i), float(i), "halfbody") for i in range(11)] + [("a", 1, 1.0, 2.0, 3.0, "fullbody"), (None, 1, 9.0, 9.0, 9.0, "fullbody")]
