@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,13 @@ TILE = 4096            # candidates that meet the vectors of a block at a time
 VECTORS = 4096         # vectors of jobs that meet a tile at a time
 HISTORY_PART = 256     # earlier vectors of a subject in one row
 PREFERENCES = 64       # choices fetched at once; results do not depend on it
+LISTED = 2**25         # numbers in the lists of several rounds, vectors of candidates included
+LEAST_LISTED = 64      # candidates of a subject below which nothing is listed
+AHEAD_ROWS = 500_000   # jobs that meet their lists at once
 _PICK = "id long, preset_id string, distance double, tie string"
+_LIST = "subjects array<string>, names array<string>, vectors binary, width long, owner binary, place binary, distance binary, bounds binary"
+_LIST_COLUMNS = [field.split()[0] for field in _LIST.split(", ")]
+_ROUND = "id long, subject_id string, preset_id string, round int"
 _WINDOW = "_lb long, _rb long, subjects array<string>, below binary, owner binary, place binary, tie binary"
 _WINDOW_COLUMNS = [field.split()[0] for field in _WINDOW.split(", ")]
 
@@ -166,6 +173,20 @@ def _history_parts(history: DataFrame, size: int, longest: int | None = None) ->
     )
 
 
+def _block_pairs(jobs: DataFrame, catalog: DataFrame, history: DataFrame, block: int, history_part: int, sizes: tuple[int, int, int] | None, longest: int | None):
+    """Each block of jobs beside each block of the catalogue, and how many blocks the catalogue has; see ``preferences``."""
+    side = jobs.select("id", "subject_id").join(_history_parts(history, history_part, longest), "subject_id")
+    n_side, n_vectors, n_catalog = sizes or (*side.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vectors")), F.lit(0))).first(), catalog.count())
+    width = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lefts = max(1, math.ceil(n_side / block), math.ceil(n_vectors / (8 * block)))
+    rights = max(1, math.ceil(n_catalog / (8 * block)), min(math.ceil(n_catalog / TILE), math.ceil(width / lefts)))
+    lefts = max(lefts, min(n_side, math.ceil(width / rights)))  # a group for every core
+    left = side.withColumn("_lb", _block_of("id", lefts)).groupBy("_lb").applyInPandas(_pack_jobs, "_lb long, ids array<long>, subjects array<string>, places array<binary>, vectors binary, width long")
+    right = catalog.select("preset_id", "vector", _block_of("preset_id", rights).alias("_rb")).groupBy("_rb").applyInPandas(_pack_catalog, "_rb long, names array<string>, vectors binary, width long")
+    pairs = [left.withColumn("_rb", _all_of(rights)), right.withColumn("_lb", _all_of(lefts))]
+    return pairs[0].groupBy("_lb", "_rb").cogroup(pairs[1].groupBy("_lb", "_rb")), rights
+
+
 def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: int = 1,
                 block: int = PACKED, history_part: int = HISTORY_PART, sizes: tuple[int, int, int] | None = None, longest: int | None = None) -> DataFrame:
     """The ``top`` most distant candidates of each job whose subject has a history.
@@ -181,16 +202,8 @@ def preferences(jobs: DataFrame, catalog: DataFrame, history: DataFrame, top: in
     other; a block of jobs holds ``block`` of them and eight times as many vectors, a block of
     the catalogue eight times ``block``.
     """
-    side = jobs.select("id", "subject_id").join(_history_parts(history, history_part, longest), "subject_id")
-    n_side, n_vectors, n_catalog = sizes or (*side.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vectors")), F.lit(0))).first(), catalog.count())
-    width = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lefts = max(1, math.ceil(n_side / block), math.ceil(n_vectors / (8 * block)))
-    rights = max(1, math.ceil(n_catalog / (8 * block)), min(math.ceil(n_catalog / TILE), math.ceil(width / lefts)))
-    lefts = max(lefts, min(n_side, math.ceil(width / rights)))  # a group for every core
-    left = side.withColumn("_lb", _block_of("id", lefts)).groupBy("_lb").applyInPandas(_pack_jobs, "_lb long, ids array<long>, subjects array<string>, places array<binary>, vectors binary, width long")
-    right = catalog.select("preset_id", "vector", _block_of("preset_id", rights).alias("_rb")).groupBy("_rb").applyInPandas(_pack_catalog, "_rb long, names array<string>, vectors binary, width long")
-    pairs = [left.withColumn("_rb", _all_of(rights)), right.withColumn("_lb", _all_of(lefts))]
-    both = pairs[0].groupBy("_lb", "_rb").cogroup(pairs[1].groupBy("_lb", "_rb")).applyInPandas(_best_of_block(top), _PICK)
+    both, rights = _block_pairs(jobs, catalog, history, block, history_part, sizes, longest)
+    both = both.applyInPandas(_best_of_block(top), _PICK)
     ordered = F.struct((-F.col("distance")).alias("far"), "tie", "preset_id")
     if top == 1:
         best = both.groupBy("id").agg(F.min(ordered).alias("_b"))
@@ -303,6 +316,107 @@ def pick_cold(jobs: DataFrame, catalog: DataFrame, block: int = BLOCK) -> DataFr
     return jobs.select("id", "subject_id").join(picked, "subject_id").select("id", "preset_id")
 
 
+def _lists_of_block(size: int):
+    """For each job of a block its ``size`` farthest candidates of a block, without those as far as the next one, and how far that is."""
+    def listed(_, jobs: pd.DataFrame, catalog: pd.DataFrame) -> pd.DataFrame:
+        if not len(jobs) or not len(catalog):
+            return pd.DataFrame(columns=_LIST_COLUMNS)
+        own, other = jobs.iloc[0], catalog.iloc[0]
+        matrix = np.frombuffer(other["vectors"]).reshape(-1, other["width"])
+        vectors = np.frombuffer(own["vectors"]).reshape(-1, own["width"] or other["width"])
+        places = [np.frombuffer(x, dtype=np.int64) for x in own["places"]]
+        bounds, found, far = np.full(len(places), -np.inf), [], []
+        for i, keep in enumerate(farthest(matrix, vectors, places, size + 1)):
+            exact = nearest_sq(matrix[keep], vectors[places[i]])
+            if len(keep) > size:
+                bounds[i] = np.partition(exact, len(exact) - size - 1)[len(exact) - size - 1]
+                keep, exact = keep[exact > bounds[i]], exact[exact > bounds[i]]
+            found.append(keep)
+            far.append(exact)
+        used, place = np.unique(np.concatenate(found), return_inverse=True)
+        owner = np.repeat(np.arange(len(found), dtype=np.int32), [len(x) for x in found])
+        names = [other["names"][i] for i in used]
+        return pd.DataFrame([(own["subjects"], names, matrix[used].tobytes(), other["width"], owner.tobytes(), place.astype(np.int32).tobytes(), np.concatenate(far).tobytes(), bounds.tobytes())], columns=_LIST_COLUMNS)
+
+    return listed
+
+
+def _gathered(lists: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Names and vectors of the candidates in ``lists``, and for each subject their places, distances and what no other candidate exceeds."""
+    code, names = pd.factorize(np.concatenate([np.asarray(x, dtype=object) for x in lists["names"]]))
+    matrix = np.concatenate([np.frombuffer(v).reshape(-1, w) for v, w in zip(lists["vectors"], lists["width"])])[np.unique(code, return_index=True)[1]]
+    parts, start = {}, 0
+    for row in lists.itertuples():
+        owner, place, far = np.frombuffer(row.owner, np.int32), np.frombuffer(row.place, np.int32), np.frombuffer(row.distance)
+        ends = np.searchsorted(owner, np.arange(len(row.subjects) + 1))
+        for i, (subject, bound) in enumerate(zip(row.subjects, np.frombuffer(row.bounds))):
+            mine = slice(ends[i], ends[i + 1])
+            parts.setdefault(subject, []).append((code[start + place[mine]], far[mine], bound))
+        start += len(row.names)
+    own = {}
+    for subject, some in parts.items():
+        places, far, bounds = zip(*some)
+        places, far, bound = np.concatenate(places), np.concatenate(far), max(bounds)
+        own[subject] = places[far > bound], far[far > bound], bound
+    return names, matrix, own
+
+
+def _nth(far: np.ndarray, n: int, tie) -> int:
+    """Place of the ``n``-th largest; equal ones in the order of ``tie(place)``."""
+    bar = far.max() if n == 1 else np.partition(far, len(far) - n)[len(far) - n]
+    same = np.flatnonzero(far == bar)
+    return same[0] if len(same) == 1 else sorted(same, key=tie)[n - 1 - np.count_nonzero(far > bar)]
+
+
+def _rounds_of_lists(turn: int, ahead: int):
+    """The picks of rounds from ``turn`` on, ``ahead`` of them at most, as long as the lists decide them.
+
+    A distance only falls as a subject gets vectors, so a listed candidate that is still farther than
+    all others were when the lists were made is farther than they are now. The rounds end before one
+    in which a job needs a choice that its list no longer has.
+    """
+    def run(_, lists: pd.DataFrame, queue: pd.DataFrame) -> pd.DataFrame:
+        names, matrix, own = _gathered(lists)
+        queue = queue.sort_values(["split_rank", "subject_id", "id"], na_position="first", ignore_index=True)
+        ids, subjects = queue["id"].tolist(), queue["subject_id"].tolist()
+        waiting, taken, picks = {}, np.zeros(len(names), dtype=bool), []
+        for at, subject in enumerate(subjects):  # a job is its place in the order of all
+            waiting.setdefault(subject, deque()).append(at)
+
+        def choice(job: int, n: int) -> int | None:
+            """The ``n``-th choice; None where there are fewer candidates, -1 where others than the listed ones may be it."""
+            places, far, bound = own[subjects[job]]
+            if n > len(far):
+                return None if bound == -np.inf else -1
+            return places[_nth(far, n, lambda i: (_tie(subjects[job], ids[job], names[places[i]]), names[places[i]]))]
+
+        for now in range(turn, turn + ahead):
+            wants, won = {}, {}
+            for subject, jobs in waiting.items():
+                if jobs:
+                    places, far, bound = own[subject]
+                    own[subject] = places[~taken[places]], far[~taken[places]], bound
+                    wants.setdefault(choice(jobs[0], 1), []).append(jobs[0])
+            wants.pop(None, None)
+            claims = [(choice(job, n), job) for want, rivals in wants.items() if want >= 0 for n, job in enumerate(sorted(rivals), 1)]
+            if -1 in wants or not claims or any(place == -1 for place, _ in claims):
+                break
+            for place, job in claims:
+                if place is not None:
+                    won[place] = min(won.get(place, job), job)
+            for place, job in won.items():
+                subject = subjects[job]
+                waiting[subject].popleft()
+                taken[place] = True
+                picks.append((ids[job], subject, names[place], now))
+                places, far, bound = own[subject]
+                far = np.minimum(far, nearest_sq(matrix[places], matrix[place][None]))
+                own[subject] = places[far > bound], far[far > bound], bound
+        return pd.DataFrame(picks, columns=["id", "subject_id", "preset_id", "round"])
+
+    return run
+
+
 def assign_rounds(
     jobs: DataFrame, catalog: DataFrame, history: DataFrame, mode: str = "rounds",
     designed: DataFrame | None = None, top: int = PREFERENCES,
@@ -318,6 +432,11 @@ def assign_rounds(
     What is open, free and past follows from the table of picks, so a round writes its wave,
     the wave's choices and its picks, whatever it decides; the plan stays short and a lost
     executor re-reads files. Only a candidate that more than ``top`` jobs want first takes more.
+
+    Once all subjects have a history, each gets a list of its farthest candidates, and one task
+    follows the rounds that those lists decide; then new lists are made from all candidates. Lists
+    hold ``LISTED`` numbers; where that leaves a subject too few candidates, where its next round is
+    not decided by the lists or where names repeat, rounds are made one by one.
     """
     if mode not in ("rounds", "sequential"):
         raise ValueError(mode)
@@ -327,9 +446,12 @@ def assign_rounds(
     if designed is not None:
         jobs = jobs.join(designed.select(F.col("job_id").alias("id")).distinct(), "id", "left_anti")
     order = F.struct("split_rank", "subject_id", "id")
-    jobs, catalog, history = pin(jobs.select("id", "subject_id", "split_rank")), pin(catalog.select("preset_id", "vector")), pin(history.select("subject_id", "vector"))
-    n_jobs, n_presets, n_history, longest = jobs.count(), catalog.count(), history.count(), largest_group(history, ["subject_id"])
-    schema, path = "id long, subject_id string, preset_id string, round int", scratch_path(spark, "assigned")
+    jobs, catalog, history = pin(number_rows(jobs.select("id", "subject_id", "split_rank"), ["subject_id"], ["split_rank", "id"], "place")), pin(catalog.select("preset_id", "vector")), pin(history.select("subject_id", "vector"))
+    n_jobs, n_ids, n_whole = jobs.agg(F.count("*"), F.count_distinct("id"), F.count("subject_id")).first()
+    n_presets, n_names, numbers = catalog.agg(F.count("*"), F.count_distinct("preset_id"), F.max(F.size("vector"))).first()
+    n_history, longest = history.count(), largest_group(history, ["subject_id"])
+    several = mode == "rounds" and n_jobs == n_ids == n_whole and n_presets == n_names
+    schema, path = _ROUND, scratch_path(spark, "assigned")
     width, given, turn = (top if mode == "rounds" else 1), 0, 0
     while given < n_jobs:
         if given >= n_presets:
@@ -339,18 +461,32 @@ def assign_rounds(
         free = catalog.join(won.select("preset_id"), "preset_id", "left_anti")
         past = history.union(won.join(catalog, "preset_id").select("subject_id", "vector"))
         known = history.select("subject_id").union(won.select("subject_id")).distinct().withColumn("warm", F.lit(True))
-        wave = jobs.join(won.select("id"), "id", "left_anti").groupBy("subject_id").agg(F.min(order).alias("_o")).select("_o.*")
+        waiting = jobs.join(won.select("id"), "id", "left_anti")
+        wave = waiting.groupBy("subject_id").agg(F.min(order).alias("_o")).select("_o.*")
         if mode == "sequential":
             wave = wave.orderBy("split_rank", "subject_id", "id").limit(1)
         wave = pin(wave.join(known, "subject_id", "left").withColumn("warm", F.col("warm").isNotNull()))
         n_wave, n_warm = wave.agg(F.count("*"), F.count_if("warm")).first()
 
+        parts, n_past = n_warm + (n_history + given) // HISTORY_PART, n_history + given
+        room = LISTED // max(1, (numbers + 8) * n_wave)
+        if several and n_warm == n_wave and room >= LEAST_LISTED:
+            ahead = max(1, AHEAD_ROWS // n_wave)
+            pairs, blocks = _block_pairs(wave, free, past, PACKED, HISTORY_PART, (parts, n_past, n_presets - given), longest + turn)
+            lists = pairs.applyInPandas(_lists_of_block(math.ceil(room / blocks)), _LIST).withColumn("_all", F.lit(0))
+            first = waiting.groupBy("subject_id").agg(F.min("place").alias("_first"))
+            queue = waiting.join(first, "subject_id").filter(F.col("place") < F.col("_first") + ahead).select("id", "subject_id", "split_rank", F.lit(0).alias("_all"))
+            lists.groupBy("_all").cogroup(queue.groupBy("_all")).applyInPandas(_rounds_of_lists(turn, ahead), schema).write.mode("append").parquet(path)
+            n_won, last = spark.read.schema(schema).parquet(path).agg(F.count("*"), F.max("round")).first()
+            if n_won > given:
+                given, turn = n_won, last
+                continue
+
         def choices(some: DataFrame, k: int, n_some: int, n_warm: int) -> DataFrame:
             """The first ``k`` choices of each job of some of the wave."""
             found = None
             if n_warm:
-                parts = n_warm + (n_history + given) // HISTORY_PART
-                found = preferences(some.filter("warm"), free, past, k, sizes=(parts, n_history + given, n_presets - given), longest=longest + turn).select("id", "choice", "preset_id")
+                found = preferences(some.filter("warm"), free, past, k, sizes=(parts, n_past, n_presets - given), longest=longest + turn).select("id", "choice", "preset_id")
             if n_some > n_warm:
                 cold = some.filter("NOT warm").select("id", "subject_id")
                 chosen = cold.join(cold_preferences(cold, free, k, size=n_presets - given), "subject_id").select("id", "choice", "preset_id")

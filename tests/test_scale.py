@@ -70,6 +70,41 @@ def test_cold_ranks_equal_the_sorted_hashes(spark, monkeypatch, sigmas, names):
     assert picked == [*((i, order[s][rank]) for i, s in enumerate(subjects)), (98, order["s4"][rank])]
 
 
+@pytest.mark.parametrize("listed", [0, 64 * 14 * 11, 2**25])
+def test_many_rounds_come_from_one_set_of_lists(spark, monkeypatch, listed):
+    rng = np.random.default_rng(8)
+    vectors = np.repeat(rng.integers(0, 4, size=(150, 3)), 2, axis=0)  # twins and equal distances
+    catalog = spark.createDataFrame([(f"p{i}", [float(x) for x in v]) for i, v in enumerate(vectors)], "preset_id string, vector array<double>")
+    jobs = spark.createDataFrame([(i, f"s{i % 14 if i < 28 else 3}", i % 2) for i in range(33)], "id long, subject_id string, split_rank int")
+    history = spark.createDataFrame([(f"s{i}", [1.5, 1.5, float(i % 3)]) for i in range(14)], "subject_id string, vector array<double>")
+    made, block_pairs = [], diversity._block_pairs
+    monkeypatch.setattr(diversity, "LISTED", listed)
+    monkeypatch.setattr(diversity, "_block_pairs", lambda *a: made.append(1) or block_pairs(*a))
+    got = {(r.id, r.subject_id, r.preset_id, r["round"]) for r in diversity.assign_rounds(jobs, catalog, history).collect()}
+    assert listed < 2**25 or len(made) == 1  # one for each round before
+
+    by_name = {f"p{i}": v.astype(float) for i, v in enumerate(vectors)}
+    past = {f"s{i}": [np.array([1.5, 1.5, float(i % 3)])] for i in range(14)}
+    open_jobs, free, expected, turn = sorted((i % 2, f"s{i % 14 if i < 28 else 3}", i) for i in range(33)), set(by_name), set(), 0
+    while open_jobs:
+        turn += 1
+        wave, first, won = {}, {}, {}
+        for job in open_jobs:
+            wave.setdefault(job[1], job)
+        ranked = {job: sorted(free, key=lambda p: (-min(((by_name[p] - v) ** 2).sum() for v in past[s]), diversity._tie(s, job[2], p), p)) for s, job in wave.items()}
+        for job in sorted(wave.values()):
+            first.setdefault(ranked[job][0], []).append(job)
+        for rivals in first.values():
+            for n, job in enumerate(rivals):
+                won[ranked[job][n]] = min(won.get(ranked[job][n], job), job)
+        for preset, job in won.items():
+            expected.add((job[2], job[1], preset, turn))
+            open_jobs.remove(job)
+            free.remove(preset)
+            past[job[1]].append(by_name[preset])
+    assert got == expected and turn >= 7
+
+
 @pytest.mark.parametrize("group_rows", [3, 1_000_000])
 def test_bounds_need_no_copies_of_the_limits(spark, group_rows):
     rows = [("a", 0, float(i), float(-i), float(i), "halfbody") for i in range(11)] + [("a", 1, 1.0, 2.0, 3.0, "fullbody"), (None, 1, 9.0, 9.0, 9.0, "fullbody")]
