@@ -96,11 +96,9 @@ def feature_scan(t: Tables) -> DataFrame:
 
 
 def _page_files(t: Tables) -> str:
-    """A folder for each page; dealt out by page, so that all tasks write and each folder has one task, which also commits it."""
+    """A file for each page."""
     root = scratch_path(t.spark, "files")
-    width = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    pages = t.pages.select("page_id", F.col("html").alias("value")).repartition(width, "page_id")
-    snapshots.many_folders(pages.write).partitionBy("page_id").text(root)
+    file_source.write_text_files(t.pages, root, "page_id", "html")
     return root
 
 

@@ -11,7 +11,7 @@ from cliploom.functions.digests import sha1_heads
 from cliploom.operators import diversity
 from cliploom.operators import provenance as P
 from cliploom.operators import series as S
-from cliploom.sources import readers, snapshots
+from cliploom.sources import files, readers, snapshots
 
 
 def test_farthest_of_many_jobs_equals_all_distances():
@@ -138,6 +138,34 @@ def test_folders_of_a_page_are_committed_by_the_tasks(spark):
     assert seen == {"mapreduce.fileoutputcommitter.algorithm.version": 2}
 
 
+@pytest.mark.parametrize("known", [True, False])
+def test_files_of_texts_share_folders_and_are_listed_by_few_tasks(spark, tmp_path, monkeypatch, known):
+    def unknown(uri):
+        raise ValueError(uri)
+
+    monkeypatch.setattr(files, "FOLDER_FILES", 100)
+    if not known:
+        monkeypatch.setattr(files, "arrow_file", unknown)
+    rows = [(i, f"t\u00e4xt {i}") for i in range(290)] + [(7, "t\u00e4xt 7"), (290, None), (None, "no key"), (291, "")]
+    root = tmp_path / "texts"
+    files.write_text_files(spark.createDataFrame(rows, "page_id long, html string").repartition(5), str(root), "page_id", "html")
+    assert not known or len([x for x in root.iterdir() if x.is_dir()]) <= 3  # 293 before
+    if known:
+        facts = files.file_facts(spark, str(root), "*.txt", whole_bytes=12)
+        listed = files.list_files(spark, str(root), "*.txt")
+        assert listed.rdd.getNumPartitions() <= 8 and "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    expected = {}
+    for i, text in rows:
+        expected[i] = expected.get(i, b"") + (text or "").encode() + b"\n"
+    own = F.regexp_extract("path", r"page_id=(\d+)", 1).try_cast("long").alias("page_id")
+    found = files.list_files(spark, str(root), "*.txt").select(own, "bytes").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(((i, len(x)) for i, x in expected.items()), key=str)
+    if known:
+        assert {(r.page_id, r.sha256) for r in facts.select(own, "sha256").collect()} == {(i, hashlib.sha256(x).hexdigest()) for i, x in expected.items()}
+    files.write_text_files(spark.createDataFrame([], "page_id long, html string"), str(tmp_path / "none"), "page_id", "html")
+    assert files.list_files(spark, str(tmp_path / "none"), "*.txt").count() == 0
+
+
 def test_sources_shared_by_many_jobs_are_spread(spark):
     jobs = spark.range(200).select("id", *[F.lit("/video/a").alias(r) for r in P.SOURCE_ROLES[:2]], F.lit("/other/a").alias(P.SOURCE_ROLES[2]))
     files = spark.createDataFrame([("a", "z", "h")], "path string, archive string, sha256 string")
