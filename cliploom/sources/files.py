@@ -70,8 +70,8 @@ def file_facts(spark: SparkSession, path: str, pattern: str | None = None, whole
         "path", F.lit(True).alias("exists"), F.col("length").alias("bytes"),
         (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"), F.sha2("content", 256).alias("sha256"),
     )
-    large = _listed(scan).filter(F.col("bytes") > whole_bytes).mapInPandas(hash_blocks, FACT_SCHEMA)
-    return small.unionByName(large)
+    large = _in_few_tasks(_listed(scan).filter(F.col("bytes") > whole_bytes)).mapInPandas(hash_blocks, FACT_SCHEMA)
+    return _in_few_tasks(small).unionByName(large)
 
 
 def _text_files(root: str, key: str):
