@@ -222,14 +222,12 @@ c AS (SELECT a, b, nm.name, x.d, row_number() OVER (PARTITION BY a, b ORDER BY C
   FROM pr JOIN up x ON x.seed = a JOIN up y ON y.seed = b AND y.k = x.k JOIN nm ON nm.k = x.k)
 SELECT na.name AS left, nb.name AS right, c.name AS ancestor FROM c JOIN nm na ON na.k = a JOIN nm nb ON nb.k = b WHERE rn = 1""")
 def common_ancestor(t: Tables) -> DataFrame:
-    label = t.part.select(F.col("p_partkey").alias("k"), F.concat(F.when(F.col("p_type") == "PROMO", "hip_").otherwise("n_"), F.col("p_partkey").cast("string")).alias("name"))
-    up = label.select(F.col("k").alias("_up"), F.col("name").alias("parent"))
-    named = label.withColumn("_up", F.when(F.col("k") > 0, F.floor(F.col("k") / 2))).join(up, "_up", "left").select(F.lit("tree").alias("rig"), "name", "parent")
-    pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct()
-    pairs = pairs.join(label.select(F.col("k").alias("l_partkey"), F.col("name").alias("left")), "l_partkey").join(
-        label.select(F.col("k").alias("l_suppkey"), F.col("name").alias("right")), "l_suppkey"
-    ).select(F.lit("tree").alias("rig"), "left", "right")
-    return tree.common_ancestor(named, pairs, ["rig"]).select("left", "right", "ancestor")
+    """Pairs go by number, which is short; the result has the names."""
+    label = t.part.select(F.col("p_partkey").alias("k"), F.concat(F.when(F.col("p_type") == "PROMO", "hip_").otherwise("n_"), F.col("p_partkey").cast("string")).alias("label"))
+    up = label.select(F.col("k").alias("_up"), F.col("k").alias("parent"))
+    named = label.withColumn("_up", F.when(F.col("k") > 0, F.floor(F.col("k") / 2))).join(up, "_up", "left").select(F.lit("tree").alias("rig"), "k", "parent", "label")
+    pairs = t.lineitem.select(F.lit("tree").alias("rig"), F.col("l_partkey").alias("left"), F.col("l_suppkey").alias("right"))
+    return tree.common_ancestor(named, pairs, ["rig"], "k", label="label").select("left", "right", "ancestor")
 
 
 @query("close_upward", f"""WITH RECURSIVE {TREE}, c AS (SELECT name, parent FROM tree WHERE p_size = 50 UNION

@@ -1,6 +1,7 @@
 """Small cases of steps that grew faster than their input."""
 
 import hashlib
+import random
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from cliploom.functions.digests import sha1_heads
 from cliploom.operators import diversity
 from cliploom.operators import provenance as P
 from cliploom.operators import series as S
+from cliploom.operators import tree
 from cliploom.sources import files, readers, snapshots
 
 
@@ -166,6 +168,38 @@ def test_files_of_texts_share_folders_and_are_listed_by_few_tasks(spark, tmp_pat
     assert files.list_files(spark, str(tmp_path / "none"), "*.txt").count() == 0
 
 
+@pytest.mark.parametrize("held", [0, 1, 9, 40, 1000])
+def test_ancestors_at_the_top_take_no_jumps(spark, monkeypatch, held):
+    rng = random.Random(3)
+    up = {i: None if i in (0, 1) else rng.randrange(max(0, i - 9), i) for i in range(90)}
+    words = {i: f"pelvis{i}" if i % 13 == 4 else f"n{i}" for i in up}
+    nodes = spark.createDataFrame([("t", i, p, words[i]) for i, p in up.items()] + [("t", 5, up[5], words[5])], "tree string, k long, parent long, label string")
+
+    def line(i):
+        return [] if i is None else [i, *line(up[i])]
+
+    pairs = [(rng.randrange(90), rng.randrange(90)) for _ in range(200)] + [(7, 7), (0, 1), (7, 7), (89, 88), (3, 500), (500, 500), (None, 4)]
+    expected, named = {}, {}
+    for a, b in pairs:
+        both = [x for x in line(a) if x in line(b)] if a in up and b in up else [500] if a == b == 500 else []
+        if both:
+            named[str(a), str(b)] = str(next((x for x in both if "pelvis" in words.get(x, "")), both[0]))
+            if a in up:
+                expected[words[a], words[b]] = words[int(named[str(a), str(b)])]
+    lifted, made = tree._lifted, []
+    monkeypatch.setattr(tree, "TOP", held)
+    monkeypatch.setattr(tree, "_lifted", lambda n, p, k: made.append(p.count()) or lifted(n, p, k))
+    frame = spark.createDataFrame([("t", a, b) for a, b in pairs], "tree string, left long, right long")
+    found = tree.common_ancestor(nodes, frame, ["tree"], "k", label="label").collect()
+    assert {(r["left"], r["right"]): r.ancestor for r in found} == expected and len(found) == len(expected)
+    assert not made if held == 1000 else held < 40 or sum(made) <= 150  # all pairs before
+    if held == 9:  # pairs by their names, some of them unknown
+        plain = nodes.select("tree", F.concat(F.lit("p"), F.col("k").cast("string")).alias("name"), F.concat(F.lit("p"), F.col("parent").cast("string")).alias("parent"))
+        frame = frame.select("tree", *(F.concat(F.lit("p"), F.col(c).cast("string")).alias(c) for c in ("left", "right")))
+        found = tree.common_ancestor(plain, frame, ["tree"], preferred=["p4$", "p17$", "p30$", "p43$", "p56$", "p69$", "p82$"]).collect()
+        assert {(r["left"][1:], r["right"][1:]): r.ancestor[1:] for r in found} == named and len(found) == len(named)
+
+
 def test_sources_shared_by_many_jobs_are_spread(spark):
     jobs = spark.range(200).select("id", *[F.lit("/video/a").alias(r) for r in P.SOURCE_ROLES[:2]], F.lit("/other/a").alias(P.SOURCE_ROLES[2]))
     files = spark.createDataFrame([("a", "z", "h")], "path string, archive string, sha256 string")
