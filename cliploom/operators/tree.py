@@ -233,15 +233,17 @@ def common_ancestor(
     """Nearest common ancestor of (left, right) pairs, each once; a nearest preferred name comes first.
 
     With ``label`` pairs and parents go by ``name``, and the result, which then has the pairs of known
-    nodes only, shows that column of the nodes instead, where preferred words are looked for, too.
+    nodes only, shows that column of the nodes instead, where preferred words are looked for, too; a
+    pair comes as often as its two nodes do.
 
     Every task holds the ``TOP`` nodes next to the roots, whole levels. A pair meets the places there
     of its sides, one join for each side, and where these differ it is done: its ancestor is one of
     them. Pairs below the same node are left to jumps among the nodes below it.
     """
     key, at = list(key), [*key, "_at"]
-    nodes = nodes.select(*key, F.col(name).alias("node"), F.col(parent).alias("parent"), F.col(label or name).alias("_shown")).distinct()
+    given = nodes.select(*key, F.col(name).alias("node"), F.col(parent).alias("parent"), F.col(label or name).alias("_shown"))
     wanted = F.lower(F.col("_shown").cast("string")).rlike("|".join(preferred))
+    nodes = given.groupBy(*key, "node").agg(F.min("parent").alias("parent"), F.min_by("_shown", F.struct(~F.coalesce(wanted, F.lit(False)), "_shown")).alias("_shown"))
     nodes = _stored(nodes.join(depth(nodes, key, "node").select(*key, "node", "depth"), [*key, "node"]))
     last, held = -1, 0
     for level in nodes.filter(F.col("depth") < TOP).groupBy("depth").count().orderBy("depth").collect():
@@ -259,7 +261,8 @@ def common_ancestor(
     nodes = _stored(nodes.join(climbed, [*key, "node"]).join(places, [*key, "top"], "left").select(
         *key, "node", "parent", "_shown", F.coalesce("_at", F.lit(-1)).alias("_at"), (F.col("_at").isNotNull() & (F.col("steps") == 0)).alias("_own"),
     ))
-    table = nodes.select(*key, "node", F.struct("_at", "_own", "_shown").alias("up"))
+    table = nodes if label is None else nodes.drop("_shown").join(given.select(*key, "node", "_shown"), [*key, "node"])
+    table = table.select(*key, "node", F.struct("_at", "_own", "_shown").alias("up"))
     some = pairs.select(*key, "left", "right")
     rows = some.repartition(math.ceil(some.count() / PAIRS) or 1, *key, "left", "right").distinct()  # hash tables of a bounded size
     rows = _look_up(rows, table, key, {"left": "_l", "right": "_r"}, "inner" if label else "left", counted=some)
@@ -286,7 +289,7 @@ def common_ancestor(
     nearest = inside.join(climb(inside, at, "node", "parent", wanted, F.lit(1.0)).select(*at, "node", "top"), [*at, "node"]).join(known, [*at, "top"], "left")
     nearest = nearest.join(F.broadcast(answers.select(F.col("_met").alias("_at"), F.col("_best").alias("_above"))), "_at", "left")
     nearest = nearest.select(*at, "node", F.coalesce("_best", "_above", "_shown").alias("up"))
-    found = _look_up(_lifted(inside, rest, at), nearest, at, {"ancestor": "_best"}, "left")
+    found = _look_up(_lifted(inside, rest.select(*at, "left", "right").distinct(), at), nearest, at, {"ancestor": "_best"}, "left")
     if label:
         found = found.join(rest.drop("_met"), [*at, "left", "right"])
         return done.unionByName(found.select(*shown, F.col("_best").alias("ancestor")))

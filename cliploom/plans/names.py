@@ -224,7 +224,7 @@ SELECT na.name AS left, nb.name AS right, c.name AS ancestor FROM c JOIN nm na O
 def common_ancestor(t: Tables) -> DataFrame:
     """Pairs go by number, which is short; the result has the names."""
     label = t.part.select(F.col("p_partkey").alias("k"), F.concat(F.when(F.col("p_type") == "PROMO", "hip_").otherwise("n_"), F.col("p_partkey").cast("string")).alias("label"))
-    up = label.select(F.col("k").alias("_up"), F.col("k").alias("parent"))
+    up = label.select(F.col("k").alias("_up"), F.col("k").alias("parent")).distinct()
     named = label.withColumn("_up", F.when(F.col("k") > 0, F.floor(F.col("k") / 2))).join(up, "_up", "left").select(F.lit("tree").alias("rig"), "k", "parent", "label")
     pairs = t.lineitem.select(F.lit("tree").alias("rig"), F.col("l_partkey").alias("left"), F.col("l_suppkey").alias("right"))
     return tree.common_ancestor(named, pairs, ["rig"], "k", label="label").select("left", "right", "ancestor")
